@@ -236,3 +236,7 @@ def q_ranked_curve_regions(spark, sf_dir):
     wins = ch.region_win_counts(charges_of(spark, sf_dir)) \
         .withColumn("cnt", F.col("cnt").cast("double"))
     return rounded(ch.ranked_curve(wins, "referral_region", "cnt", 3))
+
+
+# Query modules register themselves on import.
+from claimlens.plans import q_io, q_part3  # noqa: E402,F401
