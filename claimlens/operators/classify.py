@@ -27,7 +27,13 @@ def fit_l1_logistic(training: DataFrame, reg: float = L1_REG, max_iter: int = 10
     lr = LogisticRegression(featuresCol=features_col, labelCol=label_col,
                             family="binomial", elasticNetParam=1.0, regParam=reg,
                             fitIntercept=False, standardization=False, maxIter=max_iter)
-    return lr.fit(training.withColumn(label_col, F.col(label_col).cast("double")))
+    # Every solver iteration re-reads the input: keep it in memory (blocks
+    # lost with an executor are recomputed from lineage).
+    data = training.select(F.col(label_col).cast("double").alias(label_col), features_col).persist()
+    try:
+        return lr.fit(data)
+    finally:
+        data.unpersist()
 
 
 def score(model: LogisticRegressionModel, vectors: DataFrame, id_col: str = "id") -> DataFrame:

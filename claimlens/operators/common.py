@@ -54,6 +54,15 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(small, on, how)
 
 
+def broadcast_checked(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    For sides that are cheap to count (small scans, dimension joins): the
+    count is one short job, and the hint is only given under the bound.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def global_rank(df: DataFrame, order: Sequence[Column], name: str = "position",
                 partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1..N in ``order`` (which must be a total order).

@@ -7,14 +7,16 @@ any join: a patient holding a third of all claims ships one partial row per
 a patient listed twice for review) is kept as the defined result by carrying
 multiplicities, unless ``dedupe=True``.
 
-Hashing is row-local: each patient row becomes an array of (slot, weight)
-terms with collisions summed by higher-order functions, so building vectors
-needs no shuffle. The long form (one row per patient and slot) exists for
-inspection and for the cosine assignment.
+Hashing is row-local: each patient row becomes arrays of term slots and
+weights (md5 in the JVM), and one small Python helper sums colliding slots
+into a SparseVector, so building vectors needs no shuffle. The long form
+(one row per patient and slot) sums collisions with a map-side-combined
+aggregate; it feeds the cosine assignment and inspection.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -162,49 +164,44 @@ def feature_dictionary(features: DataFrame, n_features: int = N_FEATURES, **prob
         .select("feature", "probe", "idx").distinct()
 
 
-def _merge_sorted(entries: Column) -> Column:
-    """Sum weights of equal slots in an ``array<struct<idx,weight>>``
-    sorted by idx (row-local, no shuffle)."""
-    empty = F.array().cast(T.ArrayType(T.StructType([
-        T.StructField("idx", T.IntegerType()), T.StructField("weight", T.DoubleType())])))
-
-    def step(acc, e):
-        last = F.element_at(acc, -1)
-        same = (F.size(acc) > 0) & (last["idx"] == e["idx"])
-        merged = F.concat(F.slice(acc, 1, F.size(acc) - 1),
-                          F.array(F.struct(e["idx"].alias("idx"),
-                                           (last["weight"] + e["weight"]).alias("weight"))))
-        return F.when(same, merged).otherwise(F.concat(acc, F.array(e)))
-
-    return F.aggregate(entries, empty, step)
-
-
-def sparse_terms(features: DataFrame, n_features: int = N_FEATURES, **probes) -> Column:
-    """Per row: ``array<struct<idx, weight>>`` sorted by slot, collisions summed."""
-    terms = F.transform(feature_terms(features, **probes), lambda t: F.struct(
-        slot(t["feature"], t["probe"], n_features).alias("idx"), t["weight"].alias("weight")))
-    return _merge_sorted(F.array_sort(terms))
+def term_arrays(features: DataFrame, n_features: int = N_FEATURES, **probes) -> tuple[Column, Column]:
+    """Per row: the slot of every term and its weight, as two arrays
+    (collisions not yet summed). Hashing runs JVM-side."""
+    terms = feature_terms(features, **probes)
+    idx = F.transform(terms, lambda t: slot(t["feature"], t["probe"], n_features))
+    weight = F.transform(terms, lambda t: t["weight"])
+    return idx, weight
 
 
 def _to_sparse(size: int):
-    def build(entries):
-        return SparseVector(size, [e["idx"] for e in entries], [e["weight"] for e in entries])
-    return F.udf(build, VectorUDT(), useArrow=True)
+    """Arrays of (slot, weight) -> SparseVector, colliding slots summed.
+
+    The one Python helper of the library: a vector object cannot be built
+    by a built-in expression. numpy merges the row's terms.
+    """
+    def build(idx, weight):
+        slots, inverse = np.unique(np.asarray(idx, dtype=np.int64), return_inverse=True)
+        sums = np.bincount(inverse, weights=np.asarray(weight, dtype=np.float64))
+        return SparseVector(size, slots.tolist(), sums.tolist())
+    return F.udf(build, VectorUDT())
 
 
 def hash_features(features: DataFrame, n_features: int = N_FEATURES,
                   keep: tuple[str, ...] = ("id", "review"), **probes) -> DataFrame:
     """``keep`` columns plus ``features`` (SparseVector of ``n_features``).
 
-    All hashing and merging is JVM-side; only the final vector object is
-    built by a small Arrow-batched Python function.
+    Slots and weights are computed JVM-side; a small Python function sums
+    colliding slots and builds the vector object (no shuffle).
     """
-    entries = sparse_terms(features, n_features, **probes)
-    return features.select(*keep, _to_sparse(n_features)(entries).alias("features"))
+    idx, weight = term_arrays(features, n_features, **probes)
+    return features.select(*keep, _to_sparse(n_features)(idx, weight).alias("features"))
 
 
 def vector_long(features: DataFrame, n_features: int = N_FEATURES, **probes) -> DataFrame:
-    """Sparse vectors in long form (id, idx, value), no shuffle."""
-    entries = sparse_terms(features, n_features, **probes)
-    return features.select(F.col("id"), F.explode(entries).alias("e")) \
-        .select("id", F.col("e.idx").alias("idx"), F.col("e.weight").alias("value"))
+    """Sparse vectors in long form (id, idx, value), collisions summed.
+
+    All terms of a patient sit in one input row, so the partial aggregate
+    merges them before the shuffle.
+    """
+    return hashed_terms(features, n_features, **probes) \
+        .groupBy("id", "idx").agg(F.sum("weight").alias("value"))

@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimlens.operators.common import broadcast_checked
+
 N_CODES = 130
 N_INPATIENT_CODES = 100
 
@@ -41,10 +43,10 @@ def _charge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     reg = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     # nation and region have a fixed size (25 and 5 rows): safe to broadcast.
-    # supplier grows with the data, so its strategy is left to the planner.
+    # supplier grows with the data: broadcast only after its rows are counted.
     dims = sup.join(F.broadcast(nat), sup.s_nationkey == nat.n_nationkey) \
               .join(F.broadcast(reg), nat.n_regionkey == reg.r_regionkey)
-    rows = li.join(dims, li.l_suppkey == dims.s_suppkey)
+    rows = li.join(broadcast_checked(dims), li.l_suppkey == dims.s_suppkey)
     k = F.col("l_partkey") % N_CODES
     state = F.upper(F.substring("r_name", 1, 2))
     return rows.select(
