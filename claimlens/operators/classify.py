@@ -18,7 +18,8 @@ L1_REG = 3e-5
 
 
 def fit_l1_logistic(training: DataFrame, reg: float = L1_REG, max_iter: int = 100,
-                    label_col: str = "review", features_col: str = "features") -> LogisticRegressionModel:
+                    label_col: str = "review", features_col: str = "features",
+                    rows_per_partition: int = 100_000) -> LogisticRegressionModel:
     """Binomial logistic regression with a pure L1 penalty ``reg``.
 
     No separate intercept and no standardization: the bias is one of the
@@ -27,9 +28,15 @@ def fit_l1_logistic(training: DataFrame, reg: float = L1_REG, max_iter: int = 10
     lr = LogisticRegression(featuresCol=features_col, labelCol=label_col,
                             family="binomial", elasticNetParam=1.0, regParam=reg,
                             fitIntercept=False, standardization=False, maxIter=max_iter)
-    # Every solver iteration re-reads the input: keep it in memory (blocks
-    # lost with an executor are recomputed from lineage).
-    data = training.select(F.col(label_col).cast("double").alias(label_col), features_col).persist()
+    # Every solver iteration is one distributed pass over the input: keep it
+    # in memory (blocks lost with an executor are recomputed from lineage),
+    # in partitions of about ``rows_per_partition`` rows, so a small training
+    # set does not pay many tiny tasks per iteration and a large one keeps
+    # its parallelism.
+    data = training.select(F.col(label_col).cast("double").alias(label_col), features_col)
+    rows = data.count()
+    parts = max(1, min(data.rdd.getNumPartitions(), -(-rows // rows_per_partition)))
+    data = data.coalesce(parts).persist()
     try:
         return lr.fit(data)
     finally:

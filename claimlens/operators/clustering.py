@@ -33,25 +33,31 @@ def cosine_assign(points: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
     clusters 0..k-1. distance = 1 - dot / (|p| |c|); a zero vector has
     distance NULL to everything and takes cluster 0. Ties go to the lower
     cluster number. Output: id, cluster, distance.
+
+    Plan: the centroids are pivoted to one row per slot with k value
+    columns (at most n_features rows: broadcast); each point's norm and its
+    k dot products come from one aggregate by ``id``. Points arriving
+    partitioned by ``id`` (``features.vector_long``) need no further shuffle.
     """
-    cents = centroids.select("cluster", "idx", F.col("value").alias("cv"))
-    cnorm = norms(centroids.withColumnRenamed("cluster", "c"), "c") \
-        .withColumnRenamed("c", "cluster").withColumnRenamed("norm", "cnorm")
-    # Centroids: <= k * n_features rows by construction -> broadcast.
-    dots = points.join(F.broadcast(cents), "idx") \
-        .groupBy("id", "cluster").agg(F.sum(F.col("value") * F.col("cv")).alias("dot"))
-    # Every (point, cluster) pair, generated per point (no join): clusters
-    # sharing no slot with the point have dot 0.
-    pairs = norms(points).withColumn("cluster", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-    dist = pairs.join(dots, ["id", "cluster"], "left") \
-        .join(F.broadcast(cnorm), "cluster", "left") \
-        .select("id", "cluster",
-                (F.lit(1.0) - safe_div(F.coalesce("dot", F.lit(0.0)),
-                                       F.col("norm") * F.col("cnorm"))).alias("distance"))
-    best = dist.groupBy("id").agg(F.min_by(F.struct("cluster", "distance"), F.struct(
-        F.col("distance").isNull().alias("n"), F.col("distance").alias("d"),
-        F.col("cluster").alias("c"))).alias("b"))
-    return best.select("id", F.col("b.cluster").alias("cluster"), F.col("b.distance").alias("distance"))
+    cols = [f"c{c}" for c in range(k)]
+    wide = centroids.groupBy("idx").pivot("cluster", list(range(k))).agg(F.sum("value"))
+    wide = wide.select("idx", *[F.col(str(c)).alias(name) for c, name in zip(range(k), cols)])
+    # The k centroid norms: k numbers, computed once on the driver.
+    cn = {r.cluster: r.norm for r in norms(centroids, "cluster").collect()}
+    per_point = points.join(F.broadcast(wide), "idx", "left").groupBy("id").agg(
+        F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"),
+        *[F.sum(F.col("value") * F.coalesce(F.col(name), F.lit(0.0))).alias(f"dot{c}")
+          for c, name in enumerate(cols)])
+    candidates = []
+    for c in range(k):
+        norm_c = cn.get(c)
+        d = (F.lit(1.0) - safe_div(F.col(f"dot{c}"), F.col("norm") * F.lit(norm_c))) \
+            if norm_c else F.lit(None).cast("double")
+        candidates.append(F.struct(d.isNull().alias("missing"), d.alias("distance"),
+                                   F.lit(c).alias("cluster")))
+    best = F.array_min(F.array(*candidates))
+    return per_point.select("id", best["cluster"].alias("cluster"),
+                            best["distance"].alias("distance"))
 
 
 def cosine_update(points: DataFrame, assignment: DataFrame) -> DataFrame:

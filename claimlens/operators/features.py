@@ -200,8 +200,10 @@ def hash_features(features: DataFrame, n_features: int = N_FEATURES,
 def vector_long(features: DataFrame, n_features: int = N_FEATURES, **probes) -> DataFrame:
     """Sparse vectors in long form (id, idx, value), collisions summed.
 
-    All terms of a patient sit in one input row, so the partial aggregate
-    merges them before the shuffle.
+    The terms are hash-partitioned by ``id`` once; the merge by (id, idx)
+    and any later per-point aggregate (norms, dot products) then run in the
+    same partitions without another shuffle. A patient has at most
+    (codes x probes + 6) terms, so no partition holds an unbounded group.
     """
-    return hashed_terms(features, n_features, **probes) \
+    return hashed_terms(features, n_features, **probes).repartition("id") \
         .groupBy("id", "idx").agg(F.sum("weight").alias("value"))

@@ -26,8 +26,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.operators.common import broadcast_checked
-
 N_CODES = 130
 N_INPATIENT_CODES = 100
 
@@ -36,6 +34,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+MAX_BROADCAST_ROWS = 2_000_000
+_SMALL: dict[tuple[str, str], bool] = {}
+
+
+def _small(spark: SparkSession, sf_dir: str, name: str) -> bool:
+    """Whether a driver table has at most MAX_BROADCAST_ROWS rows (counted
+    once per data dir)."""
+    key = (sf_dir, name)
+    if key not in _SMALL:
+        _SMALL[key] = table(spark, sf_dir, name).count() <= MAX_BROADCAST_ROWS
+    return _SMALL[key]
+
+
 def _charge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")
@@ -43,10 +54,13 @@ def _charge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     reg = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     # nation and region have a fixed size (25 and 5 rows): safe to broadcast.
-    # supplier grows with the data: broadcast only after its rows are counted.
+    # supplier grows with the data: its dimension is broadcast only when the
+    # supplier row count (which bounds this inner join) is within the bound.
     dims = sup.join(F.broadcast(nat), sup.s_nationkey == nat.n_nationkey) \
               .join(F.broadcast(reg), nat.n_regionkey == reg.r_regionkey)
-    rows = li.join(broadcast_checked(dims), li.l_suppkey == dims.s_suppkey)
+    if _small(spark, sf_dir, "supplier"):
+        dims = F.broadcast(dims)
+    rows = li.join(dims, li.l_suppkey == dims.s_suppkey)
     k = F.col("l_partkey") % N_CODES
     state = F.upper(F.substring("r_name", 1, 2))
     return rows.select(

@@ -25,10 +25,12 @@ def write_partitioned(df: DataFrame, path: str, cols: Sequence[str] = ("cluster"
                       mode: str = "overwrite") -> None:
     """One directory per value combination, ``cluster=<c>/label=<l>/``.
 
-    Rows are first clustered by the partition columns so each task writes
-    few files; empty combinations get no directory.
+    No shuffle: each task sorts its own rows by the partition columns and
+    writes at most one file per combination it holds, so a combination
+    holding most rows is still written by every task in parallel. Empty
+    combinations get no directory.
     """
-    df.repartition(*cols).write.mode(mode).partitionBy(*cols).parquet(path)
+    df.write.mode(mode).partitionBy(*cols).parquet(path)
 
 
 def write_ranked_list(df: DataFrame, path: str, column: str, rank: str = "rank") -> None:
