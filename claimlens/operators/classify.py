@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.operators.common import ranked_top
+from claimlens.operators.common import ranked_top, ranked_top_large
 
 L1_REG = 3e-5
 
@@ -100,8 +100,9 @@ def top_by_abs(df: DataFrame, value: str, key: str, n: int = 10) -> DataFrame:
 def suspicious_patients(scored: DataFrame, n: int = 10_000) -> DataFrame:
     """The ``n`` patients predicted suspicious with the highest score.
 
-    Output: rank, patient_id, score.
+    Output: rank, patient_id, score. The candidates are cut by a score
+    threshold before the final top-n (``ranked_top_large``).
     """
     flagged = scored.where(F.col("review") == 1)
-    return ranked_top(flagged, n, [F.col("score").desc(), F.col("patient_id").asc()]) \
+    return ranked_top_large(flagged, n, "score", "patient_id", "desc") \
         .select("rank", "patient_id", "score")

@@ -31,6 +31,33 @@ def ranked_top(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
+def ranked_top_large(df: DataFrame, n: int, value: str, tiebreak: str,
+                     direction: str = "desc") -> DataFrame:
+    """``ranked_top`` for a large ``n`` over a numeric ``value``.
+
+    A plain top-n sends ``n`` rows per input partition to one final task.
+    Here one pass takes approximate quantiles of ``value`` at a ladder of
+    levels just beyond ``n/total``, a second counts rows beyond each, and
+    only rows beyond the tightest threshold that still holds ``n`` rows
+    (about ``1.2 n``) enter the exact top-n. Exact result, order
+    ``value`` (``direction``, NULLs last) then ``tiebreak`` ascending.
+    """
+    desc = direction == "desc"
+    v = F.col(value)
+    order = [v.desc_nulls_last() if desc else v.asc_nulls_last(), F.col(tiebreak).asc_nulls_last()]
+    stats = df.agg(F.count(v).alias("total")).first()
+    total = stats["total"]
+    if total <= 4 * n:
+        return ranked_top(df, n, order)
+    levels = [min(1.0, n * f / total) for f in (1.02, 1.2, 1.5, 2.0, 4.0)]
+    qs = [1.0 - x for x in levels] if desc else levels
+    cuts = df.agg(F.percentile_approx(v, qs, 10_000).alias("q")).first()["q"]
+    beyond = [(v >= F.lit(c)) if desc else (v <= F.lit(c)) for c in cuts]
+    counts = df.agg(*[F.count_if(b).alias(f"n{i}") for i, b in enumerate(beyond)]).first()
+    keep = next((beyond[i] for i in range(len(cuts)) if counts[f"n{i}"] >= n), None)
+    return ranked_top(df.where(keep) if keep is not None else df, n, order)
+
+
 def materialize(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back."""
     spark = spark or df.sparkSession

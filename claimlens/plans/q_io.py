@@ -86,3 +86,16 @@ def q_top_by_abs(spark, sf_dir):
     c = si.table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     return rounded(cl.top_by_abs(c, "c_acctbal", "c_custkey", 10)
                    .select("rank", "c_custkey", "c_acctbal"))
+
+
+@register("claims_stream_ingest",
+          W(si.CLAIM_SQL) + "\nSELECT date, patient_id, claim_id FROM patientclaim")
+def q_claims_stream_ingest(spark, sf_dir):
+    """A1 A2 via Structured Streaming: claim files ingested incrementally
+    (available-now trigger, checkpointed) into a Parquet table."""
+    from claimlens import streaming
+    src = scratch_path(spark, "claims-landing")
+    sinks.write_control_delimited(si.claim_feed(spark, sf_dir), src)
+    out = scratch_path(spark, "claims-ingested")
+    streaming.ingest(streaming.stream_claims(spark, src), out).awaitTermination()
+    return spark.read.parquet(out)

@@ -39,8 +39,15 @@ def read_control_delimited(spark: SparkSession, path: str | list[str],
     ``malformed_col`` (if named) flags records whose field count differs.
     Records that are blank (e.g. a newline after the last separator) drop.
     """
-    names = _names(schema)
     raw = spark.read.option("lineSep", record_sep).text(path)
+    return parse_control_delimited(raw, schema, field_sep, malformed_col)
+
+
+def parse_control_delimited(raw: DataFrame, schema: T.StructType | list[str] = schemas.PATIENT_CLAIM,
+                            field_sep: str = FIELD_SEPARATOR,
+                            malformed_col: str | None = None) -> DataFrame:
+    """A2: records (``value`` column, batch or stream) -> named fields."""
+    names = _names(schema)
     raw = raw.where(F.regexp_replace("value", r"[\r\n]", "") != "")
     parts = F.split(F.col("value"), _regex_literal(field_sep), -1)
     cols = [F.try_element_at(parts, F.lit(i + 1)).alias(n) for i, n in enumerate(names)]
@@ -68,7 +75,12 @@ def read_tagged_blocks(spark: SparkSession, path: str | list[str],
     split runs on to finish its last block); text before a block's first
     ``start`` tag, and a tail with no ``start`` tag, are dropped.
     """
-    raw = spark.read.option("lineSep", end).text(path)
+    return blocks_of(spark.read.option("lineSep", end).text(path), start, end)
+
+
+def blocks_of(raw: DataFrame, start: str = PATIENT_BLOCK_START,
+              end: str = PATIENT_BLOCK_END) -> DataFrame:
+    """A3 on text cut at ``end`` tags (batch or stream): the blocks."""
     pos = F.instr(F.col("value"), start)
     return raw.where(pos > 0).select(
         F.concat(F.expr(f"substr(value, instr(value, {_sql_str(start)}))"), F.lit(end))

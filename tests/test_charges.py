@@ -122,3 +122,16 @@ def test_ranked_curve_positions(spark):
     assert [r.value for r in out] == [v for _, v in want]
     assert [r.label for r in out[:3]] == [k for k, _ in want[:3]]
     assert all(r.label is None for r in out[3:])
+
+
+def test_ranked_top_large_is_exact(spark):
+    import random
+    from claimlens.operators.common import ranked_top_large
+    rnd = random.Random(5)
+    rows = [(f"p{i:05d}", round(rnd.random(), 3)) for i in range(20000)]
+    df = spark.createDataFrame(rows, "patient_id string, score double").repartition(6)
+    for n in (10, 1000):
+        got = [(r.patient_id, r.score) for r in
+               ranked_top_large(df, n, "score", "patient_id").orderBy("rank").collect()]
+        want = sorted(rows, key=lambda t: (-t[1], t[0]))[:n]
+        assert got == want
