@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.operators.common import ranked_top, ranked_top_large
+from claimlens.operators.common import iteration_input, ranked_top, ranked_top_large
 
 L1_REG = 3e-5
 
@@ -28,15 +28,9 @@ def fit_l1_logistic(training: DataFrame, reg: float = L1_REG, max_iter: int = 10
     lr = LogisticRegression(featuresCol=features_col, labelCol=label_col,
                             family="binomial", elasticNetParam=1.0, regParam=reg,
                             fitIntercept=False, standardization=False, maxIter=max_iter)
-    # Every solver iteration is one distributed pass over the input: keep it
-    # in memory (blocks lost with an executor are recomputed from lineage),
-    # in partitions of about ``rows_per_partition`` rows, so a small training
-    # set does not pay many tiny tasks per iteration and a large one keeps
-    # its parallelism.
-    data = training.select(F.col(label_col).cast("double").alias(label_col), features_col)
-    rows = data.count()
-    parts = max(1, min(data.rdd.getNumPartitions(), -(-rows // rows_per_partition)))
-    data = data.coalesce(parts).persist()
+    data = iteration_input(
+        training.select(F.col(label_col).cast("double").alias(label_col), features_col),
+        rows_per_partition)
     try:
         return lr.fit(data)
     finally:

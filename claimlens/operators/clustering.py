@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions import safe_div
+from claimlens.operators.common import iteration_input
 
 
 def embedding_long(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -82,11 +83,16 @@ def seed_centroids(points: DataFrame, seeds: DataFrame) -> DataFrame:
 
 
 def fit_cosine_kmeans(vectors: DataFrame, k: int = 2, max_iter: int = 10, tol: float = 1e-3,
-                      seed: int = 42, features_col: str = "features") -> KMeansModel:
+                      seed: int = 42, features_col: str = "features",
+                      rows_per_partition: int = 100_000) -> KMeansModel:
     """MLlib k-means with cosine distance, random seeded start."""
     km = KMeans(k=k, maxIter=max_iter, tol=tol, seed=seed, initMode="random",
                 distanceMeasure="cosine", featuresCol=features_col, predictionCol="cluster")
-    return km.fit(vectors)
+    data = iteration_input(vectors.select(features_col), rows_per_partition)
+    try:
+        return km.fit(data)
+    finally:
+        data.unpersist()
 
 
 def centroids_long(model: KMeansModel, spark: SparkSession) -> DataFrame:

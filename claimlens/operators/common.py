@@ -90,6 +90,20 @@ def broadcast_checked(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def iteration_input(df: DataFrame, rows_per_partition: int = 100_000) -> DataFrame:
+    """Prepare the input of an iterative fit: persisted, in partitions of
+    about ``rows_per_partition`` rows (never more partitions than now).
+
+    Each iteration is one distributed pass; a small input should not pay
+    many tiny tasks per pass, a large one keeps its parallelism. Persisted
+    blocks lost with an executor are recomputed from lineage. The caller
+    unpersists after the fit.
+    """
+    rows = df.count()
+    parts = max(1, min(df.rdd.getNumPartitions(), -(-rows // rows_per_partition)))
+    return df.coalesce(parts).persist()
+
+
 def global_rank(df: DataFrame, order: Sequence[Column], name: str = "position",
                 partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1..N in ``order`` (which must be a total order).

@@ -20,7 +20,7 @@ from claimlens.operators import features as fe
 from claimlens.operators import sampling as sa
 from claimlens.operators.common import materialize
 from claimlens.session import scratch_path
-from claimlens.sinks import write_partitioned
+from claimlens.sinks import write_partitioned, write_scores, write_vectors
 from claimlens.sources import read_partition
 
 
@@ -66,7 +66,9 @@ def cluster_patients(sample: DataFrame, cfg: Part3Config) -> tuple[DataFrame, ob
     cluster, label (review flag) and distance. Output: patient_id, cluster,
     label, distance."""
     spark = sample.sparkSession
-    vectors = materialize(fe.hash_features(sample, **_hash_kw(cfg)), "clustering-vectors")
+    path = scratch_path(spark, "clustering-vectors")
+    write_vectors(fe.hash_features(sample, **_hash_kw(cfg)), path)          # B7
+    vectors = spark.read.parquet(path)
     model = ck.fit_cosine_kmeans(vectors, cfg.k, cfg.max_iter, cfg.tol, cfg.seed)
     points = fe.vector_long(sample, **_hash_kw(cfg))
     assigned = ck.cosine_assign(points, ck.centroids_long(model, spark), cfg.k)
@@ -100,10 +102,8 @@ def run_part3(patient: DataFrame, claims: DataFrame, charges: DataFrame, review:
                         cfg.training_sample, cfg.seed), "patienttraining")
     scoring = sa.scoring_set(features, _pruned(spark, path, negative), negative)
 
+    scored, model = classify(training, scoring, cfg)
     train_vec = fe.hash_features(training, **_hash_kw(cfg))
-    model = cl.fit_l1_logistic(train_vec, cfg.reg)
-    scored = materialize(cl.score(model, fe.hash_features(scoring, **_hash_kw(cfg))),
-                         "classifiedclaims")
     dictionary = fe.feature_dictionary(training, **_hash_kw(cfg))
     return Part3Result(
         features=features, clustered=clustered, crosstab=table, negative=negative,
@@ -114,6 +114,20 @@ def run_part3(patient: DataFrame, claims: DataFrame, charges: DataFrame, review:
         extra={"model": model})
 
 
+def classify(training: DataFrame, scoring: DataFrame, cfg: Part3Config | None = None):
+    """Hash both sets, fit the L1 logistic model on the
+    training set, score the scoring set and store the scores.
+
+    Returns (scored DataFrame: patient_id, review, score, p1; the model).
+    """
+    cfg = cfg or Part3Config()
+    spark = training.sparkSession
+    model = cl.fit_l1_logistic(fe.hash_features(training, **_hash_kw(cfg)), cfg.reg)
+    path = scratch_path(spark, "classifiedclaims")
+    write_scores(cl.score(model, fe.hash_features(scoring, **_hash_kw(cfg))), path)  # B6
+    return spark.read.parquet(path), model
+
+
 def _pruned(spark, path: str, negative: list[int]) -> DataFrame:
     """Only the ``label=0`` directories of the negative clusters."""
     df = read_partition(spark, path, label=0)

@@ -44,8 +44,9 @@ def write_ranked_list(df: DataFrame, path: str, column: str, rank: str = "rank")
 
 
 def write_scores(df: DataFrame, path: str) -> None:
-    """Scored rows: patient id, predicted class, score."""
-    df.select("patient_id", "review", "score").write.mode("overwrite").parquet(path)
+    """Scored rows: patient id, predicted class, score (and the class-1
+    probability)."""
+    df.select("patient_id", "review", "score", "p1").write.mode("overwrite").parquet(path)
 
 
 def write_vectors(df: DataFrame, path: str, id_col: str = "id",
