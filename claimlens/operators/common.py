@@ -23,12 +23,14 @@ from claimlens.session import scratch_path
 def ranked_top(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     """The first ``n`` rows in ``order`` (a total order), with ``rank`` 1..n.
 
-    Catalyst turns ``row_number() <= n`` into a partial ``WindowGroupLimit``
-    per input partition, so only ``n`` rows per partition reach the final
-    single-partition step.
+    ``orderBy().limit(n)`` plans as ``TakeOrderedAndProject``: each input
+    partition keeps its own top ``n`` and only those reach the final merge;
+    the rank is then numbered over the ``n`` survivors. (A ``row_number()
+    <= n`` filter would get no per-partition limit for ``n`` above the
+    optimizer's window-group-limit threshold.)
     """
-    w = Window.orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    top = df.orderBy(*order).limit(n)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
 def ranked_top_large(df: DataFrame, n: int, value: str, tiebreak: str,

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions import seeded_key
+from claimlens.operators.common import broadcast_checked
 
 _LADDER = 129          # thresholds 2^32 * 2^(-j/4), j = 0..128
 _SPACE = 1 << 32       # the 8-hex-digit hash prefix ranges over [0, 2^32)
@@ -81,7 +82,9 @@ def _negative_ids(clustered: DataFrame, negative: int | list[int] | DataFrame) -
         neg = neg.where(F.col("cluster").isin(list(negative)))
     else:
         neg = neg.where(F.col("cluster") == F.lit(negative))
-    return neg.select(F.col("patient_id").alias("id"))
+    # At most the clustering sample's unflagged points: broadcast after a
+    # row-count check, so the feature table is never shuffled for this.
+    return broadcast_checked(neg.select(F.col("patient_id").alias("id")))
 
 
 def training_set(features: DataFrame, clustered: DataFrame,
