@@ -83,12 +83,17 @@ def seed_centroids(points: DataFrame, seeds: DataFrame) -> DataFrame:
 
 
 def fit_cosine_kmeans(vectors: DataFrame, k: int = 2, max_iter: int = 10, tol: float = 1e-3,
-                      seed: int = 42, features_col: str = "features",
+                      seed: int = 42, features_col: str = "features", id_col: str = "id",
                       rows_per_partition: int = 100_000) -> KMeansModel:
-    """MLlib k-means with cosine distance, random seeded start."""
+    """MLlib k-means with cosine distance, random seeded start.
+
+    The start is drawn from the input's partitions, so the input is laid
+    out by ``id_col`` first: same data and seed, same model, whatever the
+    cluster's parallelism.
+    """
     km = KMeans(k=k, maxIter=max_iter, tol=tol, seed=seed, initMode="random",
                 distanceMeasure="cosine", featuresCol=features_col, predictionCol="cluster")
-    data = iteration_input(vectors.select(features_col), rows_per_partition)
+    data = iteration_input(vectors.select(id_col, features_col), rows_per_partition, id_col)
     try:
         return km.fit(data)
     finally:

@@ -92,18 +92,26 @@ def broadcast_checked(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def iteration_input(df: DataFrame, rows_per_partition: int = 100_000) -> DataFrame:
+def iteration_input(df: DataFrame, rows_per_partition: int = 100_000,
+                    order_col: str | None = None) -> DataFrame:
     """Prepare the input of an iterative fit: persisted, in partitions of
-    about ``rows_per_partition`` rows (never more partitions than now).
+    about ``rows_per_partition`` rows.
 
     Each iteration is one distributed pass; a small input should not pay
-    many tiny tasks per pass, a large one keeps its parallelism. Persisted
-    blocks lost with an executor are recomputed from lineage. The caller
-    unpersists after the fit.
+    many tiny tasks per pass, a large one keeps its parallelism. With
+    ``order_col`` the layout depends on the data only (hash partitions by
+    that column, sorted inside), so a seeded fit that samples partitions
+    repeats on any cluster size; without it the input is coalesced.
+    Persisted blocks lost with an executor are recomputed from lineage.
+    The caller unpersists after the fit.
     """
     rows = df.count()
-    parts = max(1, min(df.rdd.getNumPartitions(), -(-rows // rows_per_partition)))
-    return df.coalesce(parts).persist()
+    parts = max(1, -(-rows // rows_per_partition))
+    if order_col is not None:
+        laid = df.repartition(parts, order_col).sortWithinPartitions(order_col)
+    else:
+        laid = df.coalesce(min(parts, df.rdd.getNumPartitions()))
+    return laid.persist()
 
 
 def global_rank(df: DataFrame, order: Sequence[Column], name: str = "position",
