@@ -34,13 +34,13 @@ def write_partitioned(df: DataFrame, path: str, cols: Sequence[str] = ("cluster"
 
 
 def write_ranked_list(df: DataFrame, path: str, column: str, rank: str = "rank") -> None:
-    """Header-less one-column file, rows in ``rank`` order.
+    """Header-less one-column text file (no quoting), rows in ``rank`` order.
 
     Meant for top-n results (the caller's ``n`` bounds the rows), so one
     sorted output file is written.
     """
-    (df.orderBy(rank).select(F.col(column).cast("string")).coalesce(1)
-       .write.mode("overwrite").option("header", False).csv(path))
+    (df.orderBy(rank).select(F.col(column).cast("string").alias("value")).coalesce(1)
+       .write.mode("overwrite").text(path))
 
 
 def write_scores(df: DataFrame, path: str) -> None:

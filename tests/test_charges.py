@@ -135,3 +135,20 @@ def test_ranked_top_large_is_exact(spark):
                ranked_top_large(df, n, "score", "patient_id").orderBy("rank").collect()]
         want = sorted(rows, key=lambda t: (-t[1], t[0]))[:n]
         assert got == want
+
+
+def test_run_questions_writes_ranked_files(charges_df, spark, tmp_path):
+    from claimlens.plans.questions import run_questions
+    df = charges_df([
+        ("I", "001 - A", "050441", "CA - Santa Cruz", 2.0, 100.0, 10.0),
+        ("I", "001 - A", "000010", "FL - St. Petersburg", 1.0, 50.0, 5.0),
+        ("O", "0604 - B", "000010", "FL - St. Petersburg", 1.0, 70.0, 60.0),
+        ("O", "0604 - B", "050441", "CA - Santa Cruz", 3.0, 20.0, 1.0),
+    ])
+    run_questions(df, str(tmp_path), n=3)
+    lines = {q: [r.value for r in spark.read.text(str(tmp_path / q)).collect()]
+             for q in ("part1a", "part1b", "part1c", "part1d", "part2a", "part2b")}
+    assert lines["part1b"] == ["10", "50441"]           # one win each: smaller id first
+    assert lines["part1c"] == ["Santa Cruz,CA", "St. Petersburg,FL"]
+    assert lines["part1a"][0] in ("001", "0604")
+    assert all(len(v) <= 3 for v in lines.values())
