@@ -99,3 +99,25 @@ def q_claims_stream_ingest(spark, sf_dir):
     out = scratch_path(spark, "claims-ingested")
     streaming.ingest(streaming.stream_claims(spark, src), out).awaitTermination()
     return spark.read.parquet(out)
+
+
+@register("prep_in_out_patient", W(CH) + """
+SELECT type, procedure_id, provider_id, provider_city, provider_state, provider_zipcode,
+       referral_region, round(total_charges, 6) AS total_charges,
+       round(avg_charged_amount, 6) AS avg_charged_amount,
+       round(avg_total_payment, 6) AS avg_total_payment
+FROM charges""")
+def q_prep_in_out_patient(spark, sf_dir):
+    """The prep job: all four feeds (and the review list) written in their
+    raw formats, parsed into typed tables, and the charge table built from
+    the stored inpatient/outpatient tables."""
+    from claimlens.plans.run import FeedPaths, prepare_tables
+    feeds = FeedPaths(*(scratch_path(spark, n) for n in
+                        ("in-csv", "out-csv", "patients-xml", "claims-rsus", "review-txt")))
+    sinks.write_quoted_csv(si.inpatient_feed(spark, sf_dir), feeds.inpatient)
+    sinks.write_quoted_csv(si.outpatient_feed(spark, sf_dir), feeds.outpatient)
+    sinks.write_tagged_xml(si.patient_feed(spark, sf_dir), feeds.patients)
+    sinks.write_control_delimited(si.claim_feed(spark, sf_dir), feeds.claims)
+    sinks.write_id_list(si.review_feed(spark, sf_dir), feeds.review)
+    tables = prepare_tables(spark, feeds, scratch_path(spark, "prep"))
+    return rounded(tables["in_out_patient"])
