@@ -51,9 +51,11 @@ def ranked_top_large(df: DataFrame, n: int, value: str, tiebreak: str,
     total = stats["total"]
     if total <= 4 * n:
         return ranked_top(df, n, order)
-    levels = [min(1.0, n * f / total) for f in (1.02, 1.2, 1.5, 2.0, 4.0)]
+    # Rank error of the sketch is about total/accuracy: keep it near n/20.
+    accuracy = int(min(10_000_000, max(10_000, 20 * total // n)))
+    levels = [min(1.0, n * f / total) for f in (1.02, 1.2, 1.5, 2.0, 4.0, 8.0, 16.0)]
     qs = [1.0 - x for x in levels] if desc else levels
-    cuts = df.agg(F.percentile_approx(v, qs, 10_000).alias("q")).first()["q"]
+    cuts = df.agg(F.percentile_approx(v, qs, accuracy).alias("q")).first()["q"]
     beyond = [(v >= F.lit(c)) if desc else (v <= F.lit(c)) for c in cuts]
     counts = df.agg(*[F.count_if(b).alias(f"n{i}") for i, b in enumerate(beyond)]).first()
     keep = next((beyond[i] for i in range(len(cuts)) if counts[f"n{i}"] >= n), None)
