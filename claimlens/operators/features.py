@@ -96,13 +96,6 @@ def features_as_text(features: DataFrame) -> DataFrame:
 
 # ---- J2: feature hashing ----------------------------------------------------
 
-TERM = T.StructType([
-    T.StructField("feature", T.StringType()),
-    T.StructField("probe", T.IntegerType()),
-    T.StructField("weight", T.DoubleType()),
-])
-
-
 def slot(name: Column, probe: Column, n_features: int = N_FEATURES) -> Column:
     """Vector slot of ``(feature name, probe)``: md5 of ``name#probe``,
     first 8 hex digits as a number, modulo ``n_features``."""

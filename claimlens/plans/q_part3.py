@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.functions import claims_text, decode_claims
+from claimlens.functions import decode_claims
 from claimlens.operators import classify as cl
 from claimlens.operators import clustering as ck
 from claimlens.operators import features as fe

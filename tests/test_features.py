@@ -2,10 +2,8 @@
 
 import hashlib
 
-from pyspark.sql import functions as F
-
 from claimlens import schemas
-from claimlens.functions import claims_text, decode_claims
+from claimlens.functions import decode_claims
 from claimlens.operators import features as fe
 
 

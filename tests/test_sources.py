@@ -2,8 +2,6 @@
 
 import gzip
 
-from pyspark.sql import functions as F
-
 from claimlens import schemas, sinks, sources
 
 

@@ -14,8 +14,6 @@ import sys
 
 sys.path.insert(0, ".")
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from claimlens.operators import charges as ch  # noqa: E402
 from claimlens.operators import classify as cl  # noqa: E402
 from claimlens.operators import clustering as ck  # noqa: E402
