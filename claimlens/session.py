@@ -12,25 +12,33 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                app_name: str = "claimlens", driver_memory: str = "8g") -> SparkSession:
-    """Session tuned for local runs; on a cluster pass the cluster's master.
+def get_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
+                app_name: str = "claimlens", driver_memory: str | None = "8g",
+                advisory_partition_bytes: str = "128m") -> SparkSession:
+    """Session for local runs, or (``master=None``) for spark-submit on a
+    cluster, where the submit command's master and memory settings apply.
 
-    AQE stays on so shuffle partitions coalesce at runtime and skewed join
-    partitions are split; the UI stays off (no server is opened).
+    AQE stays on: shuffle partitions start at ``shuffle_partitions`` (on a
+    cluster, size it to the largest shuffle / ``advisory_partition_bytes``)
+    and are coalesced at runtime; skewed join partitions are split. The UI
+    stays off (no server is opened).
     """
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
+    if driver_memory is not None and master is not None and master.startswith("local"):
+        builder = builder.config("spark.driver.memory", driver_memory)
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory_partition_bytes)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", driver_memory)
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
