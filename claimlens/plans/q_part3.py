@@ -48,7 +48,7 @@ def _step_clusters(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     seeded starting points, one cosine assignment. (patient_id, cluster,
     label, distance)."""
     feats = materialize(features_of(spark, sf_dir), "features")
-    sample = sa.clustering_sample(feats, CLUSTER_N, SEED)
+    sample = materialize(sa.clustering_sample(feats, CLUSTER_N, SEED), "sample")
     points = fe.vector_long(sample)
     seeds = sa.seed_points(sample, K, SEED)
     assigned = ck.cosine_assign(points, ck.seed_centroids(points, seeds), K)
@@ -405,3 +405,21 @@ def q_model_quality(spark, sf_dir):
 def q_suspicious_patients(spark, sf_dir):
     """J12 + G2: top 10,000 scores among patients predicted suspicious."""
     return rounded(pipeline_of(spark, sf_dir).suspicious)
+
+
+@register("patient_kmeans_step_update", W(*BASE, *_PATIENT_STEP_SQL, """
+  members AS (SELECT a.id, a.cluster, n.norm FROM assign a JOIN pnorm n ON n.id = a.id
+              WHERE n.norm > 0),
+  sizes AS (SELECT cluster, count(*) AS size FROM members GROUP BY cluster)""") + """
+SELECT m.cluster, p.idx, round(sum(p.value / m.norm) / any_value(s.size), 6) AS value
+FROM svec p JOIN members m ON m.id = p.id JOIN sizes s ON s.cluster = m.cluster
+GROUP BY m.cluster, p.idx""")
+def q_patient_kmeans_step_update(spark, sf_dir):
+    """One centroid update on the patients' hashed vectors after the seeded
+    cosine assignment (mean unit vector per cluster and slot)."""
+    feats = materialize(features_of(spark, sf_dir), "features")
+    sample = materialize(sa.clustering_sample(feats, CLUSTER_N, SEED), "sample")
+    points = fe.vector_long(sample)
+    seeds = sa.seed_points(sample, K, SEED)
+    assign = ck.cosine_assign(points, ck.seed_centroids(points, seeds), K)
+    return rounded(ck.cosine_update(points, assign))
