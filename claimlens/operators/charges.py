@@ -208,15 +208,19 @@ def dispersion_stats(charges: DataFrame, keys: list[str], ddof: int = 1) -> Data
     )
 
 
-def ranked_curve(df: DataFrame, key: str, value: str, n_labels: int) -> DataFrame:
+def ranked_curve(df: DataFrame, key: str, value: str, n_labels: int,
+                 tiebreak: tuple[str, ...] = ()) -> DataFrame:
     """every group's position in descending ``value`` order, its value,
     and its key as a label for the first ``n_labels`` positions only.
 
-    Positions come from ``global_rank`` (range partitions + offsets), so no
-    single task has to sort every group.
+    ``tiebreak`` names further columns that make the order total when
+    ``key`` alone is not unique (e.g. provider and type). Positions come
+    from ``global_rank`` (range partitions + offsets), so no single task
+    has to sort every group.
     """
-    order = [F.col(value).desc_nulls_last(), F.col(key).asc_nulls_last()]
-    ranked = global_rank(df.select(key, value), order, "position")
+    order = [F.col(value).desc_nulls_last(), F.col(key).asc_nulls_last()] \
+        + [F.col(c).asc_nulls_last() for c in tiebreak]
+    ranked = global_rank(df.select(key, value, *tiebreak), order, "position")
     return ranked.select(
         "position", F.col(value).alias("value"),
         F.when(F.col("position") <= n_labels, F.col(key).cast("string")).alias("label"))

@@ -238,5 +238,37 @@ def q_ranked_curve_regions(spark, sf_dir):
     return rounded(ch.ranked_curve(wins, "referral_region", "cnt", 3))
 
 
+@register("ranked_curve_provider_dispersion", W(CH, _z_sql("stddev_samp"), """
+  g AS (SELECT TRY_CAST(trim(provider_text) AS INTEGER) AS provider_id, type,
+               stddev_samp(z) AS sd_z FROM z GROUP BY 1, 2),
+  curve AS (SELECT provider_id AS key, sd_z AS value,
+                   row_number() OVER (ORDER BY sd_z DESC NULLS LAST, provider_id ASC NULLS LAST,
+                                      type ASC NULLS LAST) AS position
+            FROM g)""") + """
+SELECT position, round(value, 6) AS value,
+       CASE WHEN position <= 3 THEN CAST(key AS VARCHAR) END AS label
+FROM curve""")
+def q_ranked_curve_provider_dispersion(spark, sf_dir):
+    """F5 over every (provider, type): sample sd of z-scores; 3 labels."""
+    stats = ch.dispersion_stats(charges_of(spark, sf_dir), ["provider_id", "type"], 1)
+    return rounded(ch.ranked_curve(stats, "provider_id", "sd_z", 3, ("type",)))
+
+
+@register("ranked_curve_region_dispersion", W(CH, _z_sql("stddev_samp"), """
+  g AS (SELECT referral_region, type, var_samp(z) AS var_z FROM z GROUP BY 1, 2),
+  curve AS (SELECT referral_region AS key, var_z AS value,
+                   row_number() OVER (ORDER BY var_z DESC NULLS LAST,
+                                      referral_region ASC NULLS LAST, type ASC NULLS LAST)
+                     AS position
+            FROM g)""") + """
+SELECT position, round(value, 6) AS value,
+       CASE WHEN position <= 3 THEN CAST(key AS VARCHAR) END AS label
+FROM curve""")
+def q_ranked_curve_region_dispersion(spark, sf_dir):
+    """F5 over every (region, type): sample variance of z-scores; 3 labels."""
+    stats = ch.dispersion_stats(charges_of(spark, sf_dir), ["referral_region", "type"], 1)
+    return rounded(ch.ranked_curve(stats, "referral_region", "var_z", 3, ("type",)))
+
+
 # Query modules register themselves on import.
 from claimlens.plans import q_io, q_part3  # noqa: E402,F401
