@@ -112,7 +112,7 @@ def iteration_input(df: DataFrame, rows_per_partition: int = 100_000,
     if order_col is not None:
         laid = df.repartition(parts, order_col).sortWithinPartitions(order_col)
     else:
-        laid = df.coalesce(min(parts, df.rdd.getNumPartitions()))
+        laid = df.coalesce(parts)   # never increases the partition count
     return laid.persist()
 
 

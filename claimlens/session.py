@@ -51,15 +51,22 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session; only when it is unset (as in tests) is a private
     folder under the system temp dir created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if conf_dir:
+        return conf_dir
+    try:  # a classic session may have had setCheckpointDir called directly
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # e.g. a Spark Connect session: no SparkContext
+        current = None
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="claimlens-ckpt-")
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir()
+    conf_dir = tempfile.mkdtemp(prefix="claimlens-ckpt-")
+    spark.conf.set("spark.checkpoint.dir", conf_dir)
+    try:
+        spark.sparkContext.setCheckpointDir(conf_dir)
+    except Exception:
+        pass
+    return conf_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
