@@ -2,9 +2,9 @@
 
 Points are kept in long form ``(id, idx, value)``. Centroids are at most
 ``k x n_features`` rows (a bound fixed by the parameters, not by the data),
-so they are broadcast; the distance of every point to every centroid is one
-broadcast join and one map-side-combined aggregate. The fit itself is
-MLlib's distributed ``KMeans`` with the cosine measure.
+so they are broadcast, pivoted to one row per slot; a point's norm and its
+distance to every centroid then come from one aggregate by point id. The
+fit itself is MLlib's distributed ``KMeans`` with the cosine measure.
 """
 
 from __future__ import annotations

@@ -1,7 +1,9 @@
 """Plan-shape helpers shared by the operators.
 
-* ``ranked_top``   - top ``n`` with a rank column: per-partition
-  ``WindowGroupLimit`` before one small single-partition step.
+* ``ranked_top``   - top ``n`` with a rank column (``TakeOrderedAndProject``:
+  each partition keeps its own top ``n`` before one small merge);
+  ``ranked_top_large`` first cuts the input at a score threshold.
+* ``iteration_input`` - persisted, sized input for iterative MLlib fits.
 * ``materialize``  - write a DataFrame as Parquet in the shared checkpoint
   folder and read it back: lineage cut, durable if executors are lost.
 * ``join_small``   - broadcast a side only after its row count is checked;

@@ -10,8 +10,8 @@ multiplicities, unless ``dedupe=True``.
 Hashing is row-local: each patient row becomes arrays of term slots and
 weights (md5 in the JVM), and one small Python helper sums colliding slots
 into a SparseVector, so building vectors needs no shuffle. The long form
-(one row per patient and slot) sums collisions with a map-side-combined
-aggregate; it feeds the cosine assignment and inspection.
+(one row per patient and slot) is partitioned by patient once and sums
+collisions there; it feeds the cosine assignment and inspection.
 """
 
 from __future__ import annotations
