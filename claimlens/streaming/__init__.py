@@ -50,3 +50,25 @@ def ingest(stream: DataFrame, out_path: str, checkpoint: str | None = None,
     writer = writer.trigger(availableNow=True) if available_now \
         else writer.trigger(processingTime="1 minute")
     return writer.start(out_path)
+
+
+def stream_quoted_csv(spark: SparkSession, path: str, schema, header: bool = True,
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """A5 as a stream: new quoted CSV files (multi-line fields, gzip)."""
+    reader = (spark.readStream.schema(schema).option("header", header)
+              .option("multiLine", True).option("quote", '"').option("escape", '"'))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.csv(path)
+
+
+def stream_charges(spark: SparkSession, inpatient_path: str, outpatient_path: str,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """The typed charge table over newly landed inpatient/outpatient files:
+    the batch ``charge_table`` applied to the union of two file streams."""
+    from claimlens.operators.charges import charge_table
+    return charge_table(
+        stream_quoted_csv(spark, inpatient_path, schemas.INPATIENT,
+                          max_files_per_trigger=max_files_per_trigger),
+        stream_quoted_csv(spark, outpatient_path, schemas.OUTPATIENT,
+                          max_files_per_trigger=max_files_per_trigger))

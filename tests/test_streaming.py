@@ -23,3 +23,22 @@ def test_patients_stream(spark, tmp_path):
                      str(tmp_path / "ck")).awaitTermination()
     r = spark.read.parquet(out).first()
     assert (r.id, r.gender, r.age) == ("9", "F", "")
+
+
+def test_charges_stream(spark, tmp_path):
+    import gzip
+
+    from claimlens import schemas
+    ind, outd = tmp_path / "in", tmp_path / "out"
+    ind.mkdir()
+    outd.mkdir()
+    head_i = ",".join(schemas.INPATIENT.fieldNames())
+    head_o = ",".join(schemas.OUTPATIENT.fieldNames())
+    with gzip.open(ind / "a.csv.gz", "wt") as f:
+        f.write(head_i + '\n"039 - X","010001","A","B","C","AL","1","AL - D","91","32963.07","5777.24"\n')
+    (outd / "b.csv").write_text(head_o + '\n"0604 - Y","10","A","B","C","AL","1","AL - D","2","n/a","1"\n')
+    res = str(tmp_path / "charges")
+    streaming.ingest(streaming.stream_charges(spark, str(ind), str(outd)), res,
+                     str(tmp_path / "ck")).awaitTermination()
+    rows = {r.type: r for r in spark.read.parquet(res).collect()}
+    assert rows["I"].avg_charged_amount == 32963.07 and rows["O"].avg_charged_amount is None
