@@ -99,3 +99,37 @@ def test_most_top_regions(charges_df, rows):
     flip = lambda s: f"{s[5:]},{s[:2]}"
     got = [(r.region, r.cnt) for r in ch.most_top_regions(df, 3).orderBy("rank").collect()]
     assert got == [(flip(reg), c) for reg, c in want]
+
+
+@SETTINGS
+@given(ids=st.lists(st.text("abc0123", min_size=1, max_size=4), min_size=1, max_size=60, unique=True),
+       n=st.integers(1, 70), seed=st.integers(0, 3))
+def test_seeded_sample_brute_force(spark, ids, n, seed):
+    import hashlib
+
+    from claimlens.operators import sampling as sa
+    df = spark.createDataFrame([(i,) for i in ids], "id string").repartition(3)
+    got = sorted(r.id for r in sa.seeded_sample(df, n, seed).collect())
+    want = sorted(sorted(ids, key=lambda i: (hashlib.md5(f"{i}:{seed}".encode()).hexdigest(), i))[:n])
+    assert got == want
+
+
+@SETTINGS
+@given(vals=st.lists(st.one_of(st.none(), st.integers(0, 3).map(float)), min_size=1, max_size=50))
+def test_global_rank_with_ties(spark, vals):
+    from pyspark.sql import functions as F
+
+    from claimlens.operators.common import global_rank
+    rows = [(f"k{i:03d}", v) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    order = [F.col("v").desc_nulls_last(), F.col("k").asc()]
+    got = [(r.k, r.position) for r in global_rank(df, order, partitions=4).orderBy("position").collect()]
+    want = sorted(rows, key=lambda t: (t[1] is None, -(t[1] or 0.0), t[0]))
+    assert got == [(k, i + 1) for i, (k, _) in enumerate(want)]
+
+
+def test_decode_claims_edge_cases(spark):
+    from claimlens.functions import decode_claims
+    df = spark.createDataFrame([("0604,2,0019,1",), ("0604,x",), ("0604,2,0019",), ("",)], "c string")
+    out = [[(e.claim_id, e.n) for e in r.d] for r in df.select(decode_claims("c").alias("d")).collect()]
+    assert out == [[("0604", 2), ("0019", 1)], [("0604", None)], [("0604", 2)], []]
