@@ -31,7 +31,8 @@ def cosine_assign(points: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
     """Nearest centroid of every point by cosine distance, and the distance.
 
     ``points``: (id, idx, value); ``centroids``: (cluster, idx, value) with
-    clusters 0..k-1. distance = 1 - dot / (|p| |c|); a zero vector has
+    clusters 0..k-1. distance = 1 - dot / (|p| |c|), clamped to [0, 2]
+    against rounding; a zero vector has
     distance NULL to everything and takes cluster 0. Ties go to the lower
     cluster number. Output: id, cluster, distance.
 
@@ -52,7 +53,9 @@ def cosine_assign(points: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
     candidates = []
     for c in range(k):
         norm_c = cn.get(c)
-        d = (F.lit(1.0) - safe_div(F.col(f"dot{c}"), F.col("norm") * F.lit(norm_c))) \
+        # 1 - cos, clamped to [0, 2]: rounding can push cos a hair past +-1
+        d = F.least(F.lit(2.0), F.greatest(F.lit(0.0), F.lit(1.0) - safe_div(
+            F.col(f"dot{c}"), F.col("norm") * F.lit(norm_c)))) \
             if norm_c else F.lit(None).cast("double")
         candidates.append(F.struct(d.isNull().alias("missing"), d.alias("distance"),
                                    F.lit(c).alias("cluster")))

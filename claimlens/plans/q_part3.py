@@ -137,7 +137,8 @@ def _assign_sql(points: str, ids: str) -> str:
            FROM {points} p JOIN cent c ON p.idx = c.idx GROUP BY p.id, c.cluster),
   pairs AS (SELECT id, norm, CAST(r.range AS INTEGER) AS cluster FROM pnorm, range({K}) r),
   dist AS (SELECT pr.id, pr.cluster,
-                  1.0 - coalesce(d.dot, 0.0) / nullif(pr.norm * cn.cnorm, 0) AS distance
+                  least(2.0, greatest(0.0,
+                        1.0 - coalesce(d.dot, 0.0) / nullif(pr.norm * cn.cnorm, 0))) AS distance
            FROM pairs pr LEFT JOIN dots d ON d.id = pr.id AND d.cluster = pr.cluster
                 LEFT JOIN cnorm cn ON cn.cluster = pr.cluster),
   assign AS (SELECT id, cluster, distance FROM (
@@ -267,7 +268,7 @@ def q_kmeans_step_assign(spark, sf_dir):
   members AS (SELECT a.id, a.cluster, n.norm FROM assign a JOIN pnorm n ON n.id = a.id
               WHERE n.norm > 0),
   sizes AS (SELECT cluster, count(*) AS size FROM members GROUP BY cluster)""") + """
-SELECT m.cluster, p.idx, round(sum(p.value / m.norm) / any_value(s.size), 6) AS value
+SELECT m.cluster, p.idx, round(sum(p.value / m.norm) / any_value(s.size), 6) + 0.0 AS value
 FROM epts p JOIN members m ON m.id = p.id JOIN sizes s ON s.cluster = m.cluster
 GROUP BY m.cluster, p.idx""")
 def q_kmeans_step_update(spark, sf_dir):
@@ -411,7 +412,7 @@ def q_suspicious_patients(spark, sf_dir):
   members AS (SELECT a.id, a.cluster, n.norm FROM assign a JOIN pnorm n ON n.id = a.id
               WHERE n.norm > 0),
   sizes AS (SELECT cluster, count(*) AS size FROM members GROUP BY cluster)""") + """
-SELECT m.cluster, p.idx, round(sum(p.value / m.norm) / any_value(s.size), 6) AS value
+SELECT m.cluster, p.idx, round(sum(p.value / m.norm) / any_value(s.size), 6) + 0.0 AS value
 FROM svec p JOIN members m ON m.id = p.id JOIN sizes s ON s.cluster = m.cluster
 GROUP BY m.cluster, p.idx""")
 def q_patient_kmeans_step_update(spark, sf_dir):

@@ -33,9 +33,10 @@ def register(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Round every double column (the oracle does the same)."""
+    """Round every double column (the oracle does the same); ``+ 0.0``
+    turns a negative zero into a positive one, as on the oracle side."""
     return df.select(*[
-        F.round(F.col(f.name), places).alias(f.name)
+        (F.round(F.col(f.name), places) + F.lit(0.0)).alias(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
         for f in df.schema.fields])
 
