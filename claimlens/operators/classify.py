@@ -52,6 +52,29 @@ def score(model: LogisticRegressionModel, vectors: DataFrame, id_col: str = "id"
                       p1.alias("p1"))
 
 
+def score_features(coef: DataFrame, features: DataFrame, n_features: int | None = None,
+                   **probes) -> DataFrame:
+    """J10 without building vectors, for scoring everyone at scale.
+
+    The logistic margin is linear in the hashed terms, so it is the sum of
+    ``weight x beta[slot]`` over the row's terms (colliding terms add, as
+    in the vector). ``coef`` is ``coefficients(model)``: at most one row per
+    slot, broadcast. Terms are exploded row-locally, so the partial
+    aggregate leaves one row per patient and map task before the one
+    shuffle. Same output as ``score``: patient_id, review, score, p1.
+    """
+    from claimlens.operators import features as fe
+    n_features = n_features or fe.N_FEATURES
+    terms = fe.hashed_terms(features, n_features, **probes).select("id", "idx", "weight")
+    margin = terms.join(F.broadcast(coef), "idx", "left").groupBy("id").agg(
+        F.sum(F.col("weight") * F.coalesce(F.col("beta"), F.lit(0.0))).alias("margin"))
+    p1 = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
+    pred = F.when(p1 > 0.5, F.lit(1)).otherwise(F.lit(0))
+    return margin.select(F.col("id").alias("patient_id"), pred.alias("review"),
+                         F.when(pred == 1, p1).otherwise(F.lit(1.0) - p1).alias("score"),
+                         p1.alias("p1"))
+
+
 def predicted_counts(scored: DataFrame) -> DataFrame:
     """Rows per predicted class."""
     return scored.groupBy("review").agg(F.count(F.lit(1)).alias("n"))

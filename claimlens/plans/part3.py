@@ -115,16 +115,20 @@ def run_part3(patient: DataFrame, claims: DataFrame, charges: DataFrame, review:
 
 
 def classify(training: DataFrame, scoring: DataFrame, cfg: Part3Config | None = None):
-    """Hash both sets, fit the L1 logistic model on the
-    training set, score the scoring set and store the scores.
+    """Hash the training set into vectors, fit the L1
+    logistic model, score the scoring set and store the scores.
 
+    The scoring set (every unflagged patient outside the negative cluster,
+    the largest input of Part 3) is scored from its hashed terms and the
+    broadcast coefficients, JVM-side, without building vector objects.
     Returns (scored DataFrame: patient_id, review, score, p1; the model).
     """
     cfg = cfg or Part3Config()
     spark = training.sparkSession
     model = cl.fit_l1_logistic(fe.hash_features(training, **_hash_kw(cfg)), cfg.reg)
     path = scratch_path(spark, "classifiedclaims")
-    write_scores(cl.score(model, fe.hash_features(scoring, **_hash_kw(cfg))), path)  # B6
+    coef = cl.coefficients(model, spark)
+    write_scores(cl.score_features(coef, scoring, **_hash_kw(cfg)), path)  # B6
     return spark.read.parquet(path), model
 
 

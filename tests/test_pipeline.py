@@ -64,3 +64,16 @@ def test_entry_contract(spark):
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     assert {"part1a", "part2b", "patient_features", "suspicious_patients"} <= set(qs)
+
+
+def test_term_scoring_equals_mllib_transform(spark, result):
+    from claimlens.operators import classify as cl
+    from claimlens.operators import features as fe
+    model = result.extra["model"]
+    sample = result.scoring.limit(200)
+    a = {r.patient_id: (r.review, r.p1) for r in cl.score(model, fe.hash_features(sample)).collect()}
+    b = {r.patient_id: (r.review, r.p1) for r in
+         cl.score_features(cl.coefficients(model, spark), sample).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][0] == b[k][0] and abs(a[k][1] - b[k][1]) < 1e-9
