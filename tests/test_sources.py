@@ -102,3 +102,24 @@ def test_ranked_list_file(spark, tmp_path):
     sinks.write_ranked_list(df, path, "provider_id")
     text = spark.read.text(path).collect()
     assert [r.value for r in text] == ["310025", "390180", "50441"]
+
+
+def test_readers_split_large_files_exactly(spark, tmp_path):
+    """Records crossing split boundaries are read once (RS/US and </rows>)."""
+    us, rs = "\x1f", "\x1e"
+    claims = tmp_path / "claims.txt"
+    claims.write_text("".join(f"2011{i:04d}{us}p{i}{us}{i % 130:04d}{rs}" for i in range(3000)))
+    pats = tmp_path / "patients.xml"
+    pats.write_text("".join(f'<rows>\n<field name="id">{i}</field><field name="age">{i % 7}</field>'
+                            f'<field name="gndr">F</field><field name="inc">x</field></rows>\n'
+                            for i in range(2000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        c = sources.read_claims(spark, str(claims))
+        p = sources.read_patients(spark, str(pats))
+        assert c.rdd.getNumPartitions() > 5 and p.rdd.getNumPartitions() > 5
+        assert sorted(int(r.patient_id[1:]) for r in c.collect()) == list(range(3000))
+        assert sorted(int(r.id) for r in p.collect()) == list(range(2000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
