@@ -31,6 +31,7 @@ def to_bigint(c: ColumnOrName) -> Column:
 
 
 def to_int(c: ColumnOrName) -> Column:
+    """Text to int (``cast(x as int)``); bad text is NULL."""
     return F.trim(_c(c)).try_cast("int")
 
 

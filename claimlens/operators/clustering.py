@@ -24,6 +24,7 @@ def embedding_long(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
 
 
 def norms(points: DataFrame, key: str = "id") -> DataFrame:
+    """Euclidean norm per ``key`` of long-form (key, idx, value) vectors."""
     return points.groupBy(key).agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
 
 

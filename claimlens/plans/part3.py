@@ -79,6 +79,11 @@ def cluster_patients(sample: DataFrame, cfg: Part3Config) -> tuple[DataFrame, ob
 
 def run_part3(patient: DataFrame, claims: DataFrame, charges: DataFrame, review: DataFrame,
               cfg: Part3Config | None = None) -> Part3Result:
+    """Part 3: features (J1) -> clustering sample (H2) -> cosine k-means and
+    assignment (J4 J5) written by cluster/label (B4) -> negative cluster
+    (E11 E14) -> training and scoring sets (J7 J8) -> L1 logistic fit and
+    scores (J9 J10 B6) -> top ``cfg.top_n`` suspicious patients (J12), with
+    the coefficient report (J11) and training-set quality (E15)."""
     cfg = cfg or Part3Config()
     spark = patient.sparkSession
     procedure = fe.procedure_dim(charges)

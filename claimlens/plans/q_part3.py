@@ -34,6 +34,7 @@ SMALL_N = 500
 # ---- Spark side --------------------------------------------------------------
 
 def features_of(spark: SparkSession, sf_dir: str, dedupe: bool = False) -> DataFrame:
+    """J1 over the stand-in feeds of ``sf_dir``."""
     charges = charges_of(spark, sf_dir)
     return fe.patient_features(si.patient_feed(spark, sf_dir), si.claim_feed(spark, sf_dir),
                                fe.procedure_dim(charges), si.review_feed(spark, sf_dir), dedupe)

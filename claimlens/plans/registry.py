@@ -24,6 +24,7 @@ ORACLE: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Register a query callable under ``name``, with its oracle SQL."""
     def deco(fn: QueryFn) -> QueryFn:
         QUERIES[name] = fn
         if sql is not None:
@@ -63,6 +64,7 @@ SELECT type, procedure_id, provider_id, provider_city, provider_state, provider_
        round(avg_total_payment, 6) AS avg_total_payment
 FROM charges""")
 def q_charge_table(spark, sf_dir):
+    """The typed charge table from both feeds."""
     return rounded(charges_of(spark, sf_dir))
 
 

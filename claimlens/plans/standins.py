@@ -31,6 +31,7 @@ N_INPATIENT_CODES = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's Parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
