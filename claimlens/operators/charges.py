@@ -61,17 +61,21 @@ def procedure_stats(charges: DataFrame, ddof: int = 0) -> DataFrame:
     )
 
 
-def procedure_relative_variance(charges: DataFrame, ddof: int = 0) -> DataFrame:
+def procedure_relative_variance(charges: DataFrame, ddof: int = 0,
+                                stats: DataFrame | None = None) -> DataFrame:
     """E5: ``(sd/mean)^2`` of the charged amount for every procedure.
 
     A zero mean gives NULL (not an error); a one-row procedure gives 0.0
-    with ``ddof=0`` and NULL with ``ddof=1``.
+    with ``ddof=0`` and NULL with ``ddof=1``. ``stats`` may pass a
+    precomputed ``procedure_stats`` table (same ``ddof``) to share one scan.
     """
-    return procedure_stats(charges, ddof).select(
+    stats = stats if stats is not None else procedure_stats(charges, ddof)
+    return stats.select(
         "procedure_id", F.pow(safe_div("sd_charge", "mean_charge"), 2).alias("rv"))
 
 
-def relative_variance(charges: DataFrame, n: int = 3, ddof: int = 0) -> DataFrame:
+def relative_variance(charges: DataFrame, n: int = 3, ddof: int = 0,
+                      stats: DataFrame | None = None) -> DataFrame:
     """Part 1a: procedures with the highest relative variance (sd/mean)^2.
 
     ``ddof=0`` is the population sd of the reference's queries, ``ddof=1``
@@ -79,7 +83,7 @@ def relative_variance(charges: DataFrame, n: int = 3, ddof: int = 0) -> DataFram
     go to the smaller procedure id.
     Output: rank, procedure (code before the first space), rv.
     """
-    top = ranked_top(procedure_relative_variance(charges, ddof), n,
+    top = ranked_top(procedure_relative_variance(charges, ddof, stats), n,
                      [F.col("rv").desc_nulls_last(), F.col("procedure_id").asc_nulls_last()])
     return top.select("rank", code_prefix("procedure_id").alias("procedure"), "rv")
 
@@ -121,6 +125,26 @@ def provider_win_counts(charges: DataFrame, by: str = "charge") -> DataFrame:
     return _count_wins(_first_per_procedure(rows, "provider_id", "value"), "provider_id")
 
 
+def provider_winners(charges: DataFrame) -> DataFrame:
+    """F1 + F3 in one pass: per procedure, the provider with the highest
+    charge (``by_charge``) and with the largest charge - payment gap
+    (``by_gap``); ties to the smaller provider, NULL values lose."""
+    rows = charges.select("procedure_id", to_bigint("provider_id").alias("provider_id"),
+                          F.col("avg_charged_amount").alias("charge"),
+                          (F.col("avg_charged_amount") - F.col("avg_total_payment")).alias("gap"))
+    return rows.groupBy("procedure_id").agg(
+        F.min_by("provider_id", better_first(("charge", "desc"), ("provider_id", "asc")))
+        .alias("by_charge"),
+        F.min_by("provider_id", better_first(("gap", "desc"), ("provider_id", "asc")))
+        .alias("by_gap"))
+
+
+def top_winners(winners: DataFrame, column: str, n: int = 3) -> DataFrame:
+    """E1 + G1 over ``provider_winners``: rank, provider_id, cnt."""
+    counts = _count_wins(winners.select(F.col(column).alias("provider_id")), "provider_id")
+    return _top_wins(counts, "provider_id", n)
+
+
 def most_top_charges(charges: DataFrame, n: int = 3) -> DataFrame:
     """Part 1b: providers that most often charge the most for a procedure.
 
@@ -156,35 +180,40 @@ def most_top_regions(charges: DataFrame, n: int = 3) -> DataFrame:
     return top.select("rank", flip_region("referral_region").alias("region"), "cnt")
 
 
-def zscores(charges: DataFrame, ddof: int = 0, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def zscores(charges: DataFrame, ddof: int = 0, max_broadcast_rows: int = 2_000_000,
+            stats: DataFrame | None = None) -> DataFrame:
     """Each detail row with z = (x - mean)/sd of its procedure.
 
     Rows with a NULL procedure drop (inner join); sd = 0 gives z NULL.
+    ``stats`` may pass a precomputed ``procedure_stats`` table.
     """
-    stats = procedure_stats(charges, ddof).select("procedure_id", "mean_charge", "sd_charge")
+    stats = stats if stats is not None else procedure_stats(charges, ddof)
+    stats = stats.select("procedure_id", "mean_charge", "sd_charge")
     detail = charges.where(F.col("procedure_id").isNotNull())
     joined = join_small(detail, stats, "procedure_id", "inner", max_broadcast_rows)
     return joined.withColumn(
         "z", safe_div(F.col("avg_charged_amount") - F.col("mean_charge"), F.col("sd_charge")))
 
 
-def provider_dispersion(charges: DataFrame, n: int = 3, ddof: int = 0) -> DataFrame:
+def provider_dispersion(charges: DataFrame, n: int = 3, ddof: int = 0,
+                        stats: DataFrame | None = None) -> DataFrame:
     """Part 2a: (provider, type) groups whose z-scores spread the most.
 
     Output: rank, provider_id (int), type, sd_z.
     """
-    z = zscores(charges, ddof).select(to_int("provider_id").alias("provider_id"), "type", "z")
+    z = zscores(charges, ddof, stats=stats).select(to_int("provider_id").alias("provider_id"), "type", "z")
     groups = z.groupBy("provider_id", "type").agg(_stddev("z", ddof).alias("sd_z"))
     return ranked_top(groups, n, [F.col("sd_z").desc_nulls_last(),
                                   F.col("provider_id").asc_nulls_last(), F.col("type").asc()])
 
 
-def region_dispersion(charges: DataFrame, n: int = 3, ddof: int = 0) -> DataFrame:
+def region_dispersion(charges: DataFrame, n: int = 3, ddof: int = 0,
+                      stats: DataFrame | None = None) -> DataFrame:
     """Part 2b: (region, type) groups whose z-scores spread the most.
 
     Output: rank, region (``'City,ST'``, anchored pattern), type, sd_z.
     """
-    z = zscores(charges, ddof).select("referral_region", "type", "z")
+    z = zscores(charges, ddof, stats=stats).select("referral_region", "type", "z")
     groups = z.groupBy("referral_region", "type").agg(_stddev("z", ddof).alias("sd_z"))
     top = ranked_top(groups, n, [F.col("sd_z").desc_nulls_last(),
                                  F.col("referral_region").asc_nulls_last(), F.col("type").asc()])

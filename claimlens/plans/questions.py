@@ -9,29 +9,33 @@ from claimlens.operators import charges as ch
 from claimlens.operators.common import materialize
 from claimlens.sinks import write_ranked_list
 
-QUESTIONS = {
-    "part1a": (lambda c, n: ch.relative_variance(c, n), "procedure"),
-    "part1b": (lambda c, n: ch.most_top_charges(c, n), "provider_id"),
-    "part1c": (lambda c, n: ch.most_top_regions(c, n), "region"),
-    "part1d": (lambda c, n: ch.most_top_gaps(c, n), "provider_id"),
-    "part2a": (lambda c, n: ch.provider_dispersion(c, n), "provider_id"),
-    "part2b": (lambda c, n: ch.region_dispersion(c, n), "region"),
-}
+# The answer column each result file holds.
+COLUMNS = {"part1a": "procedure", "part1b": "provider_id", "part1c": "region",
+           "part1d": "provider_id", "part2a": "provider_id", "part2b": "region"}
 
 
 def run_questions(charges: DataFrame, out_dir: str, n: int = 3,
                   keep_table: bool = True) -> dict[str, DataFrame]:
     """Answer all six questions; write ``<out_dir>/<name>/`` for each.
 
-    With ``keep_table`` the charge table is written once first (the source
-    also stored it as a table), so the six questions scan only the columns
-    each needs instead of re-parsing the feeds six times.
+    Shared work: with ``keep_table`` the charge table is written once first
+    (the source also stored it as a table); the per-procedure statistics
+    are computed once for 1a, 2a and 2b; the two arg-max questions 1b and
+    1d come from one pass. Four scans of the charge table in all, each of
+    only the columns it needs.
     """
     if keep_table:
         charges = materialize(charges, "in_out_patient")
-    answers = {}
-    for name, (build, column) in QUESTIONS.items():
-        answer = build(charges, n)
-        write_ranked_list(answer, f"{out_dir.rstrip('/')}/{name}", column)
-        answers[name] = answer
+    stats = materialize(ch.procedure_stats(charges, 0), "procedure-stats")
+    winners = materialize(ch.provider_winners(charges), "provider-winners")
+    answers = {
+        "part1a": ch.relative_variance(charges, n, stats=stats),
+        "part1b": ch.top_winners(winners, "by_charge", n),
+        "part1c": ch.most_top_regions(charges, n),
+        "part1d": ch.top_winners(winners, "by_gap", n),
+        "part2a": ch.provider_dispersion(charges, n, stats=stats),
+        "part2b": ch.region_dispersion(charges, n, stats=stats),
+    }
+    for name, answer in answers.items():
+        write_ranked_list(answer, f"{out_dir.rstrip('/')}/{name}", COLUMNS[name])
     return answers

@@ -273,5 +273,23 @@ def q_ranked_curve_region_dispersion(spark, sf_dir):
     return rounded(ch.ranked_curve(stats, "referral_region", "var_z", 3, ("type",)))
 
 
+@register("provider_winners", W(CH, """
+  r AS (SELECT procedure_id, TRY_CAST(trim(provider_id) AS BIGINT) AS provider_id,
+               avg_charged_amount AS charge, avg_charged_amount - avg_total_payment AS gap
+        FROM charges),
+  c AS (SELECT procedure_id, provider_id,
+               row_number() OVER (PARTITION BY procedure_id
+                                  ORDER BY charge DESC NULLS LAST, provider_id ASC NULLS LAST) AS rc,
+               row_number() OVER (PARTITION BY procedure_id
+                                  ORDER BY gap DESC NULLS LAST, provider_id ASC NULLS LAST) AS rg
+        FROM r)""") + """
+SELECT procedure_id, max(CASE WHEN rc = 1 THEN provider_id END) AS by_charge,
+       max(CASE WHEN rg = 1 THEN provider_id END) AS by_gap
+FROM c GROUP BY procedure_id""")
+def q_provider_winners(spark, sf_dir):
+    """F1 + F3 in one pass: top provider per procedure by charge and by gap."""
+    return ch.provider_winners(charges_of(spark, sf_dir))
+
+
 # Query modules register themselves on import.
 from claimlens.plans import q_io, q_part3  # noqa: E402,F401

@@ -152,3 +152,21 @@ def test_run_questions_writes_ranked_files(charges_df, spark, tmp_path):
     assert lines["part1c"] == ["Santa Cruz,CA", "St. Petersburg,FL"]
     assert lines["part1a"][0] in ("001", "0604")
     assert all(len(v) <= 3 for v in lines.values())
+
+
+def test_shared_work_equals_single_questions(charges_df):
+    import random
+    rnd = random.Random(3)
+    rows = [(rnd.choice("IO"), f"{rnd.randint(1, 6):03d} - P", str(rnd.randint(1, 9)),
+             rnd.choice(["CA - A", "FL - B", "AL - C"]), float(rnd.randint(0, 4)),
+             float(rnd.randint(0, 30)), float(rnd.randint(0, 10))) for _ in range(150)]
+    df = charges_df(rows)
+    stats = ch.procedure_stats(df, 0)
+    winners = ch.provider_winners(df)
+
+    def rows_of(d):
+        return [tuple(r) for r in d.orderBy("rank").collect()]
+    assert rows_of(ch.relative_variance(df, 3, stats=stats)) == rows_of(ch.relative_variance(df, 3))
+    assert rows_of(ch.top_winners(winners, "by_charge")) == rows_of(ch.most_top_charges(df))
+    assert rows_of(ch.top_winners(winners, "by_gap")) == rows_of(ch.most_top_gaps(df))
+    assert rows_of(ch.provider_dispersion(df, 3, stats=stats)) == rows_of(ch.provider_dispersion(df))
