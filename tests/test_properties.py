@@ -133,3 +133,51 @@ def test_decode_claims_edge_cases(spark):
     df = spark.createDataFrame([("0604,2,0019,1",), ("0604,x",), ("0604,2,0019",), ("",)], "c string")
     out = [[(e.claim_id, e.n) for e in r.d] for r in df.select(decode_claims("c").alias("d")).collect()]
     assert out == [[("0604", 2), ("0019", 1)], [("0604", None)], [("0604", 2)], []]
+
+
+PATIENT = st.tuples(st.sampled_from(["1", "2", "3"]), st.sampled_from(["a1", "a2"]),
+                    st.sampled_from(["F", "M"]), st.sampled_from(["lo", "hi"]))
+CLAIM = st.tuples(st.just("20110101"), st.sampled_from(["1", "2", "3", "4"]),
+                  st.sampled_from(["0604", "0019", "0698", "9999"]))
+PROC = st.tuples(st.sampled_from(["0604", "0019", "0698"]), st.sampled_from(["I", "O"]),
+                 st.sampled_from(["n1", "n2"]))
+
+
+@SETTINGS
+@given(patients=st.lists(PATIENT, min_size=1, max_size=5),
+       claims=st.lists(CLAIM, min_size=1, max_size=15),
+       procs=st.lists(PROC, min_size=1, max_size=5),
+       review=st.lists(st.sampled_from(["1", "2", "5"]), max_size=4),
+       dedupe=st.booleans())
+def test_patient_features_equals_join_then_group(spark, patients, claims, procs, review, dedupe):
+    """The reference's query taken literally: join, group by seven keys,
+    then by patient (the procedure table is distinct over its columns)."""
+    from claimlens import schemas
+    from claimlens.operators import features as fe
+    procs_distinct = sorted(set(procs))
+    q_rows = sorted({(i, t) for i, t, _ in procs_distinct}) if dedupe else procs_distinct
+    r_rows = sorted(set(review)) if dedupe else review
+    first = defaultdict(int)
+    for pid, age, gender, income in patients:
+        flag = 1 if pid in r_rows else 0
+        rmult = max(1, r_rows.count(pid))
+        for _, cpid, code in claims:
+            if cpid != pid:
+                continue
+            for q in q_rows:
+                if q[0] == code:
+                    first[(pid, flag, age, gender, income, q[1], code)] += rmult
+    want = {}
+    for (pid, flag, age, gender, income, typ, code), n in first.items():
+        key = (pid, flag, age, gender, income)
+        ti, to, s = want.get(key, (0, 0, set()))
+        want[key] = (ti + (n if typ == "I" else 0), to + (n if typ == "O" else 0),
+                     s | {(code, n)})
+    got = fe.patient_features(
+        spark.createDataFrame(patients, schemas.PATIENT),
+        spark.createDataFrame(claims, schemas.PATIENT_CLAIM),
+        spark.createDataFrame(procs_distinct, schemas.PROCEDURE),
+        spark.createDataFrame([(x,) for x in review], schemas.REVIEW), dedupe=dedupe).collect()
+    got = {(r.id, r.review, r.age, r.gender, r.income):
+           (r.type_I, r.type_O, {(e.claim_id, e.n) for e in r.claims}) for r in got}
+    assert got == want
