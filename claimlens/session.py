@@ -45,11 +45,15 @@ def get_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_FALLBACK: dict[int, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Read from the session; only when it is unset (as in tests) is a private
-    folder under the system temp dir created and registered.
+    folder under the system temp dir created and registered as the
+    session's checkpoint folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -60,13 +64,14 @@ def shared_dir(spark: SparkSession) -> str:
         current = None
     if current:
         return current
-    conf_dir = tempfile.mkdtemp(prefix="claimlens-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", conf_dir)
-    try:
-        spark.sparkContext.setCheckpointDir(conf_dir)
-    except Exception:
-        pass
-    return conf_dir
+    key = id(spark)
+    if key not in _FALLBACK:
+        _FALLBACK[key] = tempfile.mkdtemp(prefix="claimlens-ckpt-")
+        try:
+            spark.sparkContext.setCheckpointDir(_FALLBACK[key])
+        except Exception:
+            pass
+    return _FALLBACK[key]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
