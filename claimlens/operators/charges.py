@@ -238,9 +238,10 @@ def dispersion_stats(charges: DataFrame, keys: list[str], ddof: int = 1) -> Data
 
 
 def ranked_curve(df: DataFrame, key: str, value: str, n_labels: int,
-                 tiebreak: tuple[str, ...] = ()) -> DataFrame:
+                 tiebreak: tuple[str, ...] = (), n_labels_bottom: int = 0) -> DataFrame:
     """every group's position in descending ``value`` order, its value,
-    and its key as a label for the first ``n_labels`` positions only.
+    and its key as a label for the first ``n_labels`` positions (and the
+    last ``n_labels_bottom``) only.
 
     ``tiebreak`` names further columns that make the order total when
     ``key`` alone is not unique (e.g. provider and type). Positions come
@@ -250,6 +251,10 @@ def ranked_curve(df: DataFrame, key: str, value: str, n_labels: int,
     order = [F.col(value).desc_nulls_last(), F.col(key).asc_nulls_last()] \
         + [F.col(c).asc_nulls_last() for c in tiebreak]
     ranked = global_rank(df.select(key, value, *tiebreak), order, "position")
+    labelled = F.col("position") <= n_labels
+    if n_labels_bottom:
+        total = ranked.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+        labelled = labelled | (F.col("position") > total - n_labels_bottom)
     return ranked.select(
         "position", F.col(value).alias("value"),
-        F.when(F.col("position") <= n_labels, F.col(key).cast("string")).alias("label"))
+        F.when(labelled, F.col(key).cast("string")).alias("label"))

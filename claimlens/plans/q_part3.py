@@ -425,3 +425,12 @@ def q_patient_kmeans_step_update(spark, sf_dir):
     seeds = sa.seed_points(sample, K, SEED)
     assign = ck.cosine_assign(points, ck.seed_centroids(points, seeds), K)
     return rounded(ck.cosine_update(points, assign))
+
+
+@register("coefficient_curve")
+def q_coefficient_curve(spark, sf_dir):
+    """J11 + F5: every non-zero coefficient by descending beta; the top 2
+    and bottom 4 features labelled."""
+    from claimlens.operators.charges import ranked_curve
+    rep = pipeline_of(spark, sf_dir).coefficients
+    return rounded(ranked_curve(rep, "feature", "beta", 2, ("probe", "idx"), n_labels_bottom=4))

@@ -170,3 +170,10 @@ def test_shared_work_equals_single_questions(charges_df):
     assert rows_of(ch.top_winners(winners, "by_charge")) == rows_of(ch.most_top_charges(df))
     assert rows_of(ch.top_winners(winners, "by_gap")) == rows_of(ch.most_top_gaps(df))
     assert rows_of(ch.provider_dispersion(df, 3, stats=stats)) == rows_of(ch.provider_dispersion(df))
+
+
+def test_ranked_curve_bottom_labels(spark):
+    df = spark.createDataFrame([(f"f{i}", float(i)) for i in range(10)], "k string, v double")
+    out = ch.ranked_curve(df, "k", "v", 2, n_labels_bottom=4).orderBy("position").collect()
+    labels = [r.label for r in out]
+    assert labels[:2] == ["f9", "f8"] and labels[2:6] == [None] * 4 and labels[6:] == ["f3", "f2", "f1", "f0"]
