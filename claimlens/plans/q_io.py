@@ -6,11 +6,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from claimlens import sinks, sources
+from claimlens import schemas, sinks, sources, streaming
 from claimlens.operators import charges as ch
 from claimlens.operators import classify as cl
 from claimlens.plans import standins as si
 from claimlens.plans.registry import CH, W, register, rounded
+from claimlens.plans.run import FeedPaths, prepare_tables
 from claimlens.session import scratch_path
 
 
@@ -67,7 +68,6 @@ def q_stored_table_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "charges-table")
     charges = ch.charge_table(si.inpatient_feed(spark, sf_dir), si.outpatient_feed(spark, sf_dir))
     sinks.write_table(charges, path)
-    from claimlens import schemas
     stored = sources.read_table(spark, path, schemas.CHARGES)
     counts = stored.groupBy("provider_id").agg(F.count(F.lit(1)).alias("cnt"))
     ranked = cl.top_by_abs(counts, "cnt", "provider_id", 3)
@@ -93,7 +93,6 @@ def q_top_by_abs(spark, sf_dir):
 def q_claims_stream_ingest(spark, sf_dir):
     """A1 A2 via Structured Streaming: claim files ingested incrementally
     (available-now trigger, checkpointed) into a Parquet table."""
-    from claimlens import streaming
     src = scratch_path(spark, "claims-landing")
     sinks.write_control_delimited(si.claim_feed(spark, sf_dir), src)
     out = scratch_path(spark, "claims-ingested")
@@ -111,7 +110,6 @@ def q_prep_in_out_patient(spark, sf_dir):
     """The prep job: all four feeds (and the review list) written in their
     raw formats, parsed into typed tables, and the charge table built from
     the stored inpatient/outpatient tables."""
-    from claimlens.plans.run import FeedPaths, prepare_tables
     feeds = FeedPaths(*(scratch_path(spark, n) for n in
                         ("in-csv", "out-csv", "patients-xml", "claims-rsus", "review-txt")))
     sinks.write_quoted_csv(si.inpatient_feed(spark, sf_dir), feeds.inpatient)
