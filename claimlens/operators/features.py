@@ -61,7 +61,10 @@ def patient_features(patient: DataFrame, claims: DataFrame, procedure: DataFrame
         rev = rev.distinct()
     rev = rev.groupBy("id").agg(F.count(F.lit(1)).alias("review_mult"))
 
-    pts = patient.groupBy("id", "age", "gender", "income") \
+    # Patients are partitioned by id once: the grouping by (id, attributes),
+    # the review join and the final per-patient aggregate all reuse it. An
+    # id has one or a few patient rows, so this shuffle cannot be skewed.
+    pts = patient.repartition("id").groupBy("id", "age", "gender", "income") \
         .agg(F.count(F.lit(1)).alias("patient_mult")) \
         .join(rev, "id", "left") \
         .select("id", "age", "gender", "income", "patient_mult",
