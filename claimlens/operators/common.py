@@ -122,22 +122,26 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str = "position",
                 partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1..N in ``order`` (which must be a total order).
 
-    Rows are range-partitioned by the order, numbered inside each range,
-    and shifted by the row count of all earlier ranges. Only one count per
-    range (bounded by the partition count) is broadcast.
+    Rows are range-partitioned by the order and sorted inside each range;
+    each row's number inside its range comes from the same stage
+    (``monotonically_increasing_id`` holds the row's index in its partition
+    in the low 33 bits), and is shifted by the row count of all earlier
+    ranges. One shuffle; only one count per range (bounded by the
+    partition count) is broadcast.
     """
     spark = df.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(partitions, *order) \
-        .withColumn("_part", F.spark_partition_id())
+    low_bits = (1 << 33) - 1
+    ranged = (df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+              .withColumn("_part", F.spark_partition_id())
+              .withColumn("_local", (F.monotonically_increasing_id()
+                                     .bitwiseAND(F.lit(low_bits)) + 1)))
     ranged = materialize(ranged, "ranked")
-    local = ranged.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     offsets = sizes.select(
         "_part",
         (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_offset"))
-    return local.join(F.broadcast(offsets), "_part") \
+    return ranged.join(F.broadcast(offsets), "_part") \
         .withColumn(name, F.col("_offset") + F.col("_local")) \
         .drop("_part", "_local", "_offset")
