@@ -70,7 +70,7 @@ def test_term_scoring_equals_mllib_transform(spark, result):
     from claimlens.operators import classify as cl
     from claimlens.operators import features as fe
     model = result.extra["model"]
-    sample = result.scoring.limit(200)
+    sample = result.scoring.orderBy("id").limit(200)
     a = {r.patient_id: (r.review, r.p1) for r in cl.score(model, fe.hash_features(sample)).collect()}
     b = {r.patient_id: (r.review, r.p1) for r in
          cl.score_features(cl.coefficients(model, spark), sample).collect()}
