@@ -20,7 +20,7 @@ from claimlens.operators.common import materialize
 from claimlens.plans import standins as si
 from claimlens.plans.part3 import Part3Config, cluster_patients, run_part3
 from claimlens.plans.registry import CH, W, charges_of, register, rounded
-from claimlens.session import scratch_path
+from claimlens.session import scratch_path, session_key
 from claimlens.sinks import write_partitioned
 from claimlens.sources import read_partition
 
@@ -354,12 +354,12 @@ def q_scoring_set(spark, sf_dir):
 
 # ---- model fits (rows-only checks) ---------------------------------------------------
 
-_RUNS: dict[tuple[int, str], object] = {}
+_RUNS: dict[tuple, object] = {}
 
 
 def pipeline_of(spark: SparkSession, sf_dir: str):
     """Part 3 on the stand-ins, run once per (session, data dir)."""
-    key = (id(spark), sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _RUNS:
         charges = charges_of(spark, sf_dir)
         _RUNS[key] = run_part3(si.patient_feed(spark, sf_dir), si.claim_feed(spark, sf_dir),

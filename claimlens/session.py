@@ -45,7 +45,13 @@ def get_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-_FALLBACK: dict[int, str] = {}
+_FALLBACK: dict[tuple, str] = {}
+
+
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a running session: object id plus application id (an id
+    alone can be reused by a later session after the first one stops)."""
+    return id(spark), spark.conf.get("spark.app.id", None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -64,7 +70,7 @@ def shared_dir(spark: SparkSession) -> str:
         current = None
     if current:
         return current
-    key = id(spark)
+    key = session_key(spark)
     if key not in _FALLBACK:
         _FALLBACK[key] = tempfile.mkdtemp(prefix="claimlens-ckpt-")
         try:
