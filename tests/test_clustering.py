@@ -41,3 +41,27 @@ def test_update_is_mean_unit_vector(spark):
     a = spark.createDataFrame([(1, 0), (2, 0)], "id long, cluster int")
     got = {(r.cluster, r.idx): r.value for r in ck.cosine_update(p, a).collect()}
     assert abs(got[(0, 0)] - (0.6 + 1.0) / 2) < 1e-12 and abs(got[(0, 1)] - 0.4) < 1e-12
+
+
+def test_mllib_cosine_kmeans_recovers_directions(spark):
+    """J4 on a small fixture: two groups of vectors pointing in clearly
+    different directions (lengths vary, which cosine ignores)."""
+    from pyspark.ml.linalg import SparseVector
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(40):
+        base = [1.0, 0.05, 0.0] if i % 2 == 0 else [0.0, 0.05, 1.0]
+        v = (np.array(base) + rng.normal(0, 0.05, 3)).clip(0) * rng.uniform(0.5, 20)
+        rows.append((str(i), SparseVector(3, [0, 1, 2], v.tolist())))
+    df = spark.createDataFrame(rows, ["id", "features"])
+    model = ck.fit_cosine_kmeans(df, k=2, max_iter=10, seed=1)
+    pred = {r.id: r.cluster for r in model.transform(df).collect()}
+    even = {pred[str(i)] for i in range(0, 40, 2)}
+    odd = {pred[str(i)] for i in range(1, 40, 2)}
+    assert len(even) == 1 and len(odd) == 1 and even != odd
+    # the long-form assignment against the model's centers agrees with MLlib
+    long = spark.createDataFrame(
+        [(r[0], j, float(x)) for r in rows for j, x in zip(r[1].indices, r[1].values)],
+        "id string, idx int, value double")
+    mine = {r.id: r.cluster for r in ck.cosine_assign(long, ck.centroids_long(model, spark), 2).collect()}
+    assert mine == pred
