@@ -61,7 +61,7 @@ def test_mllib_cosine_kmeans_recovers_directions(spark):
     assert len(even) == 1 and len(odd) == 1 and even != odd
     # the long-form assignment against the model's centers agrees with MLlib
     long = spark.createDataFrame(
-        [(r[0], j, float(x)) for r in rows for j, x in zip(r[1].indices, r[1].values)],
+        [(r[0], int(j), float(x)) for r in rows for j, x in zip(r[1].indices, r[1].values)],
         "id string, idx int, value double")
     mine = {r.id: r.cluster for r in ck.cosine_assign(long, ck.centroids_long(model, spark), 2).collect()}
     assert mine == pred
