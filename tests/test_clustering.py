@@ -65,3 +65,10 @@ def test_mllib_cosine_kmeans_recovers_directions(spark):
         "id string, idx int, value double")
     mine = {r.id: r.cluster for r in ck.cosine_assign(long, ck.centroids_long(model, spark), 2).collect()}
     assert mine == pred
+
+
+def test_negative_clusters_for_k3(spark):
+    clustered = spark.createDataFrame(
+        [(0, 1), (1, 1), (1, 1), (2, 0), (2, 1)], "cluster int, label int")
+    neg = sorted(r.negative_cluster for r in ck.negative_clusters(ck.crosstab(clustered, 3)).collect())
+    assert neg == [0, 2]  # cluster 1 has most label-1 points
