@@ -8,8 +8,8 @@ a patient listed twice for review) is kept as the defined result by carrying
 multiplicities, unless ``dedupe=True``.
 
 Hashing is row-local: each patient row becomes arrays of term slots and
-weights (md5 in the JVM), and one small Python helper sums colliding slots
-into a SparseVector, so building vectors needs no shuffle. The long form
+weights (md5 in the JVM), and one small Arrow-batched pandas UDF sums
+colliding slots into sparse vectors, so building vectors needs no shuffle. The long form
 (one row per patient and slot) is partitioned by patient once and sums
 collisions there; it feeds the cosine assignment and inspection.
 """
@@ -17,7 +17,8 @@ collisions there; it feeds the cosine assignment and inspection.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.linalg import SparseVector, VectorUDT
+import pandas as pd
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -170,24 +171,46 @@ def term_arrays(features: DataFrame, n_features: int = N_FEATURES, **probes) ->
 
 
 def _to_sparse(size: int):
-    """Arrays of (slot, weight) -> SparseVector, colliding slots summed.
+    """Arrays of (slot, weight) -> sparse vectors, colliding slots summed.
 
-    The one Python helper of the library: a vector object cannot be built
-    by a built-in expression. numpy merges the row's terms.
+    The one Python helper of the library (a vector cannot be built by a
+    built-in expression): an Arrow-batched pandas UDF that returns the
+    vector's storage struct (type 0 = sparse, size, indices, values). The
+    merge is vectorized over the whole batch: one lexsort by (row, slot),
+    one ``reduceat`` for the sums, one split back into rows.
     """
-    def build(idx, weight):
-        slots, inverse = np.unique(np.asarray(idx, dtype=np.int64), return_inverse=True)
-        sums = np.bincount(inverse, weights=np.asarray(weight, dtype=np.float64))
-        return SparseVector(size, slots.tolist(), sums.tolist())
-    return F.udf(build, VectorUDT())
+    def build(idx: pd.Series, weight: pd.Series) -> pd.DataFrame:
+        n = len(idx)
+        if n == 0:
+            return pd.DataFrame({"type": pd.Series([], dtype=np.int8),
+                                 "size": pd.Series([], dtype=np.int32),
+                                 "indices": pd.Series([], dtype=object),
+                                 "values": pd.Series([], dtype=object)})
+        lens = idx.map(len).to_numpy()
+        rows = np.repeat(np.arange(n), lens)
+        slots = np.concatenate(idx.to_numpy()).astype(np.int64)
+        weights = np.concatenate(weight.to_numpy()).astype(np.float64)
+        order = np.lexsort((slots, rows))
+        rows, slots, weights = rows[order], slots[order], weights[order]
+        first = np.ones(len(slots), dtype=bool)
+        first[1:] = (rows[1:] != rows[:-1]) | (slots[1:] != slots[:-1])
+        starts = np.flatnonzero(first)
+        sums = np.add.reduceat(weights, starts)
+        row_of, slot_of = rows[starts], slots[starts].astype(np.int32)
+        cuts = np.searchsorted(row_of, np.arange(1, n))
+        return pd.DataFrame({"type": np.zeros(n, dtype=np.int8),
+                             "size": np.full(n, size, dtype=np.int32),
+                             "indices": np.split(slot_of, cuts),
+                             "values": np.split(sums, cuts)})
+    return F.pandas_udf(build, VectorUDT())
 
 
 def hash_features(features: DataFrame, n_features: int = N_FEATURES,
                   keep: tuple[str, ...] = ("id", "review"), **probes) -> DataFrame:
     """``keep`` columns plus ``features`` (SparseVector of ``n_features``).
 
-    Slots and weights are computed JVM-side; a small Python function sums
-    colliding slots and builds the vector object (no shuffle).
+    Slots and weights are computed JVM-side; a small Arrow-batched pandas
+    UDF sums colliding slots and emits the vectors (no shuffle).
     """
     idx, weight = term_arrays(features, n_features, **probes)
     return features.select(*keep, _to_sparse(n_features)(idx, weight).alias("features"))
