@@ -434,3 +434,15 @@ def q_coefficient_curve(spark, sf_dir):
     from claimlens.operators.charges import ranked_curve
     rep = pipeline_of(spark, sf_dir).coefficients
     return rounded(ranked_curve(rep, "feature", "beta", 2, ("probe", "idx"), n_labels_bottom=4))
+
+
+CAP_N = 1_000
+
+
+@register("clustering_sample_capped", W(*BASE, _sample_sql(CLUSTER_N)) + f"""
+SELECT {_FEATURE_COLS} FROM sample ORDER BY {_key('id')}, id LIMIT {CAP_N}""")
+def q_clustering_sample_capped(spark, sf_dir):
+    """The clustering sample capped at 1,000 points by a fair seeded
+    sample (not "the first rows")."""
+    sample = sa.clustering_sample(features_of(spark, sf_dir), CLUSTER_N, SEED)
+    return _text(sa.cap_rows(sample, CAP_N, SEED))
