@@ -66,3 +66,19 @@ def test_cosine_assign_single_point_shuffle(spark):
     # the point side: exactly one shuffle (by id) under the per-point aggregate
     point_side = [ln for ln in _exchange_children(lines) if "Generate" in ln or "Project" in ln]
     assert len(point_side) == 1
+
+
+def test_join_small_falls_back_above_the_bound(spark):
+    from claimlens.operators.common import broadcast_checked, join_small
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(200).selectExpr("id % 20 AS k", "id")
+        small = spark.range(20).selectExpr("id AS k", "id * 10 AS v")
+        fast = join_small(big, small, "k", "inner", max_broadcast_rows=100)
+        slow = join_small(big, small, "k", "inner", max_broadcast_rows=5)
+        assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect()))
+        assert "BroadcastHashJoin" in "\n".join(_tree(fast))
+        assert "BroadcastHashJoin" not in "\n".join(_tree(slow))
+        assert "BroadcastHashJoin" not in "\n".join(_tree(big.join(broadcast_checked(small, 5), "k")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
