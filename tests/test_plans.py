@@ -82,3 +82,12 @@ def test_join_small_falls_back_above_the_bound(spark):
         assert "BroadcastHashJoin" not in "\n".join(_tree(big.join(broadcast_checked(small, 5), "k")))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_large_top_n_keeps_per_partition_limit(spark):
+    from pyspark.sql import functions as F
+
+    from claimlens.operators.common import ranked_top
+    df = spark.range(50_000).select(F.col("id"), (F.col("id") * 7 % 1000).alias("v"))
+    text = "\n".join(_tree(ranked_top(df, 10_000, [F.col("v").desc(), F.col("id")])))
+    assert "TakeOrderedAndProject" in text  # not a full sort into one partition
