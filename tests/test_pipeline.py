@@ -77,3 +77,18 @@ def test_term_scoring_equals_mllib_transform(spark, result):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k][0] == b[k][0] and abs(a[k][1] - b[k][1]) < 1e-9
+
+
+def test_pipeline_with_three_clusters(spark):
+    charges = registry.charges_of(spark, SF)
+    r = run_part3(si.patient_feed(spark, SF), si.claim_feed(spark, SF), charges,
+                  si.review_feed(spark, SF), Part3Config(seed=5, k=3, top_n=30))
+    assert len(r.negative) == 2 and set(r.negative) < {0, 1, 2}
+    assert r.crosstab.count() == 6
+    # training negatives come only from the negative clusters' unflagged points
+    neg_ids = r.clustered.where(F.col("cluster").isin(r.negative) & (F.col("label") == 0)) \
+        .select(F.col("patient_id").alias("id"))
+    train_neg = r.training.where("review = 0").select("id")
+    assert train_neg.join(neg_ids, "id", "left_anti").count() == 0
+    # no scored patient is one of those points
+    assert r.scored.join(neg_ids.withColumnRenamed("id", "patient_id"), "patient_id").count() == 0
