@@ -181,3 +181,22 @@ def test_patient_features_equals_join_then_group(spark, patients, claims, procs,
     got = {(r.id, r.review, r.age, r.gender, r.income):
            (r.type_I, r.type_O, {(e.claim_id, e.n) for e in r.claims}) for r in got}
     assert got == want
+
+
+@SETTINGS
+@given(rows=st.lists(ROW, min_size=1, max_size=25))
+def test_provider_winners_equals_single_pass(charges_df, rows):
+    from pyspark.sql import functions as F
+    rows = rows + [("I", None, "000020", "CA - Santa Cruz", 1.0, 2.0, 1.0)]  # a NULL procedure
+    df = charges_df(rows)
+    two = {r.procedure_id: (r.by_charge, r.by_gap) for r in ch.provider_winners(df).collect()}
+    by_charge = ch._first_per_procedure(
+        df.select("procedure_id", ch.to_bigint("provider_id").alias("provider_id"),
+                  F.col("avg_charged_amount").alias("value")), "provider_id", "value")
+    by_gap = ch._first_per_procedure(
+        df.select("procedure_id", ch.to_bigint("provider_id").alias("provider_id"),
+                  (F.col("avg_charged_amount") - F.col("avg_total_payment")).alias("value")),
+        "provider_id", "value")
+    one = {r.procedure_id: r.provider_id for r in by_charge.collect()}
+    gap = {r.procedure_id: r.provider_id for r in by_gap.collect()}
+    assert two == {p: (one[p], gap[p]) for p in one}
