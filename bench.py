@@ -61,7 +61,7 @@ def main() -> None:
     }
 
     def questions_all():
-        # the six answers in one call (shared statistics / arg-max pass),
+        # the six answers in one call (shared statistics and arg-max passes),
         # written as ranked files: returns a tiny frame to force nothing more
         run_questions(charges(), scratch_path(spark, "bench-results"), keep_table=False)
         return spark.range(1)

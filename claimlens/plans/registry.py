@@ -287,7 +287,7 @@ SELECT procedure_id, max(CASE WHEN rc = 1 THEN provider_id END) AS by_charge,
        max(CASE WHEN rg = 1 THEN provider_id END) AS by_gap
 FROM c GROUP BY procedure_id""")
 def q_provider_winners(spark, sf_dir):
-    """F1 + F3 in one pass: top provider per procedure by charge and by gap."""
+    """F1 + F3 together: top provider per procedure by charge and by gap."""
     return ch.provider_winners(charges_of(spark, sf_dir))
 
 

@@ -64,7 +64,7 @@ def main() -> None:
         "suspicious_patients (top n)": cl.suspicious_patients(scored, 10_000),
         "score_features (JVM scoring of everyone)": cl.score_features(
             spark.createDataFrame([(1, 0.5), (7, -0.25)], "idx int, beta double"), feats),
-        "provider_winners (1b + 1d in one pass)": ch.provider_winners(charges),
+        "provider_winners (1b + 1d together)": ch.provider_winners(charges),
         "global_rank (ranked curve of providers)": ch.ranked_curve(
             ch.provider_win_counts(charges, "charge"), "provider_id", "cnt", 3),
     }
