@@ -357,7 +357,7 @@ def q_scoring_set(spark, sf_dir):
 _RUNS: dict[tuple, object] = {}
 
 
-def pipeline_of(spark: SparkSession, sf_dir: str):
+def part3_run_of(spark: SparkSession, sf_dir: str):
     """Part 3 on the stand-ins, run once per (session, data dir)."""
     key = (session_key(spark), sf_dir)
     if key not in _RUNS:
@@ -381,32 +381,32 @@ def q_kmeans_cosine(spark, sf_dir):
 @register("l1_logistic_scores")
 def q_l1_logistic_scores(spark, sf_dir):
     """J9 + J10: L1 logistic fit on the training set; scored scoring set."""
-    return rounded(pipeline_of(spark, sf_dir).scored.select("patient_id", "review", "score"))
+    return rounded(part3_run_of(spark, sf_dir).scored.select("patient_id", "review", "score"))
 
 
 @register("predicted_counts")
 def q_predicted_counts(spark, sf_dir):
     """Scored rows per predicted class."""
-    return cl.predicted_counts(pipeline_of(spark, sf_dir).scored)
+    return cl.predicted_counts(part3_run_of(spark, sf_dir).scored)
 
 
 @register("coefficient_report")
 def q_coefficient_report(spark, sf_dir):
     """J11 + D7 + G5: features of the 10 largest |beta|."""
-    rep = pipeline_of(spark, sf_dir).coefficients
+    rep = part3_run_of(spark, sf_dir).coefficients
     return rounded(cl.top_by_abs(rep, "beta", "feature", 10))
 
 
 @register("model_quality")
 def q_model_quality(spark, sf_dir):
     """Mean log-likelihood and accuracy on the training set."""
-    return rounded(pipeline_of(spark, sf_dir).quality)
+    return rounded(part3_run_of(spark, sf_dir).quality)
 
 
 @register("suspicious_patients")
 def q_suspicious_patients(spark, sf_dir):
     """J12 + G2: top 10,000 scores among patients predicted suspicious."""
-    return rounded(pipeline_of(spark, sf_dir).suspicious)
+    return rounded(part3_run_of(spark, sf_dir).suspicious)
 
 
 @register("patient_kmeans_step_update", W(*BASE, *_PATIENT_STEP_SQL, """
@@ -432,7 +432,7 @@ def q_coefficient_curve(spark, sf_dir):
     """J11 + F5: every non-zero coefficient by descending beta; the top 2
     and bottom 4 features labelled."""
     from claimlens.operators.charges import ranked_curve
-    rep = pipeline_of(spark, sf_dir).coefficients
+    rep = part3_run_of(spark, sf_dir).coefficients
     return rounded(ranked_curve(rep, "feature", "beta", 2, ("probe", "idx"), n_labels_bottom=4))
 
 

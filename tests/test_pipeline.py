@@ -79,7 +79,7 @@ def test_term_scoring_equals_mllib_transform(spark, result):
         assert a[k][0] == b[k][0] and abs(a[k][1] - b[k][1]) < 1e-9
 
 
-def test_pipeline_with_three_clusters(spark):
+def test_part3_with_three_clusters(spark):
     charges = registry.charges_of(spark, SF)
     r = run_part3(si.patient_feed(spark, SF), si.claim_feed(spark, SF), charges,
                   si.review_feed(spark, SF), Part3Config(seed=5, k=3, top_n=30))
