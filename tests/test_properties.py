@@ -200,3 +200,18 @@ def test_provider_winners_equals_single_pass(charges_df, rows):
     one = {r.procedure_id: r.provider_id for r in by_charge.collect()}
     gap = {r.procedure_id: r.provider_id for r in by_gap.collect()}
     assert two == {p: (one[p], gap[p]) for p in one}
+
+
+FIELD = st.text(alphabet=st.characters(blacklist_characters="\x1e\x1f\r\n",
+                                       blacklist_categories=("Cs",)), max_size=8)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(FIELD, FIELD, FIELD), min_size=1, max_size=20))
+def test_rs_us_round_trip(spark, tmp_path_factory, rows):
+    """Arbitrary text (quotes, commas, empty, unicode) survives RS/US files."""
+    from claimlens import schemas, sinks, sources
+    path = str(tmp_path_factory.mktemp("rsus"))
+    sinks.write_control_delimited(spark.createDataFrame(rows, schemas.PATIENT_CLAIM), path + "/t")
+    back = sources.read_claims(spark, path + "/t").collect()
+    assert sorted(tuple(r) for r in back) == sorted(rows)
