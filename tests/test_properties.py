@@ -215,3 +215,20 @@ def test_rs_us_round_trip(spark, tmp_path_factory, rows):
     sinks.write_control_delimited(spark.createDataFrame(rows, schemas.PATIENT_CLAIM), path + "/t")
     back = sources.read_claims(spark, path + "/t").collect()
     assert sorted(tuple(r) for r in back) == sorted(rows)
+
+
+XML_VALUE = st.text(alphabet=st.characters(blacklist_characters="<\n",
+                                           blacklist_categories=("Cs",)), max_size=8)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(XML_VALUE, XML_VALUE, XML_VALUE, XML_VALUE),
+                     min_size=1, max_size=15))
+def test_xml_round_trip(spark, tmp_path_factory, rows):
+    """Values without '<' (the field pattern's terminator) or a line feed
+    (removed by design) survive the patient XML feed."""
+    from claimlens import schemas, sinks, sources
+    path = str(tmp_path_factory.mktemp("xml")) + "/t"
+    sinks.write_tagged_xml(spark.createDataFrame(rows, schemas.PATIENT), path)
+    back = sources.read_patients(spark, path).collect()
+    assert sorted(tuple(r) for r in back) == sorted(rows)
