@@ -85,7 +85,9 @@ def write_quoted_csv(df: DataFrame, path: str, header: bool = True,
                      compression: str | None = "gzip") -> None:
     """Inverse of A5: every field quoted, doubled inner quotes, gzip parts."""
     w = (df.write.mode("overwrite").option("header", header).option("quote", '"')
-         .option("escape", '"').option("quoteAll", True))
+         .option("escape", '"').option("quoteAll", True)
+         # Spark's CSV writer trims values by default; keep them whole.
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if compression:
         w = w.option("compression", compression)
     w.csv(path)

@@ -123,18 +123,25 @@ def read_patients(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def read_quoted_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
                     header: bool = True, sep: str = ",", quote: str = '"',
-                    repartition: int | None = None) -> DataFrame:
+                    repartition: int | None = None, empty_as_null: bool = False) -> DataFrame:
     """A5: quoted CSV whose fields may hold separators and line breaks.
 
     Doubled quotes inside a quoted field become one quote (RFC 4180). Gzip
     files (A9) are read by extension, each exactly once; with ``multiLine``
     a file is one task, so ``repartition`` spreads rows after the read.
+    Every field of the feeds is text whose default is ``''``, so an empty
+    field (or a missing one) reads as ``''`` unless ``empty_as_null``;
+    numbers parsed later still turn it into NULL.
     """
     df = (spark.read.schema(schema)
           .option("header", header).option("multiLine", True)
           .option("sep", sep).option("quote", quote).option("escape", quote)
           .option("mode", "PERMISSIVE")
           .csv(path))
+    if not empty_as_null:
+        df = df.select(*[F.coalesce(F.col(f.name), F.lit("")).alias(f.name)
+                         if isinstance(f.dataType, T.StringType) else F.col(f.name)
+                         for f in schema.fields])
     return df.repartition(repartition) if repartition else df
 
 
