@@ -57,9 +57,10 @@ def session_key(spark: SparkSession) -> tuple:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (as in tests) is a private
-    folder under the system temp dir created and registered as the
-    session's checkpoint folder.
+    Read from the session. Only when it is unset and the session runs in one
+    process (master ``local``, as in tests) is a private folder under the
+    system temp dir created and registered; a cluster whose executors do not
+    share that folder raises instead.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -70,6 +71,10 @@ def shared_dir(spark: SparkSession) -> str:
         current = None
     if current:
         return current
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share "
+                           f"(master {master!r} has no local default)")
     key = session_key(spark)
     if key not in _FALLBACK:
         _FALLBACK[key] = tempfile.mkdtemp(prefix="claimlens-ckpt-")
