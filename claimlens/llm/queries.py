@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import minhash
+from claimlens.llm import decontaminate, minhash, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,3 +34,18 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return minhash.near_duplicate_classes(docs).withColumn(
         "kept", F.col("doc_id") == F.col("class_id"))
+
+
+@query
+def op9_quality_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score and whether it is kept."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs)
+    return docs.select("doc_id", model.score("text").alias("score")).withColumn(
+        "kept", F.col("score") >= quality.KEEP_FROM)
+
+
+@query
+def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items found in it."""
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
