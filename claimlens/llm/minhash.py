@@ -14,18 +14,19 @@ coefficient when no shingle repeats.
    its smallest id; only representatives go on.
 3. *Banding.* Equal register groups put representatives into buckets. With
    30 bands of 6 rows a pair of similarity 0.8 shares a bucket with
-   probability 0.9999.
-4. *Verification.* J_P is computed exactly from the shingles. Two star rounds
-   compare each bucket's members with one pseudo-random hub and contract what
-   is linked; after that every pair of a bucket whose ends are not yet
-   connected is compared. So a large group of copies costs about one
-   comparison a member, and no link between two groups is lost.
+   probability 0.9999. Texts connected through buckets form a family; a family
+   is dealt by id hash into blocks of about ``BLOCK`` texts.
+4. *Verification.* Blocks that share a bucket are compared text by text with
+   the exact J_P, one pair of blocks at a time. A pair of blocks returns at
+   most one row a text (a spanning forest of its links), so the rows grow with
+   the texts and not with the square of a group, and no link is lost.
 5. *Components* of the links give the class of each document.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ from claimlens.llm.components import connected_components
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 30, 6
+BLOCK = 128
 
 
 def probminhash(docs: list[tuple[np.ndarray, np.ndarray]], m: int) -> np.ndarray:
@@ -154,7 +156,7 @@ def _signature_fn(id_col: str, text_col: str, bands: int, rows: int):
     return run
 
 
-def _shingle_fn(id_col: str, text_col: str):
+def _shingle_fn(id_col: str, text_col: str, block_col: str):
     ids = WordIds()
 
     def run(cols: dict) -> dict:
@@ -165,25 +167,108 @@ def _shingle_fn(id_col: str, text_col: str):
             nx.append(len(a))
             w.append(n if (n > 1).any() else n[:0])
             nw.append(len(w[-1]))
-        return {"id": cols[id_col], "x": lists(np.concatenate(x).view(np.int64), nx, pa.int64()),
+        return {"id": cols[id_col], "block": cols[block_col],
+                "x": lists(np.concatenate(x).view(np.int64), nx, pa.int64()),
                 "w": lists(np.concatenate(w).astype(np.int32), nw, pa.int32())}
     return run
 
 
-def _verify_fn(threshold: float):
+def _linked(sets: list, n_left: int, threshold: float) -> np.ndarray:
+    """Boolean (n, n) matrix of the pairs with J_P >= ``threshold`` among
+    ``sets`` [(sorted ids, weights or None)]. With ``n_left`` > 0 only pairs
+    between the first ``n_left`` sets and the others count.
+
+    Common shingles are counted by products of 0/1 matrices, a slice of the
+    shingles at a time. Where a shingle repeats, J_P is at most either text's
+    share of common shingles; pairs within that bound are computed singly.
+    """
+    n = len(sets)
+    size = np.array([len(x) for x, _ in sets])
+    heavy = np.array([w is not None for _, w in sets])
+    share = [np.ones(len(x)) / len(x) if w is None else w / w.sum() for x, w in sets]
+    row = np.repeat(np.arange(n), size)
+    _, col, count = np.unique(np.concatenate([x for x, _ in sets]), return_inverse=True,
+                              return_counts=True)
+    use = count[col] > 1
+    row, col, mass = row[use], col[use], np.concatenate(share)[use]
+    order = np.argsort(col, kind="stable")
+    row, mass = row[order], mass[order]
+    col = np.cumsum(np.append(False, np.diff(col[order]) != 0)) if len(order) else col[order]
+    common, part = np.zeros((n, n)), np.zeros((n, n))
+    width, total = 4096, int(col[-1]) + 1 if len(col) else 0
+    for lo in range(0, total, width):
+        a, b = np.searchsorted(col, [lo, lo + width])
+        m = np.zeros((n, min(width, total - lo)), np.float32)
+        m[row[a:b], col[a:b] - lo] = 1
+        common += m @ m.T
+        if heavy.any():
+            p = np.zeros(m.shape, np.float32)
+            p[row[a:b], col[a:b] - lo] = mass[a:b]
+            part += p @ m.T
+    with np.errstate(divide="ignore", invalid="ignore"):
+        link = common / (size[:, None] + size[None, :] - common) >= threshold
+    if heavy.any():
+        either = heavy[:, None] | heavy[None, :]
+        bound = (part >= threshold - 1e-3) & (part.T >= threshold - 1e-3) & either
+        link &= ~either
+        if n_left:
+            bound[n_left:] = False
+            bound[:, :n_left] = False
+        for i, j in zip(*np.nonzero(np.triu(bound | bound.T, 1)), strict=True):
+            if probability_jaccard(*sets[i], *sets[j]) >= threshold:
+                link[i, j] = link[j, i] = True
+    if n_left:
+        link[:n_left, :n_left] = False
+        link[n_left:, n_left:] = False
+    np.fill_diagonal(link, False)
+    return link
+
+
+def _forest(link: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Star edges (smallest id, member) of each connected group of ``link``."""
+    label = ids.copy()
+    top = np.iinfo(np.int64).max
+    while True:
+        near = np.where(link, label[None, :], top).min(axis=1, initial=top)
+        new = np.minimum(label, near)
+        if (new == label).all():
+            break
+        label = new
+    out = label != ids
+    return label[out], ids[out]
+
+
+def _block_fn(threshold: float):
+    """Rows sorted by pair of blocks -> edges; one pair is held at a time."""
     def column(values: pa.ListArray, dtype):
         flat = values.flatten().to_numpy(zero_copy_only=False)
         cut = np.concatenate(([0], np.cumsum(np.diff(values.offsets.to_numpy()))))
         return [flat[a:b].view(dtype) for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
-    def run(cols: dict) -> dict:
-        xa, xb = column(cols["xa"], np.uint64), column(cols["xb"], np.uint64)
-        wa, wb = column(cols["wa"], np.int32), column(cols["wb"], np.int32)
-        sim = [probability_jaccard(p, u if len(u) else None, q, v if len(v) else None)
-               for p, u, q, v in zip(xa, wa, xb, wb, strict=True)]
-        keep = pa.array([s >= threshold for s in sim])
-        return {"a": cols["a"].filter(keep), "b": cols["b"].filter(keep),
-                "sim": [s for s in sim if s >= threshold]}
+    def edges(group: list) -> tuple[np.ndarray, np.ndarray]:
+        group.sort(key=lambda r: r[0])
+        ids = np.array([r[1] for r in group], np.int64)
+        sets = [(r[2], r[3] if len(r[3]) else None) for r in group]
+        cross = group[-1][0] != group[0][0]
+        return _forest(_linked(sets, sum(r[0] == group[0][0] for r in group) if cross else 0,
+                               threshold), ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, group = None, []
+        for batch in batches:
+            lo, hi, own, ids = (batch.column(n).to_pylist() for n in ("lo", "hi", "own", "id"))
+            xs, ws = column(batch.column("x"), np.uint64), column(batch.column("w"), np.int32)
+            for k in range(batch.num_rows):
+                if (lo[k], hi[k]) != key:
+                    if len(group) > 1:
+                        yield out(*edges(group))
+                    key, group = (lo[k], hi[k]), []
+                group.append((own[k] == hi[k] and lo[k] != hi[k], ids[k], xs[k].copy(), ws[k].copy()))
+        if len(group) > 1:
+            yield out(*edges(group))
+
+    def out(a, b):
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
     return run
 
 
@@ -196,35 +281,23 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      "id bigint, key binary, buckets array<bigint>")
 
 
-def _stars(live: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) of each bucket's hub with the members outside the hub's
-    group. The hub is the member with the smallest id xor a bucket salt, so
-    that different buckets of one group get different hubs."""
-    salt = F.xxhash64("bucket", F.lit(turn)).bitwiseAND(F.lit((1 << 62) - 1))
-    hubs = live.groupBy("bucket").agg(F.min(F.col("id").bitwiseXOR(salt)).alias("k")) \
-        .select("bucket", F.col("k").bitwiseXOR(salt).alias("hub"))
-    pairs = live.join(hubs, "bucket")
-    if "comp" in live.columns:
-        own = live.select(F.col("bucket"), F.col("id").alias("hub"), F.col("comp").alias("hub_comp"))
-        hubs = hubs.join(own, ["bucket", "hub"])
-        pairs = live.join(hubs, "bucket").where("comp <> hub_comp")
-    return pairs.where("id <> hub").select(F.least("id", "hub").alias("a"),
-                                           F.greatest("id", "hub").alias("b")).distinct()
-
-
-def _unmerged(live: DataFrame, links: DataFrame) -> DataFrame:
-    """Bucket rows with their group so far, of buckets that hold two groups."""
-    comp = connected_components(links.select("a", "b")).withColumnRenamed("node", "id")
-    rows = stored(live.select("bucket", "id").join(comp, "id", "left").select(
-        "bucket", "id", F.coalesce("component", "id").alias("comp")), "grouped")
-    split = rows.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-        .where("lo <> hi").select("bucket")
-    return stored(rows.join(split, "bucket"), "unmerged")
+def _families(live: DataFrame) -> DataFrame:
+    """(bucket, id, block): families of texts connected through buckets, dealt
+    into blocks of about ``BLOCK`` by id hash."""
+    hubs = live.groupBy("bucket").agg(F.min("id").alias("hub"))
+    family = connected_components(live.join(hubs, "bucket").select(
+        F.col("hub").alias("a"), F.col("id").alias("b")))
+    blocks = family.groupBy("component").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("bigint").alias("n"))
+    of_id = family.join(blocks, "component").select(
+        F.col("node").alias("id"),
+        F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("n"))).alias("block"))
+    return stored(live.join(of_id, "id").select("bucket", "id", "block"), "blocks")
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                           threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
-                           star_rounds: int = 2) -> DataFrame:
+                           threshold: float = THRESHOLD, bands: int = BANDS,
+                           rows: int = ROWS) -> DataFrame:
     """(``id_col``, class_id): one row per id; class_id is the smallest id of
     the texts connected by links of similarity >= ``threshold``.
 
@@ -241,41 +314,32 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     bucketed = first.select("id", F.explode("buckets").alias("bucket"))
     shared = bucketed.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")) \
         .where("lo <> hi").select("bucket")
-    live = stored(bucketed.join(shared, "bucket").select("bucket", "id"), "live")
-
-    wanted = small(live.select(F.col("id").alias(id_col)).distinct(), 16)
-    shingles = stored(arrow_map(
-        docs.select(id_col, text_col).join(wanted, id_col, "left_semi"),
-        _shingle_fn(id_col, text_col), "id bigint, x array<bigint>, w array<int>"), "shingles")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        b = shingles.select(F.col("id").alias("b"), F.col("x").alias("xb"), F.col("w").alias("wb"))
-        a = shingles.select(F.col("id").alias("a"), F.col("x").alias("xa"), F.col("w").alias("wa"))
-        return stored(arrow_map(pairs.join(b, "b").join(a, "a"), _verify_fn(threshold),
-                                "a bigint, b bigint, sim double"), "links")
+    live = _families(stored(bucketed.join(shared, "bucket").select("bucket", "id").distinct(), "live"))
+
+    block_of = stored(live.select("id", "block").distinct(), "block-of")
+    wanted = small(block_of, 24)
+    shingles = arrow_map(
+        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id"),
+        _shingle_fn("id", "text", "block"), "id bigint, block bigint, x array<bigint>, w array<int>")
+    seen = live.select("bucket", "block").distinct()
+    several = seen.groupBy("bucket").agg(F.min("block").alias("l"), F.max("block").alias("h")) \
+        .where("l <> h").select("bucket")
+    seen = seen.join(several, "bucket")
+    pairs = seen.select("bucket", F.col("block").alias("lo")) \
+        .join(seen.select("bucket", F.col("block").alias("hi")), "bucket").where("lo < hi") \
+        .select("lo", "hi").union(block_of.select(F.col("block").alias("lo"), F.col("block").alias("hi"))) \
+        .distinct()
+    pairs = stored(pairs, "block-pairs")
+    sides = pairs.select("lo", "hi", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("block"))
+    dealt = stored(shingles, "shingles").join(sides, "block") \
+        .select("lo", "hi", F.col("block").alias("own"), "id", "x", "w") \
+        .repartition("lo", "hi").sortWithinPartitions("lo", "hi")
+    links = stored(dealt.mapInArrow(_block_fn(threshold), "a bigint, b bigint"), "links")
 
     same_id = member.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")) \
         .where("a <> z").select("id", "a")
-    links = [member.join(same_id, "id").select("a", F.col("rep").alias("b")).where("a <> b")]
-    done = None
-    for turn in range(star_rounds + 1):
-        if turn < star_rounds:
-            pairs = _stars(live, turn)
-        else:
-            l, r = live.select("bucket", F.col("id").alias("a"), F.col("comp").alias("ca")), \
-                live.select("bucket", F.col("id").alias("b"), F.col("comp").alias("cb"))
-            pairs = l.join(r, "bucket").where("a < b and ca <> cb").select("a", "b").distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        done = pairs if done is None else done.union(pairs)
-        links.append(verified(pairs).select("a", "b"))
-        every = links[0]
-        for more in links[1:]:
-            every = every.union(more)
-        if turn < star_rounds:
-            live = _unmerged(live, every)
-    comp = connected_components(every)
+    links = links.union(member.join(same_id, "id").select("a", F.col("rep").alias("b")))
+    comp = connected_components(links)
     out = member.join(comp, member["rep"] == comp["node"], "left") \
         .groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("class_id"))
     return out.withColumnRenamed("id", id_col)
