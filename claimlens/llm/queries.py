@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import decontaminate, minhash, quality
+from claimlens.llm import decontaminate, minhash, packing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,3 +49,18 @@ def op9_quality_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark items found in it."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secret spans: base patterns and the network's."""
+    docs = table(spark, sf_dir, "documents")
+    scanner = secrets.fit_scanner(docs)
+    return docs.select("doc_id", scanner.scan(F.coalesce(F.col("text"), F.lit(""))).alias("s")) \
+        .select("doc_id", "s.*")
+
+
+@query
+def op5_spfhp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence."""
+    return packing.packed(table(spark, sf_dir, "documents"))
