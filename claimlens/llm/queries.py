@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import decontaminate, minhash, packing, quality, secrets
+import corpus_pipeline
+from claimlens.llm import decontaminate, minhash, packing, quality, secrets, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +65,15 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_spfhp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document and its place in a sequence."""
     return packing.packed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes and tokens."""
+    return token_count.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline: pieces of the documents that all stages keep."""
+    return corpus_pipeline.run(spark, sf_dir)
