@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from claimlens.llm import decontaminate, minhash, packing, quality, secrets, token_count
+from claimlens.llm import (
+    decontaminate, html_extract, minhash, packing, quality, secrets, token_count, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -77,3 +78,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline: pieces of the documents that all stages keep."""
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query
+def op2_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score and prediction."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_html_min_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
