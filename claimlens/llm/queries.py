@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from claimlens.llm import (
-    decontaminate, html_extract, minhash, packing, quality, secrets, token_count, toxicity)
+    decontaminate, html_extract, minhash, packing, quality, secrets, token_count, toxicity,
+    vector_join)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -90,3 +91,27 @@ def op2_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_html_min_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's main text."""
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_epsilon_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's number of links at cosine 0.9 and its component."""
+    return vector_join.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op6_epsilon_grid_join"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, x -> x <> 0)) > 0),
+link AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM v a, v b
+    WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(x, y) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+part AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x),
+degree AS (SELECT x AS vec_id, count(*) AS n FROM link GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM part LEFT JOIN degree USING (vec_id)
+"""
