@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from claimlens.llm import (
     decontaminate, html_extract, minhash, packing, quality, secrets, token_count, toxicity,
-    vector_join)
+    vector_join, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -115,3 +115,22 @@ degree AS (SELECT x AS vec_id, count(*) AS n FROM link GROUP BY x)
 SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM part LEFT JOIN degree USING (vec_id)
 """
+
+
+@query
+def op1_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, read back from the archives written of all pages."""
+    return warc.archived_pages(table(spark, sf_dir, "pages")).drop("url")
+
+
+ORACLE["op1_warc_boundary_chain"] = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT payload_digest, min(page_id) AS first_page FROM p WHERE payload_bytes >= 100
+      GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_page <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_page <> page_id THEN first_page END AS refers_to
+FROM p LEFT JOIN g USING (payload_digest)
+"""
