@@ -102,8 +102,8 @@ def op6_epsilon_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op6_epsilon_grid_join"] = """
 WITH RECURSIVE v AS (
     SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-      AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 link AS (
     SELECT a.vec_id AS x, b.vec_id AS y FROM v a, v b
     WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),

@@ -49,23 +49,21 @@ def _header_value(value: Column) -> Column:
     return F.regexp_replace(value, r"[\x00-\x1f\x7f]", "%00")
 
 
-def with_revisits(pages: DataFrame, id_col: str, payload_col: str,
-                  least: int = REVISIT_BYTES) -> DataFrame:
-    """``pages`` with _digest, _bytes and _first (the id that a revisit refers
-    to, null for responses).
+def with_revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
+    """``pages`` (id, uri, payload) with digest, bytes and first (the id that a
+    revisit refers to, null for responses).
 
     Only digests are shuffled: groups are combined map-side, and the groups of
     two rows or more are joined back (broadcast behind a size check).
     """
-    payload = F.coalesce(F.col(payload_col), F.lit(""))
-    rows = pages.withColumns({"_digest": F.sha2(payload, 256),
-                              "_bytes": F.octet_length(payload).cast("bigint")})
-    groups = rows.where(F.col("_bytes") >= least).groupBy("_digest").agg(
-        F.min(id_col).alias("_smallest"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    groups = small(stored(groups.select("_digest", "_smallest"), "payload-groups"), 80)
-    other = F.col(id_col).isNull() | (F.col(id_col) != F.col("_smallest"))
-    return rows.join(groups, "_digest", "left").withColumn(
-        "_first", F.when(F.col("_smallest").isNotNull() & other, F.col("_smallest"))).drop("_smallest")
+    rows = pages.withColumns({"digest": F.sha2("payload", 256),
+                              "bytes": F.octet_length("payload").cast("bigint")})
+    groups = rows.where(F.col("bytes") >= least).groupBy("digest").agg(
+        F.min("id").alias("smallest"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    groups = small(stored(groups.select("digest", "smallest"), "payload-groups"), 80)
+    other = F.col("id").isNull() | (F.col("id") != F.col("smallest"))
+    return rows.join(groups, "digest", "left").withColumn(
+        "first", F.when(F.col("smallest").isNotNull() & other, F.col("smallest"))).drop("smallest")
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", uri_col: str = "url",
@@ -74,22 +72,24 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", uri_col
 
     A null payload is empty; a null id or URI leaves its field empty. Rows
     that repeat an id are records of their own: all rows with the smallest id
-    of a payload are responses.
+    of a payload are responses. Further columns are not read.
     """
-    rows = with_revisits(pages, id_col, payload_col, least)
-    revisit = F.col("_first").isNotNull()
-    block = F.when(revisit, F.lit("")).otherwise(F.coalesce(F.col(payload_col), F.lit("")))
+    rows = with_revisits(pages.select(
+        F.col(id_col).alias("id"), F.col(uri_col).alias("uri"),
+        F.coalesce(F.col(payload_col), F.lit("")).alias("payload")), least)
+    revisit = F.col("first").isNotNull()
+    block = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
 
     def name(c: Column) -> Column:
         return F.concat(F.lit("<urn:page:"), F.coalesce(_header_value(c), F.lit("")), F.lit(">"))
 
     record = F.concat(
         F.lit(MAGIC + "WARC-Type: "), F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")),
-        F.lit("\r\nWARC-Record-ID: "), name(F.col(id_col)),
-        F.lit("\r\nWARC-Target-URI: "), F.coalesce(_header_value(F.col(uri_col)), F.lit("")),
-        F.lit("\r\nWARC-Payload-Digest: sha256:"), F.col("_digest"),
+        F.lit("\r\nWARC-Record-ID: "), name(F.col("id")),
+        F.lit("\r\nWARC-Target-URI: "), F.coalesce(_header_value(F.col("uri")), F.lit("")),
+        F.lit("\r\nWARC-Payload-Digest: sha256:"), F.col("digest"),
         F.when(revisit, F.concat(F.lit(f"\r\nWARC-Profile: {PROFILE}\r\nWARC-Refers-To: "),
-                                 name(F.col("_first")))).otherwise(F.lit("")),
+                                 name(F.col("first")))).otherwise(F.lit("")),
         F.lit("\r\nContent-Type: text/html\r\nContent-Length: "),
         F.octet_length(block).cast("string"), F.lit(GAP), block)
     rows.select(record.alias("value")).write.option("lineSep", GAP).text(path)
@@ -266,11 +266,12 @@ def archived_pages(pages: DataFrame, id_col: str = "page_id", uri_col: str = "ur
         return F.when(name != "", name).cast(kind)
 
     revisits = records.where("record_type = 'revisit'").select("record_id", "uri", "refers_to", "declared_digest")
+    both = ["refers_to", "declared_digest"]       # repeated ids may have other payloads
     targets = records.where("record_type = 'response'").select(
-        F.col("record_id").alias("refers_to"), "payload_bytes", "payload_digest") \
-        .join(revisits.select("refers_to").distinct(), "refers_to", "left_semi").dropDuplicates(["refers_to"])
-    resolved = revisits.join(targets, "refers_to", "left").where(
-        F.col("payload_digest") == F.col("declared_digest"))
+        F.col("record_id").alias("refers_to"), F.col("payload_digest").alias("declared_digest"),
+        "payload_bytes", "payload_digest") \
+        .join(revisits.select(both).distinct(), both, "left_semi").dropDuplicates(both)
+    resolved = revisits.join(targets, both)
     cols = ["record_id", "uri", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     out = records.where("record_type = 'response'").withColumn("refers_to", F.lit(None).cast("string")) \
         .select(cols).unionByName(resolved.withColumn("record_type", F.lit("revisit")).select(cols))
