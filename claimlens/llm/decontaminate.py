@@ -5,14 +5,15 @@ DataFrame and SQL functions only.
 *Canonical form.* Texts become tokens: runs of digits and of letters; other
 characters separate. A run of number tokens becomes ``0``, a run of
 capitalised words (a capital, then a small letter) becomes ``@``, a unit after
-a number becomes ``%``; other words are lower-cased.
+a number becomes ``%``; other words are lower-cased. A second form leaves names
+as lower-cased words, so that copies in other case are found too.
 
 *Windows.* Every ``WINDOW_WORDS`` consecutive canonical tokens form a template
 window (a shorter text is one window). The windows of all documents are
 hash-joined with those of the benchmark; the benchmark side is broadcast only
 behind a check of its size.
 
-*Decision.* An item is found in a document that holds at least ``THRESHOLD``
+*Decision.* In either form, an item is found in a document that holds at least ``THRESHOLD``
 of its distinct windows and fills its slots consistently: following the
 matched windows, each value of the item (number, name or unit) must stand for
 one value of the document. ``consistency`` is the share of the slot weight
@@ -37,7 +38,10 @@ UNITS = ("km m cm mm mi miles mile feet foot ft inch inches kg g mg lb lbs pound
          "weeks week months month years year percent dollars dollar euros euro cents usd eur "
          "degrees kmh mph hz khz mhz ghz kb mb gb tb w kw v").split()
 
-_RAW_TOKEN = r"(?: [0-9]+)+|(?: \p{Lu}\p{Ll}\p{L}*)+| [^ ]+"
+# Possessive runs: matched in a loop, whatever their length.
+_NAMES = r"(?: \p{Lu}\p{Ll}\p{L}*)++"
+_NUMBERS = "(?: [0-9]+)++"
+_RAW_TOKEN = _NUMBERS + "|{names} [^ ]+"
 
 
 def _spaced(text: Column) -> Column:
@@ -46,17 +50,20 @@ def _spaced(text: Column) -> Column:
     return F.concat(F.lit(" "), F.regexp_replace(digits, r"[^\p{L}0-9]+", " "), F.lit(" "))
 
 
-def canonical_tokens(text: Column) -> Column:
+def canonical_tokens(text: Column, names: bool = True) -> Column:
     """The canonical tokens; an empty array for a text without tokens."""
-    t = F.regexp_replace(_spaced(text), r"( \p{Lu}\p{Ll}\p{L}*)+", " @")
-    t = F.lower(F.regexp_replace(t, "( [0-9]+)+", " 0"))
+    t = _spaced(text)
+    if names:
+        t = F.regexp_replace(t, _NAMES, " @")
+    t = F.lower(F.regexp_replace(t, _NUMBERS, " 0"))
     t = F.regexp_replace(t, f"0 ({'|'.join(UNITS)}) ", "0 % ")
     return F.filter(F.split(t, " "), lambda x: x != "")
 
 
-def raw_tokens(text: Column) -> Column:
+def raw_tokens(text: Column, names: bool = True) -> Column:
     """The same tokens with their values, one for one."""
-    return F.transform(F.regexp_extract_all(_spaced(text), F.lit(_RAW_TOKEN), 0), F.trim)
+    pattern = _RAW_TOKEN.replace("{names}", f"{_NAMES}|" if names else "")
+    return F.transform(F.regexp_extract_all(_spaced(text), F.lit(pattern), 0), lambda x: F.trim(x))
 
 
 def _windows(tokens: Column, n: int) -> Column:
@@ -75,24 +82,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
                  window: int = WINDOW_WORDS, threshold: float = THRESHOLD,
                  consistency: float = CONSISTENCY) -> DataFrame:
-    """(``id_col``, row_key, item_id, found, n_windows, consistency) of each
-    benchmark item found in a document.
+    """(``id_col``, row_key, item_id) of each benchmark item found in a document.
 
     ``row_key`` is the hash of the row's text: rows that share an id are judged
     apart unless their texts are equal, and rows without an id are judged too.
     Null or empty texts and items match nothing; items without an id are
     ignored; repeated items and rows count once. Further columns are not read.
     """
-    item = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("t")) \
-        .where("item_id is not null").select(
-            "item_id", canonical_tokens(F.col("t")).alias("canon"), raw_tokens(F.col("t")).alias("raw"))
-    grams = stored(item.select("item_id", F.explode(F.array_distinct(_windows(F.col("canon"), window)))
-                               .alias("w")).distinct(), "item-windows")
-    sizes = grams.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows"))
+    items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("t")) \
+        .where("item_id is not null")
     rows = docs.select(F.col(id_col).alias("d"), _row_key(text_col).alias("k"),
                        F.col(text_col).alias("t"))
-    hits = rows.select("d", "k", F.explode(F.array_distinct(
-        _windows(canonical_tokens(F.col("t")), window))).alias("w")) \
+    both = [_found(rows, items, names, window, threshold, consistency) for names in (True, False)]
+    return both[0].union(both[1]).distinct().select(F.col("d").alias(id_col), F.col("k").alias("row_key"),
+                                                    "item_id")
+
+
+def _found(rows: DataFrame, items: DataFrame, names: bool, window: int = WINDOW_WORDS,
+           threshold: float = THRESHOLD, consistency: float = CONSISTENCY) -> DataFrame:
+    """(d, k, item_id) found with one canonical form; ``rows`` (d, k, t) and
+    ``items`` (item_id, t) hold the texts."""
+    item = items.select("item_id", canonical_tokens(F.col("t"), names).alias("canon"),
+                        raw_tokens(F.col("t"), names).alias("raw"))
+    literal = F.exists(F.slice("canon", F.col("q") + 1, window), lambda x: ~x.isin("0", "@", "%"))
+    grams = stored(item.select("item_id", "canon", F.posexplode(_windows(F.col("canon"), window)).alias("q", "w"))
+                   .where(literal).select("item_id", "w").distinct(), "item-windows")
+    sizes = grams.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows"))
+    # the tokens are a column of their own: inside the window expression they
+    # would be made again for every window
+    hits = rows.select("d", "k", canonical_tokens(F.col("t"), names).alias("canon")) \
+        .select("d", "k", F.explode(F.array_distinct(_windows(F.col("canon"), window))).alias("w")) \
         .join(small(grams, 24), "w")
     cand = stored(
         hits.groupBy("d", "k", "item_id").agg(F.count_distinct("w").alias("found"))
@@ -103,7 +122,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     keys = small(cand.select("d", "k").distinct(), 24)
     same = [rows["d"].eqNullSafe(keys["d"]), rows["k"] == keys["k"]]
     placed = rows.join(keys, same, "left_semi").distinct().select(
-        "d", "k", canonical_tokens(F.col("t")).alias("canon"), raw_tokens(F.col("t")).alias("raw")) \
+        "d", "k", canonical_tokens(F.col("t"), names).alias("canon"),
+        raw_tokens(F.col("t"), names).alias("raw")) \
         .select("d", "k", "raw", F.posexplode(_windows(F.col("canon"), window)).alias("p", "w")) \
         .select("d", "k", "p", "w", F.slice("raw", F.col("p") + 1, window).alias("doc_raw"))
     at_item = item.select("item_id", "canon", "raw",
@@ -133,9 +153,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     a, b = cand.alias("a"), slots.alias("b")
     return a.join(b, (F.col("a.d").eqNullSafe(F.col("b.d"))) & (F.col("a.k") == F.col("b.k"))
                   & (F.col("a.item_id") == F.col("b.item_id")), "left").select(
-        F.col("a.d").alias(id_col), F.col("a.k").alias("row_key"), "a.item_id", "found", "n_windows",
-        F.coalesce("consistency", F.lit(1.0)).alias("consistency")) \
-        .where(F.col("consistency") >= F.lit(consistency))
+        "a.d", "a.k", "a.item_id", F.coalesce("consistency", F.lit(1.0)).alias("consistency")) \
+        .where(F.col("consistency") >= F.lit(consistency)).drop("consistency")
 
 
 def _joined(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:

@@ -64,7 +64,7 @@ FEATURES = ("bias", "log_words", "links", "marks", "ends", "long_words", "headin
 # Starting weights, in the order of FEATURES.
 START = np.array([-1.0, 0.5, -3.0, 2.0, 0.6, 0.0, 0.2, 0.8, -0.6,
                   2.5, 2.0, -5.0, -3.0, -5.0, -5.0, -4.0, -0.3,
-                  -0.3, 0.8, -5.0, -5.0, -1.5])
+                  -0.3, 0.8, -7.0, -7.0, -1.5])
 _NOTICE = re.compile("©|copyright|all rights reserved|privacy policy|cookies|terms of (?:use|service)", re.I)
 
 
@@ -76,7 +76,9 @@ class Node:
         self.tag, self.up, self.index = tag, up, index
         names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)) if attributes else ""
         self.flags = (up.flags if up else frozenset()) | {tag}
-        self.bad = bool(up and up.bad) or bool(names and BAD_NAMES.search(names))
+        # a page-wide part is not bad for a name such as "with-sidebar"
+        own = names if tag not in ("html", "body", "main", "article") else ""
+        self.bad = bool(up and up.bad) or bool(own and BAD_NAMES.search(own))
         self.good = bool(up and up.good) or bool(names and GOOD_NAMES.search(names))
         self.hidden = bool(up and up.hidden) or bool(attributes and HIDDEN.search(attributes))
 
