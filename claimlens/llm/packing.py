@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from array import array
 from collections import defaultdict
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from claimlens.llm.common import arrow_map, stored
+from claimlens.llm.token_count import byte_symbols
 from claimlens.operators.common import global_rank
 
 MAX_TOKENS = 2048
@@ -41,61 +43,53 @@ class WordTokens(dict):
     The tokenizer drops white space and never looks across it, so a text's
     ids are those of its words in order; and it folds case and parts letters
     from closing marks. So each distinct word is looked up once, and each
-    distinct run of small letters is encoded once. Cleared at ``limit`` words.
+    distinct run of small letters is merged once. Cleared at ``limit`` words.
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 400_000):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # Spark's tasks are the parallelism
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.cores: dict[str, bytes] = {}
+        self.symbols = dict(enumerate(byte_symbols()))
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.cores) > self.limit:
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
             self.cores.clear()
-        parts = {}
-        for word in words:
-            core = word.rstrip(_MARKS)
+        core = word.rstrip(_MARKS)
+        low = core.lower()
+        plain = core.isalpha()
+        if not core.isascii():
             # a capital sigma's small form depends on its place; a dotted capital I
             # leaves a mark that joins those behind it
-            plain = core.isalpha() and "Σ" not in core and core.lower().isalpha()
-            parts[word] = (core.lower(), word[len(core):]) if plain else (word, "")
-        new = list({x for p in parts.values() for x in p if x and x not in self.cores})
-        self.cores.update(zip(new, self.encoded(new), strict=True))
-        self.cores[""] = b""
-        for word, (core, tail) in parts.items():
-            self[word] = self.cores[core] + self.cores[tail]
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; texts are taken in groups of bounded size."""
-        out, group, size = [], [], 0
-        for text in texts:
-            group.append(text)
-            size += len(text)
-            if size > 4_000_000:
-                out += self._group(group)
-                group, size = [], 0
-        return out + self._group(group)
-
-    def _group(self, texts: list[str]) -> list[bytes]:
-        odd = [any(c in t for c in _ODD_SPACE) for t in texts]
-        split = [[] if o else t.split() for t, o in zip(texts, odd, strict=True)]
-        used = set()
-        for words in split:
-            used.update(words)
-        new = used.difference(self)
-        if len(self) + len(new) > self.limit:
-            self.clear()
-            new = used
-        if new:
-            self.learn(new)
-        get = self.__getitem__
-        return [self.encoded([t])[0] if o else b"".join(map(get, w))
-                for t, o, w in zip(texts, odd, split, strict=True)]
+            low = unicodedata.normalize("NFC", low)
+            plain = plain and "Σ" not in core and low.isalpha()
+        ids = self[word] = self.encoded([word])[0] if not plain else self._core(low) if core == word \
+            else self._core(low) + self._tail(word[len(core):])
+        return ids
+
+    def _core(self, low: str) -> bytes:
+        """The ids of a run of small letters: merged by the model itself."""
+        ids = self.cores.get(low)
+        if ids is None:
+            shown = low if low.isascii() else low.encode().decode("latin-1").translate(self.symbols)
+            ids = self.cores[low] = array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+        return ids
+
+    def _tail(self, marks: str) -> bytes:
+        if marks not in self.cores:
+            self.cores[marks] = self.encoded([marks])[0]
+        return self.cores[marks]
+
+    def of(self, text: str) -> bytes:
+        if any(c in text for c in _ODD_SPACE):
+            return self.encoded([text])[0]
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 @lru_cache(maxsize=2)
@@ -108,9 +102,8 @@ def _pieces_fn(id_col: str, text_col: str, tokenizer: str, max_tokens: int, end_
     def run(cols: dict) -> dict:
         words = _words(tokenizer)
         out = {"doc": [], "start": [], "length": [], "ids_crc32": [], "doc_tokens": []}
-        texts = [t or "" for t in cols[text_col].to_pylist()]
-        for doc, ids in zip(cols[id_col].to_pylist(), words.of(texts), strict=True):
-            ids += end_id.to_bytes(4, "little")
+        for doc, text in zip(cols[id_col].to_pylist(), cols[text_col].to_pylist(), strict=True):
+            ids = words.of(text or "") + end_id.to_bytes(4, "little")
             n = len(ids) // 4
             for start in range(0, n, max_tokens):
                 piece = ids[4 * start: 4 * (start + max_tokens)]
