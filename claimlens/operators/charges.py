@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from claimlens.functions import (better_first, code_prefix, flip_region, safe_div,
                                  to_bigint, to_double, to_int)
-from claimlens.operators.common import global_rank, join_small, ranked_top
+from claimlens.operators.common import broadcast_checked, global_rank, join_small, ranked_top
 
 PROVIDER_COLS = ("provider_id", "provider_city", "provider_state", "provider_zipcode",
                  "referral_region")
@@ -88,14 +88,20 @@ def relative_variance(charges: DataFrame, n: int = 3, ddof: int = 0,
     return top.select("rank", code_prefix("procedure_id").alias("procedure"), "rv")
 
 
-def _first_per_procedure(rows: DataFrame, winner: str, value: str) -> DataFrame:
+def _first_per_procedure(rows: DataFrame, winner: str, value: str,
+                         max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """per procedure, the ``winner`` with the largest ``value``.
 
-    Ties on the value go to the smaller winner; NULL values lose. Written
-    as ``min_by`` so it combines map-side (no per-procedure hot task).
+    Ties on the value go to the smaller winner; NULL values lose. Two hash
+    aggregates, both combined map-side (no per-procedure hot task, no sort of
+    detail rows): the largest value of each procedure, then the smallest
+    winner among its rows at that value.
     """
-    return rows.groupBy("procedure_id").agg(
-        F.min_by(winner, better_first((value, "desc"), (winner, "asc"))).alias(winner))
+    best = rows.groupBy("procedure_id").agg(F.max(value).alias("_best"))
+    best = broadcast_checked(best.withColumnRenamed("procedure_id", "_procedure"), max_broadcast_rows)
+    at = rows.join(best, rows["procedure_id"].eqNullSafe(best["_procedure"])
+                   & rows[value].eqNullSafe(best["_best"]))
+    return at.groupBy("procedure_id").agg(F.min(winner).alias(winner))
 
 
 def _count_wins(winners: DataFrame, winner: str) -> DataFrame:
@@ -179,8 +185,15 @@ def region_weighted_mean(charges: DataFrame) -> DataFrame:
 
 
 def region_win_counts(charges: DataFrame) -> DataFrame:
-    """Per referral region: procedures where its weighted mean is highest (F2)."""
-    winners = _first_per_procedure(region_weighted_mean(charges), "referral_region", "value")
+    """Per referral region: procedures where its weighted mean is highest (F2).
+
+    One row per (procedure, region) enters the arg-max, and its value is a sum
+    of doubles, which a second pass might add in another order: one pass by
+    ``min_by``. Ties go to the smaller region, NULL values lose.
+    """
+    winners = region_weighted_mean(charges).groupBy("procedure_id").agg(
+        F.min_by("referral_region", better_first(("value", "desc"), ("referral_region", "asc")))
+        .alias("referral_region"))
     return _count_wins(winners, "referral_region")
 
 

@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimlens.operators import features as fe
 from claimlens.operators.common import iteration_input, ranked_top, ranked_top_large
 
 L1_REG = 3e-5
@@ -52,39 +53,54 @@ def score(model: LogisticRegressionModel, vectors: DataFrame, id_col: str = "id"
                       p1.alias("p1"))
 
 
-def score_features(coef: DataFrame, features: DataFrame, n_features: int | None = None,
-                   **probes) -> DataFrame:
-    """J10 without building vectors, for scoring everyone at scale.
+def with_p1(features: DataFrame, coef: DataFrame, n_features: int | None = None, **probes) -> DataFrame:
+    """The feature rows with ``p1``, the class-1 probability under ``coef``
+    (idx, beta).
 
     The logistic margin is linear in the hashed terms, so it is the sum of
-    ``weight x beta[slot]`` over the row's terms (colliding terms add, as
-    in the vector). ``coef`` is ``coefficients(model)``: at most one row per
-    slot, broadcast. Terms are exploded row-locally, so the partial
-    aggregate leaves one row per patient and map task before the one
-    shuffle. Same output as ``score``: patient_id, review, score, p1.
+    ``weight x beta[slot]`` over the row's terms (colliding terms add, as in
+    the vector). Everything happens inside the row: no explode, no join, no
+    shuffle. The coefficients (at most ``n_features``) travel as one array
+    literal.
     """
-    from claimlens.operators import features as fe
     n_features = n_features or fe.N_FEATURES
-    terms = fe.hashed_terms(features, n_features, **probes).select("id", "idx", "weight")
-    margin = terms.join(F.broadcast(coef), "idx", "left").groupBy("id").agg(
-        F.sum(F.col("weight") * F.coalesce(F.col("beta"), F.lit(0.0))).alias("margin"))
-    p1 = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
-    pred = F.when(p1 > 0.5, F.lit(1)).otherwise(F.lit(0))
-    return margin.select(F.col("id").alias("patient_id"), pred.alias("review"),
-                         F.when(pred == 1, p1).otherwise(F.lit(1.0) - p1).alias("score"),
-                         p1.alias("p1"))
+    beta = [0.0] * n_features
+    for r in coef.collect():
+        beta[r.idx] = float(r.beta)
+    idx, weight = fe.term_arrays(features, n_features, **probes)
+    rows = features.withColumns({"_idx": idx, "_weight": weight})
+    parts = F.zip_with("_idx", "_weight", lambda i, w: w * F.element_at(F.lit(beta), i + 1))
+    margin = F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
+    return rows.withColumn("p1", F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).drop("_idx", "_weight")
 
 
-def predicted_counts(scored: DataFrame) -> DataFrame:
-    """Rows per predicted class."""
-    return scored.groupBy("review").agg(F.count(F.lit(1)).alias("n"))
+def score_features(coef: DataFrame, features: DataFrame, n_features: int | None = None,
+                   **probes) -> DataFrame:
+    """Predicted class and its probability, one result per feature row
+    (rows that share an id are scored apart).
 
+    Output: patient_id, review (predicted class), score, p1.
+    """
+    p1 = F.col("p1")
+    pred = F.when(p1 > 0.5, F.lit(1)).otherwise(F.lit(0))
+    return with_p1(features, coef, n_features, **probes).select(
+        F.col("id").alias("patient_id"), pred.alias("review"),
+        F.when(pred == 1, p1).otherwise(F.lit(1.0) - p1).alias("score"), p1)
 
-def model_quality(model: LogisticRegressionModel, labelled: DataFrame,
-                  label_col: str = "review") -> DataFrame:
-    """Mean log-likelihood of the true class and accuracy, over a set."""
-    out = model.transform(labelled.withColumn("_truth", F.col(label_col).cast("int")))
-    p1 = vector_to_array("probability").getItem(1)
+
+def predicted_counts(scored: DataFrame) -> DataFrame:
+    """Rows per predicted class; both classes, also one without a row."""
+    both = scored.agg(F.count_if(F.col("review") == 0).alias("n0"), F.count_if(F.col("review") == 1).alias("n1"))
+    return both.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("review"), F.col(f"n{c}").alias("n")) for c in (0, 1)])))
+
+
+def model_quality(coef: DataFrame, labelled: DataFrame, label_col: str = "review",
+                  n_features: int | None = None, **probes) -> DataFrame:
+    """Mean log-likelihood of the true class and accuracy of ``coef``
+    over labelled feature rows."""
+    out = with_p1(labelled.withColumn("_truth", F.col(label_col).cast("int")), coef, n_features, **probes)
+    p1 = F.col("p1")
     p_true = F.when(F.col("_truth") == 1, p1).otherwise(F.lit(1.0) - p1)
     pred = F.when(p1 > 0.5, F.lit(1)).otherwise(F.lit(0))
     return out.agg(
@@ -93,6 +109,29 @@ def model_quality(model: LogisticRegressionModel, labelled: DataFrame,
         F.avg((pred == F.col("_truth")).cast("double")).alias("accuracy"))
 
 
+def optimality(coef: DataFrame, training: DataFrame, reg: float = L1_REG, label_col: str = "review",
+               n_features: int | None = None, **probes) -> DataFrame:
+    """J9's certificate: for every slot of the training rows, the gradient of
+    the mean log-loss and by how much the L1 optimality condition is missed.
+
+    Optimal: gradient = -reg * sign(beta) where beta is not 0, and
+    |gradient| <= reg where it is. Output: idx, beta, gradient, miss.
+    """
+    n_features = n_features or fe.N_FEATURES
+    rows = with_p1(training, coef, n_features, **probes)
+    d = F.col("p1") - F.col(label_col).cast("double")
+    terms = fe.merged_terms(rows.withColumn("_d", d), n_features, "_terms", **probes) \
+        .select("_d", F.explode("_terms").alias("t"))
+    n = training.count()
+    g = terms.groupBy(F.col("t.idx").alias("idx")).agg(
+        (F.sum(F.col("_d") * F.col("t.value")) / F.lit(float(n))).alias("gradient"))
+    # coef has at most n_features rows
+    g = g.join(F.broadcast(coef), "idx", "left").withColumn("beta", F.coalesce("beta", F.lit(0.0)))
+    miss = F.when(F.col("beta") != 0, F.abs(F.col("gradient") + F.lit(reg) * F.signum("beta"))) \
+        .otherwise(F.greatest(F.lit(0.0), F.abs("gradient") - F.lit(reg)))
+    return g.select("idx", "beta", "gradient", miss.alias("miss"))
+
+
 def coefficients(model: LogisticRegressionModel, spark: SparkSession) -> DataFrame:
     """Model coefficients as (idx, beta), non-zero only (<= n_features rows)."""
     coef = model.coefficients
@@ -100,13 +139,15 @@ def coefficients(model: LogisticRegressionModel, spark: SparkSession) -> DataFra
     return spark.createDataFrame(rows, "idx int, beta double")
 
 
-def coefficient_report(model: LogisticRegressionModel, dictionary: DataFrame) -> DataFrame:
-    """Feature, probe, idx, beta for every slot with a non-zero beta.
+def coefficient_report(coef: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Feature, probe, idx, beta for every feature of the
+    dictionary, zero coefficients included.
 
     A slot shared by several features (a collision) lists each of them.
     """
-    coef = coefficients(model, dictionary.sparkSession)
-    return dictionary.join(F.broadcast(coef), "idx").select("feature", "probe", "idx", "beta")
+    # at most n_features rows
+    return dictionary.join(F.broadcast(coef), "idx", "left").select(
+        "feature", "probe", "idx", F.coalesce("beta", F.lit(0.0)).alias("beta"))
 
 
 def top_by_abs(df: DataFrame, value: str, key: str, n: int = 10) -> DataFrame:

@@ -9,11 +9,14 @@ fit itself is MLlib's distributed ``KMeans`` with the cosine measure.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions import safe_div
+from claimlens.operators import features as fe
 from claimlens.operators.common import iteration_input
 
 
@@ -39,8 +42,7 @@ def cosine_assign(points: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
 
     Plan: the centroids are pivoted to one row per slot with k value
     columns (at most n_features rows: broadcast); each point's norm and its
-    k dot products come from one aggregate by ``id``. Points arriving
-    partitioned by ``id`` (``features.vector_long``) need no further shuffle.
+    k dot products come from one aggregate by ``id``.
     """
     cols = [f"c{c}" for c in range(k)]
     wide = centroids.groupBy("idx").pivot("cluster", list(range(k))).agg(F.sum("value"))
@@ -51,20 +53,45 @@ def cosine_assign(points: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
         F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"),
         *[F.sum(F.col("value") * F.coalesce(F.col(name), F.lit(0.0))).alias(f"dot{c}")
           for c, name in enumerate(cols)])
-    candidates = []
-    for c in range(k):
-        norm_c = cn.get(c)
-        # 1 - cos, clamped to [0, 2]: rounding can push cos a hair past +-1
-        d = F.least(F.lit(2.0), F.greatest(F.lit(0.0), F.lit(1.0) - safe_div(
-            F.col(f"dot{c}"), F.col("norm") * F.lit(norm_c)))) \
-            if norm_c else F.lit(None).cast("double")
-        candidates.append(F.struct(d.isNull().alias("missing"), d.alias("distance"),
-                                   F.lit(c).alias("cluster")))
+    candidates = [_candidate(F.col(f"dot{c}"), F.col("norm"), cn.get(c), c) for c in range(k)]
     best = F.array_min(F.array(*candidates))
     return per_point.select("id", best["cluster"].alias("cluster"),
                             best["distance"].alias("distance"))
 
 
+def assign_features(features: DataFrame, centroids: DataFrame, k: int, n_features: int,
+                    keep: tuple[str, ...] = ("id", "review"), **probes) -> DataFrame:
+    """J5 for feature rows, inside the row: ``keep`` columns, cluster,
+    distance. Same distances and ties as ``cosine_assign``; one result per
+    feature row, no shuffle. The centroids (k x n_features values, a bound
+    fixed by the parameters) travel as array literals.
+    """
+    dense = {c: [0.0] * n_features for c in range(k)}
+    for r in centroids.collect():
+        dense[r.cluster][r.idx] += r.value
+    rows = fe.merged_terms(features, n_features, "_terms", **probes)
+    norm = F.sqrt(F.aggregate("_terms", F.lit(0.0), lambda s, t: s + t["value"] * t["value"]))
+    dots = {f"_dot{c}": F.aggregate("_terms", F.lit(0.0), _dot(F.lit(dense[c]))) for c in range(k)}
+    rows = rows.withColumns({"_norm": norm} | dots)
+    candidates = []
+    for c in range(k):
+        size = math.sqrt(sum(v * v for v in dense[c]))
+        candidates.append(_candidate(F.col(f"_dot{c}"), F.col("_norm"), size, c))
+    best = F.array_min(F.array(*candidates))
+    return rows.select(*keep, best["cluster"].alias("cluster"), best["distance"].alias("distance"))
+
+
+def _dot(values):
+    return lambda s, t: s + t["value"] * F.element_at(values, t["idx"] + 1)
+
+
+def _candidate(dot, norm, size: float | None, c: int):
+    # 1 - cos, clamped to [0, 2]: rounding can push cos a hair past +-1
+    d = F.least(F.lit(2.0), F.greatest(F.lit(0.0), F.lit(1.0) - safe_div(dot, norm * F.lit(size)))) \
+        if size else F.lit(None).cast("double")
+    return F.struct(d.isNull().alias("missing"), d.alias("distance"), F.lit(c).alias("cluster"))
+
+
 def cosine_update(points: DataFrame, assignment: DataFrame) -> DataFrame:
     """One centroid update: per cluster, the mean of its members' unit
     vectors (the direction is what cosine distance sees).

@@ -9,9 +9,9 @@ multiplicities, unless ``dedupe=True``.
 
 Hashing is row-local: each patient row becomes arrays of term slots and
 weights (md5 in the JVM), and one small Arrow-batched pandas UDF sums
-colliding slots into sparse vectors, so building vectors needs no shuffle. The long form
-(one row per patient and slot) is partitioned by patient once and sums
-collisions there; it feeds the cosine assignment and inspection.
+colliding slots into sparse vectors, so building vectors needs no shuffle.
+The JVM-side form (``merged_terms``) sorts a row's terms and folds neighbours
+of one slot; distances and scores are computed from it inside the row.
 """
 
 from __future__ import annotations
@@ -151,8 +151,8 @@ def hashed_terms(features: DataFrame, n_features: int = N_FEATURES, **probes) ->
 
 def hash_features_long(features: DataFrame, n_features: int = N_FEATURES, **probes) -> DataFrame:
     """J2 long form: id, review, idx, weight with colliding terms summed."""
-    return hashed_terms(features, n_features, **probes) \
-        .groupBy("id", "review", "idx").agg(F.sum("weight").alias("weight"))
+    return vector_long(features, n_features, ("id", "review"), **probes) \
+        .withColumnRenamed("value", "weight")
 
 
 def feature_dictionary(features: DataFrame, n_features: int = N_FEATURES, **probes) -> DataFrame:
@@ -216,13 +216,33 @@ def hash_features(features: DataFrame, n_features: int = N_FEATURES,
     return features.select(*keep, _to_sparse(n_features)(idx, weight).alias("features"))
 
 
-def vector_long(features: DataFrame, n_features: int = N_FEATURES, **probes) -> DataFrame:
-    """Sparse vectors in long form (id, idx, value), collisions summed.
+def _merged(idx: Column, weight: Column) -> Column:
+    """array<struct<idx, value>> in slot order, colliding slots summed."""
+    term = "array<struct<idx:int,value:double>>"
+    pairs = F.array_sort(F.zip_with(idx, weight, lambda i, w: F.struct(i.alias("idx"), w.alias("value"))))
 
-    The terms are hash-partitioned by ``id`` once; the merge by (id, idx)
-    and any later per-point aggregate (norms, dot products) then run in the
-    same partitions without another shuffle. A patient has at most
-    (codes x probes + 6) terms, so no partition holds an unbounded group.
-    """
-    return hashed_terms(features, n_features, **probes).repartition("id") \
-        .groupBy("id", "idx").agg(F.sum("weight").alias("value"))
+    def add(acc: Column, t: Column) -> Column:
+        last = F.try_element_at(acc, F.lit(-1))
+        both = F.struct(t["idx"].alias("idx"), (last["value"] + t["value"]).alias("value"))
+        return F.when(last["idx"] == t["idx"], F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(both))) \
+            .otherwise(F.concat(acc, F.array(t)))
+
+    return F.aggregate(pairs, F.array().cast(term), add)
+
+
+def merged_terms(features: DataFrame, n_features: int = N_FEATURES, name: str = "terms",
+                 **probes) -> DataFrame:
+    """The feature rows with their vector as ``name``: array<struct<idx,
+    value>>, collisions summed inside the row (no shuffle, one vector per
+    feature row even where rows share an id)."""
+    idx, weight = term_arrays(features, n_features, **probes)
+    return features.withColumns({"_idx": idx, "_weight": weight}) \
+        .withColumn(name, _merged(F.col("_idx"), F.col("_weight"))).drop("_idx", "_weight")
+
+
+def vector_long(features: DataFrame, n_features: int = N_FEATURES,
+                keep: tuple[str, ...] = ("id",), **probes) -> DataFrame:
+    """Sparse vectors in long form (``keep`` columns, idx, value), collisions
+    summed inside the row: no shuffle."""
+    return merged_terms(features, n_features, **probes).select(*keep, F.explode("terms").alias("t")) \
+        .select(*keep, F.col("t.idx").alias("idx"), F.col("t.value").alias("value"))

@@ -4,10 +4,11 @@
 ``(md5(id:seed), id)``: repeatable, independent of partitioning, and the same
 rows DuckDB picks with ``ORDER BY md5(..), id LIMIT n``.
 
-It never sorts the whole input and never sends more than about ``1.2 n``
-rows to the final step: one aggregate pass counts rows under a ladder of
-hash thresholds (ratio 2^(1/4)), the smallest threshold holding ``n`` rows
-filters the input, and only those candidates enter the final top-``n``.
+It never sorts the whole input and never gathers the sample in one task: rows
+are counted by the top 16 bits of their hash (one combinable aggregate, at
+most 65,536 rows to the driver), the exact n-th key is looked up inside the one
+hash range that holds it, and the input is *filtered* on that key, so the
+sample keeps the input's partitions.
 """
 
 from __future__ import annotations
@@ -18,27 +19,29 @@ from pyspark.sql import functions as F
 from claimlens.functions import seeded_key
 from claimlens.operators.common import broadcast_checked
 
-_LADDER = 129          # thresholds 2^32 * 2^(-j/4), j = 0..128
-_SPACE = 1 << 32       # the 8-hex-digit hash prefix ranges over [0, 2^32)
-
-
-def _prefix(key) -> F.Column:
-    return F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint")
+_BITS = 4    # hex digits of the counted hash ranges
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int | str = 0, id_col: str = "id") -> DataFrame:
-    """The ``n`` rows first in ``(md5(id:seed), id)`` order (all if fewer)."""
+    """The ``n`` rows first in ``(md5(id:seed), id)`` order (all if fewer).
+
+    Rows that share the n-th row's id are kept together with it.
+    """
     keyed = df.withColumn("_key", seeded_key(id_col, seed))
-    thresholds = sorted({max(1, int(_SPACE * 2 ** (-j / 4))) for j in range(_LADDER)})
-    h = _prefix(F.col("_key"))
-    counts = keyed.agg(*[F.count_if(h < F.lit(t)).alias(f"c{i}")
-                         for i, t in enumerate(thresholds)]).first()
-    total = counts[f"c{len(thresholds) - 1}"]
-    if total <= n:
-        return keyed.drop("_key")
-    cut = next(t for i, t in enumerate(thresholds) if counts[f"c{i}"] >= n)
-    candidates = keyed.where(h < F.lit(cut))
-    return candidates.orderBy("_key", id_col).limit(n).drop("_key")
+    top = F.substring("_key", 1, _BITS)
+    counts = sorted((r["top"], r["n"]) for r in keyed.groupBy(top.alias("top")).agg(
+        F.count(F.lit(1)).alias("n")).collect() if r["top"] is not None)
+    if n <= 0 or sum(c for _, c in counts) <= n:
+        return keyed.where(F.lit(n > 0)).drop("_key")
+    before, at = 0, 0
+    while before + counts[at][1] < n:
+        before, at = before + counts[at][1], at + 1
+    # the n-th row lies in this range, about one in 65,536 of the rows
+    last = keyed.where(top == counts[at][0]).select("_key", id_col).orderBy("_key", id_col) \
+        .limit(n - before).orderBy(F.col("_key").desc(), F.col(id_col).desc()).first()
+    inside = (F.col("_key") < last["_key"]) | (
+        (F.col("_key") == last["_key"]) & (F.col(id_col) <= F.lit(last[id_col])))
+    return keyed.where(inside).drop("_key")
 
 
 def seed_points(df: DataFrame, k: int, seed: int | str = 0, id_col: str = "id") -> DataFrame:
@@ -63,8 +66,8 @@ def positives_plus_sample(df: DataFrame, n: int, seed: int | str = 0, flag: str
     return pos.unionByName(neg)
 
 
-def clustering_sample(features: DataFrame, n: int = 150_000, seed: int | str = 0) -> DataFrame:
-    """The clustering input: all flagged patients + ``n`` unflagged ones."""
+def clustering_sample(features: DataFrame, n: int, seed: int | str = 0) -> DataFrame:
+    """A sampled clustering input: all flagged patients + ``n`` unflagged ones."""
     return positives_plus_sample(features, n, seed)
 
 

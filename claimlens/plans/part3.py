@@ -26,8 +26,7 @@ from claimlens.sources import read_partition
 
 @dataclass
 class Part3Config:
-    cluster_sample: int = 150_000     # unflagged patients sampled for clustering
-    max_points: int | None = 500_000  # cap on clustered points (a fair sample)
+    cluster_sample: int | None = None  # unflagged patients sampled for clustering (None: all)
     training_sample: int = 50_000     # unflagged negatives sampled for training
     k: int = 2
     max_iter: int = 10
@@ -70,16 +69,14 @@ def cluster_patients(sample: DataFrame, cfg: Part3Config) -> tuple[DataFrame, ob
     write_vectors(fe.hash_features(sample, **_hash_kw(cfg)), path)          # B7
     vectors = spark.read.parquet(path)
     model = ck.fit_cosine_kmeans(vectors, cfg.k, cfg.max_iter, cfg.tol, cfg.seed)
-    points = fe.vector_long(sample, **_hash_kw(cfg))
-    assigned = ck.cosine_assign(points, ck.centroids_long(model, spark), cfg.k)
-    clustered = ck.label_points(assigned, sample.select("id", F.col("review").alias("label"))) \
-        .select(F.col("id").alias("patient_id"), "cluster", "label", "distance")
+    clustered = ck.assign_features(sample, ck.centroids_long(model, spark), cfg.k, **_hash_kw(cfg)) \
+        .select(F.col("id").alias("patient_id"), "cluster", F.col("review").alias("label"), "distance")
     return clustered, model
 
 
 def run_part3(patient: DataFrame, claims: DataFrame, charges: DataFrame, review: DataFrame,
               cfg: Part3Config | None = None) -> Part3Result:
-    """Part 3: features (J1) -> clustering sample (H2) -> cosine k-means and
+    """Part 3: features (J1) -> every patient, or a sample (H2) -> cosine k-means and
     assignment (J4 J5) written by cluster/label (B4) -> negative cluster
     (E11 E14) -> training and scoring sets (J7 J8) -> L1 logistic fit and
     scores (J9 J10 B6) -> top ``cfg.top_n`` suspicious patients (J12), with
@@ -91,9 +88,8 @@ def run_part3(patient: DataFrame, claims: DataFrame, charges: DataFrame, review:
         fe.patient_features(patient, claims, procedure, review, dedupe=cfg.dedupe),
         "patientfeatures")
 
-    sample = sa.cap_rows(sa.clustering_sample(features, cfg.cluster_sample, cfg.seed),
-                         cfg.max_points, cfg.seed)
-    sample = materialize(sample, "patientclustering")
+    sample = features if cfg.cluster_sample is None else materialize(
+        sa.clustering_sample(features, cfg.cluster_sample, cfg.seed), "patientclustering")
     clustered, _ = cluster_patients(sample, cfg)
     path = scratch_path(spark, "clusteredclaims")
     write_partitioned(clustered, path, ("cluster", "label"))
@@ -108,14 +104,14 @@ def run_part3(patient: DataFrame, claims: DataFrame, charges: DataFrame, review:
     scoring = sa.scoring_set(features, _pruned(spark, path, negative), negative)
 
     scored, model = classify(training, scoring, cfg)
-    train_vec = fe.hash_features(training, **_hash_kw(cfg))
+    coef = cl.coefficients(model, spark)
     dictionary = fe.feature_dictionary(training, **_hash_kw(cfg))
     return Part3Result(
         features=features, clustered=clustered, crosstab=table, negative=negative,
         training=training, scoring=scoring, scored=scored,
         suspicious=cl.suspicious_patients(scored, cfg.top_n),
-        coefficients=cl.coefficient_report(model, dictionary),
-        quality=cl.model_quality(model, train_vec),
+        coefficients=cl.coefficient_report(coef, dictionary),
+        quality=cl.model_quality(coef, training, **_hash_kw(cfg)),
         extra={"model": model})
 
 

@@ -10,7 +10,8 @@ from claimlens import schemas, sinks, sources, streaming
 from claimlens.operators import charges as ch
 from claimlens.operators import classify as cl
 from claimlens.plans import standins as si
-from claimlens.plans.registry import CH, W, register, rounded
+from claimlens.plans.questions import COLUMNS, run_questions
+from claimlens.plans.registry import CH, ORACLE, W, charges_of, register, rounded
 from claimlens.plans.run import FeedPaths, prepare_tables
 from claimlens.session import scratch_path
 
@@ -64,15 +65,48 @@ def q_review_list_roundtrip(spark, sf_dir):
 SELECT provider_id, cnt FROM top""")
 def q_stored_table_roundtrip(spark, sf_dir):
     """B1/B2 + A11: a typed table written as Parquet and scanned back with
-    its schema; B5: a ranked list written as one header-less file."""
+    its schema; B3: it replaces an older table (the inpatient rows alone) at
+    the same path."""
     path = scratch_path(spark, "charges-table")
     charges = ch.charge_table(si.inpatient_feed(spark, sf_dir), si.outpatient_feed(spark, sf_dir))
+    sinks.write_table(charges.where(F.col("type") == "I"), path)
     sinks.write_table(charges, path)
     stored = sources.read_table(spark, path, schemas.CHARGES)
-    counts = stored.groupBy("provider_id").agg(F.count(F.lit(1)).alias("cnt"))
-    ranked = cl.top_by_abs(counts, "cnt", "provider_id", 3)
-    sinks.write_ranked_list(ranked, scratch_path(spark, "ranked-list"), "provider_id")
-    return counts
+    return stored.groupBy("provider_id").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def _lines(spark, path: str):
+    """A result file's lines with their line numbers (one part file)."""
+    return spark.read.text(path).select(
+        (F.monotonically_increasing_id() + 1).cast("int").alias("line"), F.col("value"))
+
+
+@register("ranked_list_roundtrip", W(CH) + """,
+  top AS (SELECT provider_id, count(*) AS cnt FROM charges GROUP BY provider_id)
+SELECT CAST(row_number() OVER (ORDER BY cnt DESC, provider_id) AS INTEGER) AS line, provider_id AS value
+FROM top QUALIFY line <= 20""")
+def q_ranked_list_roundtrip(spark, sf_dir):
+    """A ranked list (from rows dealt out over tasks) written as one
+    header-less file and read back in line order."""
+    charges = ch.charge_table(si.inpatient_feed(spark, sf_dir), si.outpatient_feed(spark, sf_dir))
+    counts = charges.groupBy("provider_id").agg(F.count(F.lit(1)).alias("cnt"))
+    path = scratch_path(spark, "ranked-list")
+    sinks.write_ranked_list(cl.top_by_abs(counts, "cnt", "provider_id", 20).repartition(4), path, "provider_id")
+    return _lines(spark, path)
+
+
+@register("question_files", "\nUNION ALL ".join(
+    f"SELECT '{name}' AS file, rank AS line, CAST({column} AS VARCHAR) AS value FROM ({ORACLE[name]}) AS {name}"
+    for name, column in COLUMNS.items()))
+def q_question_files(spark, sf_dir):
+    """``run_questions``: the six result files, read back line by line."""
+    out = scratch_path(spark, "results")
+    run_questions(charges_of(spark, sf_dir), out)
+    files = [_lines(spark, f"{out}/{name}").select(F.lit(name).alias("file"), "line", "value") for name in COLUMNS]
+    every = files[0]
+    for f in files[1:]:
+        every = every.unionByName(f)
+    return every
 
 
 @register("top_by_abs", """

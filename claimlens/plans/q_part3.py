@@ -1,9 +1,12 @@
 """Registered Part 3 queries: features, hashing, sampling, clustering steps,
-training/scoring sets (oracle-checked), and the model fits (rows only).
+training/scoring sets, scoring and reports, and certificates of the fits.
 
 The oracle-checked clustering uses a fixed rule instead of MLlib's fit: one
 cosine assignment to seeded starting points (G4 + J5), so both engines must
-agree exactly. The MLlib fits are checked by invariants in the tests.
+agree exactly. Scores, counts, quality and reports are checked with fixed
+coefficients (a formula of the slot, ``FIXED_BETA``). The fits themselves
+return certificates row by row: the oracle supplies ids and labels, Spark says
+whether each row's condition holds.
 """
 
 from __future__ import annotations
@@ -16,18 +19,18 @@ from claimlens.operators import classify as cl
 from claimlens.operators import clustering as ck
 from claimlens.operators import features as fe
 from claimlens.operators import sampling as sa
-from claimlens.operators.common import materialize
+from claimlens.operators.common import global_rank, materialize
 from claimlens.plans import standins as si
-from claimlens.plans.part3 import Part3Config, cluster_patients, run_part3
+from claimlens.plans.part3 import Part3Config, cluster_patients
 from claimlens.plans.registry import CH, W, charges_of, register, rounded
-from claimlens.session import scratch_path, session_key
-from claimlens.sinks import write_partitioned
+from claimlens.session import scratch_path
+from claimlens.sinks import write_partitioned, write_scores, write_vectors
 from claimlens.sources import read_partition
 
 SEED = 42
 K = 2
-CLUSTER_N = 150_000
-TRAIN_N = 50_000
+TRAIN_N = 50_000     # bounds the labelled rows the classifier is fitted on
+SAMPLE_N = 150_000   # of the sampling query only
 SMALL_N = 500
 
 
@@ -44,20 +47,41 @@ def _text(df: DataFrame) -> DataFrame:
     return fe.features_as_text(df)
 
 
-def _step_clusters(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Features and the fixed-rule clustering of the clustering sample:
-    seeded starting points, one cosine assignment. (patient_id, cluster,
-    label, distance)."""
+def _seeded_points(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(features, their vectors in long form, centroids at the seeded
+    starting points)."""
     feats = materialize(features_of(spark, sf_dir), "features")
-    sample = materialize(sa.clustering_sample(feats, CLUSTER_N, SEED), "sample")
-    points = fe.vector_long(sample)
-    seeds = sa.seed_points(sample, K, SEED)
-    assigned = ck.cosine_assign(points, ck.seed_centroids(points, seeds), K)
-    clustered = ck.label_points(assigned, sample.select("id", F.col("review").alias("label"))) \
-        .select(F.col("id").alias("patient_id"), "cluster", "label", "distance")
+    points = fe.vector_long(feats)
+    return feats, points, ck.seed_centroids(points, sa.seed_points(feats, K, SEED))
+
+
+def _step_clusters(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Features and the fixed-rule clustering of all patients: seeded starting
+    points, one cosine assignment. (patient_id, cluster, label, distance)."""
+    feats, _, centroids = _seeded_points(spark, sf_dir)
+    clustered = ck.assign_features(feats, centroids, K, fe.N_FEATURES) \
+        .select(F.col("id").alias("patient_id"), "cluster", F.col("review").alias("label"), "distance")
     return feats, clustered
 
 
+def _training(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Training and scoring set of the fixed-rule clustering."""
+    feats, clustered = _step_clusters(spark, sf_dir)
+    clustered = materialize(clustered, "clustered")
+    negative = _negatives(clustered)
+    return (materialize(sa.training_set(feats, clustered, negative, TRAIN_N, SEED), "training"),
+            sa.scoring_set(feats, clustered, negative))
+
+
+def _fixed_beta(spark: SparkSession) -> DataFrame:
+    """Coefficients by a formula of the slot that the oracle repeats; a third
+    of them is zero."""
+    slot = F.col("id")
+    return spark.range(fe.N_FEATURES).select(
+        slot.cast("int").alias("idx"),
+        F.when(slot % 3 == 0, F.lit(0.0)).otherwise(((slot * 7919) % 2001 - 1000) / F.lit(50_000.0)).alias("beta"))
+
+
 def _negatives(clustered: DataFrame) -> list[int]:
     """The negative cluster numbers (at most k values) for partition pruning."""
     return sorted(r.negative_cluster
@@ -70,45 +94,52 @@ PROC_SQL = """
   procedure AS (SELECT DISTINCT regexp_replace(procedure_id, '^ *([0-9]*).*', '\\1') AS id,
                        type, procedure_id AS full_name FROM charges)"""
 
-PC_SQL = """
-  pc AS (
-    SELECT p.id, CASE WHEN r.patient_id IS NULL THEN 0 ELSE 1 END AS review,
-           p.age, p.gender, p.income, q.type, c.claim_id, count(1) AS num_claims
-    FROM patient p
-      JOIN patientclaim c ON c.patient_id = p.id
-      JOIN procedure q ON q.id = c.claim_id
-      LEFT JOIN review r ON r.patient_id = p.id
-    GROUP BY p.id, CASE WHEN r.patient_id IS NULL THEN 0 ELSE 1 END,
-             p.age, p.gender, p.income, q.type, c.claim_id)"""
-
-FEAT_SQL = """
+
+def _features_sql(dedupe: bool = False) -> str:
+    """J1 afresh: claims are counted per patient and code, then multiplied by
+    how often the code, the patient and the flag occur (once with dedupe)."""
+    times = "1" if dedupe else "count(*)"
+    return f"""
+  code_count AS (SELECT patient_id, claim_id, count(*) AS n FROM patientclaim GROUP BY ALL),
+  code_kind AS (SELECT id AS claim_id, type, {times} AS times FROM procedure GROUP BY ALL),
+  person AS (SELECT id, age, gender, income, count(*) AS times FROM patient GROUP BY ALL),
+  flag AS (SELECT patient_id AS id, {times} AS times FROM review GROUP BY ALL),
+  tally AS (
+    SELECT person.id, CAST(flag.id IS NOT NULL AS INTEGER) AS review, age, gender, income, claim_id, type,
+           CAST(n * code_kind.times * person.times * coalesce(flag.times, 1) AS BIGINT) AS num
+    FROM code_count JOIN code_kind USING (claim_id)
+         JOIN person ON person.id = code_count.patient_id LEFT JOIN flag ON flag.id = person.id),
   feat AS (
     SELECT id, review, age, gender, income,
-           CAST(sum(CASE WHEN type = 'I' THEN num_claims ELSE 0 END) AS BIGINT) AS type_I,
-           CAST(sum(CASE WHEN type = 'O' THEN num_claims ELSE 0 END) AS BIGINT) AS type_O,
-           string_agg(DISTINCT claim_id || ',' || CAST(num_claims AS VARCHAR), ','
-                      ORDER BY claim_id || ',' || CAST(num_claims AS VARCHAR)) AS claims
-    FROM pc GROUP BY id, review, age, gender, income)"""
+           CAST(coalesce(sum(num) FILTER (type = 'I'), 0) AS BIGINT) AS type_I,
+           CAST(coalesce(sum(num) FILTER (type = 'O'), 0) AS BIGINT) AS type_O,
+           array_to_string(list_transform(list_sort(list(DISTINCT struct_pack(code := claim_id, num := num))),
+                                          lambda x: x.code || ',' || x.num), ',') AS claims
+    FROM tally GROUP BY ALL)"""
+
 
-BASE = (CH, si.PATIENT_SQL, si.CLAIM_SQL, si.REVIEW_SQL, PROC_SQL, PC_SQL, FEAT_SQL)
+BASE = (CH, si.PATIENT_SQL, si.CLAIM_SQL, si.REVIEW_SQL, PROC_SQL, _features_sql())
 
 
-def _hash_sql(src: str = "feat", claims_src: str = "fc") -> str:
+def _hash_sql(src: str = "feat") -> str:
     return f"""
-  fc AS (SELECT DISTINCT f.id, f.review, p.claim_id, p.num_claims
-         FROM {src} f JOIN pc p ON p.id = f.id AND p.review = f.review AND p.age = f.age
-                               AND p.gender = f.gender AND p.income = f.income),
+  fc AS (SELECT DISTINCT id, review, age, gender, income, claim_id, num
+         FROM tally SEMI JOIN (SELECT DISTINCT id AS kept FROM {src}) k ON tally.id = k.kept),
+  words AS (
+    SELECT id, review, age, gender, income, unnest([
+             {{'feature': 'bias', 'weight': CAST(1 AS DOUBLE)}},
+             {{'feature': 'age=' || coalesce(age, ''), 'weight': 1.0}},
+             {{'feature': 'gender=' || coalesce(gender, ''), 'weight': 1.0}},
+             {{'feature': 'income=' || coalesce(income, ''), 'weight': 1.0}},
+             {{'feature': 'inpatient', 'weight': CAST(type_I AS DOUBLE)}},
+             {{'feature': 'outpatient', 'weight': CAST(type_O AS DOUBLE)}}]) AS t FROM {src}),
   terms AS (
-    SELECT id, review, 'bias' AS feature, 0 AS probe, CAST(1.0 AS DOUBLE) AS weight FROM {src}
-    UNION ALL SELECT id, review, 'age=' || coalesce(age, ''), 0, 1.0 FROM {src}
-    UNION ALL SELECT id, review, 'gender=' || coalesce(gender, ''), 0, 1.0 FROM {src}
-    UNION ALL SELECT id, review, 'income=' || coalesce(income, ''), 0, 1.0 FROM {src}
-    UNION ALL SELECT id, review, 'inpatient', 0, CAST(type_I AS DOUBLE) FROM {src}
-    UNION ALL SELECT id, review, 'outpatient', 0, CAST(type_O AS DOUBLE) FROM {src}
-    UNION ALL SELECT id, review, 'claim=' || claim_id, 0, CAST(num_claims AS DOUBLE) FROM {claims_src}
-    UNION ALL SELECT id, review, 'claim=' || claim_id, 1, CAST(num_claims AS DOUBLE) FROM {claims_src}),
+    SELECT id, review, age, gender, income, t.feature AS feature, 0 AS probe, t.weight AS weight FROM words
+    UNION ALL
+    SELECT id, review, age, gender, income, 'claim=' || claim_id, CAST(p.range AS INTEGER), CAST(num AS DOUBLE)
+    FROM fc, range(2) p),
   hashed AS (
-    SELECT id, review, feature, probe,
+    SELECT id, review, age, gender, income, feature, probe,
            CAST(CAST('0x' || substr(md5(feature || '#' || CAST(probe AS VARCHAR)), 1, 8) AS BIGINT)
                 % {fe.N_FEATURES} AS INTEGER) AS idx,
            weight
@@ -171,11 +202,11 @@ _EMB_SQL = f"""
                         unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) u),
   eids AS (SELECT vec_id AS id FROM embeddings)"""
 
-_PATIENT_STEP_SQL = (_sample_sql(CLUSTER_N), _hash_sql("sample"), """
+_PATIENT_STEP_SQL = (_hash_sql(), """
   svec AS (SELECT id, idx, sum(weight) AS value FROM hashed GROUP BY id, idx)""",
-                     _assign_sql("svec", "sample"), """
-  clustered AS (SELECT a.id AS patient_id, a.cluster, s.review AS label, a.distance
-                FROM assign a JOIN sample s ON s.id = a.id)""",
+                     _assign_sql("svec", "feat"), """
+  clustered AS (SELECT a.id AS patient_id, a.cluster, f.review AS label, a.distance
+                FROM assign a JOIN feat f ON f.id = a.id)""",
                      _crosstab_sql("clustered", "(VALUES (0), (1)) l(label)"))
 
 _FEATURE_COLS = "id, review, age, gender, income, type_I, type_O, claims"
@@ -196,17 +227,15 @@ def q_patient_features(spark, sf_dir):
 
 
 @register("patient_features_dedupe", W(
-    CH, si.PATIENT_SQL, si.CLAIM_SQL, si.REVIEW_SQL, PROC_SQL,
-    PC_SQL.replace("JOIN procedure q", "JOIN (SELECT DISTINCT id, type FROM procedure) q")
-          .replace("LEFT JOIN review r", "LEFT JOIN (SELECT DISTINCT patient_id FROM review) r"),
-    FEAT_SQL) + f"\nSELECT {_FEATURE_COLS} FROM feat")
+    CH, si.PATIENT_SQL, si.CLAIM_SQL, si.REVIEW_SQL, PROC_SQL, _features_sql(dedupe=True))
+    + f"\nSELECT {_FEATURE_COLS} FROM feat")
 def q_patient_features_dedupe(spark, sf_dir):
     """J1 with ``dedupe=True``: dimension duplicates do not multiply counts."""
     return _text(features_of(spark, sf_dir, dedupe=True))
 
 
 @register("claims_decode", W(*BASE) + """
-SELECT DISTINCT id, claim_id, num_claims AS n FROM pc""")
+SELECT DISTINCT id, claim_id, num AS n FROM tally""")
 def q_claims_decode(spark, sf_dir):
     """A12 + I9: the stored text feature table scanned back and its claims
     string decoded by stride 2 into (claim_id, n) pairs."""
@@ -234,23 +263,47 @@ def q_feature_dictionary(spark, sf_dir):
 @register("sparse_vectors", W(*BASE, _hash_sql()) + """
 SELECT id, idx, round(sum(weight), 6) AS value FROM hashed GROUP BY id, idx""")
 def q_sparse_vectors(spark, sf_dir):
-    """J2 row-local form: each patient's sorted, collision-merged (slot,
-    weight) terms, exploded for comparison."""
-    return rounded(fe.vector_long(features_of(spark, sf_dir)))
+    """J2 + B7: the vectors that both models are fitted on, written with
+    ``write_vectors`` and read back as stored: their own indices and values."""
+    path = scratch_path(spark, "vectors")
+    write_vectors(fe.hash_features(features_of(spark, sf_dir)), path)
+    stored = spark.read.schema("id string, features struct<type:tinyint,size:int,indices:array<int>,"
+                               "values:array<double>>").parquet(path)
+    return rounded(stored.select("id", F.explode(F.arrays_zip("features.indices", "features.values")).alias("t"))
+                   .select("id", F.col("t.indices").alias("idx"), F.col("t.values").alias("value")))
+
+
+@register("feature_row_scores", W(*BASE, """
+  twice AS (SELECT * FROM feat UNION ALL SELECT id, review, 'other', gender, income, type_I + 1, type_O, claims FROM feat)""",
+                                  """
+  both_tally AS (SELECT * FROM tally UNION ALL SELECT id, review, 'other', gender, income, claim_id, type, num FROM tally)""",
+                                  _hash_sql("twice").replace("FROM tally SEMI", "FROM both_tally tally SEMI"), f"""
+  scored AS (SELECT id, age, 1 / (1 + exp(-sum(weight * {{beta}}))) AS p1 FROM hashed GROUP BY id, age)
+""".replace("{beta}", "CASE WHEN idx % 3 = 0 THEN 0.0 ELSE ((idx * 7919) % 2001 - 1000) / 50000.0 END")) + """
+SELECT id AS patient_id, CASE WHEN p1 > 0.5 THEN 1 ELSE 0 END AS review, round(p1, 6) AS p1 FROM scored""")
+def q_feature_row_scores(spark, sf_dir):
+    """J10 per feature row: every patient twice, with different attributes,
+    gives two scores for one id (fixed coefficients)."""
+    feats = features_of(spark, sf_dir)
+    other = feats.withColumns({"age": F.lit("other"), "type_I": F.col("type_I") + 1})
+    return rounded(cl.score_features(_fixed_beta(spark), feats.unionByName(other)).select("patient_id", "review", "p1"))
 
 
 # ---- sampling ------------------------------------------------------------------
 
-@register("clustering_sample", W(*BASE, _sample_sql(CLUSTER_N)) + f"\nSELECT {_FEATURE_COLS} FROM sample")
+@register("clustering_sample", W(*BASE, _sample_sql(SAMPLE_N)) + f"\nSELECT {_FEATURE_COLS} FROM sample")
 def q_clustering_sample(spark, sf_dir):
-    """H2 + G3: all flagged patients + 150,000 seeded unflagged ones."""
-    return _text(sa.clustering_sample(features_of(spark, sf_dir), CLUSTER_N, SEED))
+    """H2 + G3: all flagged patients + 150,000 seeded unflagged ones (the
+    sampling operator at its default size)."""
+    feats = materialize(features_of(spark, sf_dir), "features")
+    return _text(sa.clustering_sample(feats, SAMPLE_N, SEED))
 
 
 @register("clustering_sample_500", W(*BASE, _sample_sql(SMALL_N)) + f"\nSELECT {_FEATURE_COLS} FROM sample")
 def q_clustering_sample_500(spark, sf_dir):
     """H2 + G3 with a sample smaller than the data (500 unflagged)."""
-    return _text(sa.clustering_sample(features_of(spark, sf_dir), SMALL_N, SEED))
+    feats = materialize(features_of(spark, sf_dir), "features")
+    return _text(sa.clustering_sample(feats, SMALL_N, SEED))
 
 
 # ---- clustering steps ------------------------------------------------------------
@@ -307,8 +360,8 @@ def q_negative_cluster(spark, sf_dir):
 @register("patient_clusters_step", W(*BASE, *_PATIENT_STEP_SQL) + """
 SELECT patient_id, cluster, label, round(distance, 6) AS distance FROM clustered""")
 def q_patient_clusters_step(spark, sf_dir):
-    """J2 + G4 + J5 + D6: the clustering sample's hashed vectors assigned to
-    seeded starting points by cosine distance, with their labels."""
+    """J2 + G4 + J5 + D6: every patient's hashed vector assigned to seeded
+    starting points by cosine distance, with its label."""
     _, clustered = _step_clusters(spark, sf_dir)
     return rounded(clustered)
 
@@ -336,9 +389,7 @@ SELECT {_FEATURE_COLS} FROM feat WHERE review = 1
 UNION ALL SELECT {_FEATURE_COLS} FROM train_neg""")
 def q_training_set(spark, sf_dir):
     """All flagged + 50,000 sampled unflagged of the negative cluster."""
-    feats, clustered = _step_clusters(spark, sf_dir)
-    clustered = materialize(clustered, "clustered")
-    return _text(sa.training_set(feats, clustered, _negatives(clustered), TRAIN_N, SEED))
+    return _text(_training(spark, sf_dir)[0])
 
 
 @register("scoring_set", W(*BASE, *_PATIENT_STEP_SQL) + f"""
@@ -347,66 +398,149 @@ SELECT {_FEATURE_COLS} FROM feat WHERE review = 0 AND id NOT IN (
   WHERE label = 0 AND cluster IN (SELECT negative_cluster FROM negative))""")
 def q_scoring_set(spark, sf_dir):
     """Unflagged patients outside the negative cluster's points."""
-    feats, clustered = _step_clusters(spark, sf_dir)
-    clustered = materialize(clustered, "clustered")
-    return _text(sa.scoring_set(feats, clustered, _negatives(clustered)))
-
-
-# ---- model fits (rows-only checks) ---------------------------------------------------
-
-_RUNS: dict[tuple, object] = {}
-
-
-def part3_run_of(spark: SparkSession, sf_dir: str):
-    """Part 3 on the stand-ins, run once per (session, data dir)."""
-    key = (session_key(spark), sf_dir)
-    if key not in _RUNS:
-        charges = charges_of(spark, sf_dir)
-        _RUNS[key] = run_part3(si.patient_feed(spark, sf_dir), si.claim_feed(spark, sf_dir),
-                               charges, si.review_feed(spark, sf_dir), Part3Config(seed=SEED))
-    return _RUNS[key]
+    return _text(_training(spark, sf_dir)[1])
+
+
+# ---- scoring and reports with fixed coefficients ---------------------------------------
+
+_BETA = "CASE WHEN idx % 3 = 0 THEN 0.0 ELSE ((idx * 7919) % 2001 - 1000) / 50000.0 END"
+_NEGATIVE_IDS = """(SELECT patient_id FROM clustered
+    WHERE label = 0 AND cluster IN (SELECT negative_cluster FROM negative))"""
+_FITTED_SQL = (*BASE, *_PATIENT_STEP_SQL, f"""
+  to_score AS (SELECT * FROM feat WHERE review = 0 AND id NOT IN {_NEGATIVE_IDS}),
+  to_train AS (
+    SELECT * FROM feat WHERE review = 1 UNION ALL
+    SELECT * FROM (SELECT * FROM feat WHERE review = 0 AND id IN {_NEGATIVE_IDS}
+                   ORDER BY {_key('id')}, id LIMIT {TRAIN_N})),
+  p AS (SELECT id, review, 1 / (1 + exp(-sum(weight * {_BETA}))) AS p1 FROM hashed GROUP BY id, review),
+  scored AS (SELECT id AS patient_id, CASE WHEN p1 > 0.5 THEN 1 ELSE 0 END AS review,
+                    CASE WHEN p1 > 0.5 THEN p1 ELSE 1 - p1 END AS score
+             FROM p WHERE id IN (SELECT id FROM to_score))""")
+
+
+@register("fixed_scores", W(*_FITTED_SQL) + """
+SELECT patient_id, review, round(score, 6) AS score FROM scored""")
+def q_fixed_scores(spark, sf_dir):
+    """J10 + B6: the scoring set scored with fixed coefficients, stored with
+    ``write_scores`` and read back."""
+    path = scratch_path(spark, "classifiedclaims")
+    write_scores(cl.score_features(_fixed_beta(spark), _training(spark, sf_dir)[1]), path)
+    return rounded(spark.read.parquet(path).select("patient_id", "review", "score"))
+
+
+@register("predicted_counts", W(*_FITTED_SQL) + """
+SELECT c.review, count(scored.review) AS n FROM (VALUES (0), (1)) c(review) LEFT JOIN scored USING (review)
+GROUP BY c.review""")
+def q_predicted_counts(spark, sf_dir):
+    """Scored rows per predicted class, both classes (fixed coefficients)."""
+    return cl.predicted_counts(cl.score_features(_fixed_beta(spark), _training(spark, sf_dir)[1]))
 
 
-@register("kmeans_cosine")
-def q_kmeans_cosine(spark, sf_dir):
-    """J4 + J5: MLlib cosine k-means (k=2, 10 iterations) on the clustering
-    sample; every sampled patient's cluster, label and distance."""
-    cfg = Part3Config(seed=SEED)
-    feats = materialize(features_of(spark, sf_dir), "features")
-    sample = sa.clustering_sample(feats, cfg.cluster_sample, cfg.seed)
-    clustered, _ = cluster_patients(sample, cfg)
-    return rounded(clustered)
+@register("suspicious_patients", W(*_FITTED_SQL) + """
+SELECT CAST(row_number() OVER (ORDER BY round(score, 9) DESC, patient_id) AS INTEGER) AS rank, patient_id,
+       round(score, 6) AS score
+FROM scored WHERE review = 1 QUALIFY rank <= 10000""")
+def q_suspicious_patients(spark, sf_dir):
+    """J12 + G2: top 10,000 scores among patients predicted suspicious (fixed
+    coefficients; scores rounded to 9 places before ranking)."""
+    scored = cl.score_features(_fixed_beta(spark), _training(spark, sf_dir)[1])
+    return rounded(cl.suspicious_patients(scored.withColumn("score", F.round("score", 9))))
+
+
+@register("model_quality", W(*_FITTED_SQL, """
+  true_p AS (SELECT CASE WHEN review = 1 THEN p1 ELSE 1 - p1 END AS q,
+                    CAST(CASE WHEN p1 > 0.5 THEN 1 ELSE 0 END = review AS INTEGER) AS hit
+             FROM p WHERE id IN (SELECT id FROM to_train))""") + """
+SELECT count(*) AS n, round(avg(ln(greatest(q, 1e-300))), 6) AS mean_log_likelihood,
+       round(avg(hit), 6) AS accuracy FROM true_p""")
+def q_model_quality(spark, sf_dir):
+    """Mean log-likelihood and accuracy on the training set (fixed
+    coefficients)."""
+    return rounded(cl.model_quality(_fixed_beta(spark), _training(spark, sf_dir)[0]))
 
 
-@register("l1_logistic_scores")
-def q_l1_logistic_scores(spark, sf_dir):
-    """J9 + J10: L1 logistic fit on the training set; scored scoring set."""
-    return rounded(part3_run_of(spark, sf_dir).scored.select("patient_id", "review", "score"))
+_REPORT_SQL = W(*_FITTED_SQL, f"""
+  report AS (SELECT DISTINCT feature, probe, idx, {_BETA} AS beta FROM hashed
+             WHERE id IN (SELECT id FROM to_train))""")
 
 
-@register("predicted_counts")
-def q_predicted_counts(spark, sf_dir):
-    """Scored rows per predicted class."""
-    return cl.predicted_counts(part3_run_of(spark, sf_dir).scored)
+@register("coefficient_report", _REPORT_SQL + """
+SELECT feature, probe, idx, round(beta, 6) + 0.0 AS beta FROM report""")
+def q_coefficient_report(spark, sf_dir):
+    """J11 + D7: every feature of the training set with its coefficient, zeros
+    included (fixed coefficients)."""
+    return rounded(cl.coefficient_report(_fixed_beta(spark), fe.feature_dictionary(_training(spark, sf_dir)[0])))
 
 
-@register("coefficient_report")
-def q_coefficient_report(spark, sf_dir):
-    """J11 + D7 + G5: features of the 10 largest |beta|."""
-    rep = part3_run_of(spark, sf_dir).coefficients
-    return rounded(cl.top_by_abs(rep, "beta", "feature", 10))
+@register("top_coefficients", _REPORT_SQL + """
+SELECT CAST(row_number() OVER (ORDER BY abs(beta) DESC, feature, probe) AS INTEGER) AS rank,
+       feature, probe, idx, round(beta, 6) AS beta FROM report QUALIFY rank <= 10""")
+def q_top_coefficients(spark, sf_dir):
+    """G5 over the report: the 10 largest |beta| (fixed coefficients)."""
+    rep = cl.coefficient_report(_fixed_beta(spark), fe.feature_dictionary(_training(spark, sf_dir)[0]))
+    top = rep.withColumn("name", F.concat("feature", F.lit("#"), F.format_string("%04d", "probe")))
+    return rounded(cl.top_by_abs(top, "beta", "name", 10).select("rank", "feature", "probe", "idx", "beta"))
 
 
-@register("model_quality")
-def q_model_quality(spark, sf_dir):
-    """Mean log-likelihood and accuracy on the training set."""
-    return rounded(part3_run_of(spark, sf_dir).quality)
+# ---- certificates of the fits ----------------------------------------------------------
 
+@register("kmeans_cosine", W(*BASE) + """
+SELECT id AS patient_id, review AS label, TRUE AS nearest, TRUE AS no_worse_than_start FROM feat""")
+def q_kmeans_cosine(spark, sf_dir):
+    """J4 + J5: MLlib cosine k-means (k=2, 10 iterations) over all patients.
 
-@register("suspicious_patients")
-def q_suspicious_patients(spark, sf_dir):
-    """J12 + G2: top 10,000 scores among patients predicted suspicious."""
-    return rounded(part3_run_of(spark, sf_dir).suspicious)
+    Per patient: whether its cluster is the one MLlib predicts (or as near),
+    and whether the fit's total distance is at most that of one assignment to
+    seeded starting points."""
+    cfg = Part3Config(seed=SEED)
+    feats, _, start = _seeded_points(spark, sf_dir)
+    clustered, model = cluster_patients(feats, cfg)
+    centers = ck.centroids_long(model, spark)
+    at_start = ck.assign_features(feats, start, K, fe.N_FEATURES).agg(F.sum("distance")).first()[0]
+    total = clustered.agg(F.sum("distance")).first()[0]
+    said = model.transform(fe.hash_features(feats)).select(F.col("id").alias("patient_id"),
+                                                           F.col("cluster").alias("said"))
+    each = ck.assign_features(feats, centers, K, fe.N_FEATURES, ("id",)) \
+        .select(F.col("id").alias("patient_id"), F.col("distance").alias("least"))
+    other = [ck.assign_features(feats, centers.where(F.col("cluster") == c).withColumn("cluster", F.lit(0)),
+                                1, fe.N_FEATURES, ("id",))
+             .select(F.col("id").alias("patient_id"), F.col("distance").alias(f"d{c}")) for c in range(K)]
+    rows = clustered.join(said, "patient_id").join(each, "patient_id")
+    for o in other:
+        rows = rows.join(o, "patient_id")
+    said_distance = F.when(F.col("said") == 0, F.col("d0")).otherwise(F.col("d1"))
+    return rows.select("patient_id", "label",
+                       (said_distance <= F.col("least") + 1e-9).alias("nearest"),
+                       F.lit(total <= at_start + 1e-9).alias("no_worse_than_start"))
+
+
+def _fitted(spark: SparkSession, sf_dir: str):
+    training, scoring = _training(spark, sf_dir)
+    model = cl.fit_l1_logistic(fe.hash_features(training))
+    return model, training, scoring
+
+
+@register("l1_logistic_scores", W(*_FITTED_SQL) + """
+SELECT id AS patient_id, TRUE AS as_model FROM to_score""")
+def q_l1_logistic_scores(spark, sf_dir):
+    """J9 + J10: L1 logistic fit on the training set; for each row of the
+    scoring set, whether its score is the one MLlib's model gives its vector."""
+    model, _, scoring = _fitted(spark, sf_dir)
+    scoring = materialize(scoring, "scoring")
+    ours = cl.score_features(cl.coefficients(model, spark), scoring).select("patient_id", "p1", "review")
+    theirs = cl.score(model, fe.hash_features(scoring)).select(
+        "patient_id", F.col("p1").alias("q"), F.col("review").alias("said"))
+    return ours.join(theirs, "patient_id").select(
+        "patient_id", ((F.abs(F.col("p1") - F.col("q")) < 1e-9) & (F.col("review") == F.col("said"))).alias("as_model"))
+
+
+@register("l1_logistic_optimality", W(*_FITTED_SQL) + """
+SELECT DISTINCT idx, TRUE AS optimal FROM hashed WHERE id IN (SELECT id FROM to_train)""")
+def q_l1_logistic_optimality(spark, sf_dir):
+    """For every slot of the training set, whether the fit meets the
+    optimality condition of the L1 problem to within 0.005."""
+    model, training, _ = _fitted(spark, sf_dir)
+    return cl.optimality(cl.coefficients(model, spark), training).select("idx", (F.col("miss") <= 5e-3).alias("optimal"))
 
 
 @register("patient_kmeans_step_update", W(*BASE, *_PATIENT_STEP_SQL, """
@@ -419,30 +553,30 @@ GROUP BY m.cluster, p.idx""")
 def q_patient_kmeans_step_update(spark, sf_dir):
     """One centroid update on the patients' hashed vectors after the seeded
     cosine assignment (mean unit vector per cluster and slot)."""
-    feats = materialize(features_of(spark, sf_dir), "features")
-    sample = materialize(sa.clustering_sample(feats, CLUSTER_N, SEED), "sample")
-    points = fe.vector_long(sample)
-    seeds = sa.seed_points(sample, K, SEED)
-    assign = ck.cosine_assign(points, ck.seed_centroids(points, seeds), K)
+    _, points, centroids = _seeded_points(spark, sf_dir)
+    points = materialize(points, "points")
+    assign = ck.cosine_assign(points, centroids, K)
     return rounded(ck.cosine_update(points, assign))
 
 
-@register("coefficient_curve")
+@register("coefficient_curve", _REPORT_SQL + """
+SELECT CAST(row_number() OVER (ORDER BY beta DESC, feature, probe) AS INTEGER) AS position, feature, probe, idx,
+       round(beta, 6) + 0.0 AS beta FROM report""")
 def q_coefficient_curve(spark, sf_dir):
-    """J11 + F5: every non-zero coefficient by descending beta; the top 2
-    and bottom 4 features labelled."""
-    from claimlens.operators.charges import ranked_curve
-    rep = part3_run_of(spark, sf_dir).coefficients
-    return rounded(ranked_curve(rep, "feature", "beta", 2, ("probe", "idx"), n_labels_bottom=4))
+    """J11 + F5: every coefficient by descending beta (fixed coefficients)."""
+    rep = cl.coefficient_report(_fixed_beta(spark), fe.feature_dictionary(_training(spark, sf_dir)[0]))
+    order = [F.col("beta").desc(), F.col("feature").asc(), F.col("probe").asc()]
+    return rounded(global_rank(rep, order, "position").withColumn("position", F.col("position").cast("int"))
+                   .select("position", "feature", "probe", "idx", "beta"))
 
 
 CAP_N = 1_000
 
 
-@register("clustering_sample_capped", W(*BASE, _sample_sql(CLUSTER_N)) + f"""
-SELECT {_FEATURE_COLS} FROM sample ORDER BY {_key('id')}, id LIMIT {CAP_N}""")
+@register("clustering_sample_capped", W(*BASE) + f"""
+SELECT {_FEATURE_COLS} FROM feat ORDER BY {_key('id')}, id LIMIT {CAP_N}""")
 def q_clustering_sample_capped(spark, sf_dir):
-    """The clustering sample capped at 1,000 points by a fair seeded
-    sample (not "the first rows")."""
-    sample = sa.clustering_sample(features_of(spark, sf_dir), CLUSTER_N, SEED)
-    return _text(sa.cap_rows(sample, CAP_N, SEED))
+    """The patients capped at 1,000 points by a fair seeded sample (not
+    "the first rows")."""
+    feats = materialize(features_of(spark, sf_dir), "features")
+    return _text(sa.cap_rows(feats, CAP_N, SEED))

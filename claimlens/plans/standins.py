@@ -36,16 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 MAX_BROADCAST_ROWS = 2_000_000
-_SMALL: dict[tuple[str, str], bool] = {}
 
 
 def _small(spark: SparkSession, sf_dir: str, name: str) -> bool:
-    """Whether a driver table has at most MAX_BROADCAST_ROWS rows (counted
-    once per data dir)."""
-    key = (sf_dir, name)
-    if key not in _SMALL:
-        _SMALL[key] = table(spark, sf_dir, name).count() <= MAX_BROADCAST_ROWS
-    return _SMALL[key]
+    """Whether a driver table has at most MAX_BROADCAST_ROWS rows."""
+    return table(spark, sf_dir, name).count() <= MAX_BROADCAST_ROWS
 
 
 def _charge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -85,7 +87,30 @@ def shared_dir(spark: SparkSession) -> str:
     return _FALLBACK[key]
 
 
+_MADE: dict[tuple, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for one written table."""
-    base = shared_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.setdefault(session_key(spark), []).append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables made inside the ``with`` block at its end.
+
+    For runs whose results are written or collected before the block ends;
+    DataFrames that still read a scratch table must not outlive it.
+    """
+    made = _MADE.setdefault(session_key(spark), [])
+    before = len(made)
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made[before:]:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+        del made[before:]

@@ -39,8 +39,8 @@ def write_ranked_list(df: DataFrame, path: str, column: str, rank: str = "rank")
     Meant for top-n results (the caller's ``n`` bounds the rows), so one
     sorted output file is written.
     """
-    (df.orderBy(rank).select(F.col(column).cast("string").alias("value")).coalesce(1)
-       .write.mode("overwrite").text(path))
+    (df.select(rank, F.col(column).cast("string").alias("value")).coalesce(1)
+       .sortWithinPartitions(rank).select("value").write.mode("overwrite").text(path))
 
 
 def write_scores(df: DataFrame, path: str) -> None:
@@ -49,8 +49,7 @@ def write_scores(df: DataFrame, path: str) -> None:
     df.select("patient_id", "review", "score", "p1").write.mode("overwrite").parquet(path)
 
 
-def write_vectors(df: DataFrame, path: str, id_col: str = "id",
-                  vector_col: str = "features") -> None:
+def write_vectors(df: DataFrame, path: str) -> None:
     """Encoded vectors with their ids (and any label columns)."""
     df.write.mode("overwrite").parquet(path)
 

@@ -71,19 +71,21 @@ def read_tagged_blocks(spark: SparkSession, path: str | list[str],
                        start: str = PATIENT_BLOCK_START, end: str = PATIENT_BLOCK_END) -> DataFrame:
     """A3: every text block from ``start`` to ``end`` (both included).
 
-    The file is cut at each ``end`` tag by the text reader (splittable, a
-    split runs on to finish its last block); text before a block's first
-    ``start`` tag, and a tail with no ``start`` tag, are dropped.
+    The file is cut at each ``start`` tag by the text reader (splittable, a
+    split runs on to finish its last piece); a piece is a block only if its
+    ``end`` tag is there, so a tail cut off in the middle of a block is
+    dropped, and so is text before the first ``start`` tag and between blocks.
+    (Text before a file's first ``start`` tag must not hold an ``end`` tag.)
     """
-    return blocks_of(spark.read.option("lineSep", end).text(path), start, end)
+    return blocks_of(spark.read.option("lineSep", start).text(path), start, end)
 
 
 def blocks_of(raw: DataFrame, start: str = PATIENT_BLOCK_START,
               end: str = PATIENT_BLOCK_END) -> DataFrame:
-    """A3 on text cut at ``end`` tags (batch or stream): the blocks."""
-    pos = F.instr(F.col("value"), start)
+    """A3 on text cut at ``start`` tags (batch or stream): the blocks."""
+    pos = F.instr(F.col("value"), end)
     return raw.where(pos > 0).select(
-        F.concat(F.expr(f"substr(value, instr(value, {_sql_str(start)}))"), F.lit(end))
+        F.concat(F.lit(start), F.expr(f"substr(value, 1, instr(value, {_sql_str(end)}) - 1)"), F.lit(end))
         .alias("block"))
 
 
@@ -123,18 +125,21 @@ def read_patients(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def read_quoted_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
                     header: bool = True, sep: str = ",", quote: str = '"',
-                    repartition: int | None = None, empty_as_null: bool = False) -> DataFrame:
+                    repartition: int | None = None, empty_as_null: bool = False,
+                    multi_line: bool = True) -> DataFrame:
     """A5: quoted CSV whose fields may hold separators and line breaks.
 
     Doubled quotes inside a quoted field become one quote (RFC 4180). Gzip
-    files (A9) are read by extension, each exactly once; with ``multiLine``
-    a file is one task, so ``repartition`` spreads rows after the read.
+    files (A9) are read by extension, each exactly once; with ``multi_line``
+    a file is one task, so ``repartition`` spreads rows after the read. Turn
+    ``multi_line`` off for feeds without line breaks inside quotes: their
+    uncompressed files are then read in splits.
     Every field of the feeds is text whose default is ``''``, so an empty
     field (or a missing one) reads as ``''`` unless ``empty_as_null``;
     numbers parsed later still turn it into NULL.
     """
     df = (spark.read.schema(schema)
-          .option("header", header).option("multiLine", True)
+          .option("header", header).option("multiLine", multi_line)
           .option("sep", sep).option("quote", quote).option("escape", quote)
           .option("mode", "PERMISSIVE")
           .csv(path))

@@ -3,7 +3,7 @@
 The source system has no streaming: its prep step reads whole directories.
 Here the same readers run on ``readStream`` so new feed files are parsed as
 they land. The parse step is the batch code (``sources.parse_*``), the sink
-is Parquet, and the checkpoint lives in the shared folder, so a restarted or
+is Parquet, and the checkpoint lives with the table, so a restarted or
 failed query resumes exactly where it stopped (each file ingested once).
 """
 
@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from claimlens import schemas, sources
-from claimlens.session import scratch_path
 
 
 def stream_claims(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
@@ -29,7 +28,7 @@ def stream_claims(spark: SparkSession, path: str, max_files_per_trigger: int | N
 def stream_patients(spark: SparkSession, path: str,
                     max_files_per_trigger: int | None = None) -> DataFrame:
     """A3 + A4 as a stream over new XML files in ``path``."""
-    reader = spark.readStream.option("lineSep", sources.PATIENT_BLOCK_END)
+    reader = spark.readStream.option("lineSep", sources.PATIENT_BLOCK_START)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     blocks = sources.blocks_of(reader.text(path))
@@ -41,10 +40,11 @@ def ingest(stream: DataFrame, out_path: str, checkpoint: str | None = None,
     """Append a parsed stream to a Parquet table.
 
     ``available_now`` processes every file present and stops (a scheduled
-    batch that only reads new files); otherwise the query keeps running.
+    batch that only reads new files); otherwise the query keeps running. The
+    checkpoint belongs to the table: unless given, it is a fixed folder inside
+    ``out_path`` that table readers skip, so a later call resumes.
     """
-    spark = stream.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "ingest-checkpoint")
+    checkpoint = checkpoint or f"{out_path.rstrip('/')}/_ingest_checkpoint"
     writer = (stream.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now \

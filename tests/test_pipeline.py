@@ -46,7 +46,11 @@ def test_top_n_is_monotone(result):
 def test_quality_and_report(result):
     q = result.quality.first()
     assert q.n > 0 and 0.0 <= q.accuracy <= 1.0 and q.mean_log_likelihood <= 0.0
-    assert result.coefficients.where(F.col("beta") == 0).count() == 0
+    from claimlens.operators import features as fe
+    report = result.coefficients
+    # every feature of the training set, zero coefficients included
+    assert report.count() == fe.feature_dictionary(result.training).count()
+    assert report.where(F.col("beta") == 0).count() > 0 and report.where(F.col("beta") != 0).count() > 0
 
 
 def test_same_seed_same_result(spark, result):
@@ -79,6 +83,32 @@ def test_term_scoring_equals_mllib_transform(spark, result):
         assert a[k][0] == b[k][0] and abs(a[k][1] - b[k][1]) < 1e-9
 
 
+def test_everyone_is_clustered_and_the_fit_is_optimal(spark, result):
+    from claimlens.operators import classify as cl
+    assert result.clustered.count() == result.features.count()
+    miss = cl.optimality(cl.coefficients(result.extra["model"], spark), result.training)
+    assert miss.agg(F.max("miss")).first()[0] < 5e-3
+
+
+def test_rows_that_share_an_id_are_scored_and_clustered_apart(spark, result):
+    from claimlens.operators import classify as cl
+    from claimlens.operators import clustering as ck
+    from claimlens.operators import features as fe
+    one = result.features.limit(1)
+    twins = one.unionByName(one.withColumn("age", F.lit("other")))
+    coef = spark.range(fe.N_FEATURES).select(F.col("id").cast("int").alias("idx"), (F.col("id") * 1e-5).alias("beta"))
+    scored = cl.score_features(coef, twins).collect()
+    assert len(scored) == 2 and scored[0].p1 != scored[1].p1
+    centers = spark.createDataFrame([(0, 1, 1.0), (1, 2, 1.0)], "cluster int, idx int, value double")
+    assert ck.assign_features(twins, centers, 2, fe.N_FEATURES).count() == 2
+
+
+def test_predicted_counts_keep_an_empty_class(spark):
+    from claimlens.operators import classify as cl
+    scored = spark.createDataFrame([("a", 0)], "patient_id string, review int")
+    assert sorted((r.review, r.n) for r in cl.predicted_counts(scored).collect()) == [(0, 1), (1, 0)]
+
+
 def test_part3_with_three_clusters(spark):
     charges = registry.charges_of(spark, SF)
     r = run_part3(si.patient_feed(spark, SF), si.claim_feed(spark, SF), charges,

@@ -56,16 +56,24 @@ def test_stats_are_broadcast(skewed):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
-def test_cosine_assign_single_point_shuffle(spark):
+def test_vectors_scores_and_assignments_stay_inside_the_row(spark):
     feats = spark.createDataFrame(
         [("1", 0, "3", "F", "low", 2, 1, [("0604", 2)]), ("2", 1, "4", "M", "hi", 0, 3, [("0019", 3)])],
         "id string, review int, age string, gender string, income string, type_I bigint, "
         "type_O bigint, claims array<struct<claim_id:string,n:bigint>>")
     cents = spark.createDataFrame([(0, 1, 1.0), (1, 2, 1.0)], "cluster int, idx int, value double")
-    lines = _tree(ck.cosine_assign(fe.vector_long(feats), cents, 2))
-    # the point side: exactly one shuffle (by id) under the per-point aggregate
-    point_side = [ln for ln in _exchange_children(lines) if "Generate" in ln or "Project" in ln]
-    assert len(point_side) == 1
+    from claimlens.operators import classify as cl
+    coef = spark.createDataFrame([(1, 0.5)], "idx int, beta double")
+    for df in (fe.vector_long(feats), cl.score_features(coef, feats),
+               ck.assign_features(feats, cents, 2, fe.N_FEATURES)):
+        assert "Exchange" not in "\n".join(_tree(df))
+
+
+def test_provider_questions_do_not_sort_detail_rows(spark, charges_df):
+    from claimlens.operators import charges as ch
+    df = charges_df([("I", "001 - A", "1", "AA - X", 5.0, 10.0, 4.0)])
+    for by in ("charge", "gap"):
+        assert "SortAggregate" not in "\n".join(_tree(ch.provider_win_counts(df, by)))
 
 
 def test_join_small_falls_back_above_the_bound(spark):

@@ -39,3 +39,18 @@ def test_training_and_scoring_sets(spark):
     assert train == ["a", "b", "c"]
     score = sorted(r.id for r in sa.scoring_set(feats, clustered, 0).collect())
     assert score == ["d", "e"]  # e was never clustered: still scored
+
+
+def test_sample_keeps_the_partitions(spark):
+    df = spark.range(200_000).selectExpr("cast(id as string) AS id").repartition(16)
+    got = sa.seeded_sample(df, 50_000, seed=1)
+    assert got.count() == 50_000
+    held = got.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(held) >= 2 and max(held) < 50_000
+
+
+def test_edge_sizes_and_null_ids(spark):
+    df = spark.createDataFrame([(None,), ("a",), ("b",)], "id string")
+    assert sa.seeded_sample(df, 0).count() == 0
+    assert sa.seeded_sample(df, 1).count() == 1
+    assert sa.seeded_sample(df.where("false"), 5).count() == 0

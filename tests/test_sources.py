@@ -123,3 +123,19 @@ def test_readers_split_large_files_exactly(spark, tmp_path):
         assert sorted(int(r.id) for r in p.collect()) == list(range(2000))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_block_cut_off_at_the_end_is_dropped(spark, tmp_path):
+    from claimlens import sources
+    one = '<rows><field name="id">{}</field><field name="age">3</field></rows>'
+    (tmp_path / "a.xml").write_text("<table>" + one.format(1) + '\n<rows><field name="id">2</field><field name="age">7')
+    (tmp_path / "b.xml").write_text("<table>" + "\n".join(one.format(100 + i) for i in range(300))
+                                    + '<rows><field name="id">999</field>')
+    assert sorted(int(r.id) for r in sources.read_patients(spark, str(tmp_path / "a.xml")).collect()) == [1]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "997")
+    try:
+        got = sorted(int(r.id) for r in sources.read_patients(spark, str(tmp_path)).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [1, *range(100, 400)]

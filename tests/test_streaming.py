@@ -42,3 +42,13 @@ def test_charges_stream(spark, tmp_path):
                      str(tmp_path / "ck")).awaitTermination()
     rows = {r.type: r for r in spark.read.parquet(res).collect()}
     assert rows["I"].avg_charged_amount == 32963.07 and rows["O"].avg_charged_amount is None
+
+
+def test_a_second_call_without_a_checkpoint_resumes(spark, tmp_path):
+    land, out = tmp_path / "land2", str(tmp_path / "out2")
+    land.mkdir()
+    (land / "m01.txt").write_text("20110101\x1fp1\x1f0604\x1e")
+    streaming.ingest(streaming.stream_claims(spark, str(land)), out).awaitTermination()
+    (land / "m02.txt").write_text("20110201\x1fp2\x1f0698\x1e")
+    streaming.ingest(streaming.stream_claims(spark, str(land)), out).awaitTermination()
+    assert sorted(r.patient_id for r in spark.read.parquet(out).collect()) == ["p1", "p2"]
