@@ -5,6 +5,8 @@ Each returns a ``Column`` and stays inside whole-stage codegen.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -99,3 +101,11 @@ def seeded_key(c: ColumnOrName, seed: int | str) -> Column:
     sorting by this string is sorting by a uniform 128-bit hash.
     """
     return F.md5(F.concat(_c(c).cast("string"), F.lit(f":{seed}")))
+
+
+def double_array(values: Sequence[float]) -> Column:
+    """A constant ``array<double>``: one literal, folded once by the
+    optimizer (``lit`` of a list would make one expression per element)."""
+    if not len(values):
+        return F.array().cast("array<double>")
+    return F.split(F.lit(",".join(map(repr, map(float, values)))), ",").cast("array<double>")

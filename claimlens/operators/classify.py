@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimlens.functions import double_array
 from claimlens.operators import features as fe
 from claimlens.operators.common import iteration_input, ranked_top, ranked_top_large
 
@@ -69,7 +70,7 @@ def with_p1(features: DataFrame, coef: DataFrame, n_features: int | None = None,
         beta[r.idx] = float(r.beta)
     idx, weight = fe.term_arrays(features, n_features, **probes)
     rows = features.withColumns({"_idx": idx, "_weight": weight})
-    parts = F.zip_with("_idx", "_weight", lambda i, w: w * F.element_at(F.lit(beta), i + 1))
+    parts = F.zip_with("_idx", "_weight", lambda i, w: w * F.element_at(double_array(beta), i + 1))
     margin = F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
     return rows.withColumn("p1", F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).drop("_idx", "_weight")
 

@@ -15,7 +15,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimlens.functions import safe_div
+from claimlens.functions import double_array, safe_div
 from claimlens.operators import features as fe
 from claimlens.operators.common import iteration_input
 
@@ -71,7 +71,7 @@ def assign_features(features: DataFrame, centroids: DataFrame, k: int, n_feature
         dense[r.cluster][r.idx] += r.value
     rows = fe.merged_terms(features, n_features, "_terms", **probes)
     norm = F.sqrt(F.aggregate("_terms", F.lit(0.0), lambda s, t: s + t["value"] * t["value"]))
-    dots = {f"_dot{c}": F.aggregate("_terms", F.lit(0.0), _dot(F.lit(dense[c]))) for c in range(k)}
+    dots = {f"_dot{c}": F.aggregate("_terms", F.lit(0.0), _dot(double_array(dense[c]))) for c in range(k)}
     rows = rows.withColumns({"_norm": norm} | dots)
     candidates = []
     for c in range(k):
