@@ -67,15 +67,15 @@ def raw_tokens(text: Column, names: bool = True) -> Column:
 
 
 def _windows(tokens: Column, n: int) -> Column:
-    """The hash of each window, in order."""
-    last = F.greatest(F.size(tokens) - F.lit(n - 1), F.lit(1))
+    """The hash of each window, in order (a shorter text: of all tokens)."""
+    last = F.greatest(F.size(tokens) - F.lit(n), F.lit(0))
     return F.when(F.size(tokens) > 0, F.transform(
-        F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(tokens, i, n)))
+        F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(tokens, i + k) for k in range(n)]))
     ).otherwise(F.array().cast("array<bigint>"))
 
 
-def _row_key(text: str) -> Column:
-    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+def _row_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
@@ -91,7 +91,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("t")) \
         .where("item_id is not null")
-    rows = docs.select(F.col(id_col).alias("d"), _row_key(text_col).alias("k"),
+    rows = docs.select(F.col(id_col).alias("d"), _row_key(F.col(text_col)).alias("k"),
                        F.col(text_col).alias("t"))
     both = [_found(rows, items, names, window, threshold, consistency) for names in (True, False)]
     return both[0].union(both[1]).distinct().select(F.col("d").alias(id_col), F.col("k").alias("row_key"),
@@ -158,10 +158,10 @@ def _found(rows: DataFrame, items: DataFrame, names: bool, window: int = WINDOW_
 
 
 def _joined(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:
-    d = docs.withColumn("_row_key", _row_key(text_col))
     f = small(stored(found.withColumnRenamed(id_col, "_found_id")
                      .withColumnRenamed("row_key", "_found_key"), "found"), 48)
-    return d.join(f, d[id_col].eqNullSafe(f["_found_id"]) & (d["_row_key"] == f["_found_key"]), how)
+    return docs.join(f, docs[id_col].eqNullSafe(f["_found_id"])
+                     & (_row_key(docs[text_col]) == f["_found_key"]), how)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from claimlens.llm import (
-    decontaminate, html_extract, minhash, packing, quality, secrets, token_count, toxicity,
+    decontaminate, decontaminate_sql, html_extract, minhash, packing, quality, secrets, token_count, toxicity,
     vector_join, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,9 @@ def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+ORACLE["op3_template_decontamination"] = decontaminate_sql.SQL
+
+
 @query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's secret spans: base patterns and the network's."""

@@ -58,9 +58,11 @@ def test_found_items(docs_of, bench):
                    (5, False, 0, -1), (6, False, 0, -1), (7, False, 0, -1), (8, True, 1, 2), (9, True, 1, 1),
                    (10, False, 0, -1), (10, True, 1, 1), (11, True, 1, 1), (12, True, 1, 1), (13, True, 1, 5),
                    (14, False, 0, -1), (15, True, 1, 1)]
+    docs = docs.withColumns({"_row_key": F.lit(1), "_found_id": F.lit(2), "_found_key": F.lit(3), "row_key": F.lit(4)})
     kept = dc.drop_contaminated(docs, bench)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 3, 5, 6, 7, 10, 14]
+    assert {(r._row_key, r._found_id, r._found_key, r.row_key) for r in kept.collect()} == {(1, 2, 3, 4)}
 
 
 def test_a_value_must_stand_for_one_value(docs_of, spark):
