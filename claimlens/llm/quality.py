@@ -111,7 +111,7 @@ def votes(text: str | None, words: Words) -> str:
         (capitals > 0.3 and n >= 5, capitals < 0.1),
         (bare > 0.2, bare < 0.05),
         (again > 0.2, again < 0.05),
-        (n >= 20 and top > 0.25, n >= 20 and top < 0.15),
+        (n >= 20 and top > 0.5, n >= 20 and top < 0.15),
         (n >= 20 and function < 0.05, n >= 20 and function > 0.12),
         (n >= 40 and ends < 0.01, ends > 0.03),
         (length > 15 or length < 2.2, 3 <= length <= 9),
@@ -125,7 +125,7 @@ def label_model(counts: dict[str, int], rounds: int = 200) -> tuple[dict[str, fl
     for each pattern, and each labeller's rates and accuracy.
 
     Starts from "bad if any labeller says bad". The prior on a labeller's
-    rates weighs four times the data: two in a thousand good texts are called
+    rates weighs twenty times the data: one in a thousand good texts is called
     bad. Without it, the two classes would settle on the commonest kind of
     junk and call the rarer kinds good.
     """
@@ -136,12 +136,12 @@ def label_model(counts: dict[str, int], rounds: int = 200) -> tuple[dict[str, fl
     v = np.array([[c for c in p] for p in names])
     bad_vote, good_vote = v == BAD, v == GOOD
     p_bad = np.where(bad_vote.any(axis=1), 0.9, 0.02)
-    strength = 4 * n.sum()
+    strength = 20 * n.sum()
     for _ in range(rounds):
         wb, wg = (n * p_bad)[:, None], (n * (1 - p_bad))[:, None]
         # share of bad votes among votes, by class
         tb = ((wb * bad_vote).sum(0) + 1.0) / ((wb * (bad_vote | good_vote)).sum(0) + 4.0)
-        tg = ((wg * bad_vote).sum(0) + 0.002 * strength) / \
+        tg = ((wg * bad_vote).sum(0) + 0.001 * strength) / \
             ((wg * (bad_vote | good_vote)).sum(0) + strength)
         prior = (wb.sum() + 1) / (n.sum() + 5)
         lb = np.log(prior) + bad_vote @ np.log(tb) + good_vote @ np.log1p(-tb)

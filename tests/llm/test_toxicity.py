@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from claimlens.llm import toxicity as tx
 
@@ -51,7 +52,7 @@ def test_held_out_labels_are_not_read(spark, docs_of):
 def test_offending_sentences_are_located(spark, docs_of):
     docs, labels = make(3, 900)
     model = tx.fit_toxicity(docs_of(docs), labels_of(spark, labels))
-    got = docs_of(docs).select("doc_id", "text", model.offending(docs_of(docs).text).alias("o")).collect()
+    got = docs_of(docs).select("doc_id", "text", model.offending(F.col("text")).alias("o")).collect()
     truth = dict(labels)
     found = [r for r in got if truth[r.doc_id] and r.o]
     assert len(found) > 0.95 * sum(truth.values())
