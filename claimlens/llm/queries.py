@@ -86,7 +86,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's toxicity score and prediction."""
+    """Every document's toxicity score, prediction and number of offending
+    sentences."""
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 

@@ -1,8 +1,8 @@
 """Toxicity by multiple-instance learning (operator 2).
 
 A document is a bag of sentences. A sentence's probability of being toxic is
-logistic in its hashed features (words and their first four and five letters); the document's is the
-noisy-or of its sentences, 1 - prod(1 - p). Only document labels are known:
+logistic in its hashed features (words and their first four and five letters);
+the document's is the noisy-or of its sentences, 1 - prod(1 - p). Only document labels are known:
 the gradient of the document's log-likelihood is shared out among the
 sentences by the noisy-or. Only features that documents labelled 1 hold
 significantly more often (``G_LEAST``) get a weight, so that the many rare
@@ -30,7 +30,7 @@ from claimlens.llm.common import arrow_map, lists
 
 CLASS_DOCS = 3_000
 DIMS = 1 << 18
-PREDICT_FROM = 0.3
+PREDICT_FROM, OFFENDING_FROM = 0.3, 0.5
 #: Least G statistic (likelihood ratio, one degree of freedom) of a feature.
 G_LEAST = 15.0
 HELD_OUT = 2
@@ -166,23 +166,27 @@ class ToxicityModel:
     def __init__(self, weights: np.ndarray):
         self.weights = weights
 
-    def score(self, text: Column) -> Column:
-        """Probability that a document is toxic; 0 for a text without words."""
-        weights = self.weights
+    def assess(self, text: Column, at_least: float = OFFENDING_FROM) -> Column:
+        """struct<score, n_offending>: the probability that a document is toxic
+        (0 for a text without words), and how many of its sentences have a
+        probability of their own of at least ``at_least``."""
+        weights, cut = self.weights, np.log(at_least / (1 - at_least))
 
-        @F.pandas_udf("double")
-        def run(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.pandas_udf("score double, n_offending bigint")
+        def run(it: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             words = Features()
             for s in it:
-                texts, out = list(s), []
+                texts, out = list(s), [(np.zeros(0), np.zeros(0))]
                 for i in range(0, len(texts), 500):
                     flat, per_sentence, per_text = bags(texts[i:i + 500], words)
-                    _, none = noisy_or(sentence_logits(weights, flat, per_sentence), per_text)
-                    out.append(-np.expm1(-none))
-                yield pd.Series(np.concatenate(out) if out else [], dtype=float)
+                    z = sentence_logits(weights, flat, per_sentence)
+                    doc, none = noisy_or(z, per_text)
+                    out.append((-np.expm1(-none), np.bincount(doc, z >= cut, len(per_text))))
+                yield pd.DataFrame({"score": np.concatenate([a for a, _ in out]).astype(float),
+                                    "n_offending": np.concatenate([b for _, b in out]).astype(np.int64)})
         return run(text)
 
-    def offending(self, text: Column, at_least: float = 0.5) -> Column:
+    def offending(self, text: Column, at_least: float = OFFENDING_FROM) -> Column:
         """array<struct<start, end, score>>: the sentences whose own
         probability is at least ``at_least``, with their code point spans."""
         weights = self.weights
@@ -237,7 +241,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic") -> DataFrame:
-    """``id_col``, held_out, score, predicted, n_offending for every row.
+    """``id_col``, held_out, score, n_offending (sentences located by the fitted
+    sentence model), predicted for every row.
 
     A null or wordless text scores 0. Ids may repeat or be null (held_out is
     null then). Further columns are not read; an empty table gives no rows.
@@ -245,5 +250,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     model = fit_toxicity(docs, labels, id_col, text_col, label_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"),
-                       model.score(text).alias("score")) \
+                       model.assess(text).alias("a")) \
+        .select(id_col, "held_out", "a.score", "a.n_offending") \
         .withColumn("predicted", (F.col("score") >= PREDICT_FROM).cast("int"))

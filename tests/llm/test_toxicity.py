@@ -55,6 +55,8 @@ def test_offending_sentences_are_located(spark, docs_of):
     got = docs_of(docs).select("doc_id", "text", model.offending(F.col("text")).alias("o")).collect()
     truth = dict(labels)
     found = [r for r in got if truth[r.doc_id] and r.o]
+    counted = docs_of(docs).select("doc_id", model.assess(F.col("text")).alias("a")).collect()
+    assert {r.doc_id: r.a.n_offending for r in counted} == {r.doc_id: len(r.o) for r in got}
     assert len(found) > 0.95 * sum(truth.values())
     assert all(any(n in r.text[x.start:x.end] for n in NASTY) for r in found for x in r.o)
 
