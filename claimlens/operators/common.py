@@ -72,28 +72,44 @@ def materialize(df: DataFrame, name: str, spark: SparkSession | None = None) ->
     return spark.read.parquet(path)
 
 
+#: A side is broadcast only if its estimated size is within this bound, too.
+MAX_BROADCAST_BYTES = 256 << 20
+_FIELD_BYTES = {"string": 48, "binary": 256, "boolean": 1, "int": 4, "bigint": 8, "double": 8}
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Estimated bytes of a row: fixed types by size, text and nested types
+    by a typical size."""
+    return sum(_FIELD_BYTES.get(kind, 512 if "<" in kind else 16) for _, kind in df.dtypes)
+
+
+def _fits(df: DataFrame, max_rows: int) -> bool:
+    rows = df.count()
+    return rows <= max_rows and rows * row_bytes(df) <= MAX_BROADCAST_BYTES
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_broadcast_rows: int = 2_000_000, name: str = "small-side") -> DataFrame:
     """Join ``big`` with a side that is expected to be small.
 
     The small side is materialized once (one pass over its input) and its
     rows are counted; only when the count is within ``max_broadcast_rows``
-    is it broadcast. Beyond that the join is left to the planner (sort-merge
-    with AQE skew splitting), so a mis-sized input degrades, not fails.
+    and the estimated size within ``MAX_BROADCAST_BYTES`` is it broadcast.
+    Beyond that the join is left to the planner (sort-merge with AQE skew
+    splitting), so a mis-sized input degrades, not fails.
     """
     small = materialize(small, name)
-    if small.count() <= max_broadcast_rows:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+    return big.join(F.broadcast(small) if _fits(small, max_broadcast_rows) else small, on, how)
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows and its
+    estimated size is within ``MAX_BROADCAST_BYTES``, else ``df``.
 
     For sides that are cheap to count (small scans, dimension joins): the
     count is one short job, and the hint is only given under the bound.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if _fits(df, max_rows) else df
 
 
 def iteration_input(df: DataFrame, rows_per_partition: int = 100_000,

@@ -58,12 +58,13 @@ def main() -> None:
         "patient_features": features_of(spark, sf),
         "clustering_sample (500 of the unflagged)": sa.clustering_sample(feats, 500, 42),
         "hash_features (vectors)": fe.hash_features(sample),
-        "cosine_assign": ck.cosine_assign(fe.vector_long(sample), cents, 2),
+        "cosine_assign (long form)": ck.cosine_assign(fe.vector_long(sample), cents, 2),
+        "assign_features (inside the row; 8 slots shown)": ck.assign_features(sample, cents, 2, 8),
         "scoring_set (anti join)": sa.scoring_set(
             feats, spark.createDataFrame([("1", 0, 0)], "patient_id string, cluster int, label int"), 0),
         "suspicious_patients (top n)": cl.suspicious_patients(scored, 10_000),
-        "score_features (JVM scoring of everyone)": cl.score_features(
-            spark.createDataFrame([(1, 0.5), (7, -0.25)], "idx int, beta double"), feats),
+        "score_features (inside the row; 8 slots shown)": cl.score_features(
+            spark.createDataFrame([(1, 0.5), (7, -0.25)], "idx int, beta double"), feats, 8),
         "provider_winners (1b + 1d together)": ch.provider_winners(charges),
         "global_rank (ranked curve of providers)": ch.ranked_curve(
             ch.provider_win_counts(charges, "charge"), "provider_id", "cnt", 3),
