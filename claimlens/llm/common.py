@@ -21,6 +21,8 @@ from claimlens.session import scratch_path
 
 #: A side is broadcast up to this many bytes (rows x a stated row width).
 BROADCAST_BYTES = 64 << 20
+#: Rows of an Arrow batch that a task turns into Python objects at once.
+SLICE_ROWS = 1_000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -43,13 +45,12 @@ def small(df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES) -> Da
 def arrow_map(df: DataFrame, fn: Callable[[dict], dict], schema: str) -> DataFrame:
     """Map Arrow batches: ``fn`` gets {column: Arrow array} and returns
     {column: list, numpy or Arrow array}. Batches are bounded by Spark in
-    rows and bytes, so memory does not grow with the partition."""
+    rows and bytes and handed on in slices of ``SLICE_ROWS`` rows, so memory
+    does not grow with the partition."""
     arrow_schema = _arrow_schema(df, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in (b.slice(i, SLICE_ROWS) for b in batches for i in range(0, b.num_rows, SLICE_ROWS)):
             out = fn({n: batch.column(i) for i, n in enumerate(batch.schema.names)})
             yield pa.RecordBatch.from_arrays(
                 [_as_arrow(out[f.name], f.type) for f in arrow_schema], schema=arrow_schema)
@@ -87,7 +88,7 @@ class WordIds(dict):
     """word -> xxhash64 of its UTF-8 form; cleared when it holds ``limit``
     words (the ids do not depend on the cache)."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 

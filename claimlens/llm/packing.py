@@ -46,7 +46,7 @@ class WordTokens(dict):
     distinct run of small letters is merged once. Cleared at ``limit`` words.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 100_000):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # Spark's tasks are the parallelism
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import arrow_map, lists
+from claimlens.llm.common import SLICE_ROWS, arrow_map, lists
 
 #: Documents whose posterior labels train the scorer (all others are scored only).
 SAMPLE_ROWS = 8_000
@@ -55,11 +55,11 @@ def _shape(word: str) -> str:
 class Words(dict):
     """Word -> row of the attribute table; cleared at ``limit`` words."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
         self.new: list[tuple] = []
-        self.table = np.zeros((1024, 7), np.int64)
+        self.table = np.zeros((1024, 7), np.int32)
         self.used = 0
 
     def __missing__(self, word: str) -> int:
@@ -82,7 +82,7 @@ class Words(dict):
         if self.new:
             end = self.used + len(self.new)
             if end > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros((2 * end, 7), np.int64)])
+                self.table = np.concatenate([self.table, np.zeros((end, 7), np.int32)])
             self.table[self.used:end] = self.new
             self.used = end
             self.new.clear()
@@ -162,18 +162,24 @@ def features(text: str | None, words: Words) -> np.ndarray:
     if not tokens:
         return np.zeros(0, np.int64)
     at, a = words.rows_of(tokens)
-    shape = a[:, 6]
+    shape = a[:, 6].astype(np.int64)
     pair = (shape[1:] * 31 + shape[:-1] * 17 + 7) % 2147483647
     same = np.where(at[1:] == at[:-1], 1, 2)
     return np.concatenate([shape % DIMS, pair % DIMS, same])
 
 
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a batch, a slice of it as Python strings at a time."""
+    for i in range(0, len(column), SLICE_ROWS):
+        yield from column.slice(i, SLICE_ROWS).to_pylist()
+
+
 def _votes_udf():
-    @F.pandas_udf("string")
-    def run(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def run(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = Words()
         for s in it:
-            yield pd.Series([votes(t, words) for t in s], dtype=object)
+            yield pa.array([votes(t, words) for t in _texts(s)], pa.string())
     return run
 
 
@@ -220,16 +226,16 @@ class QualityModel:
         """Probability that a text is good; 0 for a text without words."""
         w = self.weights
 
-        @F.pandas_udf("double")
-        def run(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("double")
+        def run(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
             words = Words()
             for s in it:
                 out = []
-                for t in s:
+                for t in _texts(s):
                     f = features(t, words)
                     out.append(1 / (1 + np.exp(-np.clip(w[f].mean() + w[-1], -60, 60)))
                                if len(f) else 0.0)
-                yield pd.Series(out, dtype=float)
+                yield pa.array(out, pa.float64())
         return run(F.col(text) if isinstance(text, str) else text)
 
 
