@@ -13,17 +13,28 @@ window (a shorter text is one window). The windows of all documents are
 hash-joined with those of the benchmark; the benchmark side is broadcast only
 behind a check of its size.
 
-*Decision.* In either form, an item is found in a document that holds at least ``THRESHOLD``
-of its distinct windows and fills its slots consistently: following the
-matched windows, each value of the item (number, name or unit) must stand for
-one value of the document. ``consistency`` is the share of the slot weight
-that agrees with the value most often seen for it; every matched item
-position weighs 1, divided among its places in the document.
+*Decision.* In either form, an item is found in a document with an occurrence
+that holds at least ``THRESHOLD`` of its distinct windows and fills its slots
+consistently: following the matched windows, each value of the item (number,
+name or unit) must stand for one value of the occurrence. ``consistency`` is
+the share of the slot weight that agrees with the value most often seen for
+it; every matched item position weighs 1, divided among its places in the
+occurrence.
+
+*Occurrences.* The matched places with one alignment (document position minus
+item position); every run of places whose item positions go forward, so that
+words put into a copy do not part it (of the item positions of one place, the
+one with the commonest alignment counts); and all places of the document, so
+that a copy in another order is one too. Other passages of the same template
+with other values do not hide a copy.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.llm.common import small, stored
@@ -136,25 +147,51 @@ def _found(rows: DataFrame, items: DataFrame, names: bool, window: int = WINDOW_
     matched = stored(matched.join(
         small(c, 32), [matched["d"].eqNullSafe(c["cd"]), matched["k"] == c["ck"],
                        matched["item_id"] == c["ci"]], "left_semi"), "matched")
-    places = matched.groupBy("d", "k", "item_id", "q").agg(F.count(F.lit(1)).alias("places"))
+    placed_at = _occurrences(matched)
+    # the literal windows alone count for containment
+    literal_at = F.exists(F.col("canon"), lambda x: ~x.isin("0", "@", "%"))
+    held = placed_at.groupBy("d", "k", "item_id", "g").agg(
+        F.count_distinct(F.when(literal_at, F.col("w"))).alias("found")) \
+        .join(small(sizes, 24), "item_id") \
+        .where(F.col("found") >= F.lit(threshold) * F.col("n_windows")).drop("found", "n_windows")
+    held = stored(held, "occurrences")
+    of = ["d", "k", "item_id", "g"]
+
+    def same_as(x: str, y: str, columns: list[str]) -> Column:
+        return reduce(and_, [F.col(f"{x}.{c}").eqNullSafe(F.col(f"{y}.{c}")) for c in columns])
+
+    kept = placed_at.alias("m").join(small(held, 64).alias("h"), same_as("m", "h", of), "left_semi")
+    places = kept.groupBy(*of, "q").agg(F.count(F.lit(1)).alias("places"))
     slot = F.filter(F.arrays_zip("canon", "item_raw", "doc_raw"),
                     lambda x: x["canon"].isin("0", "@", "%"))
-    m, p = matched.alias("m"), places.alias("p")
-    pair = m.join(p, (F.col("m.d").eqNullSafe(F.col("p.d"))) & (F.col("m.k") == F.col("p.k"))
-                  & (F.col("m.item_id") == F.col("p.item_id")) & (F.col("m.q") == F.col("p.q"))) \
-        .select("m.d", "m.k", "m.item_id", (F.lit(1.0) / F.col("places")).alias("weight"),
+    pair = kept.alias("m").join(places.alias("p"), same_as("m", "p", [*of, "q"])) \
+        .select("m.d", "m.k", "m.item_id", "m.g", (F.lit(1.0) / F.col("places")).alias("weight"),
                 F.explode(slot).alias("s"))
-    seen = pair.groupBy("d", "k", "item_id", "s.canon", "s.item_raw", "s.doc_raw") \
-        .agg(F.sum("weight").alias("weight"))
-    by_value = seen.groupBy("d", "k", "item_id", "canon", "item_raw") \
+    seen = pair.groupBy(*of, "s.canon", "s.item_raw", "s.doc_raw").agg(F.sum("weight").alias("weight"))
+    by_value = seen.groupBy(*of, "canon", "item_raw") \
         .agg(F.max("weight").alias("best"), F.sum("weight").alias("total"))
-    slots = by_value.groupBy("d", "k", "item_id").agg(
-        (F.sum("best") / F.sum("total")).alias("consistency"))
-    a, b = cand.alias("a"), slots.alias("b")
-    return a.join(b, (F.col("a.d").eqNullSafe(F.col("b.d"))) & (F.col("a.k") == F.col("b.k"))
-                  & (F.col("a.item_id") == F.col("b.item_id")), "left").select(
-        "a.d", "a.k", "a.item_id", F.coalesce("consistency", F.lit(1.0)).alias("consistency")) \
-        .where(F.col("consistency") >= F.lit(consistency)).drop("consistency")
+    slots = by_value.groupBy(*of).agg((F.sum("best") / F.sum("total")).alias("consistency"))
+    return held.alias("a").join(slots.alias("b"), same_as("a", "b", of), "left") \
+        .where(F.coalesce("consistency", F.lit(1.0)) >= F.lit(consistency)) \
+        .select("a.d", "a.k", "a.item_id").distinct()
+
+
+def _occurrences(matched: DataFrame) -> DataFrame:
+    """``matched`` with ``g``, one row for each occurrence a place belongs to."""
+    pair = ["d", "k", "item_id"]
+    m = matched.withColumn("shift", F.col("p") - F.col("q"))
+    m = m.withColumn("support", F.count(F.lit(1)).over(Window.partitionBy(*pair, "shift")))
+    m = m.withColumn("rank", F.row_number().over(
+        Window.partitionBy(*pair, "p").orderBy(F.desc("support"), "q")))
+    first = F.col("rank") == 1
+    # a place's item position goes on from the last one, or a new run begins
+    in_order = Window.partitionBy(*pair).orderBy("p", "rank")
+    before = F.last(F.when(first, F.col("q")), True).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    m = m.withColumn("turn", F.when(first & (F.col("q") <= before), 1).otherwise(0))
+    m = m.withColumn("run", F.sum("turn").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    groups = F.array(F.lit("all"), F.concat(F.lit("shift "), F.col("shift")),
+                     F.when(first, F.concat(F.lit("run "), F.col("run"))))
+    return m.withColumn("g", F.explode(F.array_compact(groups))).drop("shift", "support", "rank", "turn", "run")
 
 
 def _joined(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:

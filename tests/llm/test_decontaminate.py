@@ -75,6 +75,16 @@ def test_a_value_must_stand_for_one_value(docs_of, spark):
     assert got == {1: True, 2: False}
 
 
+def test_each_occurrence_is_judged_by_itself(docs_of, bench):
+    one, two = other_values(), other_values(("Eve Brown", "Mallory"), ("61", "77", "5", "13"))
+    inserted = ITEM.replace("Later", "Later that very long and rather cold day in spring")
+    docs = docs_of([(1, ITEM + " " + one), (2, one + " and then " + ITEM + " and then " + two), (3, one + "\n" + two),
+                    (4, noise(1) + one + noise(2) + two + noise(3) + ITEM), (5, inserted + " or else " + one),
+                    (6, ITEM[:80] + " or " + one[:80]), (7, " ".join([one, two, ITEM] * 200))])
+    got = {r.doc_id: r.first_item for r in dc.report(docs, bench).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: None, 7: 1}
+
+
 def test_no_python_in_the_plan_and_empty_tables(docs_of, bench, spark):
     docs = docs_of([(1, ITEM)])
     plan = dc.report(docs, bench)._jdf.queryExecution().toString()
