@@ -29,6 +29,12 @@ from claimlens.llm.common import SLICE_ROWS, arrow_map, lists
 SAMPLE_ROWS = 8_000
 DIMS = 1 << 13
 KEEP_FROM = 0.5
+#: Prior of each class of the label model, in documents.
+PRIOR_VOTES = 20
+#: A labeller that alone calls more than this share of the texts bad misfires.
+LONE_SHARE = 0.08
+#: A labeller that calls less than this share of the texts bad gets no class.
+RARE_SHARE = 0.003
 
 # Frequent function words of the four languages.
 FUNCTION_WORDS = frozenset((
@@ -124,10 +130,15 @@ def label_model(counts: dict[str, int], rounds: int = 200) -> tuple[dict[str, fl
     """EM over {vote pattern: documents}. Returns the posterior of class good
     for each pattern, and each labeller's rates and accuracy.
 
-    Starts from "bad if any labeller says bad". The prior on a labeller's
-    rates weighs twenty times the data: one in a thousand good texts is called
-    bad. Without it, the two classes would settle on the commonest kind of
-    junk and call the rarer kinds good.
+    Good texts are one class, bad texts several, one a labeller, so that the
+    commonest kind of junk does not make the rarer kinds good. Class k starts
+    with the texts labeller k calls bad. All rates are set by the data; the
+    prior of a class weighs a few documents, whatever the corpus size.
+
+    Votes cannot tell junk that only one labeller sees from its misfires. If
+    more than ``LONE_SHARE`` of the texts are called bad by labeller k alone,
+    they start as good and k has no class; its rate among good texts follows.
+    So do those of a labeller that calls less than ``RARE_SHARE`` bad.
     """
     names = sorted(counts)
     if not names:
@@ -135,21 +146,34 @@ def label_model(counts: dict[str, int], rounds: int = 200) -> tuple[dict[str, fl
     n = np.array([counts[p] for p in names], float)
     v = np.array([[c for c in p] for p in names])
     bad_vote, good_vote = v == BAD, v == GOOD
-    p_bad = np.where(bad_vote.any(axis=1), 0.9, 0.02)
-    strength = 20 * n.sum()
+    cast = bad_vote | good_vote
+    alone = bad_vote & (bad_vote.sum(1) == 1)[:, None]
+    trusted = (n @ alone <= LONE_SHARE * n.sum()) & (n @ bad_vote >= RARE_SHARE * n.sum())
+    if not trusted.any():
+        trusted[:] = True
+    said = bad_vote & (trusted | ~alone)
+    any_bad = said.any(axis=1)
+    shares = np.where(any_bad[:, None], said / np.maximum(1, said.sum(1))[:, None], 1 / len(LABELLERS))
+    shares = shares[:, trusted] + 1e-9
+    start = np.where(any_bad, 0.9, 0.02)[:, None]
+    of = np.hstack([1 - start, start * shares / shares.sum(1, keepdims=True)])
+    # a class's own labeller nearly always says bad, any other one rarely
+    usual = np.vstack([np.full(len(LABELLERS), 0.001), np.where(np.eye(len(LABELLERS)), 0.9, 0.001)[trusted]])
     for _ in range(rounds):
-        wb, wg = (n * p_bad)[:, None], (n * (1 - p_bad))[:, None]
+        w = n[:, None] * of
+        bad_votes, all_votes = w.T @ bad_vote, w.T @ cast
         # share of bad votes among votes, by class
-        tb = ((wb * bad_vote).sum(0) + 1.0) / ((wb * (bad_vote | good_vote)).sum(0) + 4.0)
-        tg = ((wg * bad_vote).sum(0) + 0.001 * strength) / \
-            ((wg * (bad_vote | good_vote)).sum(0) + strength)
-        prior = (wb.sum() + 1) / (n.sum() + 5)
-        lb = np.log(prior) + bad_vote @ np.log(tb) + good_vote @ np.log1p(-tb)
-        lg = np.log1p(-prior) + bad_vote @ np.log(tg) + good_vote @ np.log1p(-tg)
-        new = 1 / (1 + np.exp(np.clip(lg - lb, -60, 60)))
-        if np.abs(new - p_bad).max() < 1e-9:
+        rate = (bad_votes + PRIOR_VOTES * usual) / (all_votes + PRIOR_VOTES)
+        log = np.log((w.sum(0) + 1) / (n.sum() + w.shape[1])) \
+            + bad_vote @ np.log(rate).T + good_vote @ np.log1p(-rate).T
+        new = np.exp(log - log.max(axis=1, keepdims=True))
+        new /= new.sum(axis=1, keepdims=True)
+        if np.abs(new - of).max() < 1e-9:
             break
-        p_bad = new
+        of = new
+    p_bad = 1 - of[:, 0]
+    tg, prior = rate[0], (n @ p_bad + 1) / (n.sum() + 5)
+    tb = (bad_votes[1:].sum(0) + 1.0) / (all_votes[1:].sum(0) + 4.0)
     accuracy = prior * tb + (1 - prior) * (1 - tg)
     report = pd.DataFrame({"labeller": LABELLERS, "bad_if_bad": tb, "bad_if_good": tg,
                            "accuracy": accuracy})

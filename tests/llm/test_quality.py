@@ -54,6 +54,19 @@ def test_label_model_recovers_accuracies():
     assert q.label_model({}) [0] == {}
 
 
+def test_label_model_recovers_an_unreliable_labeller():
+    for size in (5_000, 40_000):
+        rng = np.random.default_rng(1)
+        truth = rng.random(size) < 0.1
+        said = rng.random((size, 10)) < np.where(truth[:, None], 0.4, [0.1] + [0.002] * 9)
+        votes = ["".join("0" if x else "1" for x in r) for r in said]
+        names, n = np.unique(votes, return_counts=True)
+        posterior, report = q.label_model(dict(zip(names.tolist(), n.tolist(), strict=True)))
+        assert abs(report["bad_if_good"][0] - 0.1) < 0.02
+        decided = np.array([posterior[v] < 0.5 for v in votes])
+        assert posterior["0" + "1" * 9] > 0.5 and decided[~truth].mean() < 0.03 and decided[truth].mean() > 0.9
+
+
 def test_fitted_scorer_keeps_good_and_rejects_each_kind(docs_of):
     docs = docs_of(rows(1, 600))
     model = q.fit_quality(docs)
