@@ -56,7 +56,10 @@ BAD_NAMES = re.compile(
     r"navbar|navigation|breadcrumbs?|footer|header|masthead|comments?|replies|reply|discussion|login|"
     r"signin|search|tags|widget|complementary|contentinfo|alert|hidden|skip|toolbar|pagination)"
     r"(?:$|[\s_-])", re.I)
-HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+#: A class of a page that has, lacks or shows such a part, or that cuts overflow.
+LAYOUT_NAMES = re.compile(r"(?:^|[_-])(?:has|have|no|not|with|without)[_-]|^(?:overflow|backface)[_-]", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 
 FEATURES = ("bias", "log_words", "links", "marks", "ends", "long_words", "heading", "paragraph", "item",
             "in_article", "in_main", "in_nav", "in_header", "in_footer", "in_aside", "in_form", "in_list",
@@ -68,19 +71,43 @@ START = np.array([-1.0, 0.5, -3.0, 2.0, 0.6, 0.0, 0.2, 0.8, -0.6,
 _NOTICE = re.compile("©|copyright|all rights reserved|privacy policy|cookies|terms of (?:use|service)", re.I)
 
 
+def is_hidden(attributes: str) -> bool:
+    """A bare hidden attribute, aria-hidden=true or a style that hides."""
+    low = attributes.lower()
+    if "hidden" not in low and "none" not in low:
+        return False
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values).strip()
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" \
+                or name == "style" and _UNSEEN.search(value):
+            return True
+    return False
+
+
+def is_bad_name(names: str) -> bool:
+    """One of the names, by itself, tells boilerplate."""
+    return any(BAD_NAMES.search(x) and not LAYOUT_NAMES.search(x) for x in names.split())
+
+
 class Node:
-    """A container of the page; ``up`` is the one around it."""
-    __slots__ = ("tag", "up", "flags", "index", "bad", "good", "hidden")
+    """A container of the page; ``up`` is the one around it. ``named`` is kept
+    where an article or main part ends a bad name from further out."""
+    __slots__ = ("tag", "up", "flags", "index", "bad", "good", "hidden", "named")
 
     def __init__(self, tag: str, up: Node | None, attributes: str, index: int):
         self.tag, self.up, self.index = tag, up, index
         names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)) if attributes else ""
         self.flags = (up.flags if up else frozenset()) | {tag}
-        # a page-wide part is not bad for a name such as "with-sidebar"
-        own = names if tag not in ("html", "body", "main", "article") else ""
-        self.bad = bool(up and up.bad) or bool(own and BAD_NAMES.search(own))
+        own = bool(names) and is_bad_name(names)
+        # a page-wide part is not bad for its name; an article with a bad name
+        # of its own (a comment) does not end the one around it
+        if tag == "main" or tag == "article" and not own:
+            self.bad = False
+        else:
+            self.bad = bool(up and up.bad) or own and tag not in ("html", "body", "article")
+        self.named = bool(up and up.named) or self.bad
         self.good = bool(up and up.good) or bool(names and GOOD_NAMES.search(names))
-        self.hidden = bool(up and up.hidden) or bool(attributes and HIDDEN.search(attributes))
+        self.hidden = bool(up and up.hidden) or bool(attributes and is_hidden(attributes))
 
 
 def parse(page: str) -> tuple[list[tuple[str, str, Node, float]], list[Node]]:
@@ -168,7 +195,7 @@ def weak_label(node: Node) -> int:
     f = node.flags
     if node.bad or node.hidden or f & {"nav", "footer", "aside", "form", "menu", "dialog"}:
         return 0
-    return 1 if f & {"article", "main"} else -1
+    return 1 if f & {"article", "main"} and not node.named else -1
 
 
 def min_cut(odds: np.ndarray, edges: list[tuple[int, int, float]]) -> np.ndarray:

@@ -43,6 +43,25 @@ def test_page_parts_are_told_apart():
     assert hx.main_text(PAGE, hx.START) == WANT
 
 
+def test_wrappers_that_only_look_hidden_or_bad():
+    for attributes in ('class="overflow-hidden"', 'style="overflow: hidden"', 'aria-hidden="false"', 'class="layout has-sidebar"',
+                       'class="page no-sidebar"', 'class="wrap with-header"', 'class="sidebar"'):
+        for page in (PAGE.replace('<div class="layout">', f"<div {attributes}>"),
+                     PAGE.replace("<body>", f"<body {attributes}>"), PAGE.replace("<article>", f"<article {attributes}>")):
+            if attributes != 'class="sidebar"' or "<div " + attributes + "><div" in page:
+                assert hx.main_text(page, hx.START) == WANT, attributes
+
+
+def test_hidden_parts_and_named_articles():
+    for attributes in ("hidden", 'hidden=""', "aria-hidden='true'", 'style="color:red; display : none"', "style=visibility:hidden"):
+        assert hx.main_text(PAGE.replace("<article>", f"<article><div {attributes}><p>A long, hidden paragraph of text, with "
+                                         "commas, which nobody sees.</p></div>"), hx.START) == WANT, attributes
+    comment = '<article class="comment"><p>I liked it very much, indeed, thank you!</p></article>'
+    assert hx.main_text(PAGE.replace('<div class="comments">', '<div class="comments">' + comment), hx.START) == WANT
+    card = hx.parse('<div class="related"><article><p>One.</p></article></div><article><p>Two.</p></article>')[0]
+    assert [hx.weak_label(b[2]) for b in card] == [-1, 1]
+
+
 def test_page_without_telling_tags():
     page = ("<body><div><a href=x>One</a> <a href=y>Two</a> <a>Three</a></div><div><p>" + "A long sentence, with commas, goes on. " * 5
             + "</p><p>Short</p><p>" + "More text follows here, as one would expect. " * 4 + "</p></div></body>")
