@@ -28,6 +28,8 @@ from claimlens.llm.common import SLICE_ROWS, arrow_map, lists
 #: Documents whose posterior labels train the scorer (all others are scored only).
 SAMPLE_ROWS = 8_000
 DIMS = 1 << 13
+#: Characters of a word that make one feature.
+PIECE = 64
 KEEP_FROM = 0.5
 #: Prior of each class of the label model, in documents.
 PRIOR_VOTES = 20
@@ -51,7 +53,7 @@ _PLAIN = set(".,;:!?'\"()-–—«»„“”’/")
 
 def _shape(word: str) -> str:
     out = []
-    for c in word[:64]:
+    for c in word:
         s = "X" if c.isupper() else "x" if c.isalpha() else "0" if c.isdigit() else c
         if len(out) < 2 or out[-1] != s or out[-2] != s:
             out.append(s)
@@ -75,7 +77,7 @@ class Words(dict):
             any(not c.isalnum() and c not in _PLAIN for c in word) and alnum > 0,
             alnum > 1 and word.isupper(), alnum == 0, core in FUNCTION_WORDS,
             word[-1] in ".!?", len(word),
-            xxhash.xxh64_intdigest(_shape(word).encode("utf-8", "surrogatepass")) & 0x7FFFFFFF))
+            xxhash.xxh64_intdigest(_shape(word[:PIECE]).encode("utf-8", "surrogatepass")) & 0x7FFFFFFF))
         self[word] = self.used + len(self.new) - 1
         return self[word]
 
@@ -181,11 +183,14 @@ def label_model(counts: dict[str, int], rounds: int = 200) -> tuple[dict[str, fl
 
 
 def features(text: str | None, words: Words) -> np.ndarray:
-    """Hashed feature of every position: shape, pair of shapes, repeat."""
+    """Hashed feature of every position: shape, pair of shapes, repeat. A
+    longer word counts as its consecutive pieces of ``PIECE`` characters."""
     tokens = (text or "").split()
     if not tokens:
         return np.zeros(0, np.int64)
     at, a = words.rows_of(tokens)
+    if a[:, 5].max() > PIECE:
+        at, a = words.rows_of([t[i:i + PIECE] for t in tokens for i in range(0, len(t), PIECE)])
     shape = a[:, 6].astype(np.int64)
     pair = (shape[1:] * 31 + shape[:-1] * 17 + 7) % 2147483647
     same = np.where(at[1:] == at[:-1], 1, 2)

@@ -78,6 +78,16 @@ def test_fitted_scorer_keeps_good_and_rejects_each_kind(docs_of):
     assert model.report["labeller"].tolist() == list(q.LABELLERS)
 
 
+def test_long_words_are_read_to_the_end():
+    clean = "a" * 64
+    words = q.Words()
+    f = [q.features(t, words).tolist() for t in (clean, clean + "#$%" * 1000, clean + "b" * 64)]
+    assert len(f[0]) == 1 and len(f[1]) > 100 and f[0] != f[2]
+    shape = q.features("#$%" * 21 + "#", q.Words())[0]
+    assert shape in q.features(clean + "#$%" * 21 + "#", q.Words())
+    assert q.features("one two, three", words).tolist() == q.features("one two, three", q.Words()).tolist()
+
+
 def test_odd_rows(docs_of):
     docs = docs_of(rows(2, 60) + [(None, None), (7, ""), (7, ""), (8, "word " * 50_000), (None, "x")])
     model = q.fit_quality(docs, sample_rows=10)
