@@ -7,8 +7,8 @@
    estimates each labeller's accuracy in both classes (votes independent
    given the class) and the share of bad texts; no true label is read. There
    are at most 3^10 patterns, whatever the number of documents.
-3. *Scorer.* The posterior labels of a bounded sample (``SAMPLE_ROWS`` rows
-   by id hash) train a logistic scorer linear in hashed features (word shapes,
+3. *Scorer.* The posterior labels of a bounded sample (about ``SAMPLE_ROWS``
+   rows by hash of id and text, at most twice as many) train a logistic scorer linear in hashed features (word shapes,
    pairs of shapes, repeated neighbours), which scores every document.
 """
 
@@ -224,7 +224,7 @@ def _sample_fn(text_col: str, key: str):
             val.append(c / max(1, len(f)))
             size.append(len(i))
             pattern.append(votes(text, words))
-        return {"pattern": pattern,
+        return {key: cols[key], "pattern": pattern,
                 "idx": lists(np.concatenate(idx).astype(np.int32), size, pa.int32()),
                 "val": lists(np.concatenate(val), size, pa.float64())}
     return run
@@ -281,10 +281,13 @@ def fit_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     total = sum(counts.values())
     if total == 0:
         return QualityModel(np.zeros(DIMS + 1), report)
-    share = F.abs(F.xxhash64(F.col(id_col).cast("string")) % 1_000_000)
-    take = docs.select(text_col).where(share < int(1_000_000 * min(1.0, sample_rows / total)) + 1)
-    got = arrow_map(take, _sample_fn(text_col, id_col),
-                    "pattern string, idx array<int>, val array<double>").toArrow()
+    # id and text: rows under one id, or none, are drawn apart; beyond twice
+    # the size (copies of one row are drawn together) the smallest hashes stay
+    part = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+    take = docs.select(F.col(text_col).alias("t"), part.alias("h")) \
+        .where(F.pmod("h", F.lit(1 << 40)) < (1 << 40) * min(1.0, sample_rows / total))
+    got = arrow_map(take, _sample_fn("t", "h"), "h bigint, pattern string, idx array<int>, val array<double>") \
+        .orderBy("h").limit(2 * sample_rows).toArrow()
     if got.num_rows == 0:
         return QualityModel(np.zeros(DIMS + 1), report)
     y = np.array([posterior[p] for p in got["pattern"].to_pylist()])

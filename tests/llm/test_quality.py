@@ -88,6 +88,15 @@ def test_long_words_are_read_to_the_end():
     assert q.features("one two, three", words).tolist() == q.features("one two, three", q.Words()).tolist()
 
 
+def test_the_sample_is_bounded_whatever_the_ids(docs_of, monkeypatch):
+    sizes = []
+    fit = q.fit_logistic
+    monkeypatch.setattr(q, "fit_logistic", lambda i, v, r, y, d: sizes.append(len(y)) or fit(i, v, r, y, d, steps=2))
+    for ids, texts in ((None, rows(3, 400)), (7, rows(3, 400)), (None, rows(3, 1) * 400)):
+        q.fit_quality(docs_of([(ids, t) for _, t in texts]), sample_rows=40)
+    assert max(sizes) <= 80 and all(n > 10 for n in sizes[:2])
+
+
 def test_odd_rows(docs_of):
     docs = docs_of(rows(2, 60) + [(None, None), (7, ""), (7, ""), (8, "word " * 50_000), (None, "x")])
     model = q.fit_quality(docs, sample_rows=10)
