@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from claimlens.llm import (
-    decontaminate, decontaminate_sql, html_extract, minhash, packing, quality, secrets, token_count, toxicity,
+    curriculum, curriculum_sql, decontaminate, decontaminate_sql, html_extract, minhash, packing, quality, secrets, token_count, toxicity,
     vector_join, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,13 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first_page <> page_id THEN first_page END AS refers_to
 FROM p LEFT JOIN g USING (payload_digest)
 """
+
+
+@query
+def op11_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words in the mix and the progress at which it is first
+    taken."""
+    return curriculum.report(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_curriculum_mix"] = curriculum_sql.SQL
