@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from claimlens.llm import (
-    curriculum, curriculum_sql, decontaminate, decontaminate_sql, html_extract, minhash, packing, quality, secrets, token_count, toxicity,
-    vector_join, warc)
+    curriculum, curriculum_sql, decontaminate, decontaminate_sql, html_extract, merkle, merkle_sql, minhash,
+    packing, quality, secrets, token_count, toxicity, vector_join, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -148,3 +148,12 @@ def op11_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op11_curriculum_mix"] = curriculum_sql.SQL
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and the root folded from it."""
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_merkle_manifest"] = merkle_sql.SQL
