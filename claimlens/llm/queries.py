@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from claimlens.llm import (
-    curriculum, curriculum_sql, decontaminate, decontaminate_sql, html_extract, merkle, merkle_sql, minhash,
-    packing, quality, secrets, token_count, toxicity, vector_join, warc)
+    conversations, conversations_sql, curriculum, curriculum_sql, decontaminate, decontaminate_sql, html_extract,
+    merkle, merkle_sql, minhash, packing, quality, secrets, token_count, toxicity, vector_join, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -157,3 +157,12 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op13_merkle_manifest"] = merkle_sql.SQL
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after damage and its cheapest repair."""
+    return conversations.report(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op12_conversation_repair"] = conversations_sql.SQL
