@@ -121,8 +121,8 @@ def optimality(coef: DataFrame, training: DataFrame, reg: float = L1_REG, label_
     n_features = n_features or fe.N_FEATURES
     rows = with_p1(training, coef, n_features, **probes)
     d = F.col("p1") - F.col(label_col).cast("double")
-    terms = fe.merged_terms(rows.withColumn("_d", d), n_features, "_terms", **probes) \
-        .select("_d", F.explode("_terms").alias("t"))
+    # terms of one slot add up in the sum, so they need no merge
+    terms = rows.select(d.alias("_d"), F.explode(fe.hashed_pairs(rows, n_features, **probes)).alias("t"))
     n = training.count()
     g = terms.groupBy(F.col("t.idx").alias("idx")).agg(
         (F.sum(F.col("_d") * F.col("t.value")) / F.lit(float(n))).alias("gradient"))

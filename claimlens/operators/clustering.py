@@ -1,10 +1,12 @@
 """Cosine k-means over sparse points.
 
-Points are kept in long form ``(id, idx, value)``. Centroids are at most
-``k x n_features`` rows (a bound fixed by the parameters, not by the data),
-so they are broadcast, pivoted to one row per slot; a point's norm and its
-distance to every centroid then come from one aggregate by point id. The
-fit itself is MLlib's distributed ``KMeans`` with the cosine measure.
+Points are rows that hold their vector (feature rows, dense arrays, vectors):
+norm, distances and assignment come from a fold inside the row, and a centroid
+update adds whole vectors up, one partial sum a task and cluster. Centroids are at
+most ``k x n_features`` values (a bound fixed by the parameters, not by the data).
+``cosine_assign`` and ``cosine_update`` do the same for long-form points ``(id,
+idx, value)``. The fit itself is MLlib's distributed ``KMeans`` with the cosine
+measure.
 """
 
 from __future__ import annotations
@@ -12,7 +14,10 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.ml.feature import Normalizer
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions import double_array, safe_div
@@ -62,27 +67,33 @@ def cosine_assign(points: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
 def assign_features(features: DataFrame, centroids: DataFrame, k: int, n_features: int,
                     keep: tuple[str, ...] = ("id", "review"), **probes) -> DataFrame:
     """J5 for feature rows, inside the row: ``keep`` columns, cluster,
-    distance. Same distances and ties as ``cosine_assign``; one result per
-    feature row, no shuffle. The centroids (k x n_features values, a bound
+    distance and norm. Same distances and ties as ``cosine_assign``; one result
+    per feature row, no shuffle. The centroids (k x n_features values, a bound
     fixed by the parameters) travel as array literals.
     """
+    return _assign_rows(features, fe.hashed_pairs(features, n_features, **probes), centroids, k, n_features, keep)
+
+
+def assign_arrays(df: DataFrame, vec_col: str, centroids: DataFrame, k: int, n_features: int,
+                  keep: tuple[str, ...] = ("id",)) -> DataFrame:
+    """J5 for dense array columns, inside the row: ``keep`` columns, cluster,
+    distance and norm. Null components count as 0; null arrays drop."""
+    pairs = F.transform(vec_col, lambda v, i: F.struct(
+        i.alias("idx"), F.coalesce(v.cast("double"), F.lit(0.0)).alias("value")))
+    return _assign_rows(df.where(F.col(vec_col).isNotNull()), pairs, centroids, k, n_features, keep)
+
+
+def _assign_rows(df: DataFrame, pairs: Column, centroids: DataFrame, k: int, n_features: int,
+                 keep: tuple[str, ...]) -> DataFrame:
     dense = {c: [0.0] * n_features for c in range(k)}
     for r in centroids.collect():
         dense[r.cluster][r.idx] += r.value
-    rows = fe.merged_terms(features, n_features, "_terms", **probes)
-    norm = F.sqrt(F.aggregate("_terms", F.lit(0.0), lambda s, t: s + t["value"] * t["value"]))
-    dots = {f"_dot{c}": F.aggregate("_terms", F.lit(0.0), _dot(double_array(dense[c]))) for c in range(k)}
-    rows = rows.withColumns({"_norm": norm} | dots)
-    candidates = []
-    for c in range(k):
-        size = math.sqrt(sum(v * v for v in dense[c]))
-        candidates.append(_candidate(F.col(f"_dot{c}"), F.col("_norm"), size, c))
+    rows = df.withColumn("_fold", fe.norm_and_dots(pairs, [double_array(dense[c]) for c in range(k)]))
+    norm = F.col("_fold.norm")
+    candidates = [_candidate(F.col("_fold.dots")[c], norm, math.sqrt(sum(v * v for v in dense[c])), c)
+                  for c in range(k)]
     best = F.array_min(F.array(*candidates))
-    return rows.select(*keep, best["cluster"].alias("cluster"), best["distance"].alias("distance"))
-
-
-def _dot(values):
-    return lambda s, t: s + t["value"] * F.element_at(values, t["idx"] + 1)
+    return rows.select(*keep, best["cluster"].alias("cluster"), best["distance"].alias("distance"), norm.alias("norm"))
 
 
 def _candidate(dot, norm, size: float | None, c: int):
@@ -107,6 +118,21 @@ def cosine_update(points: DataFrame, assignment: DataFrame) -> DataFrame:
         .select("cluster", "idx", (F.col("s") / F.col("size")).alias("value"))
 
 
+def vector_update(assigned: DataFrame, features_col: str = "features", sparse: bool = True) -> DataFrame:
+    """One centroid update from rows that hold their vector: the mean of each
+    cluster's unit vectors. ``assigned``: cluster, norm and ``features_col``.
+
+    Every task adds its rows to one dense vector a cluster, so what is exchanged
+    is at most k vectors a task, whatever the number of terms. Zero vectors are
+    left out. Output: cluster, idx, value (without zeros if ``sparse``).
+    """
+    unit = Normalizer(p=2.0, inputCol=features_col, outputCol="_unit").transform(
+        assigned.where(F.col("norm") > 0).select("cluster", features_col))
+    means = unit.groupBy("cluster").agg(Summarizer.mean(F.col("_unit")).alias("_mean"))
+    out = means.select("cluster", F.posexplode(vector_to_array("_mean")).alias("idx", "value"))
+    return out.where(F.col("value") != 0) if sparse else out
+
+
 def seed_centroids(points: DataFrame, seeds: DataFrame) -> DataFrame:
     """Centroids from chosen seed points ``seeds(id, cluster)``."""
     return points.join(F.broadcast(seeds.select("id", "cluster")), "id") \

@@ -10,12 +10,16 @@ multiplicities, unless ``dedupe=True``.
 Hashing is row-local: each patient row becomes arrays of term slots and
 weights (md5 in the JVM), and one small Arrow-batched pandas UDF sums
 colliding slots into sparse vectors, so building vectors needs no shuffle.
-The JVM-side form (``merged_terms``) sorts a row's terms and folds neighbours
-of one slot; distances and scores are computed from it inside the row.
+The JVM-side form sorts a row's terms by slot: norms and dot products are one
+fold of constant state over them (``norm_and_dots``), the long form sums each run
+of one slot (``slot_sums``). Both cost a row its number of terms, also for
+patients with thousands of codes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.linalg import VectorUDT
@@ -216,18 +220,62 @@ def hash_features(features: DataFrame, n_features: int = N_FEATURES,
     return features.select(*keep, _to_sparse(n_features)(idx, weight).alias("features"))
 
 
-def _merged(idx: Column, weight: Column) -> Column:
-    """array<struct<idx, value>> in slot order, colliding slots summed."""
-    term = "array<struct<idx:int,value:double>>"
-    pairs = F.array_sort(F.zip_with(idx, weight, lambda i, w: F.struct(i.alias("idx"), w.alias("value"))))
+def hashed_pairs(features: DataFrame, n_features: int = N_FEATURES, **probes) -> Column:
+    """Per row: array<struct<idx, value>> of every hashed term, in slot order
+    (terms of one slot side by side, not yet summed)."""
+    return F.sort_array(F.transform(feature_terms(features, **probes), lambda t: F.struct(
+        slot(t["feature"], t["probe"], n_features).alias("idx"), t["weight"].alias("value"))))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row: a lambda's argument is a
+    value, so the array is not built again for every element ``use`` looks at."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def slot_sums(pairs: Column) -> Column:
+    """array<struct<idx, value>> with the runs of one slot summed (each slot once).
+
+    Run lengths: the places where the slot changes are listed first, then every
+    run is summed by itself. Each step looks at an element once, so a row costs
+    its number of terms, not the square of it."""
+    def merged(terms: Column) -> Column:
+        def starts_run(i: Column) -> Column:
+            return (i == 1) | (F.element_at(terms, i)["idx"] != F.element_at(terms, F.greatest(i - 1, F.lit(1)))["idx"])
+
+        def summed(starts: Column) -> Column:
+            ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(F.size(terms) + 1))
+            return F.zip_with(starts, ends, lambda s, e: F.struct(
+                F.element_at(terms, s)["idx"].alias("idx"),
+                F.aggregate(F.slice(terms, s, e - s), F.lit(0.0), lambda v, t: v + t["value"]).alias("value")))
 
-    def add(acc: Column, t: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        both = F.struct(t["idx"].alias("idx"), (last["value"] + t["value"]).alias("value"))
-        return F.when(last["idx"] == t["idx"], F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(both))) \
-            .otherwise(F.concat(acc, F.array(t)))
+        places = F.when(F.size(terms) > 0, F.sequence(F.lit(1), F.size(terms))).otherwise(F.array().cast("array<int>"))
+        return F.when(F.size(terms) == 0, terms).otherwise(_bound(F.filter(places, starts_run), summed))
 
-    return F.aggregate(pairs, F.array().cast(term), add)
+    return _bound(pairs, merged)
+
+
+def norm_and_dots(pairs: Column, arrays: Sequence[Column] = ()) -> Column:
+    """struct<norm, dots>: Euclidean norm of the vector that ``pairs`` (in slot
+    order) add up to, and its dot product with each of ``arrays`` (one value a
+    slot). One fold whose state is the last slot, the sum in it and the totals."""
+    start = F.struct(F.lit(-1).alias("idx"), F.lit(0.0).alias("run"), F.lit(0.0).alias("squares"),
+                     *[F.lit(0.0).alias(f"dot{k}") for k in range(len(arrays))])
+
+    def add(state: Column, t: Column) -> Column:
+        same = state["idx"] == t["idx"]
+        return F.struct(
+            t["idx"].alias("idx"),
+            F.when(same, state["run"] + t["value"]).otherwise(t["value"]).alias("run"),
+            F.when(same, state["squares"]).otherwise(state["squares"] + state["run"] * state["run"]).alias("squares"),
+            *[(state[f"dot{k}"] + t["value"] * F.element_at(a, t["idx"] + 1)).alias(f"dot{k}")
+              for k, a in enumerate(arrays)])
+
+    def finish(state: Column) -> Column:
+        dots = F.array(*[state[f"dot{k}"] for k in range(len(arrays))]).cast("array<double>")
+        return F.struct(F.sqrt(state["squares"] + state["run"] * state["run"]).alias("norm"), dots.alias("dots"))
+
+    return F.aggregate(pairs, start, add, finish)
 
 
 def merged_terms(features: DataFrame, n_features: int = N_FEATURES, name: str = "terms",
@@ -235,9 +283,7 @@ def merged_terms(features: DataFrame, n_features: int = N_FEATURES, name: str =
     """The feature rows with their vector as ``name``: array<struct<idx,
     value>>, collisions summed inside the row (no shuffle, one vector per
     feature row even where rows share an id)."""
-    idx, weight = term_arrays(features, n_features, **probes)
-    return features.withColumns({"_idx": idx, "_weight": weight}) \
-        .withColumn(name, _merged(F.col("_idx"), F.col("_weight"))).drop("_idx", "_weight")
+    return features.withColumn(name, slot_sums(hashed_pairs(features, n_features, **probes)))
 
 
 def vector_long(features: DataFrame, n_features: int = N_FEATURES,

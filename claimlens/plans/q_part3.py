@@ -11,6 +11,7 @@ whether each row's condition holds.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -326,12 +327,16 @@ SELECT m.cluster, p.idx, round(sum(p.value / m.norm) / any_value(s.size), 6) + 0
 FROM epts p JOIN members m ON m.id = p.id JOIN sizes s ON s.cluster = m.cluster
 GROUP BY m.cluster, p.idx""")
 def q_kmeans_step_update(spark, sf_dir):
-    """One centroid update after the seeded assignment (mean unit vector)."""
+    """One centroid update after the seeded assignment (mean unit vector): both
+    inside the rows, whole vectors added up."""
     emb = si.table(spark, sf_dir, "embeddings")
-    points = ck.embedding_long(emb)
     seeds = sa.seed_points(emb.select(F.col("vec_id").alias("id")), K, SEED)
-    assign = ck.cosine_assign(points, ck.seed_centroids(points, seeds), K)
-    return rounded(ck.cosine_update(points, assign))
+    start = ck.seed_centroids(ck.embedding_long(emb), seeds)
+    width = emb.agg(F.max(F.size("embedding")).alias("n")).first()["n"] or 0
+    vectors = emb.withColumn("features", array_to_vector(F.transform(
+        "embedding", lambda v: F.coalesce(v.cast("double"), F.lit(0.0)))))
+    assigned = ck.assign_arrays(vectors, "embedding", start, K, width, ("features",))
+    return rounded(ck.vector_update(assigned, sparse=False))
 
 
 @register("cluster_crosstab", W(_EMB_SQL, _assign_sql("epts", "eids"), """
@@ -553,10 +558,10 @@ GROUP BY m.cluster, p.idx""")
 def q_patient_kmeans_step_update(spark, sf_dir):
     """One centroid update on the patients' hashed vectors after the seeded
     cosine assignment (mean unit vector per cluster and slot)."""
-    _, points, centroids = _seeded_points(spark, sf_dir)
-    points = materialize(points, "points")
-    assign = ck.cosine_assign(points, centroids, K)
-    return rounded(ck.cosine_update(points, assign))
+    feats, _, centroids = _seeded_points(spark, sf_dir)
+    vectors = fe.hash_features(feats, keep=tuple(feats.columns))
+    assigned = ck.assign_features(vectors, centroids, K, fe.N_FEATURES, ("features",))
+    return rounded(ck.vector_update(assigned))
 
 
 @register("coefficient_curve", _REPORT_SQL + """

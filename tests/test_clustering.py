@@ -1,6 +1,7 @@
 """Cosine assignment, cross-tab and cluster choice."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from claimlens.operators import clustering as ck
 
@@ -72,3 +73,36 @@ def test_negative_clusters_for_k3(spark):
         [(0, 1), (1, 1), (1, 1), (2, 0), (2, 1)], "cluster int, label int")
     neg = sorted(r.negative_cluster for r in ck.negative_clusters(ck.crosstab(clustered, 3)).collect())
     assert neg == [0, 2]  # cluster 1 has most label-1 points
+
+
+def test_vector_update_equals_the_long_form(spark):
+    """Row-local assignment and whole-vector update against the long form."""
+    from pyspark.ml.functions import array_to_vector
+    rng = np.random.default_rng(1)
+    pts = [rng.normal(size=6).tolist() for _ in range(50)] + [[0.0] * 6, [None, 1.0, 0.0, 0.0, 0.0, 2.0], None]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pts)], "vec_id long, embedding array<double>").repartition(3)
+    cents = spark.createDataFrame([(c, j, float(rng.normal())) for c in range(3) for j in range(6)],
+                                  "cluster int, idx int, value double")
+    long = ck.embedding_long(df).where("value is not null")
+    old = ck.cosine_assign(long, cents, 3)
+    vectors = df.withColumn("features", array_to_vector(F.transform("embedding", lambda v: F.coalesce(v, F.lit(0.0)))))
+    new = ck.assign_arrays(vectors, "embedding", cents, 3, 6, ("vec_id", "features"))
+    want = {r.id: (r.cluster, r.distance) for r in old.collect()}
+    got = {r.vec_id: (r.cluster, r.distance) for r in new.collect()}
+    assert set(want) == set(got) == set(range(52))
+    for i, (c, d) in want.items():
+        assert got[i][0] == c and (d is None) == (got[i][1] is None) and (d is None or abs(d - got[i][1]) < 1e-12)
+    a = {(r.cluster, r.idx): r.value for r in ck.cosine_update(long, old).collect()}
+    b = {(r.cluster, r.idx): r.value for r in ck.vector_update(new, sparse=False).collect()}
+    assert set(a) == set(b) and max(abs(a[k] - b[k]) for k in a) < 1e-12
+
+
+def test_vector_update_ships_vectors_only(spark):
+    """Below the exchange there is a partial sum per cluster and no exploded term."""
+    df = spark.createDataFrame([(0, 1.0, [1.0, 2.0])], "cluster int, norm double, embedding array<double>")
+    from pyspark.ml.functions import array_to_vector
+    plan = ck.vector_update(df.withColumn("features", array_to_vector("embedding")))._jdf.queryExecution() \
+        .executedPlan().toString()
+    below = plan[plan.index("Exchange"):]
+    assert plan.count("Exchange hashpartitioning(cluster") == 1
+    assert "partial_" in below and "Generate" not in below

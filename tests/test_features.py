@@ -75,3 +75,44 @@ def test_feature_dictionary(spark):
     names = {(x.feature, x.probe) for x in d}
     assert ("claim=0604", 1) in names and ("bias", 0) in names
     assert all(x.idx == _slot(x.feature, x.probe, fe.N_FEATURES) for x in d)
+
+
+def test_runs_of_a_slot_are_summed(spark):
+    """slot_sums and norm_and_dots against numpy, with heavy collisions, single
+    terms and empty rows; every slot comes once, in order."""
+    import numpy as np
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(4)
+    rows = []
+    for i, n in enumerate([0, 1, 2, 5, 40, 700, 5000]):
+        rows.append((i, [(int(s), float(v)) for s, v in zip(rng.integers(0, 60, n), rng.normal(size=n))]))
+    df = spark.createDataFrame(rows, "id int, terms array<struct<idx:int,value:double>>")
+    weights = [rng.normal(size=60), rng.normal(size=60)]
+    arrays = [F.array(*[F.lit(float(x)) for x in w]) for w in weights]
+    pairs = F.sort_array("terms")
+    got = df.select("id", fe.slot_sums(pairs).alias("m"), fe.norm_and_dots(pairs, arrays).alias("f"),
+                    fe.norm_and_dots(pairs).alias("g")).collect()
+    for r in got:
+        dense = np.zeros(60)
+        for s, v in rows[r.id][1]:
+            dense[s] += v
+        slots = sorted({s for s, _ in rows[r.id][1]})
+        assert [t.idx for t in r.m] == slots
+        assert np.allclose([t.value for t in r.m], dense[slots])
+        assert np.isclose(r.f.norm, np.linalg.norm(dense)) and r.g.norm == r.f.norm and r.g.dots == []
+        assert np.allclose(r.f.dots, [w @ dense for w in weights])
+
+
+def test_patient_with_thousands_of_codes(spark):
+    """The in-row forms equal the vectors for a patient with 8,000 codes."""
+    from pyspark.sql import functions as F
+    one = spark.range(1).select(
+        F.lit("p").alias("id"), F.lit(1).alias("review"), F.lit("1").alias("age"), F.lit("F").alias("gender"),
+        F.lit("x").alias("income"), F.lit(3).cast("bigint").alias("type_I"), F.lit(0).cast("bigint").alias("type_O"),
+        F.transform(F.sequence(F.lit(1), F.lit(8000)), lambda i: F.struct(
+            i.cast("string").alias("claim_id"), (i % 7 + 1).cast("bigint").alias("n"))).alias("claims"))
+    vector = fe.hash_features(one).first().features
+    long = {r.idx: r.value for r in fe.vector_long(one).collect()}
+    assert long == {int(i): v for i, v in zip(vector.indices, vector.values)}
+    plan = fe.merged_terms(one)._jdf.queryExecution().optimizedPlan().toString()
+    assert "hashpartitioning" not in plan
