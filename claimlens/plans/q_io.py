@@ -49,6 +49,22 @@ def q_charges_csv_roundtrip(spark, sf_dir):
                                    sources.read_outpatient(spark, op)))
 
 
+@register("inpatient_csv_split", W(CH) + """
+SELECT procedure_id AS drg, provider_id, provider_city || chr(10) || '"' || provider_state || '", ' || k AS address,
+       round(avg_charged_amount, 6) AS charge
+FROM charge_rows WHERE k < 100""")
+def q_inpatient_csv_split(spark, sf_dir):
+    """The inpatient feed as plain CSV with line breaks, quotes and commas
+    inside its addresses, read back in splits of its files."""
+    path = scratch_path(spark, "inpatient-plain")
+    feed = si.inpatient_feed(spark, sf_dir).withColumn("provider_address", F.concat(
+        "provider_city", F.lit('\n"'), "provider_state", F.lit('", '), F.substring("drg", 1, 4).cast("int").cast("string")))
+    sinks.write_quoted_csv(feed, path, compression=None)
+    return rounded(sources.read_inpatient(spark, path).select(
+        "drg", "provider_id", F.col("provider_address").alias("address"),
+        F.col("average_covered_charges").cast("double").alias("charge")))
+
+
 @register("review_list_roundtrip", W(si.REVIEW_SQL) + "\nSELECT patient_id FROM review")
 def q_review_list_roundtrip(spark, sf_dir):
     """The flagged-patient list as text lines (with a trailing extra

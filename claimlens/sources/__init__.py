@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlens import schemas
+from claimlens.sources.quoted import read_quoted_records
 
 # Fixed values of the feed formats.
 RECORD_SEPARATOR = "\x1e"   # ASCII RS ends a claims record
@@ -123,26 +124,39 @@ def read_patients(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 # ---- A5 - A7, A9: quoted CSV (multi-line, gzip) ---------------------------
 
+#: Files that Hadoop's codecs read whole, by extension.
+COMPRESSED = (".gz", ".bz2", ".deflate", ".zst", ".snappy", ".lz4")
+
+
 def read_quoted_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
                     header: bool = True, sep: str = ",", quote: str = '"',
                     repartition: int | None = None, empty_as_null: bool = False,
-                    multi_line: bool = True) -> DataFrame:
+                    multi_line: bool = True, splits: bool | None = None, keep_cr: bool = False) -> DataFrame:
     """A5: quoted CSV whose fields may hold separators and line breaks.
 
-    Doubled quotes inside a quoted field become one quote (RFC 4180). Gzip
-    files (A9) are read by extension, each exactly once; with ``multi_line``
-    a file is one task, so ``repartition`` spreads rows after the read. Turn
-    ``multi_line`` off for feeds without line breaks inside quotes: their
-    uncompressed files are then read in splits.
+    Doubled quotes inside a quoted field become one quote (RFC 4180). Plain
+    files are read in splits also where records run over several lines
+    (``quoted.read_quoted_records``). Compressed files (A9) cannot be split: if
+    all are compressed, each is one task that the CSV scan reads exactly once, and
+    ``repartition`` spreads rows after the read. ``splits`` chooses between the
+    two; ``multi_line`` off is for feeds without line breaks inside quotes.
+    A CRLF inside a field is read as LF unless ``keep_cr`` (in splits only).
     Every field of the feeds is text whose default is ``''``, so an empty
     field (or a missing one) reads as ``''`` unless ``empty_as_null``;
     numbers parsed later still turn it into NULL.
     """
-    df = (spark.read.schema(schema)
-          .option("header", header).option("multiLine", multi_line)
-          .option("sep", sep).option("quote", quote).option("escape", quote)
-          .option("mode", "PERMISSIVE")
-          .csv(path))
+    if splits is None:
+        splits = multi_line and not all(f.endswith(COMPRESSED) for f in spark.read.text(path).inputFiles())
+    options = {"sep": sep, "quote": quote, "escape": quote, "mode": "PERMISSIVE"}
+    if splits:
+        records = read_quoted_records(spark, path, quote)
+        if header:
+            records = records.where(~F.col("first"))
+        text = F.col("record") if keep_cr else F.replace("record", F.lit("\r\n"), F.lit("\n"))
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        df = records.select(F.from_csv(text, ddl, options).alias("r")).select("r.*")
+    else:
+        df = spark.read.schema(schema).options(header=header, multiLine=multi_line, **options).csv(path)
     if not empty_as_null:
         df = df.select(*[F.coalesce(F.col(f.name), F.lit("")).alias(f.name)
                          if isinstance(f.dataType, T.StringType) else F.col(f.name)

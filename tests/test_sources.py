@@ -1,6 +1,12 @@
 """Raw-format readers on hand-written files (FIXTURES.md section 4)."""
 
+import csv
 import gzip
+import tempfile
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import types as T
 
 from claimlens import schemas, sinks, sources
 
@@ -139,3 +145,75 @@ def test_a_block_cut_off_at_the_end_is_dropped(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == [1, *range(100, 400)]
+
+
+# ---- quoted CSV in splits -----------------------------------------------------
+
+CELL = st.one_of(st.text(alphabet='ab,"\n é', max_size=8), st.sampled_from(
+    ["", "plain", 'a "quoted" one', "two\nlines", "a\r\nb", "\n\n", '"', '""', "x" * 300, ",\n,"]))
+
+
+def _split_read(spark, path, columns, **kw):
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(columns)])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "61")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        return sorted(tuple(r) for r in sources.read_quoted_csv(spark, path, schema, splits=True, **kw).collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(files=st.lists(st.lists(st.tuples(CELL, CELL, CELL), min_size=1, max_size=25), min_size=1, max_size=2),
+       ends=st.sampled_from(["\n", "\r\n"]), quoting=st.sampled_from([csv.QUOTE_MINIMAL, csv.QUOTE_ALL]))
+def test_split_csv_equals_the_csv_module(spark, files, ends, quoting):
+    """Files cut into splits of 61 bytes give the rows that Python's csv reads."""
+    want = []
+    with tempfile.TemporaryDirectory() as d:
+        for i, rows in enumerate(files):
+            name = f"{d}/{i}.csv"
+            with open(name, "w", newline="", encoding="utf-8") as f:
+                csv.writer(f, lineterminator=ends, quoting=quoting).writerows([("h1", "h\n2", "h3"), *rows])
+            with open(name, newline="", encoding="utf-8") as f:
+                want += [tuple(r) for r in csv.reader(f) if r][1:]
+        assert _split_read(spark, d, 3, keep_cr=True) == sorted(want)
+
+
+def test_one_file_is_read_by_several_tasks(spark, tmp_path):
+    name = tmp_path / "big.csv"
+    rows = [(str(i), f"line one of {i}\nline, two", "z" * (i % 50)) for i in range(400)]
+    with open(name, "w", newline="") as f:
+        csv.writer(f).writerows([("a", "b", "c"), *rows])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        lines = spark.read.option("lineSep", "\n").text(str(name))
+        assert lines.rdd.getNumPartitions() > 5
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in "abc"])
+        assert sorted(tuple(r) for r in sources.read_quoted_csv(spark, str(name), schema).collect()) == sorted(rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_split_csv_of_odd_files(spark, tmp_path):
+    """A field over many splits, an unclosed quote, blank lines, a file with a
+    header only, short and long rows; the default reads CRLF in a field as LF."""
+    (tmp_path / "a.csv").write_bytes(b'h,h,h\n1,"' + b"long\n" * 200 + b'",x\n\n\r\n2,"a\r\nb"\n3,p,q,r\n')
+    (tmp_path / "b.csv").write_bytes(b"h,h,h\n")
+    (tmp_path / "c.csv").write_bytes(b'h,h,h\n4,"never closed\n5,y,z')
+    got = _split_read(spark, str(tmp_path), 3)
+    assert got == sorted([("1", "long\n" * 200, "x"), ("2", "a\nb", ""), ("3", "p", "q"), ("4", "never closed\n5,y,z", "")])
+
+
+def test_compressed_and_plain_files_read_alike(spark, tmp_path):
+    rows = [(str(i), f'say "{i}",\nagain', "") for i in range(50)]
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(3)])
+    for name, opened in (("gz/a.csv.gz", gzip.open), ("mixed/a.csv", open), ("mixed/b.csv.gz", gzip.open)):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        with opened(tmp_path / name, "wt", newline="") as f:
+            csv.writer(f).writerows([("x", "y", "z"), *rows])
+    for folder, times in (("gz", 1), ("mixed", 2)):
+        got = sources.read_quoted_csv(spark, str(tmp_path / folder), schema).collect()
+        assert sorted(map(tuple, got)) == sorted(rows * times)
