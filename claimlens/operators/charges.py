@@ -10,7 +10,9 @@ columns and push the scan; the plan shapes are chosen for skew:
   group, so it is combinable before the shuffle;
 * the per-procedure statistics are joined back to the detail rows by a
   broadcast behind a row-count check (``join_small``), so the detail rows are
-  never shuffled by procedure.
+  never shuffled by procedure;
+* sums, means and variances are reproducible: the same bits whatever the order
+  of rows, so a near tie falls the same way on every cluster.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from claimlens.functions import (better_first, code_prefix, flip_region, safe_div,
                                  to_bigint, to_double, to_int)
 from claimlens.operators.common import broadcast_checked, global_rank, join_small, ranked_top
+from claimlens.operators.reproducible import exact_sum, grouped_moments, moment_stats
 
 PROVIDER_COLS = ("provider_id", "provider_city", "provider_state", "provider_zipcode",
                  "referral_region")
@@ -48,17 +51,17 @@ def charge_table(inpatient: DataFrame, outpatient: DataFrame) -> DataFrame:
                          "average_est_submitted_charges"))
 
 
-def _stddev(c: str | Column, ddof: int) -> Column:
-    return F.stddev_pop(c) if ddof == 0 else F.stddev_samp(c)
+def _spread(groups: DataFrame, ddof: int, sd: str = "sd_z") -> DataFrame:
+    """``grouped_moments`` as ``mean``, the sd as ``sd``, and the variance ``var``."""
+    var = F.col("var_pop" if ddof == 0 else "var_samp")
+    return moment_stats(groups).withColumns({sd: F.sqrt(var), "var": var})
 
 
 def procedure_stats(charges: DataFrame, ddof: int = 0) -> DataFrame:
     """Mean, sd and row count of the charged amount per procedure."""
-    return charges.groupBy("procedure_id").agg(
-        F.avg("avg_charged_amount").alias("mean_charge"),
-        _stddev("avg_charged_amount", ddof).alias("sd_charge"),
-        F.count(F.lit(1)).alias("n"),
-    )
+    groups = grouped_moments(charges, ["procedure_id"], "avg_charged_amount")
+    return _spread(groups, ddof, "sd_charge") \
+        .select("procedure_id", F.col("mean").alias("mean_charge"), "sd_charge", F.col("rows").alias("n"))
 
 
 def procedure_relative_variance(charges: DataFrame, ddof: int = 0,
@@ -180,16 +183,15 @@ def most_top_gaps(charges: DataFrame, n: int = 3) -> DataFrame:
 def region_weighted_mean(charges: DataFrame) -> DataFrame:
     """``sum(w*x)/sum(w)`` per (procedure, region); zero weight -> NULL."""
     return charges.groupBy("procedure_id", "referral_region").agg(
-        safe_div(F.sum(F.col("total_charges") * F.col("avg_charged_amount")),
-                 F.sum("total_charges")).alias("value"))
+        safe_div(exact_sum("(total_charges * avg_charged_amount)"),
+                 exact_sum("total_charges")).alias("value"))
 
 
 def region_win_counts(charges: DataFrame) -> DataFrame:
     """Per referral region: procedures where its weighted mean is highest (F2).
 
-    One row per (procedure, region) enters the arg-max, and its value is a sum
-    of doubles, which a second pass might add in another order: one pass by
-    ``min_by``. Ties go to the smaller region, NULL values lose.
+    One row per (procedure, region) enters the arg-max, one pass by ``min_by``. Ties
+    go to the smaller region, NULL values lose.
     """
     winners = region_weighted_mean(charges).groupBy("procedure_id").agg(
         F.min_by("referral_region", better_first(("value", "desc"), ("referral_region", "asc")))
@@ -228,7 +230,8 @@ def provider_dispersion(charges: DataFrame, n: int = 3, ddof: int = 0,
     Output: rank, provider_id (int), type, sd_z.
     """
     z = zscores(charges, ddof, stats=stats).select(to_int("provider_id").alias("provider_id"), "type", "z")
-    groups = z.groupBy("provider_id", "type").agg(_stddev("z", ddof).alias("sd_z"))
+    groups = _spread(grouped_moments(z, ["provider_id", "type"], "z"), ddof) \
+        .select("provider_id", "type", "sd_z")
     return ranked_top(groups, n, [F.col("sd_z").desc_nulls_last(),
                                   F.col("provider_id").asc_nulls_last(), F.col("type").asc()])
 
@@ -240,7 +243,8 @@ def region_dispersion(charges: DataFrame, n: int = 3, ddof: int = 0,
     Output: rank, region (``'City,ST'``, anchored pattern), type, sd_z.
     """
     z = zscores(charges, ddof, stats=stats).select("referral_region", "type", "z")
-    groups = z.groupBy("referral_region", "type").agg(_stddev("z", ddof).alias("sd_z"))
+    groups = _spread(grouped_moments(z, ["referral_region", "type"], "z"), ddof) \
+        .select("referral_region", "type", "sd_z")
     top = ranked_top(groups, n, [F.col("sd_z").desc_nulls_last(),
                                  F.col("referral_region").asc_nulls_last(), F.col("type").asc()])
     return top.select("rank", flip_region("referral_region", anchored=True).alias("region"),
@@ -256,11 +260,8 @@ def dispersion_stats(charges: DataFrame, keys: list[str], ddof: int = 1) -> Data
     z = zscores(charges, ddof)
     if "provider_id" in keys:
         z = z.withColumn("provider_id", to_int("provider_id"))
-    return z.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("count"),
-        _stddev("z", ddof).alias("sd_z"),
-        (F.var_pop("z") if ddof == 0 else F.var_samp("z")).alias("var_z"),
-    )
+    return _spread(grouped_moments(z, keys, "z"), ddof) \
+        .select(*keys, F.col("rows").alias("count"), "sd_z", F.col("var").alias("var_z"))
 
 
 def ranked_curve(df: DataFrame, key: str, value: str, n_labels: int,
