@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 from claimlens.session import scratch_path
 
 
+#: Accuracy of the quantile sketch: rank error at most rows / accuracy.
+SKETCH_ACCURACY = 50_000
+
+
 def ranked_top(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     """The first ``n`` rows in ``order`` (a total order), with ``rank`` 1..n.
 
@@ -40,28 +44,26 @@ def ranked_top_large(df: DataFrame, n: int, value: str, tiebreak: str,
     """``ranked_top`` for a large ``n`` over a numeric ``value``.
 
     A plain top-n sends ``n`` rows per input partition to one final task.
-    Here one pass takes approximate quantiles of ``value`` at a ladder of
-    levels just beyond ``n/total``, a second counts rows beyond each, and
-    only rows beyond the tightest threshold that still holds ``n`` rows
-    (about ``1.2 n``) enter the exact top-n. Exact result, order
-    ``value`` (``direction``, NULLs last) then ``tiebreak`` ascending.
+    Here one pass counts the rows and takes a mergeable quantile sketch of
+    ``value`` at a fixed ladder of levels; the count then picks the level that is
+    sure to hold ``n`` rows (the sketch's rank error is bounded), and a second pass
+    writes only the rows beyond it, which enter the exact top-n. Two evaluations
+    of the input; exact; order ``value`` (``direction``, NULLs last) then
+    ``tiebreak`` ascending.
     """
     desc = direction == "desc"
     v = F.col(value)
     order = [v.desc_nulls_last() if desc else v.asc_nulls_last(), F.col(tiebreak).asc_nulls_last()]
-    stats = df.agg(F.count(v).alias("total")).first()
+    ladder = [2.0 ** (-k / 2) for k in range(41)]       # shares of the rows, down to one in a million
+    sketch = F.percentile_approx(v, [1.0 - x if desc else x for x in ladder], SKETCH_ACCURACY)
+    stats = df.agg(F.count(v).alias("total"), sketch.alias("cuts")).first()
     total = stats["total"]
     if total <= 4 * n:
         return ranked_top(df, n, order)
-    # Rank error of the sketch is about total/accuracy: keep it near n/20.
-    accuracy = int(min(10_000_000, max(10_000, 20 * total // n)))
-    levels = [min(1.0, n * f / total) for f in (1.02, 1.2, 1.5, 2.0, 4.0, 8.0, 16.0)]
-    qs = [1.0 - x for x in levels] if desc else levels
-    cuts = df.agg(F.percentile_approx(v, qs, accuracy).alias("q")).first()["q"]
-    beyond = [(v >= F.lit(c)) if desc else (v <= F.lit(c)) for c in cuts]
-    counts = df.agg(*[F.count_if(b).alias(f"n{i}") for i, b in enumerate(beyond)]).first()
-    keep = next((beyond[i] for i in range(len(cuts)) if counts[f"n{i}"] >= n), None)
-    return ranked_top(df.where(keep) if keep is not None else df, n, order)
+    # a cut may lie off its rank by total / accuracy rows, and one for rounding
+    sure = [c for x, c in zip(ladder, stats["cuts"]) if x * total - total / SKETCH_ACCURACY - 1 >= n]
+    beyond = (v >= F.lit(sure[-1])) if desc else (v <= F.lit(sure[-1]))
+    return ranked_top(materialize(df.where(beyond), "top-candidates"), n, order)
 
 
 def materialize(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:

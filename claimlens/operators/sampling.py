@@ -4,22 +4,89 @@
 ``(md5(id:seed), id)``: repeatable, independent of partitioning, and the same
 rows DuckDB picks with ``ORDER BY md5(..), id LIMIT n``.
 
-It never sorts the whole input and never gathers the sample in one task: rows
-are counted by the top 16 bits of their hash (one combinable aggregate, at
-most 65,536 rows to the driver), the exact n-th key is looked up inside the one
-hash range that holds it, and the input is *filtered* on that key, so the
-sample keeps the input's partitions.
+The input is evaluated once. The keys are uniform, so the plan's own size estimate
+gives a key below which about ``OVERDRAW`` times too many rows lie; rows below it
+are written as candidates while all rows are counted. The exact n-th key is then
+looked up among the candidates (counts by key range, one range looked into), which
+are *filtered* on it, so the sample keeps their partitions. Only if the estimate was
+far too high, and fewer than ``n`` candidates came, is the input evaluated again,
+now with the count known. Nothing is sorted whole or gathered in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions import seeded_key
-from claimlens.operators.common import broadcast_checked
-
-_BITS = 4    # hex digits of the counted hash ranges
+from claimlens.operators.common import broadcast_checked, materialize
+
+#: Candidates aimed at, as a multiple of the sample.
+OVERDRAW = 16
+#: Bytes of a row assumed with the plan's size estimate.
+ROW_BYTES = 128
+#: Sizes from here on are the optimizer's stand-in for "not known".
+_UNKNOWN = 1 << 62
+_RANGES = 1 << 16
+_DIGITS = 13    # hex digits of a key that fit a number: 52 bits
+
+
+def first_share(df: DataFrame, n: int) -> float:
+    """Share of the keys to keep at first, from the optimizer's size estimate; one
+    in ``OVERDRAW`` where there is none."""
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:  # no JVM plan, e.g. a Spark Connect session
+        return 1 / OVERDRAW
+    if size >= _UNKNOWN:
+        return 1 / OVERDRAW
+    return min(1.0, OVERDRAW * n * ROW_BYTES / max(1, size))
+
+
+def _below(share: float) -> Column:
+    """Whether the key lies in the first ``share`` of the key space."""
+    return F.col("_key") < F.lit(f"{int(share * 16 ** _DIGITS):0{_DIGITS}x}")
+
+
+def sample_with(df: DataFrame, n: int, seed: int | str = 0, id_col: str = "id",
+                always: Column | None = None, pool: Column | None = None) -> DataFrame:
+    """Every row where ``always`` holds, and the ``n`` rows first in
+    ``(md5(id:seed), id)`` order among those where ``pool`` holds (default: all);
+    all of them if fewer. Rows that share the n-th row's id are kept together."""
+    always = F.lit(False) if always is None else F.coalesce(always, F.lit(False))
+    pool = F.lit(True) if pool is None else F.coalesce(pool, F.lit(False))
+    keyed = df.withColumns({"_key": seeded_key(id_col, seed), "_always": always, "_pool": pool & ~always})
+    share = first_share(df, n) if n > 0 else 0.0
+    in_pool = F.col("_pool") & F.col("_key").isNotNull()
+    while True:
+        drawn = F.lit(n > 0) if share >= 1 else _below(share)
+        counts = Observation()
+        table = materialize(keyed.observe(counts, F.count_if(in_pool).alias("n"))
+                            .where(F.col("_always") | (F.col("_pool") & drawn)), "sample")
+        found = table.where(in_pool).count() if n > 0 else 0
+        if share >= 1 or found >= n:
+            break
+        total = counts.get["n"]     # now known: draw again, with room for chance
+        share = 1.0 if total <= n else min(1.0, max(2 * share, (n + 10 * math.sqrt(n)) / total))
+    chosen = F.lit(n > 0) if found <= n else _up_to(table.where(in_pool), n, min(1.0, share), id_col)
+    return table.where(F.col("_always") | (F.col("_pool") & chosen)).drop("_key", "_always", "_pool")
+
+
+def _up_to(table: DataFrame, n: int, share: float, id_col: str) -> Column:
+    """Condition that holds for the first ``n`` rows (and those of the n-th's id)."""
+    number = F.conv(F.substring("_key", 1, _DIGITS), 16, 10).cast("double")
+    at = F.least(F.lit(_RANGES - 1), F.floor(number * (_RANGES / (share * 16.0 ** _DIGITS))))
+    counts = sorted((r["at"], r["n"]) for r in
+                    table.groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n")).collect())
+    before, i = 0, 0
+    while before + counts[i][1] < n:
+        before, i = before + counts[i][1], i + 1
+    # the n-th row lies in this range, about one in 65,536 of the candidates
+    last = table.where(at == counts[i][0]).select("_key", id_col).orderBy("_key", id_col) \
+        .limit(n - before).orderBy(F.col("_key").desc(), F.col(id_col).desc()).first()
+    return (F.col("_key") < last["_key"]) | ((F.col("_key") == last["_key"]) & (F.col(id_col) <= F.lit(last[id_col])))
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int | str = 0, id_col: str = "id") -> DataFrame:
@@ -27,21 +94,7 @@ def seeded_sample(df: DataFrame, n: int, seed: int | str = 0, id_col: str = "id"
 
     Rows that share the n-th row's id are kept together with it.
     """
-    keyed = df.withColumn("_key", seeded_key(id_col, seed))
-    top = F.substring("_key", 1, _BITS)
-    counts = sorted((r["top"], r["n"]) for r in keyed.groupBy(top.alias("top")).agg(
-        F.count(F.lit(1)).alias("n")).collect() if r["top"] is not None)
-    if n <= 0 or sum(c for _, c in counts) <= n:
-        return keyed.where(F.lit(n > 0)).drop("_key")
-    before, at = 0, 0
-    while before + counts[at][1] < n:
-        before, at = before + counts[at][1], at + 1
-    # the n-th row lies in this range, about one in 65,536 of the rows
-    last = keyed.where(top == counts[at][0]).select("_key", id_col).orderBy("_key", id_col) \
-        .limit(n - before).orderBy(F.col("_key").desc(), F.col(id_col).desc()).first()
-    inside = (F.col("_key") < last["_key"]) | (
-        (F.col("_key") == last["_key"]) & (F.col(id_col) <= F.lit(last[id_col])))
-    return keyed.where(inside).drop("_key")
+    return sample_with(df, n, seed, id_col)
 
 
 def seed_points(df: DataFrame, k: int, seed: int | str = 0, id_col: str = "id") -> DataFrame:
@@ -61,9 +114,7 @@ def cap_rows(df: DataFrame, max_rows: int | None, seed: int | str = 0,
 def positives_plus_sample(df: DataFrame, n: int, seed: int | str = 0, flag: str = "review",
                           id_col: str = "id") -> DataFrame:
     """H2: every flagged row plus ``n`` seeded unflagged rows."""
-    pos = df.where(F.col(flag) == 1)
-    neg = seeded_sample(df.where(F.col(flag) == 0), n, seed, id_col)
-    return pos.unionByName(neg)
+    return sample_with(df, n, seed, id_col, F.col(flag) == 1, F.col(flag) == 0)
 
 
 def clustering_sample(features: DataFrame, n: int, seed: int | str = 0) -> DataFrame:
@@ -95,12 +146,13 @@ def training_set(features: DataFrame, clustered: DataFrame,
                  n: int = 50_000, seed: int | str = 0) -> DataFrame:
     """All flagged + ``n`` sampled unflagged of the negative cluster.
 
-    The restriction to the cluster is a semi-join (D4).
+    The restriction to the cluster (D4) is a join that marks the candidates, so the
+    features are read once for both halves.
     """
-    pos = features.where(F.col("review") == 1)
-    cand = features.where(F.col("review") == 0) \
-        .join(_negative_ids(clustered, negative), "id", "left_semi")
-    return pos.unionByName(seeded_sample(cand, n, seed))
+    marks = _negative_ids(clustered, negative).distinct().withColumn("_candidate", F.lit(True))
+    marked = features.join(broadcast_checked(marks), "id", "left")
+    return sample_with(marked, n, seed, "id", F.col("review") == 1,
+                       (F.col("review") == 0) & F.col("_candidate")).drop("_candidate")
 
 
 def scoring_set(features: DataFrame, clustered: DataFrame,

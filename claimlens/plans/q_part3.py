@@ -452,6 +452,17 @@ def q_suspicious_patients(spark, sf_dir):
     return rounded(cl.suspicious_patients(scored.withColumn("score", F.round("score", 9))))
 
 
+@register("suspicious_patients_20", W(*_FITTED_SQL) + """
+SELECT CAST(row_number() OVER (ORDER BY round(score, 9) DESC, patient_id) AS INTEGER) AS rank, patient_id,
+       round(score, 6) AS score
+FROM scored WHERE review = 1 QUALIFY rank <= 20""")
+def q_suspicious_patients_20(spark, sf_dir):
+    """J12 + G2 with n far below the candidates: sketch, then candidates beyond a
+    cut (fixed coefficients)."""
+    scored = cl.score_features(_fixed_beta(spark), _training(spark, sf_dir)[1])
+    return rounded(cl.suspicious_patients(scored.withColumn("score", F.round("score", 9)), 20))
+
+
 @register("model_quality", W(*_FITTED_SQL, """
   true_p AS (SELECT CASE WHEN review = 1 THEN p1 ELSE 1 - p1 END AS q,
                     CAST(CASE WHEN p1 > 0.5 THEN 1 ELSE 0 END = review AS INTEGER) AS hit

@@ -177,3 +177,23 @@ def test_ranked_curve_bottom_labels(spark):
     out = ch.ranked_curve(df, "k", "v", 2, n_labels_bottom=4).orderBy("position").collect()
     labels = [r.label for r in out]
     assert labels[:2] == ["f9", "f8"] and labels[2:6] == [None] * 4 and labels[6:] == ["f3", "f2", "f1", "f0"]
+
+
+def test_large_top_n_evaluates_its_input_twice(spark):
+    """Count and sketch in one pass, candidates in a second; exact with ties."""
+    from claimlens.operators.common import ranked_top_large
+    df = spark.range(30_000).selectExpr("cast(id AS string) AS patient_id", "cast(id * 7919 % 1000 AS double) AS score") \
+        .withColumn("score", F.when(F.col("score") < 990, F.col("score"))).repartition(6)
+    rows = [(r.patient_id, r.score) for r in df.collect()]
+    for direction, sign in (("desc", -1), ("asc", 1)):
+        seen = spark.sparkContext.accumulator(0)
+
+        def run(batches, seen=seen):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+
+        top = ranked_top_large(df.mapInArrow(run, df.schema), 700, "score", "patient_id", direction)
+        got = [(r.patient_id, r.score) for r in top.orderBy("rank").collect()]
+        want = sorted(rows, key=lambda r: (r[1] is None, sign * (r[1] or 0), r[0]))[:700]
+        assert got == want and seen.value == 2 * len(rows)

@@ -54,3 +54,42 @@ def test_edge_sizes_and_null_ids(spark):
     assert sa.seeded_sample(df, 0).count() == 0
     assert sa.seeded_sample(df, 1).count() == 1
     assert sa.seeded_sample(df.where("false"), 5).count() == 0
+
+
+def _counted(spark, df):
+    """``df`` through a step that counts the rows it evaluates."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    return df.mapInArrow(run, df.schema), seen
+
+
+def test_the_input_is_evaluated_once(spark, tmp_path):
+    rows = [(f"p{i}", int(i % 50 == 0), 7) for i in range(20_000)]
+    spark.createDataFrame(rows, "id string, review int, x int").repartition(5).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    flagged = {r[0] for r in rows if r[1]}
+    plain = [r[0] for r in rows if not r[1]]
+    for n in (10, 3000, 50_000):
+        counted, seen = _counted(spark, df)
+        got = {r.id for r in sa.positives_plus_sample(counted, n, 5).collect()}
+        assert got == flagged | set(_brute(plain, n, 5)) and seen.value == len(rows)
+    clustered = spark.createDataFrame([(i, 0, 0) for i in plain[::2]] + [(plain[0], 0, 0)],
+                                      "patient_id string, cluster int, label int")
+    counted, seen = _counted(spark, df)
+    got = sorted(r.id for r in sa.training_set(counted, clustered, 0, 100, 5).collect())
+    assert got == sorted(flagged | set(_brute(plain[::2], 100, 5))) and seen.value == len(rows)
+
+
+def test_a_wrong_size_estimate_costs_one_more_pass(spark, monkeypatch):
+    ids = [f"p{i}" for i in range(20_000)]
+    df = spark.createDataFrame([(i,) for i in ids], "id string").repartition(4)
+    for share, passes in ((1e-6, 2), (0.9, 1), (1.0, 1)):
+        monkeypatch.setattr(sa, "first_share", lambda df, n, share=share: share)
+        counted, seen = _counted(spark, df)
+        got = sorted(r.id for r in sa.seeded_sample(counted, 500, 9).collect())
+        assert got == sorted(_brute(ids, 500, 9)) and seen.value == passes * len(ids)
