@@ -6,14 +6,16 @@
 * ``iteration_input`` - persisted, sized input for iterative MLlib fits.
 * ``materialize``  - write a DataFrame as Parquet in the shared checkpoint
   folder and read it back: lineage cut, durable if executors are lost.
-* ``join_small``   - broadcast a side only after its row count is checked;
+* ``join_small``   - broadcast a side only after its rows and bytes are checked;
   above the bound it is a plain (shuffled, AQE-managed) join.
+* ``store_bucketed`` - tables that join by their key without a shuffle.
 * ``global_rank``  - 1..N positions in a total order without moving every
   row into one task (range partitioning + per-partition offsets).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -74,20 +76,30 @@ def materialize(df: DataFrame, name: str, spark: SparkSession | None = None) ->
     return spark.read.parquet(path)
 
 
-#: A side is broadcast only if its estimated size is within this bound, too.
+#: A side is broadcast only if its measured size is within this bound, too.
 MAX_BROADCAST_BYTES = 256 << 20
-_FIELD_BYTES = {"string": 48, "binary": 256, "boolean": 1, "int": 4, "bigint": 8, "double": 8}
+_FIELD_BYTES = {"boolean": 1, "int": 4, "bigint": 8, "double": 8}
 
 
-def row_bytes(df: DataFrame) -> int:
-    """Estimated bytes of a row: fixed types by size, text and nested types
-    by a typical size."""
-    return sum(_FIELD_BYTES.get(kind, 512 if "<" in kind else 16) for _, kind in df.dtypes)
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: texts and binaries by their own length, nested values by
+    that of their JSON form, other types by their fixed size; 8 a field besides."""
+    total = F.lit(8 * len(df.columns))
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0))
+        elif "<" in kind:
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        else:
+            total = total + F.lit(_FIELD_BYTES.get(kind, 16))
+    return total
 
 
 def _fits(df: DataFrame, max_rows: int) -> bool:
-    rows = df.count()
-    return rows <= max_rows and rows * row_bytes(df) <= MAX_BROADCAST_BYTES
+    """Whether rows and bytes, both counted, are within the bounds."""
+    n = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df).cast("bigint")).alias("bytes")).first()
+    return n["rows"] <= max_rows and (n["bytes"] or 0) <= MAX_BROADCAST_BYTES
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
@@ -95,8 +107,8 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     """Join ``big`` with a side that is expected to be small.
 
     The small side is materialized once (one pass over its input) and its
-    rows are counted; only when the count is within ``max_broadcast_rows``
-    and the estimated size within ``MAX_BROADCAST_BYTES`` is it broadcast.
+    rows and bytes are counted; only when the count is within
+    ``max_broadcast_rows`` and the bytes within ``MAX_BROADCAST_BYTES`` is it broadcast.
     Beyond that the join is left to the planner (sort-merge with AQE skew
     splitting), so a mis-sized input degrades, not fails.
     """
@@ -105,8 +117,8 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows and its
-    estimated size is within ``MAX_BROADCAST_BYTES``, else ``df``.
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows and their bytes
+    are within ``MAX_BROADCAST_BYTES``, else ``df``.
 
     For sides that are cheap to count (small scans, dimension joins): the
     count is one short job, and the hint is only given under the bound.
@@ -114,6 +126,24 @@ def broadcast_checked(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
     return F.broadcast(df) if _fits(df, max_rows) else df
 
 
+def store_bucketed(df: DataFrame, key: str, buckets: int, name: str,
+                   partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` to the shared folder in ``buckets`` hash buckets of ``key``, one
+    sorted file each, and read it back as a table of the session's catalog.
+
+    Tables stored with the same number of buckets join, and group, by the key
+    without a shuffle of either: the way to join sides that are both too large to
+    broadcast. With ``partition_by`` each value combination is a directory.
+    """
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex[:12]}".replace("-", "_")
+    writer = df.repartition(buckets, key).write.format("parquet").option("path", scratch_path(spark, name))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return spark.table(table)
+
+
 def iteration_input(df: DataFrame, rows_per_partition: int = 100_000,
                     order_col: str | None = None) -> DataFrame:
     """Prepare the input of an iterative fit: persisted, in partitions of

@@ -122,7 +122,8 @@ def clustering_sample(features: DataFrame, n: int, seed: int | str = 0) -> DataF
     return positives_plus_sample(features, n, seed)
 
 
-def _negative_ids(clustered: DataFrame, negative: int | list[int] | DataFrame) -> DataFrame:
+def _negative_ids(clustered: DataFrame, negative: int | list[int] | DataFrame,
+                  max_broadcast_rows: int) -> DataFrame:
     """Ids of unflagged points in the negative cluster(s) (C3, A13 shape).
 
     ``negative`` is a cluster number, a list of them, or a DataFrame with a
@@ -136,28 +137,28 @@ def _negative_ids(clustered: DataFrame, negative: int | list[int] | DataFrame) -
         neg = neg.where(F.col("cluster").isin(list(negative)))
     else:
         neg = neg.where(F.col("cluster") == F.lit(negative))
-    # At most the clustering sample's unflagged points: broadcast after a
-    # row-count check, so the feature table is never shuffled for this.
-    return broadcast_checked(neg.select(F.col("patient_id").alias("id")))
+    # Broadcast after a check, so the feature table is not shuffled for this;
+    # above the bound, neither is a table in buckets of the same number.
+    return broadcast_checked(neg.select(F.col("patient_id").alias("id")).distinct(), max_broadcast_rows)
 
 
 def training_set(features: DataFrame, clustered: DataFrame,
                  negative: int | list[int] | DataFrame,
-                 n: int = 50_000, seed: int | str = 0) -> DataFrame:
+                 n: int = 50_000, seed: int | str = 0, max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """All flagged + ``n`` sampled unflagged of the negative cluster.
 
     The restriction to the cluster (D4) is a join that marks the candidates, so the
     features are read once for both halves.
     """
-    marks = _negative_ids(clustered, negative).distinct().withColumn("_candidate", F.lit(True))
-    marked = features.join(broadcast_checked(marks), "id", "left")
+    marks = _negative_ids(clustered, negative, max_broadcast_rows)
+    marked = features.join(marks.withColumn("_candidate", F.lit(True)), "id", "left")
     return sample_with(marked, n, seed, "id", F.col("review") == 1,
                        (F.col("review") == 0) & F.col("_candidate")).drop("_candidate")
 
 
 def scoring_set(features: DataFrame, clustered: DataFrame,
-                negative: int | list[int] | DataFrame) -> DataFrame:
+                negative: int | list[int] | DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Unflagged patients not among the negative cluster's points
     (including those never sampled for clustering): an anti-join."""
     return features.where(F.col("review") == 0) \
-        .join(_negative_ids(clustered, negative), "id", "left_anti")
+        .join(_negative_ids(clustered, negative, max_broadcast_rows), "id", "left_anti")

@@ -18,10 +18,9 @@ from claimlens.operators import classify as cl
 from claimlens.operators import clustering as ck
 from claimlens.operators import features as fe
 from claimlens.operators import sampling as sa
-from claimlens.operators.common import materialize
+from claimlens.operators.common import materialize, store_bucketed
 from claimlens.session import scratch_path
 from claimlens.sinks import write_partitioned, write_scores, write_vectors
-from claimlens.sources import read_partition
 
 
 @dataclass
@@ -38,6 +37,9 @@ class Part3Config:
     top_n: int = 10_000
     seed: int = 42
     dedupe: bool = False
+    #: Hash buckets by patient id of the stored features and clusters, so that their
+    #: joins shuffle neither also where the ids are too many to broadcast.
+    buckets: int | None = None
 
 
 @dataclass
@@ -84,24 +86,27 @@ def run_part3(patient: DataFrame, claims: DataFrame, charges: DataFrame, review:
     cfg = cfg or Part3Config()
     spark = patient.sparkSession
     procedure = fe.procedure_dim(charges)
-    features = materialize(
-        fe.patient_features(patient, claims, procedure, review, dedupe=cfg.dedupe),
-        "patientfeatures")
+    features = fe.patient_features(patient, claims, procedure, review, dedupe=cfg.dedupe)
+    features = store_bucketed(features, "id", cfg.buckets, "patientfeatures") if cfg.buckets \
+        else materialize(features, "patientfeatures")
 
     sample = features if cfg.cluster_sample is None else materialize(
         sa.clustering_sample(features, cfg.cluster_sample, cfg.seed), "patientclustering")
     clustered, _ = cluster_patients(sample, cfg)
-    path = scratch_path(spark, "clusteredclaims")
-    write_partitioned(clustered, path, ("cluster", "label"))
-    clustered = spark.read.parquet(path)
+    if cfg.buckets:
+        clustered = store_bucketed(clustered, "patient_id", cfg.buckets, "clusteredclaims", ("cluster", "label"))
+    else:
+        path = scratch_path(spark, "clusteredclaims")
+        write_partitioned(clustered, path, ("cluster", "label"))
+        clustered = spark.read.parquet(path)
 
     table = ck.crosstab(clustered, cfg.k)
     negative = sorted(r.negative_cluster for r in ck.negative_clusters(table).collect())
 
     training = materialize(
-        sa.training_set(features, _pruned(spark, path, negative), negative,
-                        cfg.training_sample, cfg.seed), "patienttraining")
-    scoring = sa.scoring_set(features, _pruned(spark, path, negative), negative)
+        sa.training_set(features, _pruned(clustered, negative), negative, cfg.training_sample, cfg.seed),
+        "patienttraining")
+    scoring = sa.scoring_set(features, _pruned(clustered, negative), negative)
 
     scored, model = classify(training, scoring, cfg)
     coef = cl.coefficients(model, spark)
@@ -133,7 +138,6 @@ def classify(training: DataFrame, scoring: DataFrame, cfg: Part3Config | None =
     return spark.read.parquet(path), model
 
 
-def _pruned(spark, path: str, negative: list[int]) -> DataFrame:
+def _pruned(clustered: DataFrame, negative: list[int]) -> DataFrame:
     """Only the ``label=0`` directories of the negative clusters."""
-    df = read_partition(spark, path, label=0)
-    return df.where(F.col("cluster").isin(negative))
+    return clustered.where((F.col("label") == 0) & F.col("cluster").isin(negative))

@@ -91,6 +91,22 @@ def q_stored_table_roundtrip(spark, sf_dir):
     return stored.groupBy("provider_id").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+@register("replaced_table", W(CH) + """
+SELECT provider_id, type, count(*) AS n, round(max(avg_charged_amount), 6) AS most
+FROM charges WHERE type = 'I' GROUP BY provider_id, type""")
+def q_replaced_table(spark, sf_dir):
+    """B3 in place: the stored charge table is replaced twice by queries that read
+    it (the inpatient rows, then a summary per provider) and read back."""
+    path = scratch_path(spark, "replaced")
+    sinks.write_table(charges_of(spark, sf_dir), path)
+    charges = sources.read_table(spark, path, schemas.CHARGES)
+    sinks.write_table(charges.where(F.col("type") == "I"), path)
+    kept = sources.read_table(spark, path, schemas.CHARGES)
+    sinks.write_table(kept.groupBy("provider_id", "type").agg(
+        F.count(F.lit(1)).alias("n"), F.max("avg_charged_amount").alias("most")), path)
+    return rounded(sources.read_table(spark, path))
+
+
 def _lines(spark, path: str):
     """A result file's lines with their line numbers (one part file)."""
     return spark.read.text(path).select(

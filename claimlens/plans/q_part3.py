@@ -20,9 +20,9 @@ from claimlens.operators import classify as cl
 from claimlens.operators import clustering as ck
 from claimlens.operators import features as fe
 from claimlens.operators import sampling as sa
-from claimlens.operators.common import global_rank, materialize
+from claimlens.operators.common import global_rank, materialize, store_bucketed
 from claimlens.plans import standins as si
-from claimlens.plans.part3 import Part3Config, cluster_patients
+from claimlens.plans.part3 import Part3Config, cluster_patients, run_part3
 from claimlens.plans.registry import CH, W, charges_of, register, rounded
 from claimlens.session import scratch_path
 from claimlens.sinks import write_partitioned, write_scores, write_vectors
@@ -33,6 +33,7 @@ K = 2
 TRAIN_N = 50_000     # bounds the labelled rows the classifier is fitted on
 SAMPLE_N = 150_000   # of the sampling query only
 SMALL_N = 500
+BUCKETS = 16
 
 
 # ---- Spark side --------------------------------------------------------------
@@ -406,6 +407,25 @@ def q_scoring_set(spark, sf_dir):
     return _text(_training(spark, sf_dir)[1])
 
 
+@register("sets_from_buckets", W(*BASE, *_PATIENT_STEP_SQL, f"""
+  picked AS (SELECT patient_id FROM clustered WHERE label = 0 AND cluster IN (SELECT negative_cluster FROM negative)),
+  train_neg AS (SELECT id FROM feat WHERE review = 0 AND id IN (SELECT patient_id FROM picked)
+                ORDER BY {_key('id')}, id LIMIT {SMALL_N})""") + f"""
+SELECT {_FEATURE_COLS}, 'train' AS part FROM feat WHERE review = 1 OR id IN (SELECT id FROM train_neg)
+UNION ALL
+SELECT {_FEATURE_COLS}, 'score' FROM feat WHERE review = 0 AND id NOT IN (SELECT patient_id FROM picked)""")
+def q_sets_from_buckets(spark, sf_dir):
+    """J7 J8 D4 D5 from tables in hash buckets of the patient id, without
+    broadcasting the ids: training set (500 sampled) and scoring set."""
+    feats, clustered = _step_clusters(spark, sf_dir)
+    feats = store_bucketed(feats, "id", BUCKETS, "features")
+    clustered = store_bucketed(clustered, "patient_id", BUCKETS, "clusters", ("cluster", "label"))
+    negative = _negatives(clustered)
+    train = sa.training_set(feats, clustered, negative, SMALL_N, SEED, max_broadcast_rows=0)
+    score = sa.scoring_set(feats, clustered, negative, max_broadcast_rows=0)
+    return _text(train).withColumn("part", F.lit("train")).unionByName(_text(score).withColumn("part", F.lit("score")))
+
+
 # ---- scoring and reports with fixed coefficients ---------------------------------------
 
 _BETA = "CASE WHEN idx % 3 = 0 THEN 0.0 ELSE ((idx * 7919) % 2001 - 1000) / 50000.0 END"
@@ -530,6 +550,33 @@ def q_kmeans_cosine(spark, sf_dir):
                        F.lit(total <= at_start + 1e-9).alias("no_worse_than_start"))
 
 
+@register("part3_run", W(*BASE) + """
+SELECT id AS patient_id, review AS label, TRUE AS placed, TRUE AS scored, TRUE AS listed FROM feat""")
+def q_part3_run(spark, sf_dir):
+    """Part 3 as one call (``run_part3``: features, fits, scores, top n). Per
+    patient, with its label: it is in the training or the scoring set as its flag
+    and cluster say; it has a score just if it is in the scoring set; and it is on
+    the list of suspicious patients just if it was predicted so."""
+    cfg = Part3Config(seed=SEED, training_sample=TRAIN_N)
+    r = run_part3(si.patient_feed(spark, sf_dir), si.claim_feed(spark, sf_dir), charges_of(spark, sf_dir),
+                  si.review_feed(spark, sf_dir), cfg)
+    rows = r.features.select("id", "review") \
+        .join(r.clustered.select(F.col("patient_id").alias("id"), "cluster"), "id", "left") \
+        .join(r.training.select("id", F.lit(True).alias("trains")), "id", "left") \
+        .join(r.scoring.select("id", F.lit(True).alias("scores")), "id", "left") \
+        .join(r.scored.select(F.col("patient_id").alias("id"), F.col("review").alias("said"), "score"), "id", "left") \
+        .join(r.suspicious.select(F.col("patient_id").alias("id"), "rank"), "id", "left")
+    trains, scores = F.col("trains").isNotNull(), F.col("scores").isNotNull()
+    flagged, negative = F.col("review") == 1, F.col("cluster").isin(r.negative)
+    placed = F.when(flagged, trains & ~scores).when(negative, ~scores).otherwise(scores & ~trains)
+    full = r.suspicious.count() >= cfg.top_n    # only then may a predicted patient be missing
+    listed = F.col("rank").isNotNull() == F.coalesce(F.col("said") == 1, F.lit(False))
+    return rows.select(
+        F.col("id").alias("patient_id"), F.col("review").alias("label"), placed.alias("placed"),
+        (scores == F.coalesce(F.col("score").between(0.5, 1.0), F.lit(False))).alias("scored"),
+        (listed | (F.lit(full) & F.col("rank").isNull())).alias("listed"))
+
+
 def _fitted(spark: SparkSession, sf_dir: str):
     training, scoring = _training(spark, sf_dir)
     model = cl.fit_l1_logistic(fe.hash_features(training))

@@ -37,7 +37,7 @@ def prepare_tables(spark: SparkSession, feeds: FeedPaths, out_dir: str) -> dict[
     }
     for name, df in parsed.items():
         write_table(df, f"{out}/{name}")
-    tables = {name: spark.read.parquet(f"{out}/{name}") for name in parsed}
+    tables = {name: sources.read_table(spark, f"{out}/{name}") for name in parsed}
     write_table(ch.charge_table(tables["inpatientdata"], tables["outpatientdata"]),
                 f"{out}/in_out_patient")
     tables["in_out_patient"] = sources.read_table(spark, f"{out}/in_out_patient", schemas.CHARGES)

@@ -11,26 +11,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlens import schemas
+from claimlens import schemas, tables
 from claimlens.sources import (FIELD_SEPARATOR, PATIENT_BLOCK_END, PATIENT_BLOCK_START,
                                RECORD_SEPARATOR)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A typed table (create-as-select; overwrite replaces)."""
-    df.write.mode(mode).parquet(path)
+    """A typed table, read with ``sources.read_table``.
+
+    ``overwrite`` (create-as-select) replaces it in one step: the old table stays
+    readable until the new one is whole, and may be what ``df`` reads. Other modes
+    are those of the Parquet writer, on the current version.
+    """
+    if mode == "overwrite":
+        tables.replace(df, path)
+    else:
+        df.write.mode(mode).parquet(tables.current(df.sparkSession, path))
 
 
 def write_partitioned(df: DataFrame, path: str, cols: Sequence[str] = ("cluster", "label"),
                       mode: str = "overwrite") -> None:
     """One directory per value combination, ``cluster=<c>/label=<l>/``.
 
-    No shuffle: each task sorts its own rows by the partition columns and
-    writes at most one file per combination it holds, so a combination
-    holding most rows is still written by every task in parallel. Empty
-    combinations get no directory.
+    The rows are rebalanced first: small combinations come together in one task and
+    one file each, a combination that holds most rows is dealt out over as many
+    tasks as it has parts of ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+    So the number of files goes with the bytes written, not with tasks times
+    combinations. Empty combinations get no directory.
     """
-    df.write.mode(mode).partitionBy(*cols).parquet(path)
+    df.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols).parquet(path)
 
 
 def write_ranked_list(df: DataFrame, path: str, column: str, rank: str = "rank") -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimlens import schemas
+from claimlens import schemas, tables
 from claimlens.sources.quoted import read_quoted_records
 
 # Fixed values of the feed formats.
@@ -186,9 +186,10 @@ def read_id_list(spark: SparkSession, path: str | list[str], column: str = "pati
 # ---- A11 - A13: stored tables ---------------------------------------------
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A stored Parquet table, typed by ``schema`` when given."""
+    """A stored Parquet table, typed by ``schema`` when given: the version
+    that is current now if ``sinks.write_table`` wrote it."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+    return reader.parquet(tables.current(spark, path))
 
 
 def read_partition(spark: SparkSession, path: str, **equal: object) -> DataFrame:
