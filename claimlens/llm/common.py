@@ -3,12 +3,15 @@
 * ``stored``       - write a table to the shared folder and read it back.
 * ``small``        - broadcast hint behind a byte check.
 * ``arrow_map``    - ``mapInArrow`` over named columns.
+* ``freed``        - returns a finished task's memory to the system.
 * ``mix64``        - 64-bit finalizer used to derive hash streams in numpy.
 * ``WordIds``      - bounded word -> 64-bit id cache for one Python worker.
 """
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,11 +45,12 @@ def small(df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES) -> Da
     return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df
 
 
-def arrow_map(df: DataFrame, fn: Callable[[dict], dict], schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, fn: Callable[[dict], dict], schema: str,
+              done: Callable[[], None] | None = None) -> DataFrame:
     """Map Arrow batches: ``fn`` gets {column: Arrow array} and returns
     {column: list, numpy or Arrow array}. Batches are bounded by Spark in
     rows and bytes and handed on in slices of ``SLICE_ROWS`` rows, so memory
-    does not grow with the partition."""
+    does not grow with the partition. ``done`` is called at a task's end."""
     arrow_schema = _arrow_schema(df, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,10 +58,24 @@ def arrow_map(df: DataFrame, fn: Callable[[dict], dict], schema: str) -> DataFra
             out = fn({n: batch.column(i) for i, n in enumerate(batch.schema.names)})
             yield pa.RecordBatch.from_arrays(
                 [_as_arrow(out[f.name], f.type) for f in arrow_schema], schema=arrow_schema)
+            out = None
+        if done is not None:
+            done()
+        freed()
 
     return df.mapInArrow(run, schema)
 
 
+def freed() -> None:
+    """Give a finished task's memory back to the system: a worker stays alive for
+    later tasks, also for those of other stages that need its executor's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def _arrow_schema(df: DataFrame, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

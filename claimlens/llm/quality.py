@@ -14,7 +14,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -23,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import SLICE_ROWS, arrow_map, lists
+from claimlens.llm.common import SLICE_ROWS, arrow_map, freed, lists
 
 #: Documents whose posterior labels train the scorer (all others are scored only).
 SAMPLE_ROWS = 8_000
@@ -31,6 +34,8 @@ DIMS = 1 << 13
 #: Characters of a word that make one feature.
 PIECE = 64
 KEEP_FROM = 0.5
+#: Characters whose words a task holds at once.
+SLICE_CHARS = 1 << 20
 #: Prior of each class of the label model, in documents.
 PRIOR_VOTES = 20
 #: A labeller that alone calls more than this share of the texts bad misfires.
@@ -51,50 +56,74 @@ GOOD, BAD, ABSTAIN = "1", "0", "-"
 _PLAIN = set(".,;:!?'\"()-–—«»„“”’/")
 
 
+class _Classes(dict):
+    """Code point -> mark, for ``str.translate``; each is worked out once."""
+
+    def __init__(self, mark):
+        super().__init__()
+        self.mark = mark
+
+    def __missing__(self, code: int) -> str:
+        self[code] = mark = self.mark(chr(code))
+        return mark
+
+
+_CASE = _Classes(lambda c: "X" if c.isupper() else "x" if c.isalpha() else "0" if c.isdigit() else c)
+_KIND = _Classes(lambda c: "a" if c.isalnum() else "." if c in _PLAIN else "#")
+_RUNS = re.compile(r"(.)\1{2,}", re.DOTALL)
+
+
 def _shape(word: str) -> str:
-    out = []
-    for c in word:
-        s = "X" if c.isupper() else "x" if c.isalpha() else "0" if c.isdigit() else c
-        if len(out) < 2 or out[-1] != s or out[-2] != s:
-            out.append(s)
-    return "".join(out)
+    """Letters by case, digits as 0, runs of one mark cut to two."""
+    return _RUNS.sub(r"\1\1", word.translate(_CASE))
+
+
+@lru_cache(maxsize=1 << 14)
+def _shape_id(shape: str) -> int:
+    return xxhash.xxh64_intdigest(shape.encode("utf-8", "surrogatepass")) & 0x7FFFFFFF
+
+
+_SMALL = {1: _shape_id("x")}
+_SMALL_LONG = _shape_id("xx")
 
 
 class Words(dict):
-    """Word -> row of the attribute table; cleared at ``limit`` words."""
+    """Word -> its attributes in one number: five flags (symbols, capitals, bare,
+    function word, sentence end), 27 bits of length, 31 of the shape's id; cleared
+    at ``limit`` words."""
 
-    def __init__(self, limit: int = 150_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
-        self.new: list[tuple] = []
-        self.table = np.zeros((1024, 7), np.int32)
-        self.used = 0
 
     def __missing__(self, word: str) -> int:
-        core = word.strip(".,;:!?'\"()").lower()
-        alnum = sum(map(str.isalnum, word))
-        self.new.append((
-            any(not c.isalnum() and c not in _PLAIN for c in word) and alnum > 0,
-            alnum > 1 and word.isupper(), alnum == 0, core in FUNCTION_WORDS,
-            word[-1] in ".!?", len(word),
-            xxhash.xxh64_intdigest(_shape(word[:PIECE]).encode("utf-8", "surrogatepass")) & 0x7FFFFFFF))
-        self[word] = self.used + len(self.new) - 1
-        return self[word]
-
-    def rows_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(word rows, attribute table with one line for each word of the text)."""
+        if word.isascii() and word.isalpha() and word.islower():    # most words
+            flags = 8 if word in FUNCTION_WORDS else 0
+            shape = _SMALL.get(len(word), _SMALL_LONG)
+        else:
+            kinds = word.translate(_KIND)
+            alnum = kinds.count("a")
+            flags = (("#" in kinds and alnum > 0) + 2 * (alnum > 1 and word.isupper()) + 4 * (alnum == 0)
+                     + 8 * (word.strip(".,;:!?'\"()").lower() in FUNCTION_WORDS) + 16 * (word[-1] in ".!?"))
+            shape = _shape_id(_shape(word[:PIECE]))
+        self[word] = code = flags | min(len(word), (1 << 27) - 1) << 5 | shape << 32
+        return code
+
+    def codes(self, words: list[str]) -> np.ndarray:
         if len(self) > self.limit:
             self.clear()
-            self.used = 0
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if self.new:
-            end = self.used + len(self.new)
-            if end > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros((end, 7), np.int32)])
-            self.table[self.used:end] = self.new
-            self.used = end
-            self.new.clear()
-        return at, self.table[at]
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def rows_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words, attributes: one line a word)."""
+        code = self.codes(words)
+        flags = [code >> k & 1 for k in range(5)]
+        return _ids(words), np.stack([*flags, code >> 5 & 0x7FFFFFF, code >> 32], 1)
+
+
+def _ids(words: list[str]) -> np.ndarray:
+    """Numbers that tell the words of a process apart (64-bit hashes)."""
+    return np.fromiter(map(hash, words), np.int64, len(words))
 
 
 def _vote(value: float, bad: bool, good: bool) -> str:
@@ -128,6 +157,91 @@ def votes(text: str | None, words: Words) -> str:
     return "".join(_vote(0, bad, good) for bad, good in rules)
 
 
+class Bag:
+    """The words of several texts side by side: word ids ``at``, attributes ``code``,
+    words of each text ``n`` (texts without words left out) and their starts."""
+
+    def __init__(self, texts: list[str | None], words: Words, piece: int | None = None):
+        split = [(t or "").split() for t in texts]
+        flat = list(chain.from_iterable(split))
+        n = np.fromiter(map(len, split), np.int64, len(split))
+        if piece and flat and max(map(len, flat)) > piece:
+            flat = [w[i:i + piece] for w in flat for i in range(0, len(w), piece)]
+            n = np.fromiter((sum(-(-len(w) // piece) for w in t) for t in split), np.int64, len(split))
+        self.texts = np.flatnonzero(n)
+        self.n = n[self.texts]
+        self.starts = np.cumsum(self.n) - self.n
+        self.at, self.code = _ids(flat), words.codes(flat)
+        # neighbours of one text
+        self.inner = np.ones(max(0, len(flat) - 1), bool)
+        self.inner[self.starts[1:] - 1] = False
+        self.same = self.at[1:] == self.at[:-1]
+
+    def pair_sums(self, values: np.ndarray) -> np.ndarray:
+        """Sums over each text's neighbouring words of ``values`` (one a pair)."""
+        return np.add.reduceat(np.append(np.where(self.inner, values, 0), 0), self.starts)
+
+    def top_counts(self) -> np.ndarray:
+        """Occurrences of each text's most frequent word."""
+        of = np.repeat(np.arange(len(self.n)), self.n)
+        order = np.lexsort((self.at, of))
+        at, of = self.at[order], of[order]
+        first = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (of[1:] != of[:-1])))
+        runs = np.diff(np.append(first, len(at)))
+        return np.maximum.reduceat(runs, np.searchsorted(first, self.starts))
+
+    def means(self) -> list[np.ndarray]:
+        """Each text's share of words with each flag, and mean word length."""
+        columns = [*(self.code >> k & 1 for k in range(5)), self.code >> 5 & 0x7FFFFFF]
+        return [np.add.reduceat(c, self.starts) / self.n for c in columns]
+
+
+def votes_of(texts: list[str | None], words: Words) -> list[str]:
+    """``votes`` of several texts, computed together."""
+    out = [ABSTAIN * 8 + BAD + ABSTAIN] * len(texts)
+    bag = Bag(texts, words)
+    if len(bag.n) == 0:
+        return out
+    n = bag.n
+    symbols, capitals, bare, function, ends, length = bag.means()
+    again = bag.pair_sums(bag.same) / np.maximum(1, n - 1)
+    top = bag.top_counts() / n
+    lines = [[x for x in texts[i].split("\n") if x.strip()] for i in bag.texts]
+    n_lines = np.fromiter(map(len, lines), np.int64, len(lines))
+    line_again = 1 - np.fromiter((len(set(x)) for x in lines), np.int64, len(lines)) / n_lines
+    never = np.zeros(len(n), bool)
+    rules = (
+        (symbols > 0.2, symbols < 0.05),
+        ((capitals > 0.3) & (n >= 5), capitals < 0.1),
+        (bare > 0.2, bare < 0.05),
+        (again > 0.2, again < 0.05),
+        ((n >= 20) & (top > 0.5), (n >= 20) & (top < 0.15)),
+        ((n >= 20) & (function < 0.05), (n >= 20) & (function > 0.12)),
+        ((n >= 40) & (ends < 0.01), ends > 0.03),
+        ((length > 15) | (length < 2.2), (3 <= length) & (length <= 9)),
+        (never, n >= 5),
+        ((n_lines >= 5) & (line_again > 0.4), (n_lines >= 2) & (line_again < 0.1)))
+    marks = np.stack([np.where(bad, BAD, np.where(good, GOOD, ABSTAIN)) for bad, good in rules], 1)
+    for i, row in zip(bag.texts.tolist(), marks.tolist()):
+        out[i] = "".join(row)
+    return out
+
+
+def scores_of(texts: list[str | None], words: Words, weights: np.ndarray) -> np.ndarray:
+    """Scores of several texts: the mean weight of their ``features``."""
+    out = np.zeros(len(texts))
+    bag = Bag(texts, words, PIECE)
+    if len(bag.n) == 0:
+        return out
+    shape = bag.code >> 32
+    pair = (shape[1:] * 31 + shape[:-1] * 17 + 7) % 2147483647
+    total = np.add.reduceat(weights[shape % DIMS], bag.starts) \
+        + bag.pair_sums(weights[pair % DIMS] + np.where(bag.same, weights[1], weights[2]))
+    mean = total / (3 * bag.n - 2)
+    out[bag.texts] = 1 / (1 + np.exp(-np.clip(mean + weights[-1], -60, 60)))
+    return out
+
+
 def label_model(counts: dict[str, int], rounds: int = 200) -> tuple[dict[str, float], pd.DataFrame]:
     """EM over {vote pattern: documents}. Returns the posterior of class good
     for each pattern, and each labeller's rates and accuracy.
@@ -197,10 +311,18 @@ def features(text: str | None, words: Words) -> np.ndarray:
     return np.concatenate([shape % DIMS, pair % DIMS, same])
 
 
-def _texts(column: pa.Array) -> Iterator[str | None]:
-    """The texts of a batch, a slice of it as Python strings at a time."""
+def _slices(column: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of a batch as Python strings, about ``SLICE_CHARS`` at a time."""
+    held, size = [], 0
     for i in range(0, len(column), SLICE_ROWS):
-        yield from column.slice(i, SLICE_ROWS).to_pylist()
+        for text in column.slice(i, SLICE_ROWS).to_pylist():
+            held.append(text)
+            size += len(text or "")
+            if size > SLICE_CHARS:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
 def _votes_udf():
@@ -208,7 +330,9 @@ def _votes_udf():
     def run(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = Words()
         for s in it:
-            yield pa.array([votes(t, words) for t in _texts(s)], pa.string())
+            yield pa.array([v for part in _slices(s) for v in votes_of(part, words)], pa.string())
+        del words
+        freed()
     return run
 
 
@@ -259,12 +383,10 @@ class QualityModel:
         def run(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
             words = Words()
             for s in it:
-                out = []
-                for t in _texts(s):
-                    f = features(t, words)
-                    out.append(1 / (1 + np.exp(-np.clip(w[f].mean() + w[-1], -60, 60)))
-                               if len(f) else 0.0)
-                yield pa.array(out, pa.float64())
+                parts = [scores_of(part, words, w) for part in _slices(s)]
+                yield pa.array(np.concatenate(parts) if parts else [], pa.float64())
+            del words
+            freed()
         return run(F.col(text) if isinstance(text, str) else text)
 
 
