@@ -6,18 +6,18 @@ rows DuckDB picks with ``ORDER BY md5(..), id LIMIT n``.
 
 The input is evaluated once. The keys are uniform, so the plan's own size estimate
 gives a key below which about ``OVERDRAW`` times too many rows lie; rows below it
-are written as candidates while all rows are counted. The exact n-th key is then
-looked up among the candidates (counts by key range, one range looked into), which
-are *filtered* on it, so the sample keeps their partitions. Only if the estimate was
-far too high, and fewer than ``n`` candidates came, is the input evaluated again,
-now with the count known. Nothing is sorted whole or gathered in one task.
+are written as candidates. The exact n-th key is then looked up among them (counts
+by key range, one range looked into), and they are *filtered* on it, so the sample
+keeps their partitions. Only if the estimate was far too high, and fewer than ``n``
+candidates came, is the input evaluated again, with the share they tell. Nothing is
+sorted whole or gathered in one task.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions import seeded_key
@@ -62,14 +62,12 @@ def sample_with(df: DataFrame, n: int, seed: int | str = 0, id_col: str = "id",
     in_pool = F.col("_pool") & F.col("_key").isNotNull()
     while True:
         drawn = F.lit(n > 0) if share >= 1 else _below(share)
-        counts = Observation()
-        table = materialize(keyed.observe(counts, F.count_if(in_pool).alias("n"))
-                            .where(F.col("_always") | (F.col("_pool") & drawn)), "sample")
+        table = materialize(keyed.where(F.col("_always") | (F.col("_pool") & drawn)), "sample")
         found = table.where(in_pool).count() if n > 0 else 0
         if share >= 1 or found >= n:
             break
-        total = counts.get["n"]     # now known: draw again, with room for chance
-        share = 1.0 if total <= n else min(1.0, max(2 * share, (n + 10 * math.sqrt(n)) / total))
+        # found / share tells about how many rows there are: draw again, with room for chance
+        share = min(1.0, max(2.0, 1.5 * (n + 10 * math.sqrt(n)) / found) * share) if found else 1.0
     chosen = F.lit(n > 0) if found <= n else _up_to(table.where(in_pool), n, min(1.0, share), id_col)
     return table.where(F.col("_always") | (F.col("_pool") & chosen)).drop("_key", "_always", "_pool")
 
