@@ -6,12 +6,14 @@ DataFrame and SQL functions only.
 characters separate. A run of number tokens becomes ``0``, a run of
 capitalised words (a capital, then a small letter) becomes ``@``, a unit after
 a number becomes ``%``; other words are lower-cased. A second form leaves names
-as lower-cased words, so that copies in other case are found too.
+as lower-cased words, so that copies in other case are found too. An item of which
+both forms hold placeholders only ("2 4 8 16 32 64") has a third, its plain
+lower-cased words and numbers.
 
 *Windows.* Every ``WINDOW_WORDS`` consecutive canonical tokens form a template
-window (a shorter text is one window). The windows of all documents are
-hash-joined with those of the benchmark; the benchmark side is broadcast only
-behind a check of its size.
+window (a shorter text is one window, which only a text of the same words has). The
+windows of all documents, of all forms in one pass, are hash-joined with those of
+the benchmark; the benchmark side is broadcast only behind a check of its size.
 
 *Decision.* In either form, an item is found in a document with an occurrence
 that holds at least ``THRESHOLD`` of its distinct windows and fills its slots
@@ -49,6 +51,8 @@ UNITS = ("km m cm mm mi miles mile feet foot ft inch inches kg g mg lb lbs pound
          "weeks week months month years year percent dollars dollar euros euro cents usd eur "
          "degrees kmh mph hz khz mhz ghz kb mb gb tb w kw v").split()
 
+_PAIR = ["d", "k", "item_id", "f"]
+
 # Possessive runs: matched in a loop, whatever their length.
 _NAMES = r"(?: \p{Lu}\p{Ll}\p{L}*)++"
 _NUMBERS = "(?: [0-9]+)++"
@@ -61,27 +65,42 @@ def _spaced(text: Column) -> Column:
     return F.concat(F.lit(" "), F.regexp_replace(digits, r"[^\p{L}0-9]+", " "), F.lit(" "))
 
 
-def canonical_tokens(text: Column, names: bool = True) -> Column:
+#: Canonical forms: names as placeholders, names as words, nothing replaced.
+NAMED, WORDS, PLAIN = 1, 0, 2
+
+
+def canonical_tokens(text: Column, form: int = NAMED) -> Column:
     """The canonical tokens; an empty array for a text without tokens."""
-    t = _spaced(text)
-    if names:
+    return _canonical(_spaced(text), form)
+
+
+def _canonical(t: Column, form: int) -> Column:
+    if form == NAMED:
         t = F.regexp_replace(t, _NAMES, " @")
-    t = F.lower(F.regexp_replace(t, _NUMBERS, " 0"))
-    t = F.regexp_replace(t, f"0 ({'|'.join(UNITS)}) ", "0 % ")
+    t = F.lower(t)
+    if form != PLAIN:
+        t = F.regexp_replace(t, _NUMBERS, " 0")
+        t = F.regexp_replace(t, f"0 ({'|'.join(UNITS)}) ", "0 % ")
     return F.filter(F.split(t, " "), lambda x: x != "")
 
 
-def raw_tokens(text: Column, names: bool = True) -> Column:
+def raw_tokens(text: Column, form: int = NAMED) -> Column:
     """The same tokens with their values, one for one."""
-    pattern = _RAW_TOKEN.replace("{names}", f"{_NAMES}|" if names else "")
-    return F.transform(F.regexp_extract_all(_spaced(text), F.lit(pattern), 0), lambda x: F.trim(x))
+    return _raw(_spaced(text), form)
+
 
+def _raw(t: Column, form: int) -> Column:
+    pattern = " [^ ]+" if form == PLAIN else _RAW_TOKEN.replace("{names}", f"{_NAMES}|" if form == NAMED else "")
+    return F.transform(F.regexp_extract_all(t, F.lit(pattern), 0), lambda x: F.trim(x))
 
-def _windows(tokens: Column, n: int) -> Column:
-    """The hash of each window, in order (a shorter text: of all tokens)."""
+
+def _windows(tokens: Column, n: int, form: Column | int) -> Column:
+    """The hash of each window and the form, in order (a shorter text: of all
+    tokens)."""
     last = F.greatest(F.size(tokens) - F.lit(n), F.lit(0))
+    form = F.lit(form) if isinstance(form, int) else form
     return F.when(F.size(tokens) > 0, F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(tokens, i + k) for k in range(n)]))
+        F.sequence(F.lit(0), last), lambda i: F.xxhash64(form, *[F.get(tokens, i + k) for k in range(n)]))
     ).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -104,58 +123,79 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         .where("item_id is not null")
     rows = docs.select(F.col(id_col).alias("d"), _row_key(F.col(text_col)).alias("k"),
                        F.col(text_col).alias("t"))
-    both = [_found(rows, items, names, window, threshold, consistency) for names in (True, False)]
-    return both[0].union(both[1]).distinct().select(F.col("d").alias(id_col), F.col("k").alias("row_key"),
-                                                    "item_id")
+    return _found(rows, items, window, threshold, consistency) \
+        .select(F.col("d").alias(id_col), F.col("k").alias("row_key"), "item_id").distinct()
+
+
+def _item_forms(items: DataFrame, window: int) -> DataFrame:
+    """(item_id, f, canon, raw, q, w): every window of every form an item has."""
+    spaced = items.select("item_id", _spaced(F.col("t")).alias("s"))
+    forms = F.array(*[F.struct(F.lit(f).alias("f"), _canonical(F.col("s"), f).alias("canon"),
+                               _raw(F.col("s"), f).alias("raw")) for f in (NAMED, WORDS, PLAIN)])
+    each = spaced.select("item_id", F.explode(forms).alias("x")).select("item_id", "x.*")
+    places = stored(each.select("item_id", "f", "canon", "raw",
+                                F.posexplode(_windows(F.col("canon"), window, F.col("f"))).alias("q", "w")), "item-forms")
+    literal = places.where((F.col("f") != PLAIN) & _literal(F.slice("canon", F.col("q") + 1, window)))
+    told = literal.select("item_id").distinct()
+    return places.where(F.col("f") != PLAIN).unionByName(
+        places.where(F.col("f") == PLAIN).join(told, "item_id", "left_anti").select(places.columns))
+
+
+def _literal(canon: Column) -> Column:
+    """Whether a window holds a token that is no placeholder (in a plain form every
+    token is itself)."""
+    return F.exists(canon, lambda x: ~x.isin("0", "@", "%")) | (F.col("f") == PLAIN)
 
 
-def _found(rows: DataFrame, items: DataFrame, names: bool, window: int = WINDOW_WORDS,
+def _found(rows: DataFrame, items: DataFrame, window: int = WINDOW_WORDS,
            threshold: float = THRESHOLD, consistency: float = CONSISTENCY) -> DataFrame:
-    """(d, k, item_id) found with one canonical form; ``rows`` (d, k, t) and
-    ``items`` (item_id, t) hold the texts."""
-    item = items.select("item_id", canonical_tokens(F.col("t"), names).alias("canon"),
-                        raw_tokens(F.col("t"), names).alias("raw"))
-    literal = F.exists(F.slice("canon", F.col("q") + 1, window), lambda x: ~x.isin("0", "@", "%"))
-    grams = stored(item.select("item_id", "canon", F.posexplode(_windows(F.col("canon"), window)).alias("q", "w"))
-                   .where(literal).select("item_id", "w").distinct(), "item-windows")
-    sizes = grams.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows"))
-    # the tokens are a column of their own: inside the window expression they
+    """(d, k, item_id) found; ``rows`` (d, k, t) and ``items`` (item_id, t) hold the
+    texts."""
+    item = _item_forms(items, window)
+    grams = stored(item.where(_literal(F.slice("canon", F.col("q") + 1, window)))
+                   .select("item_id", "f", "w").distinct(), "item-windows")
+    used = sorted(r["f"] for r in grams.select("f").distinct().collect())
+    sizes = grams.groupBy("item_id", "f").agg(F.count(F.lit(1)).alias("n_windows"))
+    # the tokens are columns of their own: inside the window expression they
     # would be made again for every window
-    hits = rows.select("d", "k", canonical_tokens(F.col("t"), names).alias("canon")) \
-        .select("d", "k", F.explode(F.array_distinct(_windows(F.col("canon"), window))).alias("w")) \
-        .join(small(grams, 24), "w")
+    spaced = rows.select("d", "k", _spaced(F.col("t")).alias("s"))
+    canon = spaced.select("d", "k", *[_canonical(F.col("s"), f).alias(f"c{f}") for f in used])
+    every = F.flatten(F.array(F.array().cast("array<bigint>"), *[_windows(F.col(f"c{f}"), window, f) for f in used]))
+    hits = canon.select("d", "k", F.explode(F.array_distinct(every)).alias("w")).join(small(grams, 32), "w")
     cand = stored(
-        hits.groupBy("d", "k", "item_id").agg(F.count_distinct("w").alias("found"))
-        .join(small(sizes, 24), "item_id")
+        hits.groupBy("d", "k", "item_id", "f").agg(F.count_distinct("w").alias("found"))
+        .join(small(sizes, 32), ["item_id", "f"])
         .where(F.col("found") >= F.lit(threshold) * F.col("n_windows")), "candidates")
 
     # values of the slots, only for the candidate documents
-    keys = small(cand.select("d", "k").distinct(), 24)
-    same = [rows["d"].eqNullSafe(keys["d"]), rows["k"] == keys["k"]]
-    placed = rows.join(keys, same, "left_semi").distinct().select(
-        "d", "k", canonical_tokens(F.col("t"), names).alias("canon"),
-        raw_tokens(F.col("t"), names).alias("raw")) \
-        .select("d", "k", "raw", F.posexplode(_windows(F.col("canon"), window)).alias("p", "w")) \
-        .select("d", "k", "p", "w", F.slice("raw", F.col("p") + 1, window).alias("doc_raw"))
-    at_item = item.select("item_id", "canon", "raw",
-                          F.posexplode(_windows(F.col("canon"), window)).alias("q", "w")) \
-        .select("item_id", "q", "w", F.slice("canon", F.col("q") + 1, window).alias("canon"),
-                F.slice("raw", F.col("q") + 1, window).alias("item_raw"))
+    keys = small(cand.select(F.col("d").alias("kd"), F.col("k").alias("kk"), "f").distinct(), 32)
+    # one row a text and form: equal rows count once
+    texts = rows.join(keys, [rows["d"].eqNullSafe(keys["kd"]), rows["k"] == keys["kk"]]) \
+        .select("d", "k", "f", "t").distinct().select("d", "k", "f", _spaced(F.col("t")).alias("s"))
+
+    def by_form(make) -> Column:
+        return F.when(F.col("f") == NAMED, make(F.col("s"), NAMED)).when(F.col("f") == WORDS, make(F.col("s"), WORDS)) \
+            .otherwise(make(F.col("s"), PLAIN))
+
+    placed = texts.select("d", "k", "f", by_form(_canonical).alias("canon"), by_form(_raw).alias("raw")) \
+        .select("d", "k", "f", "raw", F.posexplode(_windows(F.col("canon"), window, F.col("f"))).alias("p", "w")) \
+        .select("d", "k", F.col("f").alias("df"), "p", "w", F.slice("raw", F.col("p") + 1, window).alias("doc_raw"))
+    at_item = item.select("item_id", "f", "q", "w", F.slice("canon", F.col("q") + 1, window).alias("canon"),
+                          F.slice("raw", F.col("q") + 1, window).alias("item_raw"))
     at_item = small(stored(at_item, "item-places"), 400)
-    matched = placed.join(at_item, "w")
-    c = cand.select(F.col("d").alias("cd"), F.col("k").alias("ck"), F.col("item_id").alias("ci"))
+    matched = placed.join(at_item, "w").drop("df")
+    c = cand.select(F.col("d").alias("cd"), F.col("k").alias("ck"), F.col("item_id").alias("ci"), F.col("f").alias("cf"))
     matched = stored(matched.join(
-        small(c, 32), [matched["d"].eqNullSafe(c["cd"]), matched["k"] == c["ck"],
-                       matched["item_id"] == c["ci"]], "left_semi"), "matched")
+        small(c, 40), [matched["d"].eqNullSafe(c["cd"]), matched["k"] == c["ck"],
+                       matched["item_id"] == c["ci"], matched["f"] == c["cf"]], "left_semi"), "matched")
     placed_at = _occurrences(matched)
     # the literal windows alone count for containment
-    literal_at = F.exists(F.col("canon"), lambda x: ~x.isin("0", "@", "%"))
-    held = placed_at.groupBy("d", "k", "item_id", "g").agg(
-        F.count_distinct(F.when(literal_at, F.col("w"))).alias("found")) \
-        .join(small(sizes, 24), "item_id") \
+    held = placed_at.groupBy(*_PAIR, "g").agg(
+        F.count_distinct(F.when(_literal(F.col("canon")), F.col("w"))).alias("found")) \
+        .join(small(sizes, 32), ["item_id", "f"]) \
         .where(F.col("found") >= F.lit(threshold) * F.col("n_windows")).drop("found", "n_windows")
     held = stored(held, "occurrences")
-    of = ["d", "k", "item_id", "g"]
+    of = [*_PAIR, "g"]
 
     def same_as(x: str, y: str, columns: list[str]) -> Column:
         return reduce(and_, [F.col(f"{x}.{c}").eqNullSafe(F.col(f"{y}.{c}")) for c in columns])
@@ -163,9 +203,9 @@ def _found(rows: DataFrame, items: DataFrame, names: bool, window: int = WINDOW_
     kept = placed_at.alias("m").join(small(held, 64).alias("h"), same_as("m", "h", of), "left_semi")
     places = kept.groupBy(*of, "q").agg(F.count(F.lit(1)).alias("places"))
     slot = F.filter(F.arrays_zip("canon", "item_raw", "doc_raw"),
-                    lambda x: x["canon"].isin("0", "@", "%"))
+                    lambda x: x["canon"].isin("0", "@", "%") & (F.col("m.f") != PLAIN))
     pair = kept.alias("m").join(places.alias("p"), same_as("m", "p", [*of, "q"])) \
-        .select("m.d", "m.k", "m.item_id", "m.g", (F.lit(1.0) / F.col("places")).alias("weight"),
+        .select(*[f"m.{c}" for c in of], (F.lit(1.0) / F.col("places")).alias("weight"),
                 F.explode(slot).alias("s"))
     seen = pair.groupBy(*of, "s.canon", "s.item_raw", "s.doc_raw").agg(F.sum("weight").alias("weight"))
     by_value = seen.groupBy(*of, "canon", "item_raw") \
@@ -178,7 +218,7 @@ def _found(rows: DataFrame, items: DataFrame, names: bool, window: int = WINDOW_
 
 def _occurrences(matched: DataFrame) -> DataFrame:
     """``matched`` with ``g``, one row for each occurrence a place belongs to."""
-    pair = ["d", "k", "item_id"]
+    pair = _PAIR
     m = matched.withColumn("shift", F.col("p") - F.col("q"))
     m = m.withColumn("support", F.count(F.lit(1)).over(Window.partitionBy(*pair, "shift")))
     m = m.withColumn("rank", F.row_number().over(

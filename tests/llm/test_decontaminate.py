@@ -91,3 +91,41 @@ def test_no_python_in_the_plan_and_empty_tables(docs_of, bench, spark):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
     assert dc.report(docs_of([]), bench).collect() == []
     assert [r.contaminated for r in dc.report(docs, bench.where("false")).collect()] == [False]
+
+
+def test_items_of_numbers_or_names_only(docs_of, spark):
+    """All windows of both template forms are placeholders: the plain form counts."""
+    bench = spark.createDataFrame([(1, "2 4 8 16 32 64"), (2, "12 + 7 = 19; 3 + 8 = 11"), (3, "Anna Berta Carla Dora Emma Frieda")],
+                                  "item_id bigint, text string")
+    docs = docs_of([(1, "Go on: 2, 4, 8, 16, 32, 64 and so on"), (2, "3 5 9 17 33 65"), (3, "so 12 + 7 = 19; 3 + 8 = 11."),
+                    (4, "12 + 7 = 20; 3 + 8 = 12"), (5, "anna berta carla dora emma frieda"), (6, "Xaver Yvonne Zoe Udo Vera Willi"),
+                    (7, noise(1))])
+    got = {r.doc_id: r.first_item for r in dc.report(docs, bench).collect()}
+    assert got == {1: 1, 2: None, 3: 2, 4: None, 5: 3, 6: None, 7: None}
+
+
+def test_the_sql_judges_occurrences_too(docs_of, bench, spark):
+    import duckdb
+
+    from claimlens.llm.decontaminate_sql import SQL
+    one, two = other_values(), other_values(("Eve Brown", "Mallory"), ("61", "77", "5", "13"))
+    inserted = ITEM.replace("Later", "Later that very long and rather cold day in spring")
+    rng = random.Random(8)
+    texts = [ITEM + " " + one, one + " and then " + ITEM + " and then " + two, one + "\n" + two, ITEM[:90] + " or " + one[:80],
+             inserted + " or else " + one, ITEM.upper(), "half of it: " + ITEM[:70], noise(3), None, "",
+             "the quick brown fox jumps over the lazy dog near a quiet river bank today 1 2 3 4 5 6",
+             " ".join(rng.sample(ITEM.split(" "), len(ITEM.split(" ")))), ITEM[70:] + " " + ITEM[:70]]
+    for _ in range(40):     # passages cut and mixed
+        parts = [rng.choice([ITEM, one, two, noise(rng.randrange(9), 20), inserted]) for _ in range(rng.randrange(1, 4))]
+        texts.append(" ".join(p[rng.randrange(0, 40):len(p) - rng.randrange(0, 40)] for p in parts))
+    docs = docs_of(list(enumerate(texts)))
+    items = [tuple(r) for r in bench.select("item_id", "text").collect()] + [(9, "2 4 8 16 32 64")]
+    items = spark.createDataFrame(items, "item_id bigint, text string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [[i, t] for i, t in enumerate(texts)])
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", [list(r) for r in items.collect()])
+    want = sorted(con.execute(f"SELECT doc_id, n_items, first_item, contaminated FROM ({SQL})").fetchall(), key=repr)
+    got = sorted(((r.doc_id, r.n_items, r.first_item, r.contaminated) for r in dc.report(docs, items).collect()), key=repr)
+    assert got == want and sum(r[3] for r in got) > 10
