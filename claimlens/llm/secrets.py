@@ -1,19 +1,21 @@
 """Secret scan: fixed patterns plus a character network (operator 4).
 
-*Base findings* are the three fixed patterns below. *Candidates* are all runs
-of 16 or more characters of the value alphabet. A small convolutional network
-over characters, in numpy, scores every candidate with the characters around
-it; candidates that no base finding touches and that score at least the
-threshold are findings of kind ``network``.
-
-The network is trained on labelled findings: a bounded sample of the candidates
-of all documents, labelled by whether a base finding covers them. For half of the
-positive ones the text before is blanked, so that the value's own form is
-learned and not only its keyword. Where a label has fewer than ``LEAST``
-findings, generated ones (fixed seed) fill it up to ``FILL``, so the network
-runs on small corpora and rare findings too. The logits are calibrated on held-back
-findings. The threshold is 0.5, or lower if the share of held-back positives
-found (each with and without its context) would not reach ``RECALL`` there.
+*Base findings* are the three fixed patterns below. *Candidates* are the parts of
+all runs of 16 or more characters of the value alphabet that no base finding
+covers: a part itself, in overlapping windows of ``HEAD + TAIL`` characters where it
+is longer, and each alphanumeric stretch of 16 or more characters inside it (a value
+in the middle of a path). A small convolutional network over characters, in numpy,
+scores every candidate with the characters around it; those that score at least
+the threshold are findings of kind ``network`` (windows that touch are one).
+
+The network is trained on labelled findings of all documents, a bounded sample:
+the values of base findings are secrets, the other candidates are not. Each is
+learned as it stands, with the text before, after and on both sides blanked, and
+with the surroundings of a finding of the other label, so that the form of a value
+counts and not only the keyword or the quotes that come with it. ``FILL`` generated
+findings of each label (fixed seed) are always among them. The logits are calibrated
+on held-back findings in all those forms. The threshold is 0.5, or lower if the
+share of held-back secrets found would not reach ``RECALL`` there.
 """
 
 from __future__ import annotations
@@ -24,44 +26,79 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import arrow_map, stored
+from claimlens.llm.common import SLICE_ROWS, arrow_map, freed, stored
 
-#: Bound of the training input: findings kept. A label with fewer than ``LEAST``
-#: findings gets generated ones, ``FILL`` in all.
-SAMPLE_FINDINGS, LEAST, FILL = 4_000, 20, 200
+#: Bound of the training input: findings kept; generated ones of each label.
+SAMPLE_FINDINGS, FILL = 4_000, 400
 RECALL = 0.98
 BEFORE, HEAD, TAIL, AFTER = 24, 40, 16, 16
 WINDOW = BEFORE + HEAD + TAIL + AFTER
+#: Candidates scored at once.
+VIEWS = 2_048
 
 # The base patterns.
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?"""
                     r"([A-Za-z0-9+/_.=-]+)", re.ASCII)
 _KEYWORDS = ("passw", "secret", "token", "api")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
+WORD = re.compile(r"[A-Za-z0-9]{16,}")
+#: Shortest candidate.
+SHORTEST = 16
 # A maximal run, which is what a leftmost greedy match is; both lie in a candidate.
 ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]{12,}"), re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "network")
 
 
 def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
-    """([(start, kind, end)] sorted, candidates [(start, end)])."""
-    candidates = [m.span() for m in CANDIDATE.finditer(text)]
-    spans = []
-    for a, b in candidates:
+    """([(start, kind, end)] sorted, runs [(start, end)])."""
+    spans, runs, _ = _base(text)
+    return spans, runs
+
+
+def _base(text: str):
+    """Base findings, runs, and the values (start, end) of the findings."""
+    runs = [m.span() for m in CANDIDATE.finditer(text)]
+    spans, values = [], []
+    for a, b in runs:
         for kind, pattern in ((1, ACCESS), (2, HEX)):
             spans.extend((m.start(), kind, m.end()) for m in pattern.finditer(text, a, b))
+    values.extend((a, b) for a, _, b in spans)
     low = text.lower()
     if any(k in low for k in _KEYWORDS):
-        spans.extend((m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8)
-    return sorted(spans), candidates
+        for m in ASSIGN.finditer(text):
+            if len(m[2]) >= 8:
+                spans.append((m.start(), 0, m.end()))
+                values.append(m.span(2))
+    return sorted(spans), runs, values
+
+
+def candidates(text: str, spans: list[tuple[int, int, int]], runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The stretches to score: what base findings leave of the runs."""
+    out = []
+    for a, b in runs:
+        at = a
+        for s, _, e in [x for x in spans if x[0] < b and a < x[2]] + [(b, 0, b)]:
+            if s - at >= SHORTEST:
+                out.extend(_stretches(text, at, s))
+            at = max(at, e)
+    return out
 
 
-def _overlaps(spans: list[tuple[int, int, int]], a: int, b: int) -> bool:
-    return any(s < b and a < e for s, _, e in spans)
+def _stretches(text: str, a: int, b: int) -> list[tuple[int, int]]:
+    wide = HEAD + TAIL
+    if b - a <= wide:
+        out = [(a, b)]
+    else:
+        out = [(i, i + wide) for i in range(a, b - wide, wide // 2)] + [(b - wide, b)]
+    for m in WORD.finditer(text, a, b):
+        if m.span() != (a, b):
+            c, d = m.span()
+            out += [(c, d)] if d - c <= wide else [(i, i + wide) for i in range(c, d - wide, wide // 2)] + [(d - wide, d)]
+    return list(dict.fromkeys(out))
 
 
 def window(text: str, a: int, b: int) -> str:
@@ -131,7 +168,7 @@ class CharNetwork:
         g["place"] = np.stack([de[:, self.PLACE == k].sum((0, 1)) for k in range(4)])
         return g
 
-    def fit(self, x, y, epochs: int = 12, batch: int = 64, rate: float = 0.01, seed: int = 7):
+    def fit(self, x, y, epochs: int = 6, batch: int = 64, rate: float = 0.01, seed: int = 7):
         rng = np.random.default_rng(seed)
         weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
         m = {k: np.zeros(s) for k, s in self.SHAPES.items()}
@@ -169,10 +206,11 @@ def _findings_fn(text_col: str):
         for text in cols[text_col].to_pylist():
             if not text:
                 continue
-            spans, candidates = base_spans(text)
-            for a, b in candidates:
-                out["window"].append(window(text, a, b))
-                out["label"].append(int(_overlaps(spans, a, b)))
+            spans, runs, values = _base(text)
+            for label, found in ((1, [v for v in values if v[1] - v[0] >= SHORTEST]),
+                                 (0, candidates(text, spans, runs))):
+                out["window"] += [window(text, a, b) for a, b in found]
+                out["label"] += [label] * len(found)
         return out
     return run
 
@@ -187,49 +225,71 @@ class Scanner:
         """[(start, kind, end)] sorted, for each text."""
         found, views, places = [], [], []
         for i, text in enumerate(texts):
-            spans, candidates = base_spans(text) if text else ([], [])
+            spans, runs = base_spans(text) if text else ([], [])
             found.append(spans)
             if self.network is not None:
-                for a, b in candidates:
-                    if not _overlaps(spans, a, b):
-                        views.append(window(text, a, b))
-                        places.append((i, a, b))
-        if views:
-            p = self.network.probability(encode(views))
-            for (i, a, b), x in zip(places, p, strict=True):
+                for a, b in candidates(text, spans, runs) if runs else ():
+                    views.append(window(text, a, b))
+                    places.append((i, a, b))
+        hits: dict[int, list[tuple[int, int]]] = {}
+        for at in range(0, len(views), VIEWS):
+            p = self.network.probability(encode(views[at:at + VIEWS]))
+            for (i, a, b), x in zip(places[at:at + VIEWS], p, strict=True):
                 if x >= self.network.threshold:
-                    found[i] = sorted([*found[i], (a, 3, b)])
+                    hits.setdefault(i, []).append((a, b))
+        for i, mine in hits.items():
+            merged = []
+            for a, b in sorted(mine):
+                if merged and a <= merged[-1][1]:
+                    merged[-1][1] = max(b, merged[-1][1])
+                else:
+                    merged.append([a, b])
+            found[i] = sorted([*found[i], *((a, 3, b) for a, b in merged)])
         return found
 
     def scan(self, text: Column) -> Column:
         """Struct n_assign, n_access, n_hex, base_sha256, spans."""
-        @F.pandas_udf("n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string")
-        def run(it: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            for s in it:
+        kinds = ("n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+        @F.arrow_udf("n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string")
+        def run(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for column in it:
                 rows = []
-                for spans in self.spans(list(s)):
+                for spans in self._by_slice(column, lambda texts: self.spans(texts)):
                     named = [(k, f"{KINDS[k]}:{a}:{b}") for a, k, b in spans]
                     base = ",".join(x for k, x in named if k < 3)
                     rows.append((*(sum(k == j for k, _ in named) for j in range(3)),
                                  hashlib.sha256(base.encode()).hexdigest(), ",".join(x for _, x in named)))
-                yield pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+                parts = zip(*rows) if rows else [[]] * 5
+                yield pa.StructArray.from_arrays([pa.array(list(c), t) for c, t in zip(
+                    parts, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()))], names=kinds)
+            freed()
         return run(text)
 
+    @staticmethod
+    def _by_slice(column: pa.Array, work) -> Iterator:
+        """``work`` on the texts of a batch, a slice of it as Python strings at a time."""
+        for i in range(0, len(column), SLICE_ROWS):
+            yield from work(column.slice(i, SLICE_ROWS).to_pylist())
+
     def redact(self, text: Column, mask: str = "[SECRET]") -> Column:
         """The text with every finding (overlapping ones merged) replaced."""
-        @F.pandas_udf("string")
-        def run(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for s in it:
-                texts = list(s)
-                out = []
-                for t, spans in zip(texts, self.spans(texts), strict=True):
-                    at, parts = 0, []
-                    for a, _, b in spans:
-                        if a >= at:
-                            parts += [t[at:a], mask]
-                        at = max(at, b)
-                    out.append(t if not spans else "".join(parts) + t[at:])
-                yield pd.Series(out, dtype=object)
+        def masked(texts: list[str | None]) -> list[str | None]:
+            out = []
+            for t, spans in zip(texts, self.spans(texts), strict=True):
+                at, parts = 0, []
+                for a, _, b in spans:
+                    if a >= at:
+                        parts += [t[at:a], mask]
+                    at = max(at, b)
+                out.append(t if not spans else "".join(parts) + t[at:])
+            return out
+
+        @F.arrow_udf("string")
+        def run(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for column in it:
+                yield pa.array(list(self._by_slice(column, masked)), pa.string())
+            freed()
         return run(text)
 
 
@@ -245,7 +305,7 @@ def _generated(label: int, n: int) -> list[str]:
         if label:
             value = ("".join(rng.choices("0123456789abcdef", k=rng.randint(32, 48))),
                      "AKIA" + "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16)),
-                     "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=32)))[i % 3]
+                     "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=rng.randint(16, 40))))[min(i % 5, 2)]
             before = f'{word()} {rng.choice(("token", "secret", "password", "api_key"))} = "'
         else:
             value = ("/".join(word() for _ in range(5)), ".".join(word() for _ in range(5)),
@@ -260,38 +320,48 @@ def fit_scanner(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 sample_docs: int | None = None, sample_findings: int = SAMPLE_FINDINGS) -> Scanner:
     """Train the network on a bounded sample of the findings of all documents.
 
-    The findings are taken by the hash of their own text; ``id_col`` and
-    ``sample_docs`` are not used any more. Fewer than ``LEAST`` findings of a
-    label are filled up with generated ones. Null ids and texts and repeated
-    rows are allowed; only an empty table gives no network.
+    The findings are taken by the hash of their own text, about half of
+    ``sample_findings`` of each label; ``id_col`` and ``sample_docs`` are not used
+    any more. Null texts and repeated rows are allowed; only an empty table gives no
+    network.
     """
     if docs.isEmpty():
         return Scanner(None)
     found = stored(arrow_map(docs.select(text_col), _findings_fn(text_col), "window string, label int")
                    .distinct(), "findings")
     n = {r["label"]: r["n"] for r in found.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    cut = F.when(F.col("label") == 1, min(1.0, max(2 * LEAST, sample_findings / 2) / n.get(1, 1))) \
-        .otherwise(min(1.0, max(2 * LEAST, sample_findings / 2) / n.get(0, 1)))
+    cut = F.when(F.col("label") == 1, min(1.0, sample_findings / 2 / n.get(1, 1))) \
+        .otherwise(min(1.0, sample_findings / 2 / n.get(0, 1)))
     part = F.pmod(F.xxhash64("window"), F.lit(1 << 40))
     got = found.where(part < cut * (1 << 40)) \
         .orderBy("window", "label").limit(2 * sample_findings).toArrow().to_pydict()
     windows, labels = list(got["window"]), list(got["label"])
     for label in (0, 1):
-        more = _generated(label, FILL - labels.count(label)) if labels.count(label) < LEAST else []
-        windows += more
-        labels += [label] * len(more)
+        windows += _generated(label, FILL)
+        labels += [label] * FILL
     x, y = encode(windows), np.array(labels)
-    held = np.array([hashlib.md5(w.encode("utf-8", "surrogatepass")).digest()[0] % 4 == 0
-                     for w in windows])
+    # a quarter is held back, by the hash of the window
+    held = np.array([hashlib.md5(w.encode("utf-8", "surrogatepass")).digest()[0] % 4 == 0 for w in windows])
+    net = CharNetwork().fit(*_in_all_forms(x[~held], y[~held]))
+    return Scanner(net.calibrate(*_in_all_forms(x[held], y[held]), RECALL))
+
+
+def _in_all_forms(x: np.ndarray, y: np.ndarray, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """The findings as they stand, with either or both sides blanked, and between the
+    surroundings of a finding of the other label."""
+    before, after = slice(0, BEFORE), slice(WINDOW - AFTER, WINDOW)
+    forms = [x]
+    for sides in ((before,), (after,), (before, after)):
+        blank = x.copy()
+        for side in sides:
+            blank[:, side] = 0
+        forms.append(blank)
+    swapped, rng = x.copy(), np.random.default_rng(seed)
     for label in (0, 1):
-        # the first findings are held back, or learned, where the hash leaves none
-        mine = np.flatnonzero(y == label)
-        if not held[mine].any():
-            held[mine[: len(mine) // 4]] = True
-        elif held[mine].all():
-            held[mine[len(mine) // 4:]] = False
-    blank = x.copy()
-    blank[:, :BEFORE] = 0
-    net = CharNetwork().fit(np.concatenate([x[~held], blank[~held]]), np.concatenate([y[~held]] * 2))
-    return Scanner(net.calibrate(np.concatenate([x[held], blank[held]]),
-                                 np.concatenate([y[held]] * 2), RECALL))
+        mine, other = np.flatnonzero(y == label), np.flatnonzero(y != label)
+        if len(mine) and len(other):
+            of = rng.choice(other, len(mine))
+            for side in (before, after):
+                swapped[mine, side] = x[of, side]
+    forms.append(swapped)
+    return np.concatenate(forms), np.concatenate([y] * len(forms))

@@ -127,3 +127,35 @@ def test_digests_and_redaction(docs_of):
         else:
             assert "[SECRET]" in r.r and not brute(r.r)
     assert sc.fit_scanner(docs.where("false")).network is None
+
+
+def test_candidates_cover_runs_and_leave_out_base_findings():
+    def found(text):
+        spans, runs = sc.base_spans(text)
+        return [text[a:b] for a, b in sc.candidates(text, spans, runs)]
+
+    value = "Zq83kfLwP0aXu7TnBd5RcYe2"
+    path = f"/usr/share/{value}/of-some-length/and/more/of/it/to/pass/the/window/of/the/network/x"
+    assert value in found(f"see {path} here")                          # in the middle of a long path
+    assert all(any(path[i:i + 8] in c for c in found(path)) for i in range(len(path) - 7))    # nothing is skipped
+    digest = "0123456789abcdef" * 2
+    assert found(f"{digest}{value}") == ["Z" + value[1:]]              # joined to a hex digest
+    assert found(f"{digest} token={value}") == [] and found("short-run") == []
+    long = "Ab1" * 100
+    assert sum(len(c) for c in found(long)) >= len(long)
+
+
+def test_bare_values_in_any_surroundings(docs_of):
+    """At least 0.9 of random values, quoted or not; words and paths are left alone."""
+    scanner = sc.fit_scanner(docs_of(corpus(3, 600)))
+    rng = random.Random(6)
+    alnum = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    for context in ("the value {} is here", "Authorization: Bearer {}", "my key is {}", 'say "{}" now', "in /usr/{}/x"):
+        for n in (20, 32, 40):
+            texts = [context.format("".join(rng.choices(alnum, k=n))) for _ in range(100)]
+            at = context.index("{")
+            hit = [any(k == 3 and a <= at and at + n <= b for a, k, b in s) for s in scanner.spans(texts)]
+            assert sum(hit) >= 90, (context, n, sum(hit))
+    clean = ["/home/alpha/beta/gamma/delta/readme.txt", "internationalisation-of-documents", "1234567890123456789",
+             "--------------------------------", "www.example.org/alpha/beta/gamma.html", "Donaudampfschifffahrt"]
+    assert sum(bool(s) for s in scanner.spans(clean * 5)) <= 5
