@@ -60,6 +60,8 @@ def main() -> None:
         "hash_features (vectors)": fe.hash_features(sample),
         "cosine_assign (long form)": ck.cosine_assign(fe.vector_long(sample), cents, 2),
         "assign_features (inside the row; 8 slots shown)": ck.assign_features(sample, cents, 2, 8),
+        "vector_update (k vectors a task are exchanged)": ck.vector_update(ck.assign_features(
+            fe.hash_features(sample, keep=tuple(sample.columns)), cents, 2, 8, ("features",))),
         "scoring_set (anti join)": sa.scoring_set(
             feats, spark.createDataFrame([("1", 0, 0)], "patient_id string, cluster int, label int"), 0),
         "suspicious_patients (top n)": cl.suspicious_patients(scored, 10_000),
