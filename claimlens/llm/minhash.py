@@ -146,7 +146,7 @@ def _signature_fn(id_col: str, text_col: str, bands: int, rows: int):
             sets.append(_weighted_shingles(words, ids))
             lengths.append(bands)
             pending += len(words)
-            if pending > 500_000:
+            if pending > 50_000:
                 flush()
                 pending = 0
         flush()

@@ -73,6 +73,10 @@ class WordTokens(dict):
             else self._core(low) + self._tail(word[len(core):])
         return ids
 
+    def forget(self) -> None:
+        self.clear()
+        self.cores.clear()
+
     def _core(self, low: str) -> bytes:
         """The ids of a run of small letters: merged by the model itself."""
         ids = self.cores.get(low)
@@ -120,7 +124,8 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     return arrow_map(docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text")),
                      _pieces_fn("doc", "text", path, max_tokens, end_id),
-                     "doc bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
+                     "doc bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint",
+                     lambda: _words(path).forget())
 
 
 def pack_histogram(histogram: dict[int, int], max_tokens: int = MAX_TOKENS

@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimlens.llm.common import freed
+
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 512
 #: Longer texts are walked match by match instead of listing all words.
@@ -126,6 +128,8 @@ def n_tokens(text: Column, tokenizer: str | None = None) -> Column:
         counter = _counter(path)
         for s in it:
             yield pd.Series([counter.tokens(t) if t else 0 for t in s], dtype="int64")
+        counter.clear()
+        freed()
     return run(text)
 
 
