@@ -20,6 +20,7 @@ from __future__ import annotations
 import html
 import re
 from collections import deque
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 from claimlens.llm.common import arrow_map, lists
 
 SAMPLE_PAGES = 2_000
+#: Labelled blocks that come to the driver at most.
+SAMPLE_BLOCKS = 100_000
 NEXT_EDGE, PARENT_EDGE = 0.6, 0.9
 
 _MARKUP = re.compile(
@@ -114,6 +117,7 @@ def parse(page: str) -> tuple[list[tuple[str, str, Node, float]], list[Node]]:
     """([(text, leaf tag, container, share of link characters)], containers)."""
     root = Node("html", None, "", 0)
     nodes, stack, blocks = [root], [root], []
+    opened = Counter()      # containers of each tag on the stack
     leaf, parts, link_chars, in_link = "", [], 0, 0
 
     def flush():
@@ -163,9 +167,13 @@ def parse(page: str) -> tuple[list[tuple[str, str, Node, float]], list[Node]]:
                 if name != "html" and not attributes.endswith("/"):
                     nodes.append(Node(name, stack[-1], attributes, len(nodes)))
                     stack.append(nodes[-1])
-            elif any(n.tag == name for n in stack[1:]):
-                while stack.pop().tag != name:
-                    pass
+                    opened[name] += 1
+            elif opened[name]:
+                while True:
+                    last = stack.pop().tag
+                    opened[last] -= 1
+                    if last == name:
+                        break
         elif name in LEAVES:
             flush()
             leaf = "" if closing else name
@@ -304,7 +312,8 @@ def fit_weights(x: np.ndarray, y: np.ndarray, pull: float = 0.02, steps: int = 3
 
 
 def fit_classifier(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> np.ndarray:
-    """Block weights from at most about ``sample_pages`` pages, by text hash.
+    """Block weights from at most about ``sample_pages`` pages, by text hash, and at
+    most ``SAMPLE_BLOCKS`` of their labelled blocks.
 
     Equal pages count once in the sample. Without pages, or without blocks of
     both labels, the starting weights are returned.
@@ -313,7 +322,7 @@ def fit_classifier(pages: DataFrame, html_col: str = "html", sample_pages: int =
     cut = (1 << 20) * min(1.0, sample_pages / max(1, total))
     part = F.pmod(F.xxhash64(html_col, F.lit("page")), F.lit(1 << 20))
     got = arrow_map(pages.select(html_col).where(part < cut).distinct(), _training_fn(html_col),
-                    "x array<double>, y int").toArrow()
+                    "x array<double>, y int").orderBy(F.xxhash64("x", "y")).limit(SAMPLE_BLOCKS).toArrow()
     if got.num_rows == 0:
         return START.copy()
     x = got["x"].combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES))

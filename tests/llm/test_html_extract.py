@@ -88,3 +88,16 @@ def test_query_rows_and_odd_pages(spark):
 def test_training_separates_labelled_blocks(spark):
     weights = hx.fit_classifier(pages(spark, [PAGE, PAGE.replace("Short", "Shorter")]))
     assert hx.main_text(PAGE, weights) == WANT
+
+
+def test_deep_pages_cost_their_length():
+    import time
+    def seconds(n):
+        page = "<body>" + "<div>" * n + "text of it." + "</div>" * n + "<p>after</p></body>"
+        t = time.process_time()
+        blocks, nodes = hx.parse(page)
+        assert [b[0] for b in blocks] == ["text of it.", "after"] and len(nodes) == n + 1
+        assert blocks[1][2] is nodes[0]         # every container is closed again
+        return time.process_time() - t
+    seconds(1000)
+    assert seconds(32_000) < 60 * max(seconds(2_000), 0.005)    # 256 times if it went with the square
