@@ -222,10 +222,15 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     payload_bytes, payload_digest, declared_digest, refers_to (a record id).
 
     Bytes and digest are those of the record's own block; a revisit record has
-    none (0 bytes). No files, or empty ones, give no rows.
+    none (0 bytes). No files, or empty ones, give no rows. A file whose chain does
+    not end at its end is an error: records behind the break would be missing.
     """
     cand = candidates(spark, path)
     chain = reachable(cand)
+    broken = verify_chains(cand, chain).orderBy("file").limit(5).collect()
+    if broken:
+        raise ValueError("broken record chains: " + ", ".join(
+            f"{r['file']} ends at {r['end']} of {r['file_size']}" for r in broken))
     records = stored(cand.join(chain, ["file", "offset"], "left_semi"), "warc-records")
     parted = records.where("not whole")
     out = records.withColumns({"payload_bytes": F.when(F.col("whole"), F.col("block")),
@@ -253,7 +258,8 @@ def archived_pages(pages: DataFrame, id_col: str = "page_id", uri_col: str = "ur
 
     One row per page: ``id_col``, payload_bytes, payload_digest, record_type,
     refers_to (id of the response), ``uri_col``. Bytes and digest of a revisit
-    are those of the response it refers to. An empty table gives no rows.
+    are those of the response it refers to (no bytes, and the digest the revisit
+    declares, if that is missing). An empty table gives no rows.
     """
     spark = pages.sparkSession
     path = scratch_path(spark, "llm-warc")
@@ -271,7 +277,9 @@ def archived_pages(pages: DataFrame, id_col: str = "page_id", uri_col: str = "ur
         F.col("record_id").alias("refers_to"), F.col("payload_digest").alias("declared_digest"),
         "payload_bytes", "payload_digest") \
         .join(revisits.select(both).distinct(), both, "left_semi").dropDuplicates(both)
-    resolved = revisits.join(targets, both)
+    # a revisit whose response is missing stays, without bytes
+    resolved = revisits.join(targets, both, "left").withColumn(
+        "payload_digest", F.coalesce("payload_digest", "declared_digest"))
     cols = ["record_id", "uri", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     out = records.where("record_type = 'response'").withColumn("refers_to", F.lit(None).cast("string")) \
         .select(cols).unionByName(resolved.withColumn("record_type", F.lit("revisit")).select(cols))
