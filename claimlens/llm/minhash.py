@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import WordIds, arrow_map, lists, mix64, shingle_hashes, small, stored
+from claimlens.llm.common import WordIds, arrow_map, freed, lists, mix64, shingle_hashes, small, stored
 from claimlens.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -266,6 +266,8 @@ def _block_fn(threshold: float):
                 group.append((own[k] == hi[k] and lo[k] != hi[k], ids[k], xs[k].copy(), ws[k].copy()))
         if len(group) > 1:
             yield out(*edges(group))
+        del group
+        freed()
 
     def out(a, b):
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
