@@ -12,6 +12,7 @@ measure.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import Normalizer
@@ -69,9 +70,10 @@ def assign_features(features: DataFrame, centroids: DataFrame, k: int, n_feature
     """J5 for feature rows, inside the row: ``keep`` columns, cluster,
     distance and norm. Same distances and ties as ``cosine_assign``; one result
     per feature row, no shuffle. The centroids (k x n_features values, a bound
-    fixed by the parameters) travel as array literals.
+    fixed by the parameters) travel with the function.
     """
-    return _assign_rows(features, fe.hashed_pairs(features, n_features, **probes), centroids, k, n_features, keep)
+    return _assign_rows(features, lambda dense: fe.row_folds(n_features, dense, **probes),
+                        centroids, k, n_features, keep)
 
 
 def assign_arrays(df: DataFrame, vec_col: str, centroids: DataFrame, k: int, n_features: int,
@@ -80,15 +82,17 @@ def assign_arrays(df: DataFrame, vec_col: str, centroids: DataFrame, k: int, n_f
     distance and norm. Null components count as 0; null arrays drop."""
     pairs = F.transform(vec_col, lambda v, i: F.struct(
         i.alias("idx"), F.coalesce(v.cast("double"), F.lit(0.0)).alias("value")))
-    return _assign_rows(df.where(F.col(vec_col).isNotNull()), pairs, centroids, k, n_features, keep)
+    return _assign_rows(df.where(F.col(vec_col).isNotNull()),
+                        lambda dense: fe.norm_and_dots(pairs, [double_array(d) for d in dense]),
+                        centroids, k, n_features, keep)
 
 
-def _assign_rows(df: DataFrame, pairs: Column, centroids: DataFrame, k: int, n_features: int,
-                 keep: tuple[str, ...]) -> DataFrame:
+def _assign_rows(df: DataFrame, fold: Callable[[list[list[float]]], Column], centroids: DataFrame, k: int,
+                 n_features: int, keep: tuple[str, ...]) -> DataFrame:
     dense = {c: [0.0] * n_features for c in range(k)}
     for r in centroids.collect():
         dense[r.cluster][r.idx] += r.value
-    rows = df.withColumn("_fold", fe.norm_and_dots(pairs, [double_array(dense[c]) for c in range(k)]))
+    rows = df.withColumn("_fold", fold([dense[c] for c in range(k)]))
     norm = F.col("_fold.norm")
     candidates = [_candidate(F.col("_fold.dots")[c], norm, math.sqrt(sum(v * v for v in dense[c])), c)
                   for c in range(k)]

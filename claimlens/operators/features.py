@@ -7,21 +7,22 @@ any join: a patient holding a third of all claims ships one partial row per
 a patient listed twice for review) is kept as the defined result by carrying
 multiplicities, unless ``dedupe=True``.
 
-Hashing is row-local: each patient row becomes arrays of term slots and
-weights (md5 in the JVM), and one small Arrow-batched pandas UDF sums
-colliding slots into sparse vectors, so building vectors needs no shuffle.
-The JVM-side form sorts a row's terms by slot: norms and dot products are one
-fold of constant state over them (``norm_and_dots``), the long form sums each run
-of one slot (``slot_sums``). Both cost a row its number of terms, also for
-patients with thousands of codes.
+Hashing is row-local and needs no shuffle: Arrow UDFs hash each distinct feature
+name of a slice of rows once and sum colliding slots of all its rows together, into
+sparse vectors, long form, or norms and dot products (``row_folds``). The cost goes
+with a row's number of terms, also for patients with thousands of codes.
+``hashed_pairs``, ``slot_sums`` and ``norm_and_dots`` are the same as column
+expressions, for other sources of terms.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import hashlib
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,12 +35,13 @@ N_FEATURES = 10_000       # vector slots
 CLAIM_PROBES = 2          # slots per claim code
 WORD_PROBES = 1           # slots per age / gender / income word
 FEATURE_KEYS = ("id", "review", "age", "gender", "income")
+SLICE_ROWS = 2_000        # rows of an Arrow batch that are hashed at once
 
 
 def procedure_dim(charges: DataFrame) -> DataFrame:
     """C8 + I3: distinct (id = leading digits of the code, type, full name)."""
-    return charges.select(leading_digits("procedure_id").alias("id"), "type",
-                          F.col("procedure_id").alias("full_name")).distinct()
+    return charges.select("type", "procedure_id").distinct() \
+        .select(leading_digits("procedure_id").alias("id"), "type", F.col("procedure_id").alias("full_name"))
 
 
 def patient_features(patient: DataFrame, claims: DataFrame, procedure: DataFrame,
@@ -66,35 +68,31 @@ def patient_features(patient: DataFrame, claims: DataFrame, procedure: DataFrame
         rev = rev.distinct()
     rev = rev.groupBy("id").agg(F.count(F.lit(1)).alias("review_mult"))
 
-    # Patients are partitioned by id once: the grouping by (id, attributes),
-    # the review join and the final per-patient aggregate all reuse it. An
-    # id has one or a few patient rows, so this shuffle cannot be skewed.
-    pts = patient.repartition("id").groupBy("id", "age", "gender", "income") \
-        .agg(F.count(F.lit(1)).alias("patient_mult")) \
-        .join(rev, "id", "left") \
-        .select("id", "age", "gender", "income", "patient_mult",
-                F.when(F.col("review_mult").isNull(), F.lit(0)).otherwise(F.lit(1))
-                .alias("review"),
-                F.coalesce(F.col("review_mult"), F.lit(1)).alias("review_mult"))
-
     # The procedure dimension is bounded by the code vocabulary: broadcast
     # after a row-count check.
     typed = join_small(per_code, proc, "claim_id", "inner", max_broadcast_rows, "procedure")
-    joined = typed.join(pts, typed.patient_id == pts.id, "inner")
-    num = (F.col("n") * F.col("proc_mult") * F.col("patient_mult")
-           * F.col("review_mult")).alias("num_claims")
-    rows = joined.select(*FEATURE_KEYS, "type", "claim_id", num)
-
-    # Second level: per patient. (id, claim_id, type) is unique per group
-    # here, so each row already is the first level's count.
-    return rows.groupBy(*FEATURE_KEYS).agg(
-        F.sum(F.when(F.col("type") == "I", F.col("num_claims")).otherwise(F.lit(0)))
-        .cast("bigint").alias("type_I"),
-        F.sum(F.when(F.col("type") == "O", F.col("num_claims")).otherwise(F.lit(0)))
-        .cast("bigint").alias("type_O"),
-        F.array_sort(F.collect_set(F.struct(
-            F.col("claim_id"), F.col("num_claims").alias("n")))).alias("claims"),
-    )
+
+    # Second level: per patient, before the join, so that it sees one row of claims a
+    # patient. A patient has at most one row per code and type here.
+    count = (F.col("n") * F.col("proc_mult")).alias("n")
+    per_patient = typed.select("patient_id", "claim_id", "type", count).repartition("patient_id") \
+        .groupBy("patient_id").agg(
+            F.sum(F.when(F.col("type") == "I", F.col("n")).otherwise(F.lit(0))).cast("bigint").alias("n_I"),
+            F.sum(F.when(F.col("type") == "O", F.col("n")).otherwise(F.lit(0))).cast("bigint").alias("n_O"),
+            F.sort_array(F.collect_set(F.struct("claim_id", "n"))).alias("codes"))
+
+    # A patient's rows and flags multiply all its counts alike. An id has one or a few
+    # patient rows, so the shuffle by id cannot be skewed.
+    pts = patient.repartition("id").groupBy("id", "age", "gender", "income") \
+        .agg(F.count(F.lit(1)).alias("patient_mult")) \
+        .join(rev, "id", "left")
+    times = F.col("patient_mult") * F.coalesce(F.col("review_mult"), F.lit(1))
+    return per_patient.join(pts, per_patient.patient_id == pts.id, "inner").select(
+        "id", F.when(F.col("review_mult").isNull(), F.lit(0)).otherwise(F.lit(1)).alias("review"),
+        "age", "gender", "income",
+        (F.col("n_I") * times).alias("type_I"), (F.col("n_O") * times).alias("type_O"),
+        F.when(times == 1, F.col("codes")).otherwise(F.transform(
+            "codes", lambda c: F.struct(c["claim_id"].alias("claim_id"), (c["n"] * times).alias("n")))).alias("claims"))
 
 
 def features_as_text(features: DataFrame) -> DataFrame:
@@ -174,50 +172,103 @@ def term_arrays(features: DataFrame, n_features: int = N_FEATURES, **probes) ->
     return idx, weight
 
 
-def _to_sparse(size: int):
-    """Arrays of (slot, weight) -> sparse vectors, colliding slots summed.
-
-    The one Python helper of the library (a vector cannot be built by a
-    built-in expression): an Arrow-batched pandas UDF that returns the
-    vector's storage struct (type 0 = sparse, size, indices, values). The
-    merge is vectorized over the whole batch: one lexsort by (row, slot),
-    one ``reduceat`` for the sums, one split back into rows.
-    """
-    def build(idx: pd.Series, weight: pd.Series) -> pd.DataFrame:
-        n = len(idx)
-        if n == 0:
-            return pd.DataFrame({"type": pd.Series([], dtype=np.int8),
-                                 "size": pd.Series([], dtype=np.int32),
-                                 "indices": pd.Series([], dtype=object),
-                                 "values": pd.Series([], dtype=object)})
-        lens = idx.map(len).to_numpy()
-        rows = np.repeat(np.arange(n), lens)
-        slots = np.concatenate(idx.to_numpy()).astype(np.int64)
-        weights = np.concatenate(weight.to_numpy()).astype(np.float64)
-        order = np.lexsort((slots, rows))
-        rows, slots, weights = rows[order], slots[order], weights[order]
-        first = np.ones(len(slots), dtype=bool)
-        first[1:] = (rows[1:] != rows[:-1]) | (slots[1:] != slots[:-1])
-        starts = np.flatnonzero(first)
-        sums = np.add.reduceat(weights, starts)
-        row_of, slot_of = rows[starts], slots[starts].astype(np.int32)
-        cuts = np.searchsorted(row_of, np.arange(1, n))
-        return pd.DataFrame({"type": np.zeros(n, dtype=np.int8),
-                             "size": np.full(n, size, dtype=np.int32),
-                             "indices": np.split(slot_of, cuts),
-                             "values": np.split(sums, cuts)})
-    return F.pandas_udf(build, VectorUDT())
+def _slots(names: list[str], probes: int, n_features: int) -> np.ndarray:
+    """``slot`` of every name and probe: (names, probes)."""
+    return np.array([[int(hashlib.md5(f"{name}#{p}".encode()).hexdigest()[:8], 16) % n_features
+                      for p in range(probes)] for name in names], np.int64).reshape(len(names), probes)
+
+
+def _term_columns() -> list[Column]:
+    """What a feature row's terms are made of."""
+    return [*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("age", "gender", "income")],
+            *[F.col(c).cast("double") for c in ("type_I", "type_O")],
+            F.col("claims").cast("array<struct<claim_id:string,n:double>>")]
+
+
+def _summed(columns: Sequence[pa.Array], n_features: int, claim_probes: int = CLAIM_PROBES,
+            word_probes: int = WORD_PROBES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, slot, value) of the vectors of all rows, by row and slot: the terms of
+    ``feature_terms`` with those of one slot summed. A claim without a code has no slot."""
+    *words, type_i, type_o, claims = columns
+    n = len(claims)
+    every, one = np.arange(n), np.ones(n)
+    terms = []      # (row, slot, weight)
+    for name, column in zip(("age", "gender", "income"), words, strict=True):
+        coded = column.dictionary_encode()
+        slots = _slots([f"{name}={v}" for v in coded.dictionary.to_pylist()], word_probes, n_features)
+        terms += [(every, slots[coded.indices.to_numpy(), p], one) for p in range(word_probes)]
+    for name, weight in (("bias", one), ("inpatient", _numbers(type_i)), ("outpatient", _numbers(type_o))):
+        terms.append((every, np.full(n, _slots([name], 1, n_features)[0, 0]), weight))
+    lengths = pc.fill_null(pc.list_value_length(claims), 0).to_numpy()
+    flat = claims.flatten()
+    codes, rows = flat.field("claim_id").dictionary_encode(), np.repeat(every, lengths)
+    at = pc.fill_null(codes.indices, -1).to_numpy()
+    known = at >= 0
+    rows, weight = rows[known], _numbers(flat.field("n"))[known]
+    slots = _slots([f"claim={v}" for v in codes.dictionary.to_pylist()], claim_probes, n_features)[at[known]]
+    terms += [(rows, slots[:, p], weight) for p in range(claim_probes)]
+    key = np.concatenate([r * n_features + s for r, s, _ in terms])
+    order = np.argsort(key, kind="stable")
+    key, value = key[order], np.concatenate([w for _, _, w in terms])[order]
+    if not n:
+        return key, key, value
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    key = key[first]
+    return key // n_features, key % n_features, np.add.reduceat(value, first)
+
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    """As doubles, nulls as NaN."""
+    return column.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+
+
+def _nullable(values: np.ndarray) -> pa.Array:
+    return pa.array(values, pa.float64(), from_pandas=True)
+
+
+def _vector_udf(result, make: Callable, n_features: int, **probes) -> Column:
+    """``make(rows, row, slot, value)``, an Arrow array, for the vectors of the feature rows,
+    a slice of a batch at a time."""
+    @F.arrow_udf(result)
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for batch in batches:
+            n = len(batch[0])
+            parts = [make(min(SLICE_ROWS, n - i), *_summed([c.slice(i, SLICE_ROWS) for c in batch], n_features, **probes))
+                     for i in range(0, max(n, 1), SLICE_ROWS)]
+            yield pa.concat_arrays(parts)
+    return run(*_term_columns())
+
+
+def _lists(n: int, row: np.ndarray, values: pa.Array) -> pa.Array:
+    """A list column of ``n`` rows from the row number of each value."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32()), values)
+
+
+def row_folds(n_features: int, arrays: Sequence[Sequence[float]] = (), **probes) -> Column:
+    """struct<norm, dots> of a feature row: Euclidean norm of its vector and its dot
+    product with each of ``arrays`` (a value for every slot)."""
+    dense = [np.asarray(a, np.float64) for a in arrays]
+
+    def make(n: int, row: np.ndarray, slot_of: np.ndarray, value: np.ndarray) -> pa.Array:
+        dots = [np.bincount(row, value * a[slot_of], n) for a in dense]
+        flat = np.stack(dots, axis=1).ravel() if dots else np.zeros(0)
+        return pa.StructArray.from_arrays(
+            [_nullable(np.sqrt(np.bincount(row, value * value, n))),
+             pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * len(dots), pa.int32()), _nullable(flat))],
+            names=["norm", "dots"])
+    return _vector_udf("norm double, dots array<double>", make, n_features, **probes)
 
 
 def hash_features(features: DataFrame, n_features: int = N_FEATURES,
                   keep: tuple[str, ...] = ("id", "review"), **probes) -> DataFrame:
-    """``keep`` columns plus ``features`` (SparseVector of ``n_features``).
-
-    Slots and weights are computed JVM-side; a small Arrow-batched pandas
-    UDF sums colliding slots and emits the vectors (no shuffle).
-    """
-    idx, weight = term_arrays(features, n_features, **probes)
-    return features.select(*keep, _to_sparse(n_features)(idx, weight).alias("features"))
+    """``keep`` columns plus ``features`` (SparseVector of ``n_features``), the
+    vector's storage struct (type 0 = sparse, size, indices, values). No shuffle."""
+    def make(n: int, row: np.ndarray, slot_of: np.ndarray, value: np.ndarray) -> pa.Array:
+        return pa.StructArray.from_arrays(
+            [pa.array(np.zeros(n), pa.int8()), pa.array(np.full(n, n_features), pa.int32()),
+             _lists(n, row, pa.array(slot_of, pa.int32())), _lists(n, row, pa.array(value, pa.float64()))],
+            names=["type", "size", "indices", "values"])
+    return features.select(*keep, _vector_udf(VectorUDT(), make, n_features, **probes).alias("features"))
 
 
 def hashed_pairs(features: DataFrame, n_features: int = N_FEATURES, **probes) -> Column:
@@ -283,7 +334,10 @@ def merged_terms(features: DataFrame, n_features: int = N_FEATURES, name: str =
     """The feature rows with their vector as ``name``: array<struct<idx,
     value>>, collisions summed inside the row (no shuffle, one vector per
     feature row even where rows share an id)."""
-    return features.withColumn(name, slot_sums(hashed_pairs(features, n_features, **probes)))
+    def make(n: int, row: np.ndarray, slot_of: np.ndarray, value: np.ndarray) -> pa.Array:
+        return _lists(n, row, pa.StructArray.from_arrays(
+            [pa.array(slot_of, pa.int32()), _nullable(value)], names=["idx", "value"]))
+    return features.withColumn(name, _vector_udf("array<struct<idx:int,value:double>>", make, n_features, **probes))
 
 
 def vector_long(features: DataFrame, n_features: int = N_FEATURES,

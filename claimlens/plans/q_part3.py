@@ -49,18 +49,19 @@ def _text(df: DataFrame) -> DataFrame:
     return fe.features_as_text(df)
 
 
-def _seeded_points(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(features, their vectors in long form, centroids at the seeded
-    starting points)."""
+def _seeded_points(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(features, centroids at the seeded starting points): only the chosen rows
+    are hashed, every row looks for its id among the chosen."""
     feats = materialize(features_of(spark, sf_dir), "features")
-    points = fe.vector_long(feats)
-    return feats, points, ck.seed_centroids(points, sa.seed_points(feats, K, SEED))
+    seeds = materialize(sa.seed_points(feats, K, SEED), "seeds")
+    chosen = feats.join(F.broadcast(seeds.select("id")), "id", "left_semi")
+    return feats, ck.seed_centroids(fe.vector_long(chosen), seeds)
 
 
 def _step_clusters(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Features and the fixed-rule clustering of all patients: seeded starting
     points, one cosine assignment. (patient_id, cluster, label, distance)."""
-    feats, _, centroids = _seeded_points(spark, sf_dir)
+    feats, centroids = _seeded_points(spark, sf_dir)
     clustered = ck.assign_features(feats, centroids, K, fe.N_FEATURES) \
         .select(F.col("id").alias("patient_id"), "cluster", F.col("review").alias("label"), "distance")
     return feats, clustered
@@ -529,7 +530,7 @@ def q_kmeans_cosine(spark, sf_dir):
     and whether the fit's total distance is at most that of one assignment to
     seeded starting points."""
     cfg = Part3Config(seed=SEED)
-    feats, _, start = _seeded_points(spark, sf_dir)
+    feats, start = _seeded_points(spark, sf_dir)
     clustered, model = cluster_patients(feats, cfg)
     centers = ck.centroids_long(model, spark)
     at_start = ck.assign_features(feats, start, K, fe.N_FEATURES).agg(F.sum("distance")).first()[0]
@@ -616,7 +617,7 @@ GROUP BY m.cluster, p.idx""")
 def q_patient_kmeans_step_update(spark, sf_dir):
     """One centroid update on the patients' hashed vectors after the seeded
     cosine assignment (mean unit vector per cluster and slot)."""
-    feats, _, centroids = _seeded_points(spark, sf_dir)
+    feats, centroids = _seeded_points(spark, sf_dir)
     vectors = fe.hash_features(feats, keep=tuple(feats.columns))
     assigned = ck.assign_features(vectors, centroids, K, fe.N_FEATURES, ("features",))
     return rounded(ck.vector_update(assigned))

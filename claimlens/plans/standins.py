@@ -23,7 +23,7 @@ Mapping (fixed values of this stand-in, applied to every row):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 N_CODES = 130
@@ -38,6 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 MAX_BROADCAST_ROWS = 2_000_000
 
 
+def padded(value: Column, width: int) -> Column:
+    """``format_string("%0<width>d")`` without a formatter call for each row."""
+    return F.when(value.between(0, 10 ** width - 1), F.lpad(value.cast("string"), width, "0")) \
+        .otherwise(F.format_string(f"%0{width}d", value))
+
+
 def _small(spark: SparkSession, sf_dir: str, name: str) -> bool:
     """Whether a driver table has at most MAX_BROADCAST_ROWS rows."""
     return table(spark, sf_dir, name).count() <= MAX_BROADCAST_ROWS
@@ -61,14 +67,14 @@ def _charge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = F.upper(F.substring("r_name", 1, 2))
     return rows.select(
         k.alias("k"),
-        F.concat(F.format_string("%04d", k), F.lit(" - PROCEDURE "), k.cast("string"))
+        F.concat(padded(k, 4), F.lit(" - PROCEDURE "), k.cast("string"))
         .alias("procedure"),
-        F.format_string("%06d", F.col("l_suppkey")).alias("provider_id"),
+        padded(F.col("l_suppkey"), 6).alias("provider_id"),
         F.col("s_name").alias("provider_name"),
         F.col("n_name").alias("provider_address"),
         F.col("n_name").alias("provider_city"),
         state.alias("provider_state"),
-        F.format_string("%05d", F.col("s_nationkey")).alias("provider_zipcode"),
+        padded(F.col("s_nationkey"), 5).alias("provider_zipcode"),
         F.concat(state, F.lit(" - "), F.col("n_name")).alias("referral_region"),
         F.col("l_quantity").cast("string").alias("n_text"),
         F.col("l_extendedprice").cast("string").alias("charged_text"),
@@ -116,7 +122,7 @@ def claim_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.date_format("o_orderdate", "yyyyMMdd").alias("date"),
         F.col("o_custkey").cast("string").alias("patient_id"),
-        F.format_string("%04d", F.col("l_partkey") % N_CODES).alias("claim_id"))
+        padded(F.col("l_partkey") % N_CODES, 4).alias("claim_id"))
 
 
 def review_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -116,3 +116,57 @@ def test_patient_with_thousands_of_codes(spark):
     assert long == {int(i): v for i, v in zip(vector.indices, vector.values)}
     plan = fe.merged_terms(one)._jdf.queryExecution().optimizedPlan().toString()
     assert "hashpartitioning" not in plan
+
+
+def test_vectors_of_odd_rows(spark):
+    """Norms, dot products, vectors and long form agree with the column expressions, over
+    several slices: patients without claims, null words, rows that share an id."""
+    import numpy as np
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(3)
+    rows = [(str(i % 4_000), i % 2, None if i % 5 == 0 else str(i % 7), "F", None if i % 3 == 0 else "lo\u00e9",
+             int(rng.integers(0, 9)), 0, None if i % 11 == 0 else
+             [(f"{c:04d}", int(rng.integers(1, 5))) for c in range(int(rng.integers(0, 6)))]) for i in range(4_500)]
+    feats = spark.createDataFrame(rows, "id string, review int, age string, gender string, income string, type_I bigint, "
+                                        "type_O bigint, claims array<struct<claim_id:string,n:bigint>>").coalesce(1)
+    n = 50
+    weights = [[float(x) for x in rng.normal(size=n)] for _ in range(2)]
+    pairs = fe.hashed_pairs(feats, n)
+    arrays = [F.array(*[F.lit(x) for x in w]) for w in weights]
+    got = fe.merged_terms(fe.hash_features(feats, n, tuple(feats.columns)), n, "long").select(
+        "features", "long", fe.slot_sums(pairs).alias("want"), fe.row_folds(n, weights).alias("f"),
+        fe.row_folds(n).alias("g"), fe.norm_and_dots(pairs, arrays).alias("wanted")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.long == r.want
+        assert list(r.features.indices) == [t.idx for t in r.want] and list(r.features.values) == [t.value for t in r.want]
+        assert np.isclose(r.f.norm, r.wanted.norm) and r.g.norm == r.f.norm and r.g.dots == []
+        assert np.allclose(r.f.dots, r.wanted.dots)
+    assert fe.hash_features(feats.where("false"), n).count() == 0
+
+
+def test_only_the_seeds_are_hashed_for_the_centroids(spark, tmp_path, monkeypatch):
+    """The starting points are looked up by id first; their plan hashes no other row."""
+    from claimlens.plans import q_part3
+    p, c, q, r = _inputs(spark)
+    monkeypatch.setattr(q_part3, "features_of", lambda *a: fe.patient_features(p, c, q, r))
+    hashed = spark.sparkContext.accumulator(0)
+    seen = fe.vector_long
+
+    def counted(df, *a, **kw):
+        hashed.add(df.count())
+        return seen(df, *a, **kw)
+
+    monkeypatch.setattr(fe, "vector_long", counted)
+    monkeypatch.setattr(q_part3, "K", 1)
+    feats, start = q_part3._seeded_points(spark, "")
+    assert feats.count() == 2 and hashed.value == 1
+    assert {x.cluster for x in start.collect()} == {0}
+
+
+def test_padded_numbers(spark):
+    from pyspark.sql import functions as F
+
+    from claimlens.plans.standins import padded
+    rows = spark.createDataFrame([(0,), (7,), (9_999,), (10_000,), (123_456_789,), (-3,), (None,)], "v bigint")
+    assert rows.where(~padded(F.col("v"), 4).eqNullSafe(F.format_string("%04d", "v"))).count() == 0
