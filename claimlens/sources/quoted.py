@@ -73,7 +73,8 @@ def read_quoted_records(spark: SparkSession, path: str | list[str], quote: str =
     tagged = materialize(lines.mapInArrow(_tag, _TAGGED), "csv-lines")
     earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     splits = tagged.groupBy("file", "start").agg(F.count_if("odd").alias("n")) \
-        .select("file", "start", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+        .select("file", "start", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+                F.dense_rank().over(Window.orderBy("file")).alias("number"))
     # one row a split: bounded by the bytes read over the bytes of a split
     placed = tagged.join(broadcast_checked(splits), ["file", "start"]) \
         .withColumn("pairs", F.col("before") + F.col("pairs")) \
@@ -81,8 +82,8 @@ def read_quoted_records(spark: SparkSession, path: str | list[str], quote: str =
     alone = (F.col("pairs") % 2 == 0) & ~F.col("odd")
     whole = placed.where(alone).select(F.col("value").alias("record"), "first")
     several = placed.where(~alone) \
-        .groupBy("file", F.floor(F.col("pairs") / 2).alias("pair")) \
-        .agg(F.array_sort(F.collect_list(F.struct("start", "line", "value"))).alias("lines"),
+        .groupBy("number", F.shiftright("pairs", 1).alias("pair")) \
+        .agg(F.sort_array(F.collect_list(F.struct("start", "line", "value"))).alias("lines"),
              F.max("first").alias("first"))
     joined = F.array_join(F.transform("lines", lambda x: x["value"]), "\n")
     records = whole.unionByName(several.select(joined.alias("record"), "first"))
