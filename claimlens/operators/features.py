@@ -61,7 +61,13 @@ def patient_features(patient: DataFrame, claims: DataFrame, procedure: DataFrame
     proc = procedure.select(F.col("id").alias("claim_id"), "type")
     if dedupe:
         proc = proc.distinct()
-    proc = proc.groupBy("claim_id", "type").agg(F.count(F.lit(1)).alias("proc_mult"))
+    # A row per code and fan-out: types that multiply a code alike give its patients one
+    # pair, so the pairs collected below are distinct without a set.
+    mult = F.col("proc_mult")
+    proc = proc.groupBy("claim_id", "type").agg(F.count(F.lit(1)).alias("proc_mult")) \
+        .groupBy("claim_id", "proc_mult").agg(
+            F.sum(F.when(F.col("type") == "I", mult).otherwise(F.lit(0))).alias("mult_I"),
+            F.sum(F.when(F.col("type") == "O", mult).otherwise(F.lit(0))).alias("mult_O"))
 
     rev = review.select(F.col("patient_id").alias("id"))
     if dedupe:
@@ -73,13 +79,13 @@ def patient_features(patient: DataFrame, claims: DataFrame, procedure: DataFrame
     typed = join_small(per_code, proc, "claim_id", "inner", max_broadcast_rows, "procedure")
 
     # Second level: per patient, before the join, so that it sees one row of claims a
-    # patient. A patient has at most one row per code and type here.
-    count = (F.col("n") * F.col("proc_mult")).alias("n")
-    per_patient = typed.select("patient_id", "claim_id", "type", count).repartition("patient_id") \
+    # patient. A patient has at most one row per code and fan-out here.
+    n = F.col("n")
+    per_patient = typed.select("patient_id", "claim_id", (n * mult).alias("n"), (n * F.col("mult_I")).alias("n_I"),
+                               (n * F.col("mult_O")).alias("n_O")).repartition("patient_id") \
         .groupBy("patient_id").agg(
-            F.sum(F.when(F.col("type") == "I", F.col("n")).otherwise(F.lit(0))).cast("bigint").alias("n_I"),
-            F.sum(F.when(F.col("type") == "O", F.col("n")).otherwise(F.lit(0))).cast("bigint").alias("n_O"),
-            F.sort_array(F.collect_set(F.struct("claim_id", "n"))).alias("codes"))
+            F.sum("n_I").alias("n_I"), F.sum("n_O").alias("n_O"),
+            F.sort_array(F.collect_list(F.struct("claim_id", "n"))).alias("codes"))
 
     # A patient's rows and flags multiply all its counts alike. An id has one or a few
     # patient rows, so the shuffle by id cannot be skewed.
@@ -340,9 +346,16 @@ def merged_terms(features: DataFrame, n_features: int = N_FEATURES, name: str =
     return features.withColumn(name, _vector_udf("array<struct<idx:int,value:double>>", make, n_features, **probes))
 
 
+def exploded(terms: str) -> Column:
+    """The elements of a vector column, which always has some (the bias). ``explode`` would
+    have Spark look for empty vectors first: that filter hashes every row once more, below
+    joins that were to leave only a few rows to hash."""
+    return F.explode_outer(terms)
+
+
 def vector_long(features: DataFrame, n_features: int = N_FEATURES,
                 keep: tuple[str, ...] = ("id",), **probes) -> DataFrame:
     """Sparse vectors in long form (``keep`` columns, idx, value), collisions
     summed inside the row: no shuffle."""
-    return merged_terms(features, n_features, **probes).select(*keep, F.explode("terms").alias("t")) \
+    return merged_terms(features, n_features, **probes).select(*keep, exploded("terms").alias("t")) \
         .select(*keep, F.col("t.idx").alias("idx"), F.col("t.value").alias("value"))

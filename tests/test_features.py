@@ -2,8 +2,11 @@
 
 import hashlib
 
+from pyspark.sql import functions as F
+
 from claimlens import schemas
 from claimlens.functions import decode_claims
+from claimlens.operators import classify as cl
 from claimlens.operators import features as fe
 
 
@@ -164,6 +167,34 @@ def test_only_the_seeds_are_hashed_for_the_centroids(spark, tmp_path, monkeypatc
     assert {x.cluster for x in start.collect()} == {0}
 
 
+def test_vectors_are_hashed_once_and_only_for_the_rows_kept(spark):
+    """The exploded vectors have no filter that hashes all rows below a join."""
+    rows = [(str(i), 0, "3", "F", "low", 2, 1, [("0604", 2)]) for i in range(40)]
+    feats = spark.createDataFrame(rows, "id string, review int, age string, gender string, income string, type_I bigint, "
+                                        "type_O bigint, claims array<struct<claim_id:string,n:bigint>>")
+    kept = feats.join(F.broadcast(spark.createDataFrame([("7",)], "id string")), "id", "left_semi")
+    long = fe.vector_long(kept)
+    plan = long._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert plan.index("ArrowEvalPython") < plan.index("LeftSemi")      # the join lies below
+    assert {r.id for r in long.collect()} == {"7"} and long.count() == fe.vector_long(feats).count() // 40
+    coef = spark.createDataFrame([(1, 0.5)], "idx int, beta double")
+    # the scores and the vectors, each once
+    assert cl.optimality(coef, feats)._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 2
+
+
+def test_types_that_multiply_a_code_alike_give_one_pair(spark):
+    patient = spark.createDataFrame([("1", "3", "F", "low")], schemas.PATIENT)
+    claims = spark.createDataFrame([("d", "1", c) for c in ("0001", "0002", "0003")] * 2, schemas.PATIENT_CLAIM)
+    procedure = spark.createDataFrame(
+        [("0001", "I", "a"), ("0001", "O", "b"), ("0002", "I", "a"), ("0002", "O", "b"), ("0002", "O", "c"),
+         ("0003", "X", "a")], schemas.PROCEDURE)
+    review = spark.createDataFrame([], schemas.REVIEW)
+    row = fe.patient_features(patient, claims, procedure, review).first()
+    assert [tuple(c) for c in row.claims] == [("0001", 2), ("0002", 2), ("0002", 4), ("0003", 2)]
+    assert (row.type_I, row.type_O) == (4, 6)
+
+
 def test_padded_numbers(spark):
     from pyspark.sql import functions as F
 
