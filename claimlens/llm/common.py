@@ -58,6 +58,7 @@ def arrow_map(df: DataFrame, fn: Callable[[dict], dict], schema: str) -> DataFra
             yield pa.RecordBatch.from_arrays(
                 [_as_arrow(out[f.name], f.type) for f in arrow_schema], schema=arrow_schema)
             out = None
+        batch = None
         freed()
 
     return df.mapInArrow(run, schema)
@@ -65,7 +66,8 @@ def arrow_map(df: DataFrame, fn: Callable[[dict], dict], schema: str) -> DataFra
 
 def freed() -> None:
     """Give a finished task's memory back to the system: a worker stays alive for
-    later tasks, also for those of other stages that need its executor's memory."""
+    later tasks, also for those of other stages that need its executor's memory. What the
+    caller still names (its last batch) stays: it lets go of that before."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # glibc only

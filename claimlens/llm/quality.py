@@ -18,9 +18,9 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -28,6 +28,9 @@ from pyspark.sql import functions as F
 
 from claimlens.llm.common import SLICE_ROWS, arrow_map, freed, lists
 
+if TYPE_CHECKING:       # only the driver's report needs it: the workers don't load it
+    import pandas as pd
+
 #: Documents whose posterior labels train the scorer (all others are scored only).
 SAMPLE_ROWS = 8_000
 DIMS = 1 << 13
@@ -35,7 +38,7 @@ DIMS = 1 << 13
 PIECE = 64
 KEEP_FROM = 0.5
 #: Characters whose words a task holds at once.
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 18
 #: Prior of each class of the label model, in documents.
 PRIOR_VOTES = 20
 #: A labeller that alone calls more than this share of the texts bad misfires.
@@ -256,6 +259,7 @@ def label_model(counts: dict[str, int], rounds: int = 200) -> tuple[dict[str, fl
     they start as good and k has no class; its rate among good texts follows.
     So do those of a labeller that calls less than ``RARE_SHARE`` bad.
     """
+    import pandas as pd
     names = sorted(counts)
     if not names:
         return {}, pd.DataFrame(columns=["labeller", "bad_if_bad", "bad_if_good", "accuracy"])
@@ -331,7 +335,7 @@ def _votes_udf():
         words = Words()
         for s in it:
             yield pa.array([v for part in _slices(s) for v in votes_of(part, words)], pa.string())
-        del words
+        s = words = None
         freed()
     return run
 
@@ -385,7 +389,7 @@ class QualityModel:
             for s in it:
                 parts = [scores_of(part, words, w) for part in _slices(s)]
                 yield pa.array(np.concatenate(parts) if parts else [], pa.float64())
-            del words
+            s = parts = words = None
             freed()
         return run(F.col(text) if isinstance(text, str) else text)
 

@@ -105,3 +105,26 @@ def test_odd_rows(docs_of):
     assert all(r.s == 0 for r in got if not (r.text or "").split())
     empty = docs.where(F.lit(False))
     assert empty.select(q.fit_quality(empty).score("text")).collect() == []
+
+
+def test_workers_do_not_load_pandas_and_let_go_of_their_batch(monkeypatch):
+    import os
+    import subprocess
+    import sys
+
+    import pyarrow as pa
+    from claimlens.llm import quality as ql
+    code = "import sys, claimlens.llm.quality; sys.exit('pandas' in sys.modules)"
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0
+    made, held = [], []
+    monkeypatch.setattr(ql.F, "arrow_udf", lambda kind: lambda f: made.append(f) or (lambda column: None))
+    monkeypatch.setattr(ql, "freed", lambda: held.append(pa.total_allocated_bytes()))
+    ql._votes_udf()
+    ql.QualityModel(np.zeros(ql.DIMS + 1), None).score(None)
+    before = pa.total_allocated_bytes()
+    for run in made:
+        for a in run(pa.array([f"some words {i}. " * 50, None]) for i in range(3)):
+            assert len(a) == 2
+            del a
+    assert held == [before, before]

@@ -185,3 +185,29 @@ def test_every_finding_trains_the_network(docs_of, monkeypatch):
 
 
 real = sc.CharNetwork.calibrate_counts
+
+
+def test_redaction_hands_on_slices_and_lets_go_of_its_batch(monkeypatch):
+    made = []
+    monkeypatch.setattr(sc.F, "arrow_udf", lambda kind: lambda f: made.append(f) or (lambda column: None))
+    held = []
+    monkeypatch.setattr(sc, "freed", lambda: held.append(pa.total_allocated_bytes()))
+    sc.Scanner(None).redact(None)
+    sc.Scanner(None).scan(None)
+    texts = [f"text {i} token = abcdefgh{i}" if i % 3 else None for i in range(2 * sc.SLICE_ROWS + 7)]
+    before = pa.total_allocated_bytes()
+
+    def batches():
+        yield pa.array(texts, pa.string())
+        yield pa.array([], pa.string())
+
+    sizes, out = [], []
+    for a in made[0](batches()):
+        sizes.append(len(a))
+        out += a.to_pylist()
+        del a
+    assert sizes == [sc.SLICE_ROWS, sc.SLICE_ROWS, 7, 0] and len(out) == len(texts)
+    assert out == [None if t is None else t[:t.index("token")] + "[SECRET]" for t in texts]
+    for a in made[1](batches()):
+        del a
+    assert held == [before, before]
