@@ -44,6 +44,13 @@ def padded(value: Column, width: int) -> Column:
         .otherwise(F.format_string(f"%0{width}d", value))
 
 
+def code_texts(k: Column, texts: list[str], otherwise: Column) -> Column:
+    """``texts[k]``, one array literal looked into instead of a text built for each row;
+    ``otherwise`` where ``k`` is no place of it."""
+    every = F.split(F.lit("\n".join(texts)), "\n")
+    return F.when(k.between(0, len(texts) - 1), F.get(every, k.cast("int"))).otherwise(otherwise)
+
+
 def _small(spark: SparkSession, sf_dir: str, name: str) -> bool:
     """Whether a driver table has at most MAX_BROADCAST_ROWS rows."""
     return table(spark, sf_dir, name).count() <= MAX_BROADCAST_ROWS
@@ -67,8 +74,8 @@ def _charge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = F.upper(F.substring("r_name", 1, 2))
     return rows.select(
         k.alias("k"),
-        F.concat(padded(k, 4), F.lit(" - PROCEDURE "), k.cast("string"))
-        .alias("procedure"),
+        code_texts(k, [f"{c:04d} - PROCEDURE {c}" for c in range(N_CODES)],
+                   F.concat(padded(k, 4), F.lit(" - PROCEDURE "), k.cast("string"))).alias("procedure"),
         padded(F.col("l_suppkey"), 6).alias("provider_id"),
         F.col("s_name").alias("provider_name"),
         F.col("n_name").alias("provider_address"),
@@ -119,10 +126,11 @@ def claim_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
+    code = F.col("l_partkey") % N_CODES
     return j.select(
         F.date_format("o_orderdate", "yyyyMMdd").alias("date"),
         F.col("o_custkey").cast("string").alias("patient_id"),
-        padded(F.col("l_partkey") % N_CODES, 4).alias("claim_id"))
+        code_texts(code, [f"{c:04d}" for c in range(N_CODES)], padded(code, 4)).alias("claim_id"))
 
 
 def review_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
