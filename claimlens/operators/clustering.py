@@ -66,14 +66,15 @@ def cosine_assign(points: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
 
 
 def assign_features(features: DataFrame, centroids: DataFrame, k: int, n_features: int,
-                    keep: tuple[str, ...] = ("id", "review"), **probes) -> DataFrame:
+                    keep: tuple[str, ...] = ("id", "review"), vector: str | None = None, **probes) -> DataFrame:
     """J5 for feature rows, inside the row: ``keep`` columns, cluster,
-    distance and norm. Same distances and ties as ``cosine_assign``; one result
-    per feature row, no shuffle. The centroids (k x n_features values, a bound
-    fixed by the parameters) travel with the function.
+    distance and norm, and the hashed vector (J2) as ``vector`` if named. Same
+    distances and ties as ``cosine_assign``; one result per feature row, no shuffle.
+    The centroids (k x n_features values, a bound fixed by the parameters) travel
+    with the function.
     """
-    return _assign_rows(features, lambda dense: fe.row_folds(n_features, dense, **probes),
-                        centroids, k, n_features, keep)
+    return _assign_rows(features, lambda dense: fe.row_folds(n_features, dense, vector is not None, **probes),
+                        centroids, k, n_features, keep, vector)
 
 
 def assign_arrays(df: DataFrame, vec_col: str, centroids: DataFrame, k: int, n_features: int,
@@ -88,7 +89,7 @@ def assign_arrays(df: DataFrame, vec_col: str, centroids: DataFrame, k: int, n_f
 
 
 def _assign_rows(df: DataFrame, fold: Callable[[list[list[float]]], Column], centroids: DataFrame, k: int,
-                 n_features: int, keep: tuple[str, ...]) -> DataFrame:
+                 n_features: int, keep: tuple[str, ...], vector: str | None = None) -> DataFrame:
     dense = {c: [0.0] * n_features for c in range(k)}
     for r in centroids.collect():
         dense[r.cluster][r.idx] += r.value
@@ -97,7 +98,8 @@ def _assign_rows(df: DataFrame, fold: Callable[[list[list[float]]], Column], cen
     candidates = [_candidate(F.col("_fold.dots")[c], norm, math.sqrt(sum(v * v for v in dense[c])), c)
                   for c in range(k)]
     best = F.array_min(F.array(*candidates))
-    return rows.select(*keep, best["cluster"].alias("cluster"), best["distance"].alias("distance"), norm.alias("norm"))
+    return rows.select(*keep, best["cluster"].alias("cluster"), best["distance"].alias("distance"), norm.alias("norm"),
+                       *([F.col("_fold.vector").alias(vector)] if vector else []))
 
 
 def _candidate(dot, norm, size: float | None, c: int):
@@ -185,7 +187,7 @@ def crosstab(clustered: DataFrame, k: int, labels: tuple[int, ...] | None = (0,
     if labels is None:
         label_rows = counts.select("label").distinct()
     else:
-        label_rows = spark.createDataFrame([(int(x),) for x in labels], "label int")
+        label_rows = spark.range(1).select(F.explode(F.array(*[F.lit(int(x)) for x in labels])).alias("label"))
     grid = label_rows.withColumn("cluster", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
     cells = grid.join(counts, ["cluster", "label"], "left") \
         .withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))

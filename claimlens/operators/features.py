@@ -188,7 +188,7 @@ def _term_columns() -> list[Column]:
     """What a feature row's terms are made of."""
     return [*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("age", "gender", "income")],
             *[F.col(c).cast("double") for c in ("type_I", "type_O")],
-            F.col("claims").cast("array<struct<claim_id:string,n:double>>")]
+            F.col("claims")]     # as they are: a cast here would build every pair anew
 
 
 def _summed(columns: Sequence[pa.Array], n_features: int, claim_probes: int = CLAIM_PROBES,
@@ -250,19 +250,30 @@ def _lists(n: int, row: np.ndarray, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32()), values)
 
 
-def row_folds(n_features: int, arrays: Sequence[Sequence[float]] = (), **probes) -> Column:
+def _vectors(n: int, n_features: int, row: np.ndarray, slot_of: np.ndarray, value: np.ndarray) -> pa.Array:
+    """Sparse vectors in their storage form (type 0 = sparse, size, indices, values)."""
+    return pa.StructArray.from_arrays(
+        [pa.array(np.zeros(n), pa.int8()), pa.array(np.full(n, n_features), pa.int32()),
+         _lists(n, row, pa.array(slot_of, pa.int32())), _lists(n, row, pa.array(value, pa.float64()))],
+        names=["type", "size", "indices", "values"])
+
+
+def row_folds(n_features: int, arrays: Sequence[Sequence[float]] = (), vector: bool = False, **probes) -> Column:
     """struct<norm, dots> of a feature row: Euclidean norm of its vector and its dot
-    product with each of ``arrays`` (a value for every slot)."""
+    product with each of ``arrays`` (a value for every slot). With ``vector`` also the
+    vector itself, hashed once for all three."""
     dense = [np.asarray(a, np.float64) for a in arrays]
+    result = T.StructType([T.StructField("norm", T.DoubleType()), T.StructField("dots", T.ArrayType(T.DoubleType())),
+                           *([T.StructField("vector", VectorUDT())] if vector else [])])
 
     def make(n: int, row: np.ndarray, slot_of: np.ndarray, value: np.ndarray) -> pa.Array:
         dots = [np.bincount(row, value * a[slot_of], n) for a in dense]
         flat = np.stack(dots, axis=1).ravel() if dots else np.zeros(0)
         return pa.StructArray.from_arrays(
             [_nullable(np.sqrt(np.bincount(row, value * value, n))),
-             pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * len(dots), pa.int32()), _nullable(flat))],
-            names=["norm", "dots"])
-    return _vector_udf("norm double, dots array<double>", make, n_features, **probes)
+             pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * len(dots), pa.int32()), _nullable(flat)),
+             *([_vectors(n, n_features, row, slot_of, value)] if vector else [])], names=result.names)
+    return _vector_udf(result, make, n_features, **probes)
 
 
 def hash_features(features: DataFrame, n_features: int = N_FEATURES,
@@ -270,10 +281,7 @@ def hash_features(features: DataFrame, n_features: int = N_FEATURES,
     """``keep`` columns plus ``features`` (SparseVector of ``n_features``), the
     vector's storage struct (type 0 = sparse, size, indices, values). No shuffle."""
     def make(n: int, row: np.ndarray, slot_of: np.ndarray, value: np.ndarray) -> pa.Array:
-        return pa.StructArray.from_arrays(
-            [pa.array(np.zeros(n), pa.int8()), pa.array(np.full(n, n_features), pa.int32()),
-             _lists(n, row, pa.array(slot_of, pa.int32())), _lists(n, row, pa.array(value, pa.float64()))],
-            names=["type", "size", "indices", "values"])
+        return _vectors(n, n_features, row, slot_of, value)
     return features.select(*keep, _vector_udf(VectorUDT(), make, n_features, **probes).alias("features"))
 
 

@@ -72,7 +72,8 @@ def _training(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     feats, clustered = _step_clusters(spark, sf_dir)
     clustered = materialize(clustered, "clustered")
     negative = _negatives(clustered)
-    return (materialize(sa.training_set(feats, clustered, negative, TRAIN_N, SEED), "training"),
+    # the sample behind the training set is stored already
+    return (sa.training_set(feats, clustered, negative, TRAIN_N, SEED),
             sa.scoring_set(feats, clustered, negative))
 
 
@@ -618,8 +619,7 @@ def q_patient_kmeans_step_update(spark, sf_dir):
     """One centroid update on the patients' hashed vectors after the seeded
     cosine assignment (mean unit vector per cluster and slot)."""
     feats, centroids = _seeded_points(spark, sf_dir)
-    vectors = fe.hash_features(feats, keep=tuple(feats.columns))
-    assigned = ck.assign_features(vectors, centroids, K, fe.N_FEATURES, ("features",))
+    assigned = ck.assign_features(feats, centroids, K, fe.N_FEATURES, (), vector="features")
     return rounded(ck.vector_update(assigned))
 
 

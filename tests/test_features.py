@@ -201,3 +201,40 @@ def test_padded_numbers(spark):
     from claimlens.plans.standins import padded
     rows = spark.createDataFrame([(0,), (7,), (9_999,), (10_000,), (123_456_789,), (-3,), (None,)], "v bigint")
     assert rows.where(~padded(F.col("v"), 4).eqNullSafe(F.format_string("%04d", "v"))).count() == 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_vector_and_distance_from_one_hashing(spark):
+    from claimlens.operators import clustering as ck
+    p, c, q, r = _inputs(spark)
+    feats = fe.patient_features(p, c, q, r)
+    seeds = spark.createDataFrame([("1", 0), ("2", 1)], "id string, cluster int")
+    start = ck.seed_centroids(fe.vector_long(feats), seeds)
+    both = ck.assign_features(feats, start, 2, fe.N_FEATURES, ("id",), vector="features")
+    plan = _plan(both)
+    assert plan.count("ArrowEvalPython [run(") == 1 and "run(coalesce" in plan and "cast(claims" not in plan
+    apart = {x.id: x for x in ck.assign_features(feats, start, 2, fe.N_FEATURES, ("id",)).collect()}
+    vectors = {x.id: x.features for x in fe.hash_features(feats).collect()}
+    for x in both.collect():
+        assert x.features == vectors[x.id]
+        assert (x.cluster, x.distance, x.norm) == (apart[x.id].cluster, apart[x.id].distance, apart[x.id].norm)
+
+
+def test_texts_of_codes(spark):
+    from claimlens.plans.standins import code_texts, padded
+    k = F.col("v")
+    rows = spark.createDataFrame([(0,), (7,), (129,), (130,), (-3,), (None,)], "v bigint")
+    listed = code_texts(k, [f"{c:04d}" for c in range(130)], padded(k, 4))
+    assert rows.where(~listed.eqNullSafe(padded(k, 4))).count() == 0
+    assert rows.where("v between 0 and 129").select(code_texts(k, ["a"] * 130, padded(k, 4)).alias("t")).distinct().count() == 1
+
+
+def test_crosstab_starts_no_python(spark):
+    from claimlens.operators import clustering as ck
+    points = spark.range(6).select((F.col("id") % 2).cast("int").alias("cluster"), F.lit(0).alias("label"))
+    table = ck.crosstab(points, 2)
+    assert "ExistingRDD" not in _plan(table)
+    assert {(r.cluster, r.label): r.n for r in table.collect()} == {(0, 0): 3, (1, 0): 3, (0, 1): 0, (1, 1): 0}
