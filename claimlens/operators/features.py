@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from claimlens.functions import claims_text, leading_digits
 from claimlens.operators.common import join_small
+from claimlens.schemas import CLAIM_COUNT
 
 N_FEATURES = 10_000       # vector slots
 CLAIM_PROBES = 2          # slots per claim code
@@ -88,12 +89,13 @@ def patient_features(patient: DataFrame, claims: DataFrame, procedure: DataFrame
             F.sort_array(F.collect_list(F.struct("claim_id", "n"))).alias("codes"))
 
     # A patient's rows and flags multiply all its counts alike. An id has one or a few
-    # patient rows, so the shuffle by id cannot be skewed.
+    # patient rows, so the shuffle by id cannot be skewed. They are looked up in a hash
+    # table of the task's patients: the rows of claims need no sort.
     pts = patient.repartition("id").groupBy("id", "age", "gender", "income") \
         .agg(F.count(F.lit(1)).alias("patient_mult")) \
         .join(rev, "id", "left")
     times = F.col("patient_mult") * F.coalesce(F.col("review_mult"), F.lit(1))
-    return per_patient.join(pts, per_patient.patient_id == pts.id, "inner").select(
+    return per_patient.join(pts.hint("shuffle_hash"), per_patient.patient_id == pts.id, "inner").select(
         "id", F.when(F.col("review_mult").isNull(), F.lit(0)).otherwise(F.lit(1)).alias("review"),
         "age", "gender", "income",
         (F.col("n_I") * times).alias("type_I"), (F.col("n_O") * times).alias("type_O"),
@@ -139,8 +141,7 @@ def feature_terms(features: DataFrame, claim_probes: int = CLAIM_PROBES,
         + _probed(F.lit("outpatient"), F.col("type_O"), 1)
     )
     claim_terms = F.flatten(F.transform(
-        F.coalesce(F.col("claims"), F.array().cast(T.ArrayType(T.StructType([
-            T.StructField("claim_id", T.StringType()), T.StructField("n", T.LongType())])))),
+        F.coalesce(F.col("claims"), F.array().cast(T.ArrayType(CLAIM_COUNT))),
         lambda c: F.array(*[F.struct(F.concat(F.lit("claim="), c["claim_id"]).alias("feature"),
                                      F.lit(p).alias("probe"),
                                      c["n"].cast("double").alias("weight"))
@@ -164,9 +165,15 @@ def hash_features_long(features: DataFrame, n_features: int = N_FEATURES, **prob
 
 
 def feature_dictionary(features: DataFrame, n_features: int = N_FEATURES, **probes) -> DataFrame:
-    """Feature name -> the slots it was hashed to (feature, probe, idx)."""
-    return hashed_terms(features, n_features, **probes) \
-        .select("feature", "probe", "idx").distinct()
+    """Feature name -> the slots it was hashed to (feature, probe, idx). Words and
+    codes are made distinct first, so each name is built and hashed once, not in every row."""
+    words = features.select("age", "gender", "income").distinct() \
+        .withColumns({"type_I": F.lit(0), "type_O": F.lit(0), "claims": F.lit(None).cast(T.ArrayType(CLAIM_COUNT))})
+    codes = features.select(F.explode("claims.claim_id").alias("code")).distinct()
+    probe = F.explode(F.array(*[F.lit(p) for p in range(probes.get("claim_probes", CLAIM_PROBES))]).cast("array<int>"))
+    names = words.select(F.explode(feature_terms(words, **probes)).alias("t")).select("t.feature", "t.probe").distinct() \
+        .union(codes.select(F.concat(F.lit("claim="), "code").alias("feature"), probe.alias("probe")))
+    return names.withColumn("idx", slot(F.col("feature"), F.col("probe"), n_features))
 
 
 def term_arrays(features: DataFrame, n_features: int = N_FEATURES, **probes) -> tuple[Column, Column]:

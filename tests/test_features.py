@@ -1,6 +1,7 @@
 """Patient features and hashing (FIXTURES.md section 4)."""
 
 import hashlib
+import re
 
 from pyspark.sql import functions as F
 
@@ -238,3 +239,30 @@ def test_crosstab_starts_no_python(spark):
     table = ck.crosstab(points, 2)
     assert "ExistingRDD" not in _plan(table)
     assert {(r.cluster, r.label): r.n for r in table.collect()} == {(0, 0): 3, (1, 0): 3, (0, 1): 0, (1, 1): 0}
+
+
+def test_dictionary_makes_names_distinct_before_it_hashes_them(spark):
+    feats = spark.createDataFrame(
+        [("1", 0, None, "F", "low", 2, 1, [("0604", 2), ("0019", 1)]), ("2", 1, "4", "M", "hi", 0, 3, [("0019", 3)]),
+         ("3", 0, "4", "M", "hi", 0, 0, None), ("4", 0, "4", "M", "hi", 0, 0, [])],
+        "id string, review int, age string, gender string, income string, type_I bigint, "
+        "type_O bigint, claims array<struct<claim_id:string,n:bigint>>")
+    for probes in ({}, {"claim_probes": 3, "word_probes": 2}):
+        said = fe.feature_dictionary(feats, **probes)
+        want = fe.hashed_terms(feats, **probes).select("feature", "probe", "idx").distinct()
+        assert sorted(map(tuple, said.collect())) == sorted(map(tuple, want.collect()))
+    assert fe.feature_dictionary(feats.where("false")).count() == 0
+    plan = said._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"HashAggregate\(keys=\[([^\]]*)", plan)
+    assert keys and not any("idx" in k for k in keys)     # slots are no part of what is made distinct
+
+
+def test_patients_are_looked_up_without_sorting_the_lists(spark):
+    claims = spark.createDataFrame([("1", "0604"), ("1", "0604"), ("2", "0019")], "patient_id string, claim_id string")
+    patient = spark.createDataFrame([("1", "3", "F", "low"), ("2", "4", "M", "hi")], "id string, age string, gender string, income string")
+    procedure = spark.createDataFrame([("0604", "I", "a"), ("0019", "O", "b")], "id string, type string, full_name string")
+    review = spark.createDataFrame([("2",)], "patient_id string")
+    out = fe.patient_features(patient, claims, procedure, review)
+    assert "ShuffledHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.id, r.review, r.type_I, r.type_O, [tuple(c) for c in r.claims]) for r in out.collect()) == [
+        ("1", 0, 2, 0, [("0604", 2)]), ("2", 1, 0, 1, [("0019", 1)])]
