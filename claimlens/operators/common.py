@@ -18,7 +18,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimlens.session import scratch_path
@@ -96,10 +96,18 @@ def row_bytes(df: DataFrame) -> Column:
     return total
 
 
+def measured(df: DataFrame) -> Row:
+    """How many ``rows`` and ``bytes`` ``df`` has."""
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df).cast("bigint")).alias("bytes")).first()
+
+
+def within(size: Row, max_rows: int) -> bool:
+    """Whether rows and bytes, both counted, are within the bounds of a broadcast."""
+    return size["rows"] <= max_rows and (size["bytes"] or 0) <= MAX_BROADCAST_BYTES
+
+
 def _fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether rows and bytes, both counted, are within the bounds."""
-    n = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df).cast("bigint")).alias("bytes")).first()
-    return n["rows"] <= max_rows and (n["bytes"] or 0) <= MAX_BROADCAST_BYTES
+    return within(measured(df), max_rows)
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",

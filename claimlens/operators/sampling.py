@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions import seeded_key
-from claimlens.operators.common import broadcast_checked, materialize
+from claimlens.operators.common import materialize, measured, within
 
 #: Candidates aimed at, as a multiple of the sample.
 OVERDRAW = 16
@@ -45,20 +45,28 @@ def first_share(df: DataFrame, n: int) -> float:
     return min(1.0, OVERDRAW * n * ROW_BYTES / max(1, size))
 
 
+def _share_of(n: int, rows: float) -> float:
+    """Share of the keys that holds ``n`` of ``rows`` rows, with room for chance."""
+    return min(1.0, 1.5 * (n + 10 * math.sqrt(n)) / rows)
+
+
 def _below(share: float) -> Column:
     """Whether the key lies in the first ``share`` of the key space."""
     return F.col("_key") < F.lit(f"{int(share * 16 ** _DIGITS):0{_DIGITS}x}")
 
 
 def sample_with(df: DataFrame, n: int, seed: int | str = 0, id_col: str = "id",
-                always: Column | None = None, pool: Column | None = None) -> DataFrame:
+                always: Column | None = None, pool: Column | None = None,
+                pool_rows: int | None = None) -> DataFrame:
     """Every row where ``always`` holds, and the ``n`` rows first in
     ``(md5(id:seed), id)`` order among those where ``pool`` holds (default: all);
-    all of them if fewer. Rows that share the n-th row's id are kept together."""
+    all of them if fewer. Rows that share the n-th row's id are kept together.
+    ``pool_rows``, about how many rows ``pool`` has, says better than the plan's size how
+    many candidates to write; the sample does not depend on it."""
     always = F.lit(False) if always is None else F.coalesce(always, F.lit(False))
     pool = F.lit(True) if pool is None else F.coalesce(pool, F.lit(False))
     keyed = df.withColumns({"_key": seeded_key(id_col, seed), "_always": always, "_pool": pool & ~always})
-    share = first_share(df, n) if n > 0 else 0.0
+    share = (_share_of(n, pool_rows) if pool_rows else first_share(df, n)) if n > 0 else 0.0
     in_pool = F.col("_pool") & F.col("_key").isNotNull()
     while True:
         drawn = F.lit(n > 0) if share >= 1 else _below(share)
@@ -66,8 +74,8 @@ def sample_with(df: DataFrame, n: int, seed: int | str = 0, id_col: str = "id",
         found = table.where(in_pool).count() if n > 0 else 0
         if share >= 1 or found >= n:
             break
-        # found / share tells about how many rows there are: draw again, with room for chance
-        share = min(1.0, max(2.0, 1.5 * (n + 10 * math.sqrt(n)) / found) * share) if found else 1.0
+        # found / share tells about how many rows there are: draw again
+        share = min(1.0, max(2.0 * share, _share_of(n, found / share))) if found else 1.0
     chosen = F.lit(n > 0) if found <= n else _up_to(table.where(in_pool), n, min(1.0, share), id_col)
     return table.where(F.col("_always") | (F.col("_pool") & chosen)).drop("_key", "_always", "_pool")
 
@@ -121,8 +129,9 @@ def clustering_sample(features: DataFrame, n: int, seed: int | str = 0) -> DataF
 
 
 def _negative_ids(clustered: DataFrame, negative: int | list[int] | DataFrame,
-                  max_broadcast_rows: int) -> DataFrame:
-    """Ids of unflagged points in the negative cluster(s) (C3, A13 shape).
+                  max_broadcast_rows: int) -> tuple[DataFrame, int | None]:
+    """Ids of unflagged points in the negative cluster(s) (C3, A13 shape), and how many
+    (None where they were not counted, with a bound of 0).
 
     ``negative`` is a cluster number, a list of them, or a DataFrame with a
     ``negative_cluster`` column (then a semi-join).
@@ -137,7 +146,11 @@ def _negative_ids(clustered: DataFrame, negative: int | list[int] | DataFrame,
         neg = neg.where(F.col("cluster") == F.lit(negative))
     # Broadcast after a check, so the feature table is not shuffled for this;
     # above the bound, neither is a table in buckets of the same number.
-    return broadcast_checked(neg.select(F.col("patient_id").alias("id")).distinct(), max_broadcast_rows)
+    ids = neg.select(F.col("patient_id").alias("id")).distinct()
+    if max_broadcast_rows <= 0:
+        return ids, None
+    size = measured(ids)
+    return (F.broadcast(ids) if within(size, max_broadcast_rows) else ids), size["rows"]
 
 
 def training_set(features: DataFrame, clustered: DataFrame,
@@ -148,10 +161,10 @@ def training_set(features: DataFrame, clustered: DataFrame,
     The restriction to the cluster (D4) is a join that marks the candidates, so the
     features are read once for both halves.
     """
-    marks = _negative_ids(clustered, negative, max_broadcast_rows)
+    marks, rows = _negative_ids(clustered, negative, max_broadcast_rows)
     marked = features.join(marks.withColumn("_candidate", F.lit(True)), "id", "left")
     return sample_with(marked, n, seed, "id", F.col("review") == 1,
-                       (F.col("review") == 0) & F.col("_candidate")).drop("_candidate")
+                       (F.col("review") == 0) & F.col("_candidate"), rows).drop("_candidate")
 
 
 def scoring_set(features: DataFrame, clustered: DataFrame,
@@ -159,4 +172,4 @@ def scoring_set(features: DataFrame, clustered: DataFrame,
     """Unflagged patients not among the negative cluster's points
     (including those never sampled for clustering): an anti-join."""
     return features.where(F.col("review") == 0) \
-        .join(_negative_ids(clustered, negative, max_broadcast_rows), "id", "left_anti")
+        .join(_negative_ids(clustered, negative, max_broadcast_rows)[0], "id", "left_anti")

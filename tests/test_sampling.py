@@ -2,6 +2,8 @@
 
 import hashlib
 
+from pyspark.sql import functions as F
+
 from claimlens.operators import sampling as sa
 
 
@@ -93,3 +95,36 @@ def test_a_wrong_size_estimate_costs_one_more_pass(spark, monkeypatch):
         counted, seen = _counted(spark, df)
         got = sorted(r.id for r in sa.seeded_sample(counted, 500, 9).collect())
         assert got == sorted(_brute(ids, 500, 9)) and seen.value == passes * len(ids)
+
+
+def test_known_size_of_the_pool_bounds_the_candidates(spark, monkeypatch):
+    n = 20_000
+    feats = spark.range(n).selectExpr("cast(id AS string) AS id", "cast(id % 50 = 0 AS int) AS review")
+    clustered = feats.selectExpr("id AS patient_id", "review AS label", "0 AS cluster")
+    written = []
+    real = sa.materialize
+
+    def spy(df, name):
+        table = real(df, name)
+        written.append(table.count())
+        return table
+    monkeypatch.setattr(sa, "materialize", spy)
+    train = sorted(r.id for r in sa.training_set(feats, clustered, [0], 500, 1).select("id").collect())
+    flagged = n // 50
+    assert written == [written[0]] and written[0] < flagged + 2_000        # not the whole pool
+    monkeypatch.setattr(sa, "materialize", real)
+    pool = sorted((r.id for r in feats.where("review = 0").collect()), key=lambda i: (hashlib.md5(f"{i}:1".encode()).hexdigest(), i))
+    assert train == sorted([r.id for r in feats.where("review = 1").collect()] + pool[:500])
+    # a wrong size changes the work, not the sample
+    for rows in (1, 10 ** 9):
+        again = sa.sample_with(feats, 500, 1, "id", F.col("review") == 1, F.col("review") == 0, rows)
+        assert sorted(r.id for r in again.collect()) == train
+
+
+def test_a_bound_of_zero_counts_nothing(spark, monkeypatch):
+    def counted(_):
+        raise AssertionError("counted")
+    monkeypatch.setattr(sa, "measured", counted)
+    feats = spark.createDataFrame([("1", 0), ("2", 1), ("3", 0)], "id string, review int")
+    clustered = spark.createDataFrame([("1", 0, 0), ("2", 0, 1), ("3", 1, 0)], "patient_id string, cluster int, label int")
+    assert [r.id for r in sa.scoring_set(feats, clustered, [0], max_broadcast_rows=0).collect()] == ["3"]
