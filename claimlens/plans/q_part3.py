@@ -49,19 +49,21 @@ def _text(df: DataFrame) -> DataFrame:
     return fe.features_as_text(df)
 
 
-def _seeded_points(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _seeded_points(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(features, centroids at the seeded starting points): only the chosen rows
-    are hashed, every row looks for its id among the chosen."""
-    feats = materialize(features_of(spark, sf_dir), "features")
+    are hashed, every row looks for its id among the chosen. The features are stored
+    once, in hash buckets of the id if ``buckets`` is given."""
+    feats = features_of(spark, sf_dir)
+    feats = store_bucketed(feats, "id", buckets, "features") if buckets else materialize(feats, "features")
     seeds = materialize(sa.seed_points(feats, K, SEED), "seeds")
     chosen = feats.join(F.broadcast(seeds.select("id")), "id", "left_semi")
     return feats, ck.seed_centroids(fe.vector_long(chosen), seeds)
 
 
-def _step_clusters(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _step_clusters(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Features and the fixed-rule clustering of all patients: seeded starting
     points, one cosine assignment. (patient_id, cluster, label, distance)."""
-    feats, centroids = _seeded_points(spark, sf_dir)
+    feats, centroids = _seeded_points(spark, sf_dir, buckets)
     clustered = ck.assign_features(feats, centroids, K, fe.N_FEATURES) \
         .select(F.col("id").alias("patient_id"), "cluster", F.col("review").alias("label"), "distance")
     return feats, clustered
@@ -419,8 +421,7 @@ SELECT {_FEATURE_COLS}, 'score' FROM feat WHERE review = 0 AND id NOT IN (SELECT
 def q_sets_from_buckets(spark, sf_dir):
     """J7 J8 D4 D5 from tables in hash buckets of the patient id, without
     broadcasting the ids: training set (500 sampled) and scoring set."""
-    feats, clustered = _step_clusters(spark, sf_dir)
-    feats = store_bucketed(feats, "id", BUCKETS, "features")
+    feats, clustered = _step_clusters(spark, sf_dir, BUCKETS)
     clustered = store_bucketed(clustered, "patient_id", BUCKETS, "clusters", ("cluster", "label"))
     negative = _negatives(clustered)
     train = sa.training_set(feats, clustered, negative, SMALL_N, SEED, max_broadcast_rows=0)

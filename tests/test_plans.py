@@ -99,3 +99,16 @@ def test_large_top_n_keeps_per_partition_limit(spark):
     df = spark.range(50_000).select(F.col("id"), (F.col("id") * 7 % 1000).alias("v"))
     text = "\n".join(_tree(ranked_top(df, 10_000, [F.col("v").desc(), F.col("id")])))
     assert "TakeOrderedAndProject" in text  # not a full sort into one partition
+
+
+def test_bucketed_features_are_stored_once(spark, monkeypatch):
+    from claimlens.plans import q_part3 as q
+    stored = []
+    for how in ("materialize", "store_bucketed"):
+        def spy(df, *args, real=getattr(q, how), **kw):
+            stored.append([a for a in args if isinstance(a, str)][-1])
+            return real(df, *args, **kw)
+        monkeypatch.setattr(q, how, spy)
+    feats, clustered = q._step_clusters(spark, "/root/testdata/sf0.001", 4)
+    assert stored.count("features") == 1
+    assert clustered.count() == feats.count() > 0
