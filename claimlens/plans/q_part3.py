@@ -464,6 +464,12 @@ def q_predicted_counts(spark, sf_dir):
     return cl.predicted_counts(cl.score_features(_fixed_beta(spark), _training(spark, sf_dir)[1]))
 
 
+def _ranked_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scoring set's scores, stored: a top n reads them twice, they are computed once."""
+    scored = cl.score_features(_fixed_beta(spark), _training(spark, sf_dir)[1])
+    return materialize(scored.select("patient_id", "review", F.round("score", 9).alias("score")), "scores")
+
+
 @register("suspicious_patients", W(*_FITTED_SQL) + """
 SELECT CAST(row_number() OVER (ORDER BY round(score, 9) DESC, patient_id) AS INTEGER) AS rank, patient_id,
        round(score, 6) AS score
@@ -471,8 +477,7 @@ FROM scored WHERE review = 1 QUALIFY rank <= 10000""")
 def q_suspicious_patients(spark, sf_dir):
     """J12 + G2: top 10,000 scores among patients predicted suspicious (fixed
     coefficients; scores rounded to 9 places before ranking)."""
-    scored = cl.score_features(_fixed_beta(spark), _training(spark, sf_dir)[1])
-    return rounded(cl.suspicious_patients(scored.withColumn("score", F.round("score", 9))))
+    return rounded(cl.suspicious_patients(_ranked_scores(spark, sf_dir)))
 
 
 @register("suspicious_patients_20", W(*_FITTED_SQL) + """
@@ -482,8 +487,7 @@ FROM scored WHERE review = 1 QUALIFY rank <= 20""")
 def q_suspicious_patients_20(spark, sf_dir):
     """J12 + G2 with n far below the candidates: sketch, then candidates beyond a
     cut (fixed coefficients)."""
-    scored = cl.score_features(_fixed_beta(spark), _training(spark, sf_dir)[1])
-    return rounded(cl.suspicious_patients(scored.withColumn("score", F.round("score", 9)), 20))
+    return rounded(cl.suspicious_patients(_ranked_scores(spark, sf_dir), 20))
 
 
 @register("model_quality", W(*_FITTED_SQL, """

@@ -112,3 +112,16 @@ def test_bucketed_features_are_stored_once(spark, monkeypatch):
     feats, clustered = q._step_clusters(spark, "/root/testdata/sf0.001", 4)
     assert stored.count("features") == 1
     assert clustered.count() == feats.count() > 0
+
+
+def test_the_top_reads_stored_scores(spark, monkeypatch):
+    from claimlens.operators import classify as cl
+    from claimlens.plans import q_part3 as q
+    given = []
+
+    def spy(scored, *args, real=cl.suspicious_patients):
+        given.append(scored)
+        return real(scored, *args)
+    monkeypatch.setattr(cl, "suspicious_patients", spy)
+    assert q.q_suspicious_patients_20(spark, "/root/testdata/sf0.001").count() > 0
+    assert "Python" not in "\n".join(_tree(given[0]))     # nothing is hashed again for the second pass
