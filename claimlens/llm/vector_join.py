@@ -6,14 +6,20 @@ On unit vectors, cosine >= t is distance <= eps = sqrt(2 - 2t).
    on, so a vector held by very many rows costs one.
 2. *Grid order.* The leading principal dimensions are fitted on a bounded
    sample. Vectors are sorted by their cells of width eps on these dimensions
-   and cut, in that order, into blocks of ``BLOCK``.
+   and cut, in that order, into blocks of about ``BLOCK``.
 3. *Recursive join.* Pairs of intervals of the sequence, starting with the
    whole sequence and itself, are split fan-out by fan-out into pairs of
    shorter intervals. A pair is dropped when its bounding boxes on the
    principal dimensions (and the norms of what they leave out) prove that all
-   distances exceed eps. The pairs of blocks that remain are compared in
-   tasks, again skipping distant sub-blocks; cosines are exact in doubles.
-4. *Results.* A pair of blocks returns one row for each vector with a link: how
+   distances exceed eps.
+4. *Comparison.* The stored blocks are read in files against files: a task
+   takes a run of blocks and a run of blocks straight from the shared folder,
+   so vectors are neither shuffled nor written for a pair of blocks. Of a pair
+   that remains, distant sub-blocks are skipped; the others are multiplied on
+   ``lead`` principal dimensions and the norm of the rest, which bounds every
+   cosine from above, and on all dimensions only where that bound allows a
+   link. Cosines are exact in doubles.
+5. *Results.* A pair of blocks returns one row for each vector with a link: how
    many vectors it links, and the smallest id of its connected group within
    the pair. So rows grow with the vectors, not with the linked pairs.
 """
@@ -21,21 +27,29 @@ On unit vectors, cosine >= t is distance <= eps = sqrt(2 - 2t).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 from pyspark.sql.window import Window
 
-from claimlens.llm.common import small, stored
+from claimlens.llm.common import freed, small, stored
 from claimlens.llm.components import connected_components
 
 THRESHOLD = 0.9
 SAMPLE_VECTORS = 4_096
 LEADING = 8
-BLOCK, SUB_BLOCK = 2_048, 256
+BLOCK, SUB_BLOCK = 4_096, 256
+#: Bytes of a block's vectors, for long vectors.
+BLOCK_BYTES = 4 << 20
 FAN_OUT = 4
+#: Numbers of leading dimensions for the bound; the share of unlinked pairs it may let pass.
+LEADS, LEAD_PASS = (8, 16, 24, 32, 48, 64), 2e-4
+#: Prepared blocks a task keeps for the next pairs.
+HELD_BLOCKS = 24
 
 
 def _usable(v: Column) -> Column:
@@ -49,6 +63,7 @@ def _usable(v: Column) -> Column:
 def unit(x: np.ndarray) -> np.ndarray:
     """Rows scaled to length 1 in doubles (first by the largest component, so
     that very large or small ones neither overflow nor vanish)."""
+    x = np.asarray(x, np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
@@ -68,33 +83,51 @@ def coordinates(x: np.ndarray, axes: np.ndarray) -> np.ndarray:
     return np.column_stack([p, rest])
 
 
+def lead_dimensions(x: np.ndarray, axes: np.ndarray, threshold: float) -> int:
+    """The least number of ``LEADS`` whose bound stops nearly all unlinked
+    pairs of the sample; 0 if none does. Any number gives the same links."""
+    half = min(len(x) // 2, 1_024)
+    if half < 64:
+        return 0
+    a, b = x[:half], x[half:2 * half]
+    linked = (a @ b.T >= threshold).mean()
+    for n in LEADS:
+        if 2 * n > x.shape[1] or n > len(axes):
+            break
+        if (coordinates(a, axes[:n]) @ coordinates(b, axes[:n]).T >= threshold).mean() - linked <= LEAD_PASS:
+            return n
+    return 0
+
+
 def _matrix(values: pa.ListArray) -> np.ndarray:
-    flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(values), -1)
+    return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
 
 
 def _cells_fn(axes: np.ndarray, eps: float):
+    """Adds each vector's cell: two bytes a dimension, which sort as the
+    numbers do."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 u = unit(_matrix(b.column("v")))
-                cell = np.floor(coordinates(u, axes)[:, :-1] / eps).astype(np.int32)
-                kind = pa.list_(pa.int32())
+                cell = np.clip(np.floor(coordinates(u, axes)[:, :-1] / eps), -32768, 32767) + 32768
+                flat = pa.py_buffer(np.ascontiguousarray(cell, dtype=">u2"))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("rep"), b.column("size"), b.column("v"),
-                     pa.FixedSizeListArray.from_arrays(pa.array(cell.reshape(-1)), cell.shape[1])
-                     .cast(kind)], ["rep", "size", "v", "cell"])
+                     pa.Array.from_buffers(pa.binary(2 * cell.shape[1]), b.num_rows, [None, flat])
+                     .cast(pa.binary())], ["rep", "size", "v", "cell"])
     return run
 
 
-def _blocks_fn(axes: np.ndarray):
-    """Rows of one range of the sequence, in order -> packed blocks."""
+def _blocks_fn(axes: np.ndarray, block: int):
+    """Rows of one range of the sequence, in order -> packed blocks of
+    ``block`` vectors, the last one of up to half as many more."""
     def pack(k: int, ids, sizes, vectors) -> pa.RecordBatch:
-        u = unit(np.concatenate(vectors))
-        c = coordinates(u, axes)
+        v = np.concatenate(vectors)
+        c = coordinates(unit(v), axes)
         return pa.RecordBatch.from_arrays(
             [pa.array([k], pa.int32()), pa.array([np.concatenate(ids).tobytes()]),
-             pa.array([np.concatenate(sizes).tobytes()]), pa.array([u.tobytes()]),
+             pa.array([np.concatenate(sizes).tobytes()]), pa.array([v.tobytes()]),
              pa.array([c.min(axis=0).tolist()]), pa.array([c.max(axis=0).tolist()])],
             ["k", "ids", "sizes", "vectors", "lo", "hi"])
 
@@ -102,55 +135,108 @@ def _blocks_fn(axes: np.ndarray):
         k, held = 0, 0
         ids, sizes, vectors = [], [], []
         for b in batches:
-            rep, size = b.column("rep").to_numpy(), b.column("size").to_numpy()
-            v = _matrix(b.column("v")) if b.num_rows else np.zeros((0, 1))
-            at = 0
-            while at < b.num_rows:
-                n = min(BLOCK - held, b.num_rows - at)
-                ids.append(rep[at:at + n])
-                sizes.append(size[at:at + n])
-                vectors.append(v[at:at + n])
-                at, held = at + n, held + n
-                if held == BLOCK:
-                    yield pack(k, ids, sizes, vectors)
-                    k, held, ids, sizes, vectors = k + 1, 0, [], [], []
+            if not b.num_rows:
+                continue
+            ids.append(b.column("rep").to_numpy())
+            sizes.append(b.column("size").to_numpy())
+            vectors.append(_matrix(b.column("v")))
+            held += b.num_rows
+            if 2 * held >= 3 * block:
+                ids, sizes, vectors = ([np.concatenate(x)] for x in (ids, sizes, vectors))
+                at = 0
+                while 2 * (held - at) >= 3 * block:
+                    yield pack(k, *([x[0][at:at + block]] for x in (ids, sizes, vectors)))
+                    k, at = k + 1, at + block
+                ids, sizes, vectors = ([x[0][at:].copy()] for x in (ids, sizes, vectors))
+                held -= at
         if held:
             yield pack(k, ids, sizes, vectors)
     return run
 
 
-def _boxes(x: np.ndarray, axes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    c = coordinates(x, axes)
-    at = np.arange(0, len(x), SUB_BLOCK)
-    return np.minimum.reduceat(c, at), np.maximum.reduceat(c, at)
-
-
-def links_between(a: np.ndarray, b: np.ndarray | None, axes: np.ndarray, threshold: float) -> np.ndarray:
-    """Boolean matrix of cosine >= threshold between unit vectors (b None: of
-    ``a`` with itself, without the diagonal). Single precision decides pairs
-    clear of the threshold, doubles those near it."""
-    own = b is None
-    b = a if own else b
+@dataclass
+class Side:
+    """A block's vectors, prepared for comparison."""
+    raw: np.ndarray             # as stored
+    full: np.ndarray            # unit vectors, single precision
+    lead: np.ndarray            # leading coordinates and the norm of the rest, or ``full``
+    lo: np.ndarray              # boxes of sub-blocks
+    hi: np.ndarray
+
+
+def side(raw: np.ndarray, axes: np.ndarray, lead: int) -> Side:
+    u = unit(raw)
+    full = u.astype(np.float32)
+    c = coordinates(u, axes[:LEADING])
+    at = np.arange(0, len(raw), SUB_BLOCK)
+    return Side(raw, full, coordinates(u, axes[:lead]).astype(np.float32) if lead else full,
+                np.minimum.reduceat(c, at), np.maximum.reduceat(c, at))
+
+
+def _exact(a: Side, b: Side, p: np.ndarray, q: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether the pairs of rows link, in doubles."""
+    step = max(1, (1 << 20) // a.raw.shape[1])
+    return np.concatenate([np.zeros(0, bool)] + [
+        np.einsum("ij,ij->i", unit(a.raw[p[k:k + step]]), unit(b.raw[q[k:k + step]])) >= threshold
+        for k in range(0, len(p), step)])
+
+
+def _positions(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``np.nonzero`` of a boolean matrix, quick where little is true:
+    eight elements are looked at as one word."""
+    flat = hit.reshape(-1)
+    whole = len(flat) // 8 * 8
+    at = (np.flatnonzero(flat[:whole].view(np.uint64))[:, None] * 8 + np.arange(8)).reshape(-1)
+    at = np.concatenate([at[flat[at]], whole + np.flatnonzero(flat[whole:])])
+    return at // hit.shape[1], at % hit.shape[1]
+
+
+def link_strips(a: Side, b: Side, threshold: float, own: bool = False
+                ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows and columns of the links, for the strips of ``a`` that have any.
+    Single precision decides pairs clear of the threshold, doubles those near
+    it and the few that pass the bound."""
     eps2 = 2 - 2 * threshold + 1e-9
-    (alo, ahi), (blo, bhi) = _boxes(a, axes), _boxes(b, axes)
-    link = np.zeros((len(a), len(b)), bool)
-    a4, b4 = a.astype(np.float32), b.astype(np.float32)
-    for i in range(len(alo)):
-        gap = np.maximum(0, np.maximum(alo[i] - bhi, blo - ahi[i]))
-        for j in np.flatnonzero((gap * gap).sum(axis=1) <= eps2):
-            if own and j < i:
-                continue
-            r, c = slice(i * SUB_BLOCK, (i + 1) * SUB_BLOCK), slice(j * SUB_BLOCK, (j + 1) * SUB_BLOCK)
-            s = a4[r] @ b4[c].T
+    margin = max(1e-4, 4e-7 * a.raw.shape[1])
+    for i in range(len(a.lo)):
+        gap = np.maximum(0, np.maximum(a.lo[i] - b.hi, b.lo - a.hi[i]))
+        near = (gap * gap).sum(axis=1) <= eps2
+        if not near.any():
+            continue
+        start, every = i * SUB_BLOCK, near.all()
+        r = slice(start, start + SUB_BLOCK)
+        cols = slice(None) if every else np.flatnonzero(np.repeat(near, SUB_BLOCK)[:len(b.raw)])
+        s = a.lead[r] @ b.lead[cols].T
+        if s.max() < threshold - margin:
+            continue
+        p, q = _positions(s >= threshold - margin)
+        if 64 * len(p) <= s.size:
+            at = p + start, q if every else cols[q]
+            on = _exact(a, b, *at, threshold)
+            p, q = at[0][on], at[1][on]
+        else:
+            if a.lead is not a.full:
+                s = a.full[r] @ b.full[cols].T
             part = s >= threshold
-            p, q = np.nonzero(np.abs(s - threshold) < 1e-4)
-            if len(p):
-                part[p, q] = np.einsum("ij,ij->i", a[r][p], b[c][q]) >= threshold
-            link[r, c] = part
-            if own and j > i:
-                link[c, r] = part.T
-    if own:
-        np.fill_diagonal(link, False)
+            p, q = _positions(np.abs(s - threshold) < margin)
+            part[p, q] = _exact(a, b, p + start, q if every else cols[q], threshold)
+            p, q = _positions(part)
+            p, q = p + start, q if every else cols[q]
+        if own:
+            p, q = p[p != q], q[p != q]
+        if len(p):
+            yield p, q
+
+
+def links_between(a: np.ndarray, b: np.ndarray | None, axes: np.ndarray, threshold: float,
+                  lead: int = 0) -> np.ndarray:
+    """Boolean matrix of cosine >= threshold between vectors (b None: of ``a``
+    with itself, without the diagonal)."""
+    x = side(a, axes, lead)
+    y = x if b is None else side(b, axes, lead)
+    link = np.zeros((len(x.raw), len(y.raw)), bool)
+    for p, q in link_strips(x, y, threshold, b is None):
+        link[p, q] = True
     return link
 
 
@@ -173,29 +259,81 @@ def smallest_reachable(link: np.ndarray, left: np.ndarray, right: np.ndarray
         a[rows], b[cols] = na, nb
 
 
-def _pairs_fn(axes: np.ndarray, dims: int, threshold: float):
-    def side(b: pa.RecordBatch, i: int, s: str):
-        return (np.frombuffer(b.column("ids" + s)[i].as_py(), np.int64),
-                np.frombuffer(b.column("sizes" + s)[i].as_py(), np.int64),
-                np.frombuffer(b.column("vectors" + s)[i].as_py(), np.float64).reshape(-1, dims))
-
+def smallest_linked(p: np.ndarray, q: np.ndarray, left: np.ndarray, right: np.ndarray
+                    ) -> tuple[np.ndarray, np.ndarray]:
+    """As ``smallest_reachable``, for few links (left[p], right[q])."""
+    a, b = left.copy(), right.copy()
+    while True:
+        na, nb = a.copy(), b.copy()
+        np.minimum.at(na, p, b[q])
+        np.minimum.at(nb, q, na[p])
+        if (na == a).all() and (nb == b).all():
+            return a, b
+        a, b = na, nb
+
+
+def _summed(strips: Iterator[tuple[np.ndarray, np.ndarray]], ids: np.ndarray, sizes: np.ndarray,
+            jds: np.ndarray, jsizes: np.ndarray) -> tuple[np.ndarray, ...] | None:
+    """Of a pair of blocks: vectors linked by each row and each column, and the
+    smallest ids of their groups; None without a link. Many links go into a
+    matrix of bits, strip by strip."""
+    n, m = np.zeros(len(ids), np.int64), np.zeros(len(jds), np.int64)
+    ps, qs, held, link = [], [], 0, None
+    for p, q in strips:
+        n += np.bincount(p, weights=jsizes[q], minlength=len(n)).astype(np.int64)
+        m += np.bincount(q, weights=sizes[p], minlength=len(m)).astype(np.int64)
+        ps.append(p)
+        qs.append(q)
+        held += len(p)
+        if link is None and held > 8 * (len(n) + len(m)):
+            link = np.zeros((len(n), len(m)), bool)
+        if link is not None:
+            for p, q in zip(ps, qs, strict=True):
+                link[p, q] = True
+            ps, qs = [], []
+    if link is not None:
+        return n, m, *smallest_reachable(link, ids, jds)
+    return (n, m, *smallest_linked(np.concatenate(ps), np.concatenate(qs), ids, jds)) if held else None
+
+
+def _pairs_fn(axes: np.ndarray, lead: int, dims: int, dtype: np.dtype, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple] = {}         # a task meets the same blocks again and again
+
+        def block(b: pa.RecordBatch, i: int, s: str) -> tuple:
+            no = b.column(s)[i].as_py()
+            if no not in held:
+                if len(held) >= HELD_BLOCKS:
+                    held.pop(next(iter(held)))
+                raw = np.frombuffer(b.column("vectors" + s)[i].as_py(), dtype).reshape(-1, dims)
+                held[no] = (np.frombuffer(b.column("ids" + s)[i].as_py(), np.int64),
+                            np.frombuffer(b.column("sizes" + s)[i].as_py(), np.int64),
+                            side(raw, axes, lead))
+            return held[no]
+
+        def compared(b: pa.RecordBatch, i: int) -> pa.RecordBatch | None:
+            (ids, sizes, x), (jds, jsizes, y) = block(b, i, "a"), block(b, i, "b")
+            own = x is y
+            got = _summed(link_strips(x, y, threshold, own), ids, sizes, jds, jsizes)
+            if got is None:
+                return None
+            n, m, ra, rb = got
+            out = [(ids, n, np.minimum(ra, rb) if own else ra)]
+            if not own:
+                out.append((jds, m, rb))
+            node, n, root = (np.concatenate(c) for c in zip(*out, strict=True))
+            on = n > 0
+            return pa.RecordBatch.from_arrays(
+                [pa.array(node[on]), pa.array(n[on]), pa.array(root[on])], ["node", "n", "root"])
+
         for batch in batches:
             for i in range(batch.num_rows):
-                own = batch.column("a")[i].as_py() == batch.column("b")[i].as_py()
-                ids, sizes, x = side(batch, i, "a")
-                jds, jsizes, y = (ids, sizes, None) if own else side(batch, i, "b")
-                link = links_between(x, y, axes, threshold)
-                if not link.any():
-                    continue
-                ra, rb = smallest_reachable(link, ids, jds)
-                out = [(ids, link @ jsizes, np.minimum(ra, rb) if own else ra)]
-                if not own:
-                    out.append((jds, sizes @ link, rb))
-                node, n, root = (np.concatenate(c) for c in zip(*out, strict=True))
-                on = n > 0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[on]), pa.array(n[on]), pa.array(root[on])], ["node", "n", "root"])
+                out = compared(batch, i)
+                if out is not None:
+                    yield out
+        batch = out = None
+        held.clear()
+        freed()
     return run
 
 
@@ -244,24 +382,32 @@ def linked_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"))
+    single = isinstance(getattr(rows.schema["v"].dataType, "elementType", None), FloatType)
+    kind = "array<float>" if single else "array<double>"
     usable = rows.where(F.col("id").isNotNull() & _usable(F.col("v"))) \
-        .select("id", F.col("v").cast("array<double>").alias("v"))
+        .select("id", F.col("v").cast(kind).alias("v"))
     classes = stored(usable.groupBy("v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size"))
                      .select("rep", "size", "v"), "vector-classes")
     found = [spark.createDataFrame([], "node bigint, n bigint, root bigint")]
     for r in classes.select(F.size("v").alias("d")).distinct().collect():   # one in a sound table
-        found.append(_same_length(classes.where(F.size("v") == r["d"]), r["d"], threshold))
+        found.append(_same_length(classes.where(F.size("v") == r["d"]), r["d"], kind, threshold))
     links = found[0]
     for f in found[1:]:
         links = links.union(f)
     links = stored(links, "vector-links")
     comp = connected_components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     degree = links.groupBy("node").agg(F.sum("n").alias("n"))
-    of_class = classes.join(degree, classes["rep"] == degree["node"], "left").drop("node") \
-        .join(comp, classes["rep"] == comp["node"], "left").select(
-            "v", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"),
+    # rows meet their class by a hash, and by the vector too where a hash is not of one class
+    hashed = F.xxhash64("v").alias("hash")
+    twice = classes.select(hashed).groupBy("hash").count().where("count > 1")
+    key = ["hash"] if twice.isEmpty() else ["hash", "v"]
+    of_class = classes.select("rep", "size", hashed, *key[1:]) \
+        .join(degree, F.col("rep") == degree["node"], "left").drop("node") \
+        .join(comp, F.col("rep") == comp["node"], "left").select(
+            *key, (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"),
             F.coalesce("component", "rep").alias("component_id"))
-    good = usable.join(of_class, "v").select(F.col("id").alias(id_col), "n_links", "component_id")
+    good = usable.select("id", hashed, *key[1:]).join(of_class, key) \
+        .select(F.col("id").alias(id_col), "n_links", "component_id")
     rest = rows.where(~(F.col("id").isNotNull() & _usable(F.col("v")))).select(
         F.col("id").alias(id_col), F.lit(0).cast("bigint").alias("n_links"),
         F.col("id").alias("component_id"))
@@ -269,23 +415,26 @@ def linked_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
         "kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 
 
-def _same_length(classes: DataFrame, dims: int, threshold: float) -> DataFrame:
+def _same_length(classes: DataFrame, dims: int, kind: str, threshold: float) -> DataFrame:
     """(node, n, root) rows of the linked classes of one vector length."""
     total = classes.count()
     part = F.pmod(F.xxhash64("rep"), F.lit(1 << 20))
     sample = classes.where(part < (1 << 20) * min(1.0, 1.2 * SAMPLE_VECTORS / total) + 1) \
         .select("v").limit(SAMPLE_VECTORS).toArrow()
     x = unit(_matrix(sample["v"].combine_chunks())) if sample.num_rows else np.eye(dims)
-    axes = principal_axes(x, min(LEADING, dims))
+    axes = principal_axes(x, min(max(LEADING, *LEADS), dims))
+    lead = lead_dimensions(x, axes, threshold)
+    leading = axes[:LEADING]
+    dtype = np.dtype(np.float32 if kind == "array<float>" else np.float64)
+    block = min(BLOCK, max(SUB_BLOCK, BLOCK_BYTES // (dims * dtype.itemsize)))
     eps2 = 2 - 2 * threshold
-    cells = classes.mapInArrow(_cells_fn(axes, float(np.sqrt(eps2))),
-                               "rep bigint, size bigint, v array<double>, cell array<int>")
+    cells = classes.mapInArrow(_cells_fn(leading, float(np.sqrt(eps2))),
+                               f"rep bigint, size bigint, v {kind}, cell binary")
     parts = max(1, min(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                       -(-total // BLOCK)))
-    order = [F.col("cell")[i] for i in range(len(axes))] + [F.col("rep")]
-    ranged = cells.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    packed = ranged.mapInArrow(_blocks_fn(axes), "k int, ids binary, sizes binary, vectors binary, "
-                               "lo array<double>, hi array<double>") \
+                       -(-total // block)))
+    ranged = cells.repartitionByRange(parts, "cell", "rep").sortWithinPartitions("cell", "rep")
+    packed = ranged.mapInArrow(_blocks_fn(leading, block), "k int, ids binary, sizes binary, "
+                               "vectors binary, lo array<double>, hi array<double>") \
         .withColumn("part", F.spark_partition_id())
     packed = stored(packed, "vector-blocks")
     # block numbers in grid order: one narrow row a block
@@ -293,11 +442,26 @@ def _same_length(classes: DataFrame, dims: int, threshold: float) -> DataFrame:
         "no", (F.row_number().over(Window.orderBy("part", "k")) - 1).cast("bigint"))
     number = stored(number, "vector-boxes")
     pairs = block_pairs(number.select("no", "lo", "hi"), eps2 + 1e-9)
+    return _compared(packed, number, pairs).mapInArrow(
+        _pairs_fn(axes, lead, dims, dtype, threshold), "node bigint, n bigint, root bigint")
+
+
+def _compared(packed: DataFrame, number: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Both blocks of every pair. Files of blocks meet files of blocks, read
+    where they are stored; a block's list of partners decides what is handed
+    on. Each pair stands in the list of its first or second block, by turns,
+    so that all tasks have their share."""
     blocks = packed.join(small(number.select("part", "k", "no"), 24), ["part", "k"]) \
         .select("no", "ids", "sizes", "vectors")
 
     def named(s: str) -> DataFrame:
         return blocks.select(F.col("no").alias(s), *[F.col(c).alias(c + s) for c in ("ids", "sizes", "vectors")])
-    every = pairs.join(named("a"), "a").join(named("b"), "b").repartition(
-        max(parts, min(4 * parts, 1 + pairs.count() // 4)), "a", "b")
-    return every.mapInArrow(_pairs_fn(axes, dims, threshold), "node bigint, n bigint, root bigint")
+
+    straight = (F.col("a") + F.col("b")) % 2 == 0
+    partners = stored(pairs.select(F.when(straight, F.col("a")).otherwise(F.col("b")).alias("a"),
+                                   F.when(straight, F.col("b")).otherwise(F.col("a")).cast("int").alias("b"))
+                      .groupBy("a").agg(F.collect_list("b").alias("partners")), "block-partners")
+    lists = small(partners, 32 + 4 * -(-pairs.count() // max(1, number.count())))
+    return named("a").join(lists, "a").join(
+        named("b").hint("shuffle_replicate_nl"),
+        F.array_contains("partners", F.col("b").cast("int"))).drop("partners")

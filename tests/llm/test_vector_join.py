@@ -1,4 +1,6 @@
 """Operator 6 against all pairs."""
+import re
+
 import numpy as np
 
 from claimlens.llm import vector_join as vj
@@ -73,3 +75,44 @@ def test_boxes_never_skip_a_link():
         assert (link == ((x @ x.T >= 0.9) & ~np.eye(200, dtype=bool))).all()
         cross = vj.links_between(x[:90], x[90:], axes, 0.9)
         assert (cross == link[:90, 90:]).all()
+
+
+def test_no_vector_is_shuffled_for_a_pair_of_blocks(spark, monkeypatch):
+    """Disk grows with the vectors, not with the pairs of blocks."""
+    monkeypatch.setattr(vj, "BLOCK", 16)
+    plans, stored = {}, vj.stored
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        return stored(df, name)
+    monkeypatch.setattr(vj, "stored", watched)
+    rows = list(enumerate(np.random.default_rng(5).normal(size=(300, 64)).tolist()))
+    assert result(table(spark, rows)) == brute(rows)
+    nodes = re.findall(r"\(\d+\) (\w+).*\n(?:Left output|Input|Output) \[\d+\]: (.*)", plans["vector-links"])
+    assert any("vectors" in columns for _, columns in nodes)
+    assert not [columns for node, columns in nodes if "Exchange" in node and "vectors" in columns]
+
+
+def test_bound_of_leading_dimensions_never_skips_a_link():
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(700, 64))
+    x[350:] = x[:350] + rng.normal(size=(350, 64)) * rng.uniform(0.3, 0.7, size=(350, 1))
+    u = vj.unit(x)
+    axes = vj.principal_axes(u, 64)
+    lead = vj.lead_dimensions(u[:350], axes, 0.9)
+    assert 0 < lead <= 32
+    want = u @ u.T >= 0.9
+    assert 20 < np.triu(want, 1).sum() < 350
+    for n in (0, 8, lead):
+        assert (vj.links_between(x, None, axes, 0.9, n) == (want & ~np.eye(700, dtype=bool))).all()
+        assert (vj.links_between(x.astype(np.float32)[:90], x.astype(np.float32)[90:], axes, 0.9, n) == want[:90, 90:]).all()
+
+
+def test_one_hash_for_two_vectors(spark, monkeypatch):
+    """Rows meet their class by the vector where hashes clash; minus zero is zero."""
+    rows = [(1, [1.0, 0.0]), (2, [1.0, -0.0]), (3, [0.0, 1.0]), (4, [0.0, 2.0]), (5, [0.0, 1.0]), (6, [-1.0, 1.0])]
+    want = brute(rows)
+    assert result(table(spark, rows)) == want
+    monkeypatch.setattr(vj.F, "xxhash64", lambda *c: vj.F.lit(7).cast("bigint"))
+    assert result(table(spark, rows)) == want
