@@ -19,9 +19,10 @@ On unit vectors, cosine >= t is distance <= eps = sqrt(2 - 2t).
    ``lead`` principal dimensions and the norm of the rest, which bounds every
    cosine from above, and on all dimensions only where that bound allows a
    link. Cosines are exact in doubles.
-5. *Results.* A pair of blocks returns one row for each vector with a link: how
-   many vectors it links, and the smallest id of its connected group within
-   the pair. So rows grow with the vectors, not with the linked pairs.
+5. *Results.* A task returns one row for each vector with a link: how many
+   vectors it links, and the smallest id of its connected group within what
+   the task has compared. So rows grow with the vectors, not with the linked
+   pairs, nor with the pairs of blocks.
 """
 
 from __future__ import annotations
@@ -192,10 +193,11 @@ def _positions(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def link_strips(a: Side, b: Side, threshold: float, own: bool = False
-                ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows and columns of the links, for the strips of ``a`` that have any.
-    Single precision decides pairs clear of the threshold, doubles those near
-    it and the few that pass the bound."""
+                ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """The links, for the strips of ``a`` that have any: their rows, their
+    columns and None, or where they are many a boolean matrix with its rows
+    and columns. Single precision decides pairs clear of the threshold, doubles
+    those near it and the few that pass the bound."""
     eps2 = 2 - 2 * threshold + 1e-9
     margin = max(1e-4, 4e-7 * a.raw.shape[1])
     for i in range(len(a.lo)):
@@ -203,29 +205,32 @@ def link_strips(a: Side, b: Side, threshold: float, own: bool = False
         near = (gap * gap).sum(axis=1) <= eps2
         if not near.any():
             continue
-        start, every = i * SUB_BLOCK, near.all()
-        r = slice(start, start + SUB_BLOCK)
-        cols = slice(None) if every else np.flatnonzero(np.repeat(near, SUB_BLOCK)[:len(b.raw)])
-        s = a.lead[r] @ b.lead[cols].T
+        rows = np.arange(i * SUB_BLOCK, min((i + 1) * SUB_BLOCK, len(a.raw)))
+        every = near.all()
+        cols = np.arange(len(b.raw)) if every else np.flatnonzero(np.repeat(near, SUB_BLOCK)[:len(b.raw)])
+        r, c = slice(rows[0], rows[-1] + 1), slice(None) if every else cols
+        s = a.lead[r] @ b.lead[c].T
         if s.max() < threshold - margin:
             continue
-        p, q = _positions(s >= threshold - margin)
-        if 64 * len(p) <= s.size:
-            at = p + start, q if every else cols[q]
-            on = _exact(a, b, *at, threshold)
-            p, q = at[0][on], at[1][on]
-        else:
-            if a.lead is not a.full:
-                s = a.full[r] @ b.full[cols].T
-            part = s >= threshold
-            p, q = _positions(np.abs(s - threshold) < margin)
-            part[p, q] = _exact(a, b, p + start, q if every else cols[q], threshold)
+        part = s >= threshold - margin
+        if 64 * np.count_nonzero(part) <= s.size:
             p, q = _positions(part)
-            p, q = p + start, q if every else cols[q]
+            p, q = rows[p], cols[q]
+            on = _exact(a, b, p, q, threshold)
+            if own:
+                on &= p != q
+            if on.any():
+                yield p[on], q[on], None
+            continue
+        if a.lead is not a.full:
+            s = a.full[r] @ b.full[c].T
+        part = s >= threshold
+        p, q = _positions(np.abs(s - threshold) < margin)
+        part[p, q] = _exact(a, b, rows[p], cols[q], threshold)
         if own:
-            p, q = p[p != q], q[p != q]
-        if len(p):
-            yield p, q
+            part &= rows[:, None] != cols
+        if part.any():
+            yield rows, cols, part
 
 
 def links_between(a: np.ndarray, b: np.ndarray | None, axes: np.ndarray, threshold: float,
@@ -235,33 +240,17 @@ def links_between(a: np.ndarray, b: np.ndarray | None, axes: np.ndarray, thresho
     x = side(a, axes, lead)
     y = x if b is None else side(b, axes, lead)
     link = np.zeros((len(x.raw), len(y.raw)), bool)
-    for p, q in link_strips(x, y, threshold, b is None):
-        link[p, q] = True
+    for p, q, part in link_strips(x, y, threshold, b is None):
+        if part is None:
+            link[p, q] = True
+        else:
+            link[np.ix_(p, q)] = part
     return link
 
 
-def smallest_reachable(link: np.ndarray, left: np.ndarray, right: np.ndarray
-                       ) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest id of each vector's group, for a link matrix left x right."""
-    top = np.iinfo(np.int64).max
-    a, b = left.copy(), right.copy()
-    rows, cols = np.flatnonzero(link.any(axis=1)), np.flatnonzero(link.any(axis=0))
-    m = link[np.ix_(rows, cols)]
-    while True:
-        na, nb = a[rows], b[cols]
-        for lo in range(0, len(rows), 128):
-            part = m[lo:lo + 128]
-            na[lo:lo + 128] = np.minimum(na[lo:lo + 128], np.where(part, nb, top).min(axis=1, initial=top))
-        for lo in range(0, len(rows), 128):
-            nb = np.minimum(nb, np.where(m[lo:lo + 128], na[lo:lo + 128, None], top).min(axis=0, initial=top))
-        if (na == a[rows]).all() and (nb == b[cols]).all():
-            return a, b
-        a[rows], b[cols] = na, nb
-
-
 def smallest_linked(p: np.ndarray, q: np.ndarray, left: np.ndarray, right: np.ndarray
                     ) -> tuple[np.ndarray, np.ndarray]:
-    """As ``smallest_reachable``, for few links (left[p], right[q])."""
+    """Smallest label of each row's and column's group, for links (p, q)."""
     a, b = left.copy(), right.copy()
     while True:
         na, nb = a.copy(), b.copy()
@@ -272,67 +261,111 @@ def smallest_linked(p: np.ndarray, q: np.ndarray, left: np.ndarray, right: np.nd
         a, b = na, nb
 
 
-def _summed(strips: Iterator[tuple[np.ndarray, np.ndarray]], ids: np.ndarray, sizes: np.ndarray,
-            jds: np.ndarray, jsizes: np.ndarray) -> tuple[np.ndarray, ...] | None:
+def few_links(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of some links that connect what all links of a matrix
+    connect: the first of each row and column, and more while any is left
+    between groups."""
+    n, m = part.shape
+    first, top = part.argmax(axis=1), part.argmax(axis=0)
+    on, up = np.flatnonzero(part[np.arange(n), first]), np.flatnonzero(part[top, np.arange(m)])
+    p, q = np.concatenate([on, top[up]]), np.concatenate([first[on], up])
+    while True:
+        a, b = (x.astype(np.int32) for x in smallest_linked(p, q, np.arange(n), np.arange(n, n + m)))
+        x, y = _positions(part & (a[:, None] != b))
+        if not len(x):
+            return p, q
+        _, one = np.unique(a[x].astype(np.int64) * (n + m) + b[y], return_index=True)
+        p, q = np.concatenate([p, x[one]]), np.concatenate([q, y[one]])
+
+
+def _counted(part: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    if (sizes == 1).all():
+        return np.count_nonzero(part, axis=1)
+    return (part.astype(np.float64) @ sizes.astype(np.float64)).astype(np.int64)
+
+
+def _summed(strips: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]], left: np.ndarray,
+            sizes: np.ndarray, right: np.ndarray, jsizes: np.ndarray) -> tuple[np.ndarray, ...] | None:
     """Of a pair of blocks: vectors linked by each row and each column, and the
-    smallest ids of their groups; None without a link. Many links go into a
-    matrix of bits, strip by strip."""
-    n, m = np.zeros(len(ids), np.int64), np.zeros(len(jds), np.int64)
-    ps, qs, held, link = [], [], 0, None
-    for p, q in strips:
-        n += np.bincount(p, weights=jsizes[q], minlength=len(n)).astype(np.int64)
-        m += np.bincount(q, weights=sizes[p], minlength=len(m)).astype(np.int64)
+    smallest labels of their groups; None without a link."""
+    n, m = np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)
+    ps, qs = [], []
+    for p, q, part in strips:
+        if part is None:
+            n += np.bincount(p, weights=jsizes[q], minlength=len(n)).astype(np.int64)
+            m += np.bincount(q, weights=sizes[p], minlength=len(m)).astype(np.int64)
+        else:
+            n[p] += _counted(part, jsizes[q])
+            m[q] += _counted(part.T, sizes[p])
+            x, y = few_links(part)
+            p, q = p[x], q[y]
         ps.append(p)
         qs.append(q)
-        held += len(p)
-        if link is None and held > 8 * (len(n) + len(m)):
-            link = np.zeros((len(n), len(m)), bool)
-        if link is not None:
-            for p, q in zip(ps, qs, strict=True):
-                link[p, q] = True
-            ps, qs = [], []
-    if link is not None:
-        return n, m, *smallest_reachable(link, ids, jds)
-    return (n, m, *smallest_linked(np.concatenate(ps), np.concatenate(qs), ids, jds)) if held else None
+    return (n, m, *smallest_linked(np.concatenate(ps), np.concatenate(qs), left, right)) if ps else None
+
+
+@dataclass
+class Found:
+    """What a task has found for a block's vectors."""
+    ids: np.ndarray
+    sizes: np.ndarray
+    n: np.ndarray
+    label: np.ndarray           # smallest id of the group so far
+
+    def lowered(self, label: np.ndarray) -> np.ndarray:
+        """Takes new labels; the pairs (old, new) without which a vector that
+        had the old one would lose its group."""
+        moved = (label < self.label) & (self.label != self.ids)
+        pairs = np.unique(np.stack([self.label[moved], label[moved]], axis=1), axis=0)
+        self.label = label
+        return pairs
 
 
 def _pairs_fn(axes: np.ndarray, lead: int, dims: int, dtype: np.dtype, threshold: float):
+    """Pairs of blocks -> (node, n, root): at the end of a task one row for each
+    vector that it has linked, and before that (n = 0) the groups that met."""
+    def out(node: np.ndarray, n: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (node, n, root)], ["node", "n", "root"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple] = {}         # a task meets the same blocks again and again
+        held: dict[int, Side] = {}          # a task meets the same blocks again and again
+        found: dict[int, Found] = {}
 
-        def block(b: pa.RecordBatch, i: int, s: str) -> tuple:
+        def block(b: pa.RecordBatch, i: int, s: str) -> tuple[Found, Side]:
             no = b.column(s)[i].as_py()
             if no not in held:
                 if len(held) >= HELD_BLOCKS:
                     held.pop(next(iter(held)))
-                raw = np.frombuffer(b.column("vectors" + s)[i].as_py(), dtype).reshape(-1, dims)
-                held[no] = (np.frombuffer(b.column("ids" + s)[i].as_py(), np.int64),
-                            np.frombuffer(b.column("sizes" + s)[i].as_py(), np.int64),
-                            side(raw, axes, lead))
-            return held[no]
-
-        def compared(b: pa.RecordBatch, i: int) -> pa.RecordBatch | None:
-            (ids, sizes, x), (jds, jsizes, y) = block(b, i, "a"), block(b, i, "b")
-            own = x is y
-            got = _summed(link_strips(x, y, threshold, own), ids, sizes, jds, jsizes)
+                held[no] = side(np.frombuffer(b.column("vectors" + s)[i].as_py(), dtype).reshape(-1, dims), axes, lead)
+            if no not in found:
+                ids, sizes = (np.frombuffer(b.column(c + s)[i].as_py(), np.int64) for c in ("ids", "sizes"))
+                found[no] = Found(ids, sizes, np.zeros(len(ids), np.int64), ids)
+            return found[no], held[no]
+
+        def compared(b: pa.RecordBatch, i: int) -> np.ndarray | None:
+            (x, left), (y, right) = block(b, i, "a"), block(b, i, "b")
+            got = _summed(link_strips(left, right, threshold, x is y), x.label, x.sizes, y.label, y.sizes)
             if got is None:
                 return None
             n, m, ra, rb = got
-            out = [(ids, n, np.minimum(ra, rb) if own else ra)]
-            if not own:
-                out.append((jds, m, rb))
-            node, n, root = (np.concatenate(c) for c in zip(*out, strict=True))
-            on = n > 0
-            return pa.RecordBatch.from_arrays(
-                [pa.array(node[on]), pa.array(n[on]), pa.array(root[on])], ["node", "n", "root"])
+            x.n += n
+            if x is y:
+                return x.lowered(np.minimum(ra, rb))
+            y.n += m
+            return np.concatenate([x.lowered(ra), y.lowered(rb)])
 
         for batch in batches:
             for i in range(batch.num_rows):
-                out = compared(batch, i)
-                if out is not None:
-                    yield out
-        batch = out = None
+                met = compared(batch, i)
+                if met is not None and len(met):
+                    yield out(met[:, 0], np.zeros(len(met), np.int64), met[:, 1])
+        batch = None
         held.clear()
+        for x in found.values():
+            on = x.n > 0
+            yield out(x.ids[on], x.n[on], x.label[on])
+        found.clear()
+        x = None
         freed()
     return run
 

@@ -116,3 +116,48 @@ def test_one_hash_for_two_vectors(spark, monkeypatch):
     assert result(table(spark, rows)) == want
     monkeypatch.setattr(vj.F, "xxhash64", lambda *c: vj.F.lit(7).cast("bigint"))
     assert result(table(spark, rows)) == want
+
+
+def test_few_links_connect_what_all_links_connect():
+    rng = np.random.default_rng(3)
+    for share in (0.02, 0.1, 0.5, 1.0):
+        for _ in range(20):
+            part = (rng.random((9, 14)) < share) & (rng.random(9) < 0.8)[:, None]
+            p, q = vj.few_links(part)
+            assert part[p, q].all()
+            left, right = np.arange(9), np.arange(9, 23)
+            for few, many in zip(vj.smallest_linked(p, q, left, right),
+                                 vj.smallest_linked(*np.nonzero(part), left, right), strict=True):
+                assert (few == many).all()
+
+
+def test_chains_over_many_blocks(spark, monkeypatch):
+    """Groups that a task meets bit by bit: each vector links two others only."""
+    monkeypatch.setattr(vj, "BLOCK", 4)
+    rng = np.random.default_rng(11)
+    rows = []
+    for a in range(6):
+        for k in range(15):
+            e = [0.0] * 12
+            e[2 * a], e[2 * a + 1] = np.cos(0.4 * k), np.sin(0.4 * k)   # 0.4 links, 0.8 does not
+            rows.append(e)
+    rows = [(int(i), e) for i, e in zip(rng.permutation(len(rows)), rows, strict=True)]
+    got = result(table(spark, rows))
+    assert got == brute(rows) and len({c for _, _, c in got}) == 6
+
+
+def test_rows_of_a_large_group_grow_with_its_vectors(spark, monkeypatch):
+    """Not with its pairs of blocks: 100 blocks of one group in at most 4 files."""
+    monkeypatch.setattr(vj, "BLOCK", 4)
+    kept, stored = {}, vj.stored
+
+    def watched(df, name):
+        kept[name] = stored(df, name)
+        return kept[name]
+    monkeypatch.setattr(vj, "stored", watched)
+    rng = np.random.default_rng(13)
+    rows = [(i, e) for i, e in enumerate((np.ones(24) + rng.normal(size=(400, 24)) * 0.05).tolist())]
+    got = result(table(spark, rows))
+    assert got == [(i, 399, 0) for i in range(400)]
+    assert kept["vector-links"].where("n > 0").count() <= 2 * 4 * 400
+    assert kept["vector-links"].count() <= 3 * 4 * 400      # 40,000 by pairs of blocks
